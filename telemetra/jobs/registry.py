@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "telemetra.jobs.drift_jobs",
+    "telemetra.jobs.quality_jobs",
 ]
 
 
