@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "telemetra.jobs.drift_jobs",
     "telemetra.jobs.quality_jobs",
+    "telemetra.jobs.profile_jobs",
 ]
 
 
