@@ -8,6 +8,7 @@ MODULES = [
     "telemetra.jobs.drift_jobs",
     "telemetra.jobs.quality_jobs",
     "telemetra.jobs.profile_jobs",
+    "telemetra.jobs.feature_jobs",
 ]
 
 
