@@ -9,6 +9,7 @@ MODULES = [
     "telemetra.jobs.quality_jobs",
     "telemetra.jobs.profile_jobs",
     "telemetra.jobs.feature_jobs",
+    "telemetra.jobs.evaluation_jobs",
 ]
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from telemetra import config
 from telemetra.functions.exprs import bin_index, long_form
 from telemetra.plans.hscan import exact_quantiles, prefix_sums
+from telemetra.session import cut_lineage
 
 
 # ---------------------------------------------------------------- H1 ------
@@ -51,7 +52,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
                   F.sum("n").alias("_tot")))
     props = props.select(*gk, F.transform("_bn", lambda s: s["n"] / F.col("_tot"))
                          .alias("bin_proportions"))
-    return stats.join(edges, gk).join(props, gk)
+    return cut_lineage(stats.join(edges, gk).join(props, gk))
 
 
 def profile_bins(profile: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -85,7 +86,7 @@ def categorical_profile(df: DataFrame, columns: Sequence[str], keys: Sequence[st
     counts = categorical_long(df, columns, keys).groupBy(*gk, "category").agg(
         F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy(*gk)
-    return counts.withColumn("proportion", F.col("count") / F.sum("count").over(w))
+    return cut_lineage(counts.withColumn("proportion", F.col("count") / F.sum("count").over(w)))
 
 
 # ---------------------------------------------------------------- H11 -----

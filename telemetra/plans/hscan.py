@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from telemetra.session import cut_lineage
+
 DEFAULT_RANGES = 64
 _DUMMY = "_hs_all"
 
@@ -39,6 +41,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
     ``df`` must hold one row per (keys, order_col).
     """
     df, gkeys = _with_keys(df, keys)
+    df = cut_lineage(df)          # read twice below (sketch + join)
     x = F.col(order_col)
     fractions = [i / ranges for i in range(1, ranges)]
     cuts = (df.groupBy(*gkeys)
@@ -74,7 +77,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
     drop = ["_hs_b"] + [f"_hs_r_{w}" for w in weight_cols] + [f"_hs_o_{w}" for w in weight_cols]
     if not keys:
         drop.append(_DUMMY)
-    return out.drop(*drop)
+    return cut_lineage(out.drop(*drop))
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value_col: str) -> DataFrame:
@@ -114,7 +117,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
     res = res.select(*gkeys, "p", "q")
     if not keys:
         res = res.drop(_DUMMY)
-    return res
+    return cut_lineage(res)
 
 
 def average_ranks(df: DataFrame, keys: Sequence[str], value_col: str,

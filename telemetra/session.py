@@ -53,7 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local one."""
+    """Reliable checkpoint into the shared checkpoint folder: the plan below
+    is computed once, later stages read the files, and a lost executor costs
+    a re-read instead of a recomputation of the whole lineage.  Never a local
+    checkpoint.  Used where a derived table is read more than once."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
