@@ -10,6 +10,7 @@ MODULES = [
     "telemetra.jobs.profile_jobs",
     "telemetra.jobs.feature_jobs",
     "telemetra.jobs.evaluation_jobs",
+    "telemetra.jobs.monitor_jobs",
 ]
 
 
