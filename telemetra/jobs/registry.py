@@ -11,6 +11,7 @@ MODULES = [
     "telemetra.jobs.feature_jobs",
     "telemetra.jobs.evaluation_jobs",
     "telemetra.jobs.monitor_jobs",
+    "telemetra.jobs.detector_jobs",
 ]
 
 

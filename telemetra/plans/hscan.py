@@ -80,18 +80,22 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
     return cut_lineage(out.drop(*drop))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value_col: str) -> DataFrame:
-    """Collapse to (keys, value, cnt); nulls dropped."""
+def value_counts(df: DataFrame, keys: Sequence[str], value_col: str,
+                 weight: str | None = None) -> DataFrame:
+    """Collapse to (keys, value, cnt); nulls dropped.  ``weight`` is a row
+    multiplicity column (rows already collapsed upstream)."""
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     return (df.where(F.col(value_col).isNotNull())
-            .groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("cnt")))
+            .groupBy(*keys, value_col).agg(F.sum(w).alias("cnt")))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
-                    probs: Sequence[float], ranges: int = DEFAULT_RANGES) -> DataFrame:
+                    probs: Sequence[float], ranges: int = DEFAULT_RANGES,
+                    weight: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy 'linear', DuckDB
     ``quantile_cont``, Spark ``percentile``) without holding a group's values
     in one task.  Returns (keys, p, q)."""
-    counts = value_counts(df, keys, value_col)
+    counts = value_counts(df, keys, value_col, weight)
     counts, gkeys = _with_keys(counts, keys)
     scanned = prefix_sums(counts, gkeys, value_col, ["cnt"], ranges=ranges)
     # one row per (keys, p, end) naming the 0-based rank to fetch
