@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 
 from telemetra.jobs.common import MEASURES, SQL_CUR, SQL_REF, current_period, lineitem, reference_period
 from telemetra.operators.detect import ecod as ECOD
+from telemetra.jobs.common import SQL_SCORED
+from telemetra.operators import ensemble as G
+from telemetra.operators.detect import iforest as IF
+from telemetra.operators.detect import lof as LOF
+from telemetra.operators.detect import ocsvm as SVM
+from telemetra.sources.tables import table
 
 CONTAMINATION = 0.03
 
@@ -31,8 +37,79 @@ def e1_ecod_lineitem(spark, sf_dir):
     return out.select(*MEASURES, "rows", "ecod_score", "threshold", "prediction")
 
 
+LOF_K = 20
+LOF_CONTAMINATION = 0.05
+
+
+def _embeddings(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+
+
+def e3_lof_embeddings(spark, sf_dir):
+    fitted = LOF.lof_fit(_embeddings(spark, sf_dir), k=LOF_K)
+    out = LOF.lof_predict(fitted, LOF.lof_offset(fitted, LOF_CONTAMINATION))
+    return out.select(F.col("id").alias("vec_id"), "kdist", "lrd", "lof", "prediction")
+
+
+def e2_iforest_embeddings(spark, sf_dir):
+    emb = _embeddings(spark, sf_dir)
+    forest = IF.fit_forest(emb, "id", "vec", n_trees=100, max_samples=256, seed=42)
+    scores = IF.score_forest(emb, "id", "vec", forest)
+    thr = IF.iforest_threshold(scores, 0.05)
+    return (scores.crossJoin(F.broadcast(thr))
+            .withColumn("prediction", (F.col("iforest_score") > F.col("threshold")).cast("int"))
+            .select(F.col("id").alias("vec_id"), "iforest_score", "prediction"))
+
+
+def e6_gamma_embeddings(spark, sf_dir):
+    return SVM.gamma_scale(_embeddings(spark, sf_dir), "vec", 64)
+
+
+def e4_ocsvm_embeddings(spark, sf_dir):
+    emb = _embeddings(spark, sf_dir)
+    gamma = SVM.gamma_scale(emb, "vec", 64).first()["gamma_scale"]   # one number
+    model = SVM.RffOneClass(64, gamma, nu=0.05, seed=42).fit(emb, "vec")
+    return model.score(emb, "id", "vec").withColumnRenamed("id", "vec_id")
+
+
+def _documents_scored(spark, sf_dir):
+    """The operational ensemble (frozen min-max of document length and mean
+    word length, weights 0.6/0.4, inclusive threshold 0.5) over every document."""
+    d = table(spark, sf_dir, "documents")
+    words = F.length("text") - F.length(F.regexp_replace("text", " ", "")) + 1
+    s = d.select("doc_id", "source", F.col("n_chars").cast("double").alias("score"),
+                 (F.col("n_chars").cast("double") / words).alias("score2"))
+    return G.operational_score(s, "score", "score2", G.fit_minmax(s, "score"),
+                               G.fit_minmax(s, "score2"), 0.6, 0.4, 0.5)
+
+
+def e9_batch_totals_documents(spark, sf_dir):
+    """Batch scoring totals per batch (the document source)."""
+    return (_documents_scored(spark, sf_dir).groupBy(F.col("source").alias("batch_id"))
+            .agg(F.count(F.lit(1)).alias("instance_count"),
+                 F.sum("prediction").alias("anomaly_count"))
+            .withColumn("normal_count", F.col("instance_count") - F.col("anomaly_count"))
+            .withColumn("model_name", F.lit("weighted_ensemble"))
+            .withColumn("model_version", F.lit("1")))
+
+
+def e10_worklist_documents(spark, sf_dir):
+    """Anomaly worklist: flagged documents by score, top 20 (the limit is the
+    feature: a review queue)."""
+    return (_documents_scored(spark, sf_dir).where(F.col("prediction") == 1)
+            .orderBy(F.col("anomaly_score").desc(), F.col("doc_id")).limit(20)
+            .select("doc_id", "source", "anomaly_score"))
+
+
 QUERIES = {
     "e1_ecod_lineitem": e1_ecod_lineitem,
+    "e2_iforest_embeddings": e2_iforest_embeddings,
+    "e3_lof_embeddings": e3_lof_embeddings,
+    "e4_ocsvm_embeddings": e4_ocsvm_embeddings,
+    "e6_gamma_embeddings": e6_gamma_embeddings,
+    "e9_batch_totals_documents": e9_batch_totals_documents,
+    "e10_worklist_documents": e10_worklist_documents,
 }
 
 # ------------------------------------------------------------------ oracle SQL
@@ -77,3 +154,35 @@ o AS (SELECT * FROM scur, thr)
 SELECT """ + ", ".join(f"v_{c} AS {c}" for c in MEASURES) + """, rows, ecod_score, threshold,
   CAST(ecod_score > threshold AS INTEGER) AS prediction FROM o""",
 }
+
+SQL["e3_lof_embeddings"] = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT a.vec_id AS q, b.vec_id AS r, list_distance(a.v, b.v) AS dist
+        FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY dist, r) AS rn FROM d)
+        WHERE rn <= {k}),
+kd AS (SELECT q AS id, max(dist) AS kdist FROM nn GROUP BY q),
+lrd AS (SELECT nn.q AS id, 1.0 / (avg(greatest(kd.kdist, nn.dist)) + 1e-10) AS lrd
+          FROM nn JOIN kd ON kd.id = nn.r GROUP BY nn.q),
+lof AS (SELECT nn.q AS vec_id, avg(l2.lrd) / any_value(l1.lrd) AS lof, any_value(l1.lrd) AS lrd
+          FROM nn JOIN lrd l2 ON l2.id = nn.r JOIN lrd l1 ON l1.id = nn.q GROUP BY nn.q),
+off AS (SELECT quantile_cont(-lof, {c}) AS offset FROM lof)
+SELECT lof.vec_id, kd.kdist, lof.lrd, lof.lof, CAST(-lof.lof < off.offset AS INTEGER) AS prediction
+  FROM lof JOIN kd ON kd.id = lof.vec_id, off""".format(k=LOF_K, c=LOF_CONTAMINATION)
+
+_DOCS = """(SELECT doc_id, source, 0.6 * ((score - mn_a) / ((CASE WHEN mx_a = mn_a THEN mn_a + 1.0 ELSE mx_a END) - mn_a))
+      + 0.4 * ((score2 - mn_b) / ((CASE WHEN mx_b = mn_b THEN mn_b + 1.0 ELSE mx_b END) - mn_b)) AS anomaly_score
+  FROM (SELECT doc_id, source, CAST(n_chars AS DOUBLE) AS score,
+          CAST(n_chars AS DOUBLE) / (length(text) - length(replace(text, ' ', '')) + 1) AS score2 FROM documents) s,
+       (SELECT min(CAST(n_chars AS DOUBLE)) mn_a, max(CAST(n_chars AS DOUBLE)) mx_a,
+               min(CAST(n_chars AS DOUBLE) / (length(text) - length(replace(text, ' ', '')) + 1)) mn_b,
+               max(CAST(n_chars AS DOUBLE) / (length(text) - length(replace(text, ' ', '')) + 1)) mx_b
+          FROM documents) p)"""
+SQL["e6_gamma_embeddings"] = """SELECT var_pop(CAST(v AS DOUBLE)) AS variance,
+  1.0 / (64 * var_pop(CAST(v AS DOUBLE))) AS gamma_scale, 1.0 / 64 AS gamma_auto
+  FROM (SELECT unnest(embedding) AS v FROM embeddings)"""
+SQL["e9_batch_totals_documents"] = f"""SELECT source AS batch_id, count(*) AS instance_count,
+  CAST(sum(CAST(anomaly_score >= 0.5 AS INTEGER)) AS BIGINT) AS anomaly_count,
+  count(*) - CAST(sum(CAST(anomaly_score >= 0.5 AS INTEGER)) AS BIGINT) AS normal_count,
+  'weighted_ensemble' AS model_name, '1' AS model_version FROM {_DOCS} GROUP BY source"""
+SQL["e10_worklist_documents"] = f"""SELECT doc_id, source, anomaly_score FROM {_DOCS}
+  WHERE anomaly_score >= 0.5 ORDER BY anomaly_score DESC, doc_id LIMIT 20"""
