@@ -13,6 +13,7 @@ MODULES = [
     "telemetra.jobs.monitor_jobs",
     "telemetra.jobs.detector_jobs",
     "telemetra.jobs.streaming_jobs",
+    "telemetra.jobs.source_jobs",
 ]
 
 
