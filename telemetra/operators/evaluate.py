@@ -170,3 +170,15 @@ def find_run(runs: DataFrame, exact: dict, numeric: dict | None = None,
     for k in required:
         cond = cond & F.col("params")[k].isNotNull()
     return runs.where(cond).orderBy(F.col(start_col).desc()).limit(1)
+
+
+def expand_grid(spark, params: dict) -> DataFrame:
+    """every combination of the hyper-parameter lists as a table with a
+    ``config_id`` (cross join of tiny per-parameter tables); detectors then take
+    ``config_id`` as a grouping key so one job scores many configurations."""
+    out = None
+    for name, values in params.items():
+        col = spark.createDataFrame([(str(v),) for v in values], f"`{name}` string")
+        out = col if out is None else out.crossJoin(col)
+    w = Window.orderBy(*[F.col(f"`{n}`") for n in params])
+    return out.withColumn("config_id", F.row_number().over(w) - 1)

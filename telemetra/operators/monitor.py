@@ -295,3 +295,17 @@ def retraining_decision(df: DataFrame, data_status: str, performance: str | None
             .withColumn("decision", decision)
             .withColumn("recommended", F.col("decision") == "evaluate_retraining")
             .withColumn("automatic_retraining", F.lit(False)))
+
+
+def prediction_log(scored: DataFrame, inputs: Sequence[str], request_id: Column, ts: Column,
+                   endpoint: str, model_name: str, model_version: str) -> DataFrame:
+    """One prediction event per scored row -- inputs and outputs come from
+    the same row, so the reference's length-mismatch case cannot occur."""
+    return scored.select(
+        ts.cast("string").alias("timestamp"), request_id.alias("request_id"),
+        F.lit(endpoint).alias("endpoint"), F.lit(model_name).alias("model_name"),
+        F.lit(model_version).alias("model_version"),
+        F.struct(*[F.col(c) for c in inputs]).alias("features"),
+        F.col("prediction").cast("int").alias("prediction"),
+        (F.col("prediction") == 1).alias("anomaly"),
+        F.col("anomaly_score").cast("double").alias("anomaly_score"))

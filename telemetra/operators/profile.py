@@ -204,3 +204,29 @@ def transform_skewness(df: DataFrame, column: str,
                  adjusted_skewness(v, F.col(n)).alias("skewness"),
                  (F.col("lam") if k == "boxcox" else F.lit(None).cast("double")).alias("lambda"))
         for k, v, n in rows])).alias("r")).select("r.*")
+
+
+def kelvin_to_celsius(c: str) -> "F.Column":
+    """Unit change K -> degrees C."""
+    return F.col(c) - 273.15
+
+
+def check_roles(features: Sequence[str], ids: Sequence[str], labels: Sequence[str]) -> None:
+    """Identifiers and labels never enter the feature set (leakage)."""
+    leak = sorted(set(features) & (set(ids) | set(labels)))
+    if leak:
+        raise ValueError(f"identifier / label columns in the feature set: {leak}")
+
+
+TIME_WORDS = ("time", "date", "timestamp", "fecha", "hora", "ts")
+
+
+def time_like_columns(df: DataFrame) -> list[str]:
+    """C17: columns whose name or type suggests a time axis (metadata only)."""
+    out = []
+    for f in df.schema.fields:
+        name = f.name.lower()
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)) or any(
+                w == name or name.endswith("_" + w) or name.startswith(w + "_") for w in TIME_WORDS):
+            out.append(f.name)
+    return out

@@ -74,8 +74,16 @@ def _row(rule: str, passed: Column, observed: Column, failing: Column, detail: C
 
 
 def _offenders(c: str, allowed: Sequence) -> Column:
+    """Distinct offending values: exact count plus the smallest and largest as
+    examples -- bounded, unlike a collected set of hostile values."""
     bad = F.when(~F.col(c).isin(*allowed) & F.col(c).isNotNull(), F.col(c).cast("string"))
-    return F.array_sort(F.collect_set(bad))
+    return F.struct(F.count_distinct(bad).alias("n"), F.min(bad).alias("lo"), F.max(bad).alias("hi"))
+
+
+def _offender_detail(c: str, col: str) -> Column:
+    o = F.col(col)
+    return F.when(o["n"] > 0, F.concat(F.lit(c + ":"), o["n"].cast("string"), F.lit(" values "),
+                                       F.concat_ws("..", o["lo"], o["hi"])))
 
 
 def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
@@ -111,7 +119,10 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
     # B11 target classes, B12 label consistency
     has_labels = spec.target in present and all(m in present for m in spec.modes)
     if spec.target in present:
-        aggs["classes"] = F.array_sort(F.collect_set(F.col(spec.target).cast("string")))
+        tcol = F.col(spec.target).cast("string")
+        aggs["classes"] = F.struct(
+            F.count_distinct(tcol).alias("n"), F.min(tcol).alias("lo"), F.max(tcol).alias("hi"),
+            F.count_distinct(F.when(~tcol.isin("0", "1"), tcol)).alias("bad"))
     if has_labels and spec.modes:
         t, g = F.col(spec.target), F.greatest(*[F.col(m) for m in spec.modes])
         aggs["contra"] = F.count_if((t != g) | t.isNull() | g.isNull())
@@ -150,9 +161,8 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
     cat_parts, cat_fail = [], []
     for i, c in enumerate(spec.categories):
         if c in present:
-            cat_fail.append(F.size(F.col(f"cat{i}")))
-            cat_parts.append(F.when(F.size(F.col(f"cat{i}")) > 0, F.concat(
-                F.lit(c + ":"), F.array_join(F.col(f"cat{i}"), "|"))))
+            cat_fail.append(F.col(f"cat{i}")["n"])
+            cat_parts.append(_offender_detail(c, f"cat{i}"))
         else:
             cat_fail.append(F.lit(1))
             cat_parts.append(F.lit(c + ":absent"))
@@ -162,9 +172,8 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
     bin_parts, bin_fail = [], []
     for i, c in enumerate(spec.binary_columns):
         if c in present:
-            bin_fail.append(F.size(F.col(f"bin{i}")))
-            bin_parts.append(F.when(F.size(F.col(f"bin{i}")) > 0, F.concat(
-                F.lit(c + ":"), F.array_join(F.col(f"bin{i}"), "|"))))
+            bin_fail.append(F.col(f"bin{i}")["n"])
+            bin_parts.append(_offender_detail(c, f"bin{i}"))
         else:
             bin_fail.append(F.lit(1))
             bin_parts.append(F.lit(c + ":absent"))
@@ -175,10 +184,11 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
                      F.lit("0 impossible values")))
     # B11
     if spec.target in present:
-        classes = F.col("classes")
-        rows.append(_row("target_classes", F.array_join(classes, ",") == "0,1", F.size(classes),
-                         F.size(F.array_except(classes, F.array(F.lit("0"), F.lit("1")))),
-                         F.array_join(classes, ",")))
+        cl = F.col("classes")
+        ok = (cl["n"] == 2) & (cl["lo"] == "0") & (cl["hi"] == "1")
+        detail = F.when(cl["n"] <= 2, F.concat_ws(",", cl["lo"], F.when(cl["n"] == 2, cl["hi"]))) \
+            .otherwise(F.concat(cl["n"].cast("string"), F.lit(" classes")))
+        rows.append(_row("target_classes", ok, cl["n"], cl["bad"], detail))
     else:
         rows.append(_row("target_classes", F.lit(False), F.lit(0), F.lit(1), F.lit("absent")))
     # B12
@@ -382,3 +392,20 @@ def batch_sizes(df: DataFrame, batch: str, low: int = 1, high: int = config.SCOR
     """(batch, rows, size_ok)."""
     return (df.groupBy(batch).agg(F.count(F.lit(1)).alias("rows"))
             .withColumn("size_ok", (F.col("rows") >= low) & (F.col("rows") <= high)))
+
+
+def schema_contract(df: DataFrame, expected: Sequence[tuple[str, str]]) -> DataFrame:
+    """Column order and integer / float kind per column against the
+    contract (metadata only: no data pass)."""
+    kinds = {T.ByteType: "integer", T.ShortType: "integer", T.IntegerType: "integer",
+             T.LongType: "integer", T.FloatType: "float", T.DoubleType: "float",
+             T.DecimalType: "float", T.StringType: "string", T.BooleanType: "boolean"}
+    actual = [(f.name, next((v for k, v in kinds.items() if isinstance(f.dataType, k)), "other"))
+              for f in df.schema.fields]
+    rows = []
+    for pos, (name, kind) in enumerate(expected):
+        got = actual[pos] if pos < len(actual) else (None, None)
+        rows.append((pos, name, kind, got[0], got[1], got[0] == name, got[1] == kind))
+    return df.sparkSession.createDataFrame(
+        rows, "position int, expected_name string, expected_kind string, actual_name string, "
+              "actual_kind string, name_ok boolean, kind_ok boolean")

@@ -41,7 +41,6 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
     ``df`` must hold one row per (keys, order_col).
     """
     df, gkeys = _with_keys(df, keys)
-    df = cut_lineage(df)          # read twice below (sketch + join)
     x = F.col(order_col)
     fractions = [i / ranges for i in range(1, ranges)]
     cuts = (df.groupBy(*gkeys)
@@ -89,12 +88,38 @@ def value_counts(df: DataFrame, keys: Sequence[str], value_col: str,
             .groupBy(*keys, value_col).agg(F.sum(w).alias("cnt")))
 
 
+# Distinct values per group up to which one task may hold a group's
+# value -> count map (a few tens of MB); above it the distributed scan is used.
+MAP_LIMIT = 1_000_000
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
                     probs: Sequence[float], ranges: int = DEFAULT_RANGES,
-                    weight: str | None = None) -> DataFrame:
+                    weight: str | None = None, map_limit: int = MAP_LIMIT) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy 'linear', DuckDB
-    ``quantile_cont``, Spark ``percentile``) without holding a group's values
-    in one task.  Returns (keys, p, q)."""
+    ``quantile_cont``, Spark ``percentile``).  Returns (keys, p, q).
+
+    Size-checked plan choice, like a broadcast threshold: one HyperLogLog pass
+    bounds the distinct values per group; when every group is under
+    ``map_limit`` the collapsed (value, count) rows go through one
+    ``percentile(x, p, frequency)`` aggregate (its per-group map is bounded by
+    that check); otherwise the distributed prefix-sum scan runs, which never
+    holds a group in one task."""
+    gk = list(keys)
+    nd = df.groupBy(*gk).agg(F.approx_count_distinct(value_col, 0.02).alias("_nd")) \
+        .agg(F.max("_nd").alias("m")).first()["m"]
+    if nd is not None and nd * 1.1 <= map_limit:
+        counts = value_counts(df, gk, value_col, weight)
+        pct = F.percentile(F.col(value_col), F.array(*[F.lit(float(p)) for p in probs]), F.col("cnt"))
+        res = counts.groupBy(*gk).agg(pct.alias("_q")).select(
+            *gk, F.posexplode("_q").alias("_i", "q"))
+        pmap = F.create_map(*[v for i, p in enumerate(probs) for v in (F.lit(i), F.lit(float(p)))])
+        return cut_lineage(res.select(*gk, pmap[F.col("_i")].alias("p"), "q"))
+    return _scan_quantiles(df, gk, value_col, probs, ranges, weight)
+
+
+def _scan_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
+                    probs: Sequence[float], ranges: int, weight: str | None) -> DataFrame:
     counts = value_counts(df, keys, value_col, weight)
     counts, gkeys = _with_keys(counts, keys)
     scanned = prefix_sums(counts, gkeys, value_col, ["cnt"], ranges=ranges)

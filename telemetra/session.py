@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,27 +39,32 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` (a core setting, fixed at launch); only
+    when it is unset (local tests) a scratch folder is registered.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="telemetra-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return spark.sparkContext.getCheckpointDir() or conf_dir
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder: the plan below
-    is computed once, later stages read the files, and a lost executor costs
+    """Materialise ``df`` as a parquet table in a fresh folder under the shared
+    checkpoint folder and read it back: the plan below is computed once (an
+    eager ``Dataset.checkpoint`` computes it twice, once to count and once to
+    write), later stages read compact columnar files, and a lost executor costs
     a re-read instead of a recomputation of the whole lineage.  Never a local
     checkpoint.  Used where a derived table is read more than once."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_dir(prefix: str = "telemetra-") -> str:

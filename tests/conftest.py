@@ -1,12 +1,11 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from telemetra.session import get_spark  # noqa: E402
+from telemetra.session import checkpoint_dir, get_spark  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,6 +13,5 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = get_spark("local[4]", 4, app_name="telemetra-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="telemetra-test-ckpt-"))
+    checkpoint_dir(s)          # scratch folder only because none is configured
     yield s
