@@ -4,9 +4,9 @@ The kernel ``exp(-gamma |x - y|^2)`` is approximated by
 ``phi(x) = sqrt(2/D) cos(W x + b)`` with ``W ~ N(0, 2 gamma)``,
 ``b ~ U(0, 2 pi)`` (Rahimi and Recht, 2007).  The one-class objective
 ``0.5 |w|^2 - rho + 1/(nu n) sum max(0, rho - w.phi(x_i))`` is minimised by
-full-batch subgradient steps; each step is one distributed pass
-(``mapInPandas`` partial sums per partition) and only D + 2 numbers per
-partition come back to the driver.  The random projection (D x d) is a small parameter.
+alternating an exact rho step (a quantile) and a w step; each step is two
+distributed passes (a quantile sketch; ``mapInPandas`` partial sums per
+partition) and only D + 2 numbers per partition come back to the driver.  The random projection (D x d) is a small parameter.
 
 Score ``rho - w.phi(x)``: positive outside the learned support (higher = more
 anomalous, the reference's negated decision function).
@@ -32,8 +32,8 @@ def gamma_scale(df: DataFrame, vec_col: str, dims: int) -> DataFrame:
 
 
 class RffOneClass:
-    def __init__(self, dims: int, gamma: float, nu: float = 0.05, n_features: int = 256,
-                 steps: int = 40, lr: float = 0.5, seed: int = 42):
+    def __init__(self, dims: int, gamma: float, nu: float = 0.05, n_features: int = 2048,
+                 steps: int = 25, lr: float = 0.5, seed: int = 42):
         rng = np.random.default_rng(seed)
         self.W = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(n_features, dims))
         self.b = rng.uniform(0.0, 2 * np.pi, size=n_features)
@@ -45,23 +45,36 @@ class RffOneClass:
         return np.sqrt(2.0 / self.D) * np.cos(x @ self.W.T + self.b)
 
     def fit(self, df: DataFrame, vec_col: str) -> "RffOneClass":
+        """Alternating minimisation.  For a fixed w the optimal rho is the
+        nu-quantile of w.phi(x) (zero subgradient in rho), taken with a bounded
+        ``percentile_approx`` sketch; w then takes a step of the strongly convex
+        part with rate 1/(t+2) (Pegasos), and the iterates are averaged."""
         schema = "k int, g array<double>, viol double, n double"
         src = cut_lineage(df.select(vec_col))
-        # start from the feature mean: every point then sits near the support
         mean = self._partial(src, vec_col, None, 0.0, schema)
-        n = mean[2]
-        self.w = mean[0] / max(n, 1.0)
-        self.rho = 0.0
+        self.w = mean[0] / max(mean[2], 1.0)
+        avg_w = np.zeros_like(self.w)
         for t in range(self.steps):
-            g_sum, viol, n = self._partial(src, vec_col, self.w, self.rho, schema)
-            scale = 1.0 / (self.nu * n)
-            grad_w = self.w - scale * g_sum
-            grad_rho = -1.0 + scale * viol
-            eta = self.lr / np.sqrt(t + 1.0)
-            self.w = self.w - eta * grad_w
-            self.rho = self.rho - eta * grad_rho
+            rho = self._rho(src, vec_col, self.w)
+            g_sum, viol, n = self._partial(src, vec_col, self.w, rho, schema)
+            eta = 1.0 / (t + 2.0)
+            self.w = (1 - eta) * self.w + eta * g_sum / (self.nu * n)
+            avg_w += (self.w - avg_w) / (t + 1.0)
+        self.w = avg_w
+        self.rho = self._rho(src, vec_col, self.w)
         return self
 
+    def _rho(self, src: DataFrame, vec_col: str, w: np.ndarray) -> float:
+        W, b, D = self.W, self.b, self.D
+
+        @F.pandas_udf("double")
+        def dot(v: pd.Series) -> pd.Series:
+            x = np.stack([np.asarray(a, dtype=np.float64) for a in v])
+            return pd.Series(np.sqrt(2.0 / D) * np.cos(x @ W.T + b) @ w)
+
+        return float(src.select(dot(F.col(vec_col)).alias("s"))
+                     .agg(F.percentile_approx("s", self.nu, 100000)).first()[0])
+
     def _partial(self, src: DataFrame, vec_col: str, w, rho: float, schema: str):
         W, b, D = self.W, self.b, self.D
 

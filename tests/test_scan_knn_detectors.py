@@ -127,3 +127,34 @@ def test_no_cartesian_product_in_psi_plan(spark):
         df.explain()
     plan = buf.getvalue()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _blob_with_outlier(spark, seed):
+    rng = np.random.default_rng(seed)
+    x = np.vstack([rng.normal(size=(300, 4)), [[8.0, 8.0, 8.0, 8.0]]])
+    return spark.createDataFrame([(i, x[i].tolist()) for i in range(len(x))], "id long, vec array<double>")
+
+
+def test_isolation_forest_deterministic_and_ranks_outlier(spark):
+    from telemetra.operators.detect import iforest
+    df = _blob_with_outlier(spark, 8)
+    runs = []
+    for _ in range(2):
+        forest = iforest.fit_forest(df, "id", "vec", n_trees=50, max_samples=128, seed=7)
+        runs.append(iforest.score_forest(df, "id", "vec", forest).toPandas().sort_values("id"))
+    assert np.array_equal(runs[0]["iforest_score"].to_numpy(), runs[1]["iforest_score"].to_numpy())
+    s = runs[0].set_index("id")["iforest_score"]
+    assert s.idxmax() == 300 and 0 < s.min() and s.max() < 1
+
+
+def test_rff_one_class_deterministic_and_ranks_outlier(spark):
+    from telemetra.operators.detect import ocsvm
+    df = _blob_with_outlier(spark, 9)
+    gamma = ocsvm.gamma_scale(df, "vec", 4).first()["gamma_scale"]
+    scores = []
+    for _ in range(2):
+        m = ocsvm.RffOneClass(4, gamma, nu=0.05, n_features=2048, steps=25, seed=3).fit(df, "vec")
+        scores.append(m.score(df, "id", "vec").toPandas().sort_values("id"))
+    assert np.allclose(scores[0]["ocsvm_score"], scores[1]["ocsvm_score"])
+    s = scores[0].set_index("id")["ocsvm_score"]
+    assert s.idxmax() == 300
