@@ -58,10 +58,33 @@ def missing_cell(df: DataFrame, c: str) -> Column:
     return (col.isNull() | F.isnan(col)) if _is_float(df, c) else col.isNull()
 
 
+# The text of a number, date or timestamp always holds a digit, apart from
+# these words; a boolean reads true / false.
+_DIGITLESS_TEXT = {T.FloatType: {"nan", "infinity", "-infinity"},
+                   T.DoubleType: {"nan", "infinity", "-infinity"},
+                   T.BooleanType: {"true", "false"}}
+_TYPED = NUMERIC_TYPES + (T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def _possible_markers(df: DataFrame, c: str, markers: Sequence[str]) -> list[str]:
+    """The markers the text of column ``c`` can equal: all of them for text,
+    for typed columns only those with a digit or the type's digit-free words --
+    usually none, so no per-cell cast to string is made at all."""
+    norm = [m.strip().lower() for m in markers]
+    dt = df.schema[c].dataType
+    if not isinstance(dt, _TYPED):
+        return norm
+    words = next((v for k, v in _DIGITLESS_TEXT.items() if isinstance(dt, k)), set())
+    return [m for m in norm if m in words or any(ch.isdigit() for ch in m)]
+
+
 def marker_cell(df: DataFrame, c: str, markers: Sequence[str]) -> Column:
     """Trimmed, lower-cased text in the marker list; NaN is missing, not text."""
+    possible = _possible_markers(df, c, markers)
+    if not possible:
+        return F.lit(False)
     norm = F.lower(F.trim(F.col(c).cast("string")))
-    hit = norm.isin(*[m.strip().lower() for m in markers])
+    hit = norm.isin(*possible)
     if _is_float(df, c):
         hit = hit & ~F.isnan(F.col(c))
     return F.coalesce(hit, F.lit(False))
@@ -73,11 +96,28 @@ def _row(rule: str, passed: Column, observed: Column, failing: Column, detail: C
                     failing.cast("long").alias("failing"), detail.cast("string").alias("detail"))
 
 
-def _offenders(c: str, allowed: Sequence) -> Column:
-    """Distinct offending values: exact count plus the smallest and largest as
-    examples -- bounded, unlike a collected set of hostile values."""
-    bad = F.when(~F.col(c).isin(*allowed) & F.col(c).isNotNull(), F.col(c).cast("string"))
-    return F.struct(F.count_distinct(bad).alias("n"), F.min(bad).alias("lo"), F.max(bad).alias("hi"))
+def _bad_value(c: str, allowed: Sequence) -> Column:
+    return F.when(~F.col(c).isin(*allowed) & F.col(c).isNotNull(), F.col(c).cast("string"))
+
+
+def domain_offenders(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """One row, per check ``k`` a struct ``(n, lo, hi)``: the exact number of
+    distinct non-NULL values of ``checks[k]`` and the smallest and largest as
+    examples -- bounded, unlike a collected set of hostile values.
+
+    One pass: every row emits its non-NULL ``(check, value)`` pairs, a grouping
+    on the pair collapses them map-side (a hot value becomes one row per task)
+    and the second grouping counts per check.  Several exact distinct counts in
+    one aggregate would instead Expand the whole table once per count."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in checks.items()])
+    distinct = (df.select(F.explode(pairs).alias("p")).select("p.k", "p.v")
+                .where(F.col("v").isNotNull()).distinct())
+    per = distinct.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                                    F.max("v").alias("hi"))
+    empty = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("lo"),
+                     F.lit(None).cast("string").alias("hi"))
+    return per.agg(*[F.coalesce(F.max(F.when(F.col("k") == k, F.struct("n", "lo", "hi"))), empty)
+                     .alias(k) for k in checks])
 
 
 def _offender_detail(c: str, col: str) -> Column:
@@ -97,13 +137,15 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
     # B4 markers
     for i, c in enumerate(cols):
         aggs[f"mk{i}"] = F.sum(marker_cell(df, c, spec.markers).cast("long"))
-    # B7 categories, B8 binary domain
+    # B7 categories, B8 binary domain, B11 target classes: exact distinct counts
+    # from their own grouping (see ``domain_offenders``)
+    checks: dict[str, Column] = {}
     for i, (c, allowed) in enumerate(spec.categories.items()):
         if c in present:
-            aggs[f"cat{i}"] = _offenders(c, list(allowed))
+            checks[f"cat{i}"] = _bad_value(c, list(allowed))
     for i, c in enumerate(spec.binary_columns):
         if c in present:
-            aggs[f"bin{i}"] = _offenders(c, [0, 1])
+            checks[f"bin{i}"] = _bad_value(c, [0, 1])
     # B10 physical ranges
     rng = []
     for c in spec.positive_columns:
@@ -120,13 +162,14 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
     has_labels = spec.target in present and all(m in present for m in spec.modes)
     if spec.target in present:
         tcol = F.col(spec.target).cast("string")
-        aggs["classes"] = F.struct(
-            F.count_distinct(tcol).alias("n"), F.min(tcol).alias("lo"), F.max(tcol).alias("hi"),
-            F.count_distinct(F.when(~tcol.isin("0", "1"), tcol)).alias("bad"))
+        checks["classes"] = tcol
+        checks["classes_bad"] = F.when(~tcol.isin("0", "1"), tcol)
     if has_labels and spec.modes:
         t, g = F.col(spec.target), F.greatest(*[F.col(m) for m in spec.modes])
         aggs["contra"] = F.count_if((t != g) | t.isNull() | g.isNull())
     one = df.agg(*[v.alias(k) for k, v in aggs.items()])
+    if checks:
+        one = one.crossJoin(domain_offenders(df, checks))      # one row x one row
 
     cells = F.col("n") * F.lit(len(cols))
     rows = []
@@ -188,7 +231,7 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
         ok = (cl["n"] == 2) & (cl["lo"] == "0") & (cl["hi"] == "1")
         detail = F.when(cl["n"] <= 2, F.concat_ws(",", cl["lo"], F.when(cl["n"] == 2, cl["hi"]))) \
             .otherwise(F.concat(cl["n"].cast("string"), F.lit(" classes")))
-        rows.append(_row("target_classes", ok, cl["n"], cl["bad"], detail))
+        rows.append(_row("target_classes", ok, cl["n"], F.col("classes_bad")["n"], detail))
     else:
         rows.append(_row("target_classes", F.lit(False), F.lit(0), F.lit(1), F.lit("absent")))
     # B12

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from telemetra.session import cut_lineage
 
 DEFAULT_RANGES = 64
+# Rows of one (collapsed) group up to which a single ordered window is used.
+WINDOW_LIMIT = 2_000_000
 _DUMMY = "_hs_all"
 
 
@@ -34,14 +36,30 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
 def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
                 weight_cols: Sequence[str], ranges: int = DEFAULT_RANGES,
                 descending: bool = False, prefix: str = "cum_",
-                with_totals: bool = True) -> DataFrame:
+                with_totals: bool = True, window_limit: int | None = None) -> DataFrame:
     """Add ``cum_<w>`` = sum of ``w`` over rows whose order value is <= this
     row's (>= when ``descending``) within the same keys; and ``total_<w>``.
 
     ``df`` must hold one row per (keys, order_col).
     """
+    window_limit = WINDOW_LIMIT if window_limit is None else window_limit
     df, gkeys = _with_keys(df, keys)
     x = F.col(order_col)
+    order = x.desc() if descending else x.asc()
+    # size check, like a broadcast threshold: the collapsed input is written once,
+    # its largest group counted; groups under ``window_limit`` rows take one
+    # window each (bounded, spillable), larger ones the range-bucketed scan
+    df = cut_lineage(df)
+    biggest = df.groupBy(*gkeys).count().agg(F.max("count")).first()[0] or 0
+    if biggest <= window_limit:
+        run = Window.partitionBy(*gkeys).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        out = df
+        for w in weight_cols:
+            out = out.withColumn(f"{prefix}{w}", F.sum(w).over(run))
+            if with_totals:
+                out = out.withColumn(f"total_{w}", F.sum(w).over(Window.partitionBy(*gkeys)))
+        return cut_lineage(out.drop(_DUMMY) if not keys else out)
     fractions = [i / ranges for i in range(1, ranges)]
     cuts = (df.groupBy(*gkeys)
             .agg(F.percentile_approx(order_col, fractions, 10000).alias("_hs_cuts")))
@@ -64,7 +82,6 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order_col: str,
             offs = offs.withColumn(f"total_{w}", F.sum(f"_hs_t_{w}").over(whole))
     offs = offs.drop(*[f"_hs_t_{w}" for w in weight_cols])
 
-    order = x.desc() if descending else x.asc()
     run = Window.partitionBy(*gkeys, "_hs_b").orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = b
@@ -115,14 +132,17 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
             *gk, F.posexplode("_q").alias("_i", "q"))
         pmap = F.create_map(*[v for i, p in enumerate(probs) for v in (F.lit(i), F.lit(float(p)))])
         return cut_lineage(res.select(*gk, pmap[F.col("_i")].alias("p"), "q"))
-    return _scan_quantiles(df, gk, value_col, probs, ranges, weight)
+    return _scan_quantiles(df, gk, value_col, probs, ranges, weight,
+                           window_limit=0 if map_limit == 0 else None)
 
 
 def _scan_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
-                    probs: Sequence[float], ranges: int, weight: str | None) -> DataFrame:
+                    probs: Sequence[float], ranges: int, weight: str | None,
+                    window_limit: int | None = None) -> DataFrame:
     counts = value_counts(df, keys, value_col, weight)
     counts, gkeys = _with_keys(counts, keys)
-    scanned = prefix_sums(counts, gkeys, value_col, ["cnt"], ranges=ranges)
+    scanned = prefix_sums(counts, gkeys, value_col, ["cnt"], ranges=ranges,
+                          window_limit=window_limit)
     # one row per (keys, p, end) naming the 0-based rank to fetch
     per_key = scanned.groupBy(*gkeys).agg(F.max("total_cnt").alias("_n"))
     h = (F.col("_n") - 1).cast("double") * F.col("p")

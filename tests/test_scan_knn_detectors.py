@@ -12,23 +12,29 @@ from telemetra.operators.detect import ecod, lof
 from telemetra.plans import hscan, knn
 
 
-def test_prefix_sums_match_cumsum(spark):
+import pytest
+
+
+@pytest.mark.parametrize("window_limit", [0, None])        # 0 forces the range-bucketed scan
+def test_prefix_sums_match_cumsum(spark, window_limit):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 500), "x": rng.normal(size=500).round(2),
                         "w": rng.integers(1, 5, 500)})
     pdf = pdf.groupby(["g", "x"], as_index=False)["w"].sum()
-    out = hscan.prefix_sums(spark.createDataFrame(pdf), ["g"], "x", ["w"], ranges=7).toPandas()
+    out = hscan.prefix_sums(spark.createDataFrame(pdf), ["g"], "x", ["w"], ranges=7,
+                            window_limit=window_limit).toPandas()
     exp = pdf.sort_values(["g", "x"]).assign(cum=lambda d: d.groupby("g")["w"].cumsum())
     m = out.merge(exp, on=["g", "x"])
     assert len(m) == len(pdf) and (m["cum_w"] == m["cum"]).all()
 
 
-def test_exact_quantiles_match_numpy(spark):
+@pytest.mark.parametrize("map_limit", [0, hscan.MAP_LIMIT])   # 0 forces the distributed scan
+def test_exact_quantiles_match_numpy(spark, map_limit):
     rng = np.random.default_rng(2)
     v = rng.exponential(size=1001).round(3)
     df = spark.createDataFrame([(float(x),) for x in v], "x double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 0.97, 1.0]
-    q = {r["p"]: r["q"] for r in hscan.exact_quantiles(df, [], "x", probs).collect()}
+    q = {r["p"]: r["q"] for r in hscan.exact_quantiles(df, [], "x", probs, map_limit=map_limit).collect()}
     for p in probs:
         assert math.isclose(q[p], float(np.quantile(v, p)), rel_tol=1e-12, abs_tol=1e-12)
 
