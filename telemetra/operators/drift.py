@@ -18,12 +18,13 @@ from telemetra.session import cut_lineage
 
 
 # ---------------------------------------------------------------- H1 ------
-def numeric_edges(long: DataFrame, keys: Sequence[str], bins: int = config.PROFILE_BINS
-                  ) -> DataFrame:
+def numeric_edges(long: DataFrame, keys: Sequence[str], bins: int = config.PROFILE_BINS,
+                  weight: str | None = None) -> DataFrame:
     """(keys, bin_edges): unique quantiles on the 0..1 grid without the first
-    and last one.  ``long`` is (keys, x) with no missing x."""
+    and last one.  ``long`` is (keys, x) with no missing x; ``weight`` names a
+    multiplicity column when the rows are already collapsed."""
     probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(long, keys, "x", probs)
+    q = exact_quantiles(long, keys, "x", probs, weight=weight, collapsed=weight is not None)
     uniq = (q.groupBy(*keys)
             .agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("_u")))
     return uniq.select(*keys, F.slice("_u", 2, F.greatest(F.size("_u") - 2, F.lit(0)))
@@ -36,13 +37,17 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     standard deviation, inner bin edges and bin proportions."""
     long = long_form(df, columns, ids=keys)
     gk = [*keys, "column_name"]
+    # two passes over the input: the moments, and the collapse to
+    # (keys, column, value, count) -- written once, partial aggregation absorbs
+    # repeated values -- from which edges and bin counts are read
     stats = long.groupBy(*gk).agg(
         F.count("x").alias("count"), F.min("x").alias("minimum"),
         F.max("x").alias("maximum"), F.avg("x").alias("mean"),
         F.stddev_pop("x").alias("standard_deviation"))
-    edges = numeric_edges(long, gk, bins)
-    counts = (long.join(edges, gk).withColumn("bin", bin_index("bin_edges", "x"))
-              .groupBy(*gk, "bin").agg(F.count(F.lit(1)).alias("n")))
+    values = cut_lineage(long.groupBy(*gk, "x").agg(F.count(F.lit(1)).alias("cnt")))
+    edges = numeric_edges(values, gk, bins, weight="cnt")
+    counts = (values.join(edges, gk).withColumn("bin", bin_index("bin_edges", "x"))
+              .groupBy(*gk, "bin").agg(F.sum("cnt").alias("n")))
     all_bins = edges.select(*gk, F.explode(F.sequence(F.lit(0), F.size("bin_edges")))
                             .alias("bin"))
     props = (all_bins.join(counts, [*gk, "bin"], "left")

@@ -112,34 +112,40 @@ MAP_LIMIT = 1_000_000
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
                     probs: Sequence[float], ranges: int = DEFAULT_RANGES,
-                    weight: str | None = None, map_limit: int = MAP_LIMIT) -> DataFrame:
+                    weight: str | None = None, map_limit: int = MAP_LIMIT,
+                    collapsed: bool = False) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy 'linear', DuckDB
     ``quantile_cont``, Spark ``percentile``).  Returns (keys, p, q).
 
-    Size-checked plan choice, like a broadcast threshold: one HyperLogLog pass
-    bounds the distinct values per group; when every group is under
-    ``map_limit`` the collapsed (value, count) rows go through one
-    ``percentile(x, p, frequency)`` aggregate (its per-group map is bounded by
-    that check); otherwise the distributed prefix-sum scan runs, which never
-    holds a group in one task."""
+    One pass over ``df`` collapses it to (keys, value, count) -- partial
+    aggregation absorbs repeated and hot values -- and the collapsed table is
+    written once.  Size-checked plan choice, like a broadcast threshold: its
+    rows per group are the exact number of distinct values; when every group
+    is under ``map_limit`` one ``percentile(x, p, frequency)`` aggregate runs
+    (its per-group map is bounded by that check), otherwise the distributed
+    prefix-sum scan, which never holds a group in one task.  ``collapsed``:
+    ``df`` already holds one row per (keys, value) with ``weight`` counts."""
     gk = list(keys)
-    nd = df.groupBy(*gk).agg(F.approx_count_distinct(value_col, 0.02).alias("_nd")) \
-        .agg(F.max("_nd").alias("m")).first()["m"]
-    if nd is not None and nd * 1.1 <= map_limit:
-        counts = value_counts(df, gk, value_col, weight)
+    if collapsed and weight:
+        counts = cut_lineage(df.select(*gk, value_col, F.col(weight).cast("long").alias("cnt"))
+                             .where(F.col(value_col).isNotNull()))
+    else:
+        counts = cut_lineage(value_counts(df, gk, value_col, weight))
+    nd = counts.groupBy(*gk).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if nd <= map_limit:
         pct = F.percentile(F.col(value_col), F.array(*[F.lit(float(p)) for p in probs]), F.col("cnt"))
         res = counts.groupBy(*gk).agg(pct.alias("_q")).select(
             *gk, F.posexplode("_q").alias("_i", "q"))
         pmap = F.create_map(*[v for i, p in enumerate(probs) for v in (F.lit(i), F.lit(float(p)))])
         return cut_lineage(res.select(*gk, pmap[F.col("_i")].alias("p"), "q"))
-    return _scan_quantiles(df, gk, value_col, probs, ranges, weight,
+    return _scan_quantiles(counts, gk, value_col, probs, ranges,
                            window_limit=0 if map_limit == 0 else None)
 
 
-def _scan_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
-                    probs: Sequence[float], ranges: int, weight: str | None,
+def _scan_quantiles(counts: DataFrame, keys: Sequence[str], value_col: str,
+                    probs: Sequence[float], ranges: int,
                     window_limit: int | None = None) -> DataFrame:
-    counts = value_counts(df, keys, value_col, weight)
+    """``counts``: one row per (keys, value) with its multiplicity ``cnt``."""
     counts, gkeys = _with_keys(counts, keys)
     scanned = prefix_sums(counts, gkeys, value_col, ["cnt"], ranges=ranges,
                           window_limit=window_limit)
