@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetra.plans.hscan import exact_quantiles
+from telemetra.session import ship_package
 
 NODE_SCHEMA = ("tree int, node int, feature int, split double, left int, right int, size int")
 EULER = 0.5772156649015329
@@ -87,6 +88,7 @@ def fit_forest(df: DataFrame, id_col: str, vec_col: str, n_trees: int = 100,
         return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "left": "int32",
                            "right": "int32", "size": "int32"})
 
+    ship_package(df.sparkSession)
     forest = sampled.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
     nodes = forest.toPandas()
     nodes.attrs["psi"] = psi
@@ -123,6 +125,7 @@ def score_forest(df: DataFrame, id_col: str, vec_col: str, nodes: pd.DataFrame)
             score = np.power(2.0, -(total / len(trees)) / norm)
             yield pd.DataFrame({"id": pdf[id_col].astype("int64"), "iforest_score": score})
 
+    ship_package(df.sparkSession)
     return df.select(id_col, vec_col).mapInPandas(fn, "id long, iforest_score double")
 
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetra.session import cut_lineage
+from telemetra.session import cut_lineage, ship_package
 
 
 def gamma_scale(df: DataFrame, vec_col: str, dims: int) -> DataFrame:
@@ -49,7 +49,8 @@ class RffOneClass:
         nu-quantile of w.phi(x) (zero subgradient in rho), taken with a bounded
         ``percentile_approx`` sketch; w then takes a step of the strongly convex
         part with rate 1/(t+2) (Pegasos), and the iterates are averaged."""
-        schema = "k int, g array<double>, viol double, n double"
+        ship_package(df.sparkSession)
+        schema = "j int, v double"
         src = cut_lineage(df.select(vec_col))
         mean = self._partial(src, vec_col, None, 0.0, schema)
         self.w = mean[0] / max(mean[2], 1.0)
@@ -94,13 +95,15 @@ class RffOneClass:
                     g += phi[m].sum(0)
                     viol += float(m.sum())
                 n += len(x)
-            yield pd.DataFrame({"k": [0], "g": [g.tolist()], "viol": [viol], "n": [n]})
+            yield pd.DataFrame({"j": np.arange(D + 2, dtype=np.int32),
+                                "v": np.concatenate([g, [viol, n]])})
 
-        # one partial row per partition (D + 2 numbers): bounded by the partition
-        # count, not the data; summed on the driver
-        rows = src.mapInPandas(fn, schema).collect()
-        g = np.sum([np.asarray(r["g"], dtype=np.float64) for r in rows], axis=0)
-        return g, float(sum(r["viol"] for r in rows)), float(sum(r["n"] for r in rows))
+        # each partition emits its D + 2 partial sums as (j, v) rows; the grouped
+        # sum combines them map-side and only D + 2 numbers reach the driver,
+        # whatever the partition count
+        sums = (src.mapInPandas(fn, schema).groupBy("j").agg(F.sum("v").alias("v"))
+                .toPandas().set_index("j")["v"].reindex(range(D + 2), fill_value=0.0).to_numpy())
+        return sums[:D], float(sums[D]), float(sums[D + 1])
 
     def score(self, df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
         W, b, D, w, rho = self.W, self.b, self.D, self.w, self.rho
@@ -115,4 +118,5 @@ class RffOneClass:
                 yield pd.DataFrame({"id": pdf[id_col].astype("int64"), "ocsvm_score": s,
                                     "prediction": (s > 0).astype("int32")})
 
+        ship_package(df.sparkSession)
         return df.select(id_col, vec_col).mapInPandas(fn, "id long, ocsvm_score double, prediction int")

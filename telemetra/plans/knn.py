@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetra.session import cut_lineage
+from telemetra.session import cut_lineage, ship_package
 
 PAIR_SCHEMA = "q_id long, r_id long, dist double"
 
@@ -57,6 +57,7 @@ def _assign(df: DataFrame, id_col: str, vec_col: str, pivots: np.ndarray) -> Dat
             yield pd.DataFrame({"id": pdf[id_col].astype("int64"), "vec": list(x),
                                 "cell": cell.astype("int32"), "dcell": best})
 
+    ship_package(df.sparkSession)
     return df.select(id_col, vec_col).mapInPandas(
         fn, "id long, vec array<double>, cell int, dcell double")
 
@@ -151,6 +152,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id",
                              "r_id": np.concatenate(out_r).astype("int64"),
                              "dist": np.concatenate(out_d)})
 
+    ship_package(qb.sparkSession)
     local = (qb.groupBy("qcell", "qb", "rc")
              .cogroup(rb.groupBy("qcell", "qb", "rc"))
              .applyInPandas(block_topk, PAIR_SCHEMA))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +70,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_dir(prefix: str = "telemetra-") -> str:
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers, once per
+    application: the Python kernels (tree growth, kNN blocks) are pickled by
+    reference to their module.  The package is zipped on the driver and handed
+    to ``addPyFile``, which distributes it to every executor (the usual way to
+    ship job code; executors never read the driver's folder themselves)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(scratch_dir("telemetra-pyfiles-"), "telemetra.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, files in os.walk(root):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
