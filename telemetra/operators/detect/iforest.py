@@ -69,10 +69,12 @@ def fit_forest(df: DataFrame, id_col: str, vec_col: str, n_trees: int = 100,
     n = df.count()
     psi = min(max_samples, n)
     keep = min(1.0, 3.0 * psi / max(n, 1))
-    scale = 1_000_000_007
-    h = lambda t: F.pmod(F.xxhash64(F.col(id_col), t, F.lit(seed)), F.lit(scale))
+    # the whole signed 64-bit hash range: a keep probability of ~1e-9 (10^12
+    # rows) still maps to a threshold with ~10^10 hash values below it
+    limit = min(int(-(2 ** 63) + keep * 2.0 ** 64), 2 ** 63 - 1)
+    h = lambda t: F.xxhash64(F.col(id_col), t, F.lit(seed))
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: h(t) < F.lit(int(keep * scale)))
+                     lambda t: F.lit(keep >= 1.0) | (h(t) <= F.lit(limit)))
     sampled = (df.select(id_col, vec_col, F.explode(trees).alias("tree"))
                .withColumn("_h", h(F.col("tree"))))
     depth = int(math.ceil(math.log2(max(psi, 2))))
