@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetra import config
@@ -176,9 +176,11 @@ def expand_grid(spark, params: dict) -> DataFrame:
     """every combination of the hyper-parameter lists as a table with a
     ``config_id`` (cross join of tiny per-parameter tables); detectors then take
     ``config_id`` as a grouping key so one job scores many configurations."""
-    out = None
-    for name, values in params.items():
-        col = spark.createDataFrame([(str(v),) for v in values], f"`{name}` string")
+    out, cid = None, F.lit(0)
+    for j, (name, values) in enumerate(params.items()):
+        col = spark.createDataFrame([(str(v), i) for i, v in enumerate(values)],
+                                    f"`{name}` string, _i{j} int")
         out = col if out is None else out.crossJoin(col)
-    w = Window.orderBy(*[F.col(f"`{n}`") for n in params])
-    return out.withColumn("config_id", F.row_number().over(w) - 1)
+        cid = cid * F.lit(len(values)) + F.col(f"_i{j}")   # mixed radix: product order
+    return out.withColumn("config_id", cid.cast("int")).drop(
+        *[f"_i{j}" for j in range(len(params))])
