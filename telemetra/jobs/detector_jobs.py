@@ -14,6 +14,7 @@ from telemetra.jobs.common import MEASURES, SQL_CUR, SQL_REF, current_period, li
 from telemetra.operators.detect import ecod as ECOD
 from telemetra.jobs.common import SQL_SCORED
 from telemetra.operators import ensemble as G
+from telemetra.operators import monitor as M
 from telemetra.operators.detect import iforest as IF
 from telemetra.operators.detect import lof as LOF
 from telemetra.operators.detect import ocsvm as SVM
@@ -94,6 +95,22 @@ def e9_batch_totals_documents(spark, sf_dir):
             .withColumn("model_version", F.lit("1")))
 
 
+LOG_TIME = "2024-01-01 00:00:00"
+
+
+def h19_prediction_log_documents(spark, sf_dir):
+    """One prediction event per scored document of the operational
+    ensemble -- one request per batch (the document source), the row's inputs
+    and outputs together."""
+    s = _documents_scored(spark, sf_dir)
+    log = M.prediction_log(s, ["doc_id", "score", "score2"],
+                           F.concat(F.lit("batch-"), F.col("source")),
+                           F.lit(LOG_TIME).cast("timestamp"), "/predict/batch",
+                           "weighted_ensemble", "1")
+    return log.select("timestamp", "request_id", "endpoint", "model_name", "model_version",
+                      "features.*", "prediction", "anomaly", "anomaly_score")
+
+
 def e10_worklist_documents(spark, sf_dir):
     """Anomaly worklist: flagged documents by score, top 20 (the limit is the
     feature: a review queue)."""
@@ -110,6 +127,7 @@ QUERIES = {
     "e6_gamma_embeddings": e6_gamma_embeddings,
     "e9_batch_totals_documents": e9_batch_totals_documents,
     "e10_worklist_documents": e10_worklist_documents,
+    "h19_prediction_log_documents": h19_prediction_log_documents,
 }
 
 # ------------------------------------------------------------------ oracle SQL
@@ -186,3 +204,11 @@ SQL["e9_batch_totals_documents"] = f"""SELECT source AS batch_id, count(*) AS in
   'weighted_ensemble' AS model_name, '1' AS model_version FROM {_DOCS} GROUP BY source"""
 SQL["e10_worklist_documents"] = f"""SELECT doc_id, source, anomaly_score FROM {_DOCS}
   WHERE anomaly_score >= 0.5 ORDER BY anomaly_score DESC, doc_id LIMIT 20"""
+SQL["h19_prediction_log_documents"] = f"""SELECT '{LOG_TIME}' AS timestamp,
+  'batch-' || d.source AS request_id, '/predict/batch' AS endpoint,
+  'weighted_ensemble' AS model_name, '1' AS model_version, d.doc_id, s.score, s.score2,
+  CAST(d.anomaly_score >= 0.5 AS INTEGER) AS prediction, d.anomaly_score >= 0.5 AS anomaly,
+  d.anomaly_score
+  FROM {_DOCS} d JOIN (SELECT doc_id, CAST(n_chars AS DOUBLE) AS score,
+          CAST(n_chars AS DOUBLE) / (length(text) - length(replace(text, ' ', '')) + 1) AS score2
+        FROM documents) s ON d.doc_id = s.doc_id"""
