@@ -60,11 +60,17 @@ def ecod_scores(train: DataFrame, score: DataFrame, features: Sequence[str], ids
     column ``weight``) against the ECDF of ``train`` (plus ``score`` when
     ``union``).  Returns (ids, ecod_score)."""
     w = F.col(weight) if weight else F.lit(1)
-    tl = long_form(train.select(*features, w.alias("_w")), features, ids=["_w"])
-    sl = long_form(score.select(*ids, *features, w.alias("_w")), features, ids=[*ids, "_w"])
-    dist = tl.select("column_name", "x", F.col("_w").cast("long").alias("w"))
-    if union:
-        dist = dist.unionByName(sl.select("column_name", "x", F.col("_w").cast("long").alias("w")))
+    # the long tables are read several times (tail counts, two moment passes,
+    # the scoring join): each is computed once and written
+    sl = cut_lineage(long_form(score.select(*ids, *features, w.alias("_w")), features,
+                               ids=[*ids, "_w"]))
+    weighted = lambda t: t.select("column_name", "x", F.col("_w").cast("long").alias("w"))
+    if score is train and not union:
+        dist = weighted(sl)                        # fit: the training rows themselves
+    else:
+        tl = long_form(train.select(*features, w.alias("_w")), features, ids=["_w"])
+        dist = weighted(tl).unionByName(weighted(sl)) if union else weighted(tl)
+        dist = cut_lineage(dist)
     tails = tail_table(dist)
     joined = sl.join(tails, ["column_name", "x"], "left")
     return joined.groupBy(*ids).agg(F.sum(_outlyingness()).alias("ecod_score"))
