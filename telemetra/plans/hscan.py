@@ -124,11 +124,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value_col: str,
     is under ``map_limit`` one ``percentile(x, p, frequency)`` aggregate runs
     (its per-group map is bounded by that check), otherwise the distributed
     prefix-sum scan, which never holds a group in one task.  ``collapsed``:
-    ``df`` already holds one row per (keys, value) with ``weight`` counts."""
+    ``df`` is an already written table with one row per (keys, value) and
+    ``weight`` counts; it is read as it is, not written again."""
     gk = list(keys)
     if collapsed and weight:
-        counts = cut_lineage(df.select(*gk, value_col, F.col(weight).cast("long").alias("cnt"))
-                             .where(F.col(value_col).isNotNull()))
+        counts = (df.select(*gk, value_col, F.col(weight).cast("long").alias("cnt"))
+                  .where(F.col(value_col).isNotNull()))
     else:
         counts = cut_lineage(value_counts(df, gk, value_col, weight))
     nd = counts.groupBy(*gk).count().agg(F.max("count").alias("m")).first()["m"] or 0
