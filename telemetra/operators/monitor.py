@@ -166,11 +166,16 @@ def data_monitor(current: DataFrame, features: str, num_profile: DataFrame,
     spark = current.sparkSession
     fm = F.col(features)
     cols = list(numeric) + list(categorical)
+    # one pass: row count and key presence (they choose the plan) plus the
+    # missing rate and production mean of every numeric input
+    num_v = {c: fm[c].try_cast("double") for c in numeric}
     one = current.agg(F.count(F.lit(1)).alias("n"),
                       *[F.count_if(F.map_contains_key(fm, c)).alias(f"has_{i}")
-                        for i, c in enumerate(cols)])
-    one = cut_lineage(one)
-    stats = one.first()        # one row of counts: bounded, needed to choose the plan
+                        for i, c in enumerate(cols)],
+                      *[F.avg(F.when(v.isNull() | F.isnan(v), 1.0).otherwise(0.0)).alias(f"mr_{j}")
+                        for j, v in enumerate(num_v.values())],
+                      *[F.avg(v).alias(f"pm_{j}") for j, v in enumerate(num_v.values())])
+    stats = one.first()        # one row: bounded
     n = stats["n"]
     if n == 0 or n < minimum_rows:
         status = "no_data" if n == 0 else "insufficient_data"
@@ -185,20 +190,17 @@ def data_monitor(current: DataFrame, features: str, num_profile: DataFrame,
     if nums:
         numf = flat.select(*[F.col(c).try_cast("double").alias(c) for c in nums])
         p = drift.psi(numf, num_profile, nums)
-        extra = (numf.agg(*[F.avg(F.when(F.col(c).isNull() | F.isnan(c), 1.0).otherwise(0.0))
-                            .alias(f"mr_{c}") for c in nums],
-                          *[F.avg(c).alias(f"pm_{c}") for c in nums]))
+        pos = {c: j for j, c in enumerate(numeric)}
         parts.append(p.select(
             F.lit("data").alias("category"), F.lit("psi").alias("metric"),
             F.col("column_name").alias("subject"), F.col("psi").alias("value"),
             F.lit(str(limits["psi_critical"])).alias("threshold"),
             severity_higher("psi", limits["psi_warning"], limits["psi_critical"]).alias("status")))
-        parts.append(extra.select(F.explode(F.array(*[
-            F.struct(F.lit("data").alias("category"), F.lit(k).alias("metric"),
-                     F.lit(c).alias("subject"), F.col(f"{pfx}_{c}").alias("value"),
-                     F.lit(None).cast("string").alias("threshold"), F.lit("stable").alias("status"))
-            for c in nums for k, pfx in (("missing_rate", "mr"), ("production_mean", "pm"))]))
-            .alias("r")).select("r.*"))
+        parts.append(spark.createDataFrame(
+            [("data", k, c, None if stats[f"{pfx}_{pos[c]}"] is None
+              else float(stats[f"{pfx}_{pos[c]}"]), None, "stable")
+             for c in nums for k, pfx in (("missing_rate", "mr"), ("production_mean", "pm"))],
+            METRIC_SCHEMA))
     if cats:
         j = drift.js_divergence(flat.select(*cats), cat_profile, cats)
         parts.append(j.select(
