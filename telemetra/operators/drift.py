@@ -117,8 +117,11 @@ def psi(current: DataFrame, profile: DataFrame, columns: Sequence[str],
     cur = long_form(current, columns, ids=keys)
     edges = profile.select("column_name", "bin_edges")
     gk = [*keys, "column_name"]
-    counts = (cur.join(edges, "column_name").withColumn("bin", bin_index("bin_edges", "x"))
-              .groupBy(*gk, "bin").agg(F.count(F.lit(1)).alias("n")))
+    # the bin counts (groups x <= 11 rows) feed both the group list and the
+    # grid: written once, so the current data is read once
+    counts = cut_lineage(cur.join(edges, "column_name")
+                         .withColumn("bin", bin_index("bin_edges", "x"))
+                         .groupBy(*gk, "bin").agg(F.count(F.lit(1)).alias("n")))
     prof_bins = profile.select("column_name", F.posexplode("bin_proportions")
                                .alias("bin", "proportion"))
     groups = counts.select(*gk).distinct()
@@ -135,8 +138,9 @@ def js_divergence(current: DataFrame, profile: DataFrame, columns: Sequence[str]
     union of reference and current categories.  ``profile`` is
     (column_name, category, proportion)."""
     gk = [*keys, "column_name"]
-    cur = (categorical_long(current, columns, keys).groupBy(*gk, "category")
-           .agg(F.count(F.lit(1)).alias("_n")))
+    # category counts feed the group list and the full join: written once
+    cur = cut_lineage(categorical_long(current, columns, keys).groupBy(*gk, "category")
+                      .agg(F.count(F.lit(1)).alias("_n")))
     groups = cur.select(*gk).distinct()
     exp = groups.join(profile.select("column_name", "category",
                                      F.col("proportion").alias("_p")), "column_name")
