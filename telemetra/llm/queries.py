@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from . import exact_dedup as dedup
-from . import mixing, sharding
+from . import mixing, packing, pii, sharding, token_files
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,12 +22,41 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, _vocabulary("word_bpe_49k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.in_training_order(mixing.mix_plan(docs)).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = token_files.write_token_files(docs, _vocabulary("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def of(*kinds):
+        return F.filter("pii", lambda s: s["kind"].isin(*kinds))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(joined(of(*pii.BASE_KINDS)), 256).alias("base_sha256"),
+        joined(F.col("pii")).alias("spans"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.assign_shards(docs, 24).select(
@@ -31,7 +66,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
+    "op4_token_files": op4_token_files,
+    "op7_pii": op7_pii,
     "op8_sharding": op8_sharding,
 }
 
