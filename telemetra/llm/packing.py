@@ -29,7 +29,7 @@ from .common import default_partitions, pick, ship_file, ship_package, shipped_p
 from .tokens import blocks, encoder
 
 #: Documents whose pieces a block gets on average.
-BLOCK_DOCS = 4096
+BLOCK_DOCS = 1024
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "segment int, loss_tokens long, ids binary")
 

@@ -4,11 +4,11 @@ The vocabulary file is sent to the executors (``addFile``); the path is the
 caller's parameter.  The public vocabularies used here are byte-level BPE whose
 pre-tokeniser splits a text at white space before it merges, so a text may be cut
 before every single space between two non-space characters.  A batch of texts is
-cut by Arrow, each distinct piece is encoded once and numpy puts the ids of the
-texts together.  A distinct piece is cut further after words and at single line
-ends, and one Latin word goes straight to the library's BPE model.  The result
-equals encoding the whole text (tests compare them); a text or piece outside these
-rules is encoded whole by the library.
+cut by Arrow there, and also between an ASCII letter and a full stop or comma and
+around a single line end between printable ASCII characters; each distinct piece is
+encoded once, one Latin word straight by the library's BPE model, and numpy puts the
+ids of the texts together.  The result equals encoding the whole text (tests compare
+them); a text or piece outside these rules is encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -17,17 +17,17 @@ import gc
 import json
 import os
 import re
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words whose ids a worker remembers; beyond it the memory is emptied.
-REMEMBERED = 500_000
-_FINER = re.compile(r"(?<=[A-Za-z])(?=[.,])|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+REMEMBERED = 300_000
 _WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)((?<=[A-Za-z])[.,]|)")
+#: Stands before a piece that has no space before it in the text.
+_JOINED = "\x01"
 
 
 def _byte_chars() -> dict[int, str]:
@@ -60,14 +60,16 @@ class Encoder:
         self.spaced = settings["normalizer"] is None
         self.chars = _byte_chars()
         self.words_direct = True
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         probe = [" the", "The", " Äußerst", "été", " a", "ÿÀ"]
         self.words_direct = all(self._word(p) == self._whole([p])[0] for p in probe)
-        self.finer: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in found]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         if self.lower:
             word = word.lower()
         if not self.spaced:
@@ -76,30 +78,22 @@ class Encoder:
             word = word.encode().decode("latin-1").translate(self.chars)
         elif self.spaced and word[0] == " ":
             word = "Ġ" + word[1:]
-        return [t.id for t in self.library.model.tokenize(word)]
+        return array(self.code, [t.id for t in self.library.model.tokenize(word)]).tobytes()
 
-    def _learn(self, pieces: list[str]) -> list[list[int]]:
+    def _learn(self, pieces: list[str]) -> list[bytes]:
         """ids of each of the distinct ``pieces``."""
-        finer, whole, word = self.finer, set(), _WORD.fullmatch
-        if len(finer) > REMEMBERED:
-            finer.clear()
-        cut: list[list[str]] = []
+        known, is_word, direct, rest = self.known, _WORD.fullmatch, self._word, []
+        if len(known) > REMEMBERED:
+            known.clear()
         for p in pieces:
-            if p in finer:
-                cut.append([p])
-                continue
-            m = _PLAIN.fullmatch(p)
-            own = ([m[1], m[2]] if m[2] else [p]) if m else _FINER.split(p)
-            cut.append(own)
-            for s in own:
-                if s not in finer:
-                    if self.words_direct and word(s):
-                        finer[s] = self._word(s)
-                    else:
-                        whole.add(s)
-        listed = [s for s in whole if s not in finer]
-        finer.update(zip(listed, self._whole(listed)))
-        return [finer[own[0]] if len(own) == 1 else [i for s in own for i in finer[s]] for own in cut]
+            if p not in known:
+                if self.words_direct and is_word(p):
+                    known[p] = direct(p)
+                else:
+                    rest.append(p)
+        own = dict(zip(rest, self._whole(rest)))
+        known.update((p, ids) for p, ids in own.items() if len(p) <= 64)
+        return [known[p] if p in known else own[p] for p in pieces]
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the offset of each text (and of
@@ -108,7 +102,7 @@ class Encoder:
         if not len(texts):
             return np.zeros(0, self.dtype), np.zeros(1, np.int64)
         collects = gc.isenabled()
-        gc.disable()              # many small lists, no cycles among them
+        gc.disable()              # many small objects, no cycles among them
         try:
             return self._encode_all(texts)
         finally:
@@ -116,18 +110,25 @@ class Encoder:
                 gc.enable()
 
     def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        split = pc.split_pattern(texts, " ")
+        marked = pc.replace_substring_regex(texts, r"([A-Za-z])([.,])", rf"\1 {_JOINED}\2")
+        marked = pc.replace_substring_regex(marked, r"([!-~])\n([!-~])", f"\\1 {_JOINED}\n {_JOINED}\\2")
+        split = pc.split_pattern(marked, " ")
         bounds = np.asarray(split.offsets, dtype=np.int64)
         parts = split.values.dictionary_encode()
         codes = np.asarray(parts.indices, dtype=np.int64)
         words = parts.dictionary.to_pylist()
         first = bounds[:-1]                           # a text's first part has no space before it
-        trimmed = pc.equal(pc.utf8_trim_whitespace(parts.dictionary), parts.dictionary)
-        safe = pc.and_(trimmed, pc.not_equal(parts.dictionary, "")).to_numpy(zero_copy_only=False)
+        bare = pc.utf8_slice_codeunits(parts.dictionary, 1)
+        bare = pc.if_else(pc.starts_with(parts.dictionary, _JOINED), bare, parts.dictionary)
+        safe = pc.and_(pc.not_equal(bare, ""), pc.or_(
+            pc.equal(parts.dictionary, _JOINED + "\n"), pc.equal(pc.utf8_trim_whitespace(bare), bare)))
+        safe = safe.to_numpy(zero_copy_only=False)
         odd = np.logical_or.reduceat(~safe[codes], first)
+        odd |= pc.match_substring(texts, _JOINED).to_numpy(zero_copy_only=False)
         codes[first] += len(words)
         used = np.unique(codes[np.repeat(~odd, np.diff(bounds))])
-        pieces = [" " + words[c] if c < len(words) else words[c - len(words)] for c in used]
+        pieces = [(words[c][1:] if words[c][0] == _JOINED else " " + words[c]) if c < len(words)
+                  else words[c - len(words)] for c in used.tolist()]
         learnt = self._learn(pieces)
         whole = np.flatnonzero(odd)
         learnt += self._whole(texts.take(pa.array(whole)).to_pylist()) if len(whole) else []
@@ -140,9 +141,9 @@ class Encoder:
         plain = np.repeat(~odd, runs)
         entries[plain] = table[codes[np.repeat(~odd, np.diff(bounds))]]
         entries[~plain] = len(used) + np.arange(len(whole))
-        size = np.fromiter(map(len, learnt), np.int64, len(learnt))
+        size = np.fromiter(map(len, learnt), np.int64, len(learnt)) // self.dtype.itemsize
         begin = np.cumsum(size) - size
-        flat = np.fromiter(chain.from_iterable(learnt), self.dtype, int(size.sum()))
+        flat = np.frombuffer(b"".join(learnt), dtype=self.dtype)
         length = size[entries]
         total = np.cumsum(length)
         pick = np.repeat(begin[entries] - (total - length), length) + np.arange(int(total[-1]))
@@ -162,7 +163,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def blocks(texts: pa.Array, size: int = 1 << 24):
+def blocks(texts: pa.Array, size: int = 12_000_000):
     """Index ranges of about ``size`` bytes of text each."""
     lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
