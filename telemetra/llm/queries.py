@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from . import exact_dedup as dedup
-from . import mixing, packing, pii, sharding, token_files
+from . import language_id, mixing, packing, pii, sharding, token_files, topk, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -42,6 +42,19 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.where(~language_id.held_out()))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read_warc(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -64,13 +77,21 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
     "op3_mixing": op3_mixing,
     "op4_token_files": op4_token_files,
+    "op5_language_id": op5_language_id,
+    "op6_warc": op6_warc,
     "op7_pii": op7_pii,
     "op8_sharding": op8_sharding,
+    "op9_topk": op9_topk,
 }
 
 SQL = {
@@ -110,4 +131,27 @@ SQL = {
                   + greatest(0, least(size, goal - start - source_size))
                   + greatest(0, least(size, goal - start - 2 * source_size)) AS BIGINT) AS taken
         FROM o""",
+    "op6_warc": """
+        WITH p AS (
+          SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,
+                 CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
+          FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+        FROM g""",
+    "op9_topk": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings
+          WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+        r AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
 }

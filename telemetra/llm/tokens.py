@@ -16,7 +16,6 @@ from __future__ import annotations
 import gc
 import json
 import os
-import re
 from array import array
 
 import numpy as np
@@ -24,8 +23,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words whose ids a worker remembers; beyond it the memory is emptied.
-REMEMBERED = 300_000
-_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+REMEMBERED = 700_000
+_WORD = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 #: Stands before a piece that has no space before it in the text.
 _JOINED = "\x01"
 
@@ -62,35 +61,40 @@ class Encoder:
         self.words_direct = True
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         probe = [" the", "The", " Äußerst", "été", " a", "ÿÀ"]
-        self.words_direct = all(self._word(p) == self._whole([p])[0] for p in probe)
+        learnt: dict[str, bytes] = {}
+        self._words(probe, learnt)
+        self.words_direct = [learnt[p] for p in probe] == self._whole(probe)
         self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
-    def _word(self, word: str) -> bytes:
-        if self.lower:
-            word = word.lower()
-        if not self.spaced:
-            word = word.lstrip(" ")
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.chars)
-        elif self.spaced and word[0] == " ":
-            word = "Ġ" + word[1:]
-        return array(self.code, [t.id for t in self.library.model.tokenize(word)]).tobytes()
+    def _words(self, words: list[str], into: dict[str, bytes]) -> list[str]:
+        """Add the ids of those ``words`` that are one Latin word; returns the rest."""
+        asked = pa.array(words, pa.string())
+        plain = pc.match_substring_regex(asked, _WORD) if self.words_direct else pa.array([False] * len(words))
+        form = pc.utf8_lower(asked) if self.lower else asked
+        form = pc.replace_substring(form, " ", "Ġ" if self.spaced else "")
+        ascii_only = pc.string_is_ascii(asked).to_pylist()
+        code, tokenize, rest = self.code, self.library.model.tokenize, []
+        for p, w, ok, easy in zip(words, form.to_pylist(), plain.to_pylist(), ascii_only):
+            if not ok:
+                rest.append(p)
+                continue
+            if not easy:
+                lead = self.spaced and p[0] == " "
+                w = (p.lower() if self.lower else p).strip(" ").encode().decode("latin-1").translate(self.chars)
+                w = "Ġ" + w if lead else w
+            into[p] = array(code, [t.id for t in tokenize(w)]).tobytes()
+        return rest
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
         """ids of each of the distinct ``pieces``."""
-        known, is_word, direct, rest = self.known, _WORD.fullmatch, self._word, []
+        known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        for p in pieces:
-            if p not in known:
-                if self.words_direct and is_word(p):
-                    known[p] = direct(p)
-                else:
-                    rest.append(p)
+        rest = self._words([p for p in pieces if p not in known], known)
         own = dict(zip(rest, self._whole(rest)))
         known.update((p, ids) for p, ids in own.items() if len(p) <= 64)
         return [known[p] if p in known else own[p] for p in pieces]
@@ -116,7 +120,7 @@ class Encoder:
         bounds = np.asarray(split.offsets, dtype=np.int64)
         parts = split.values.dictionary_encode()
         codes = np.asarray(parts.indices, dtype=np.int64)
-        words = parts.dictionary.to_pylist()
+        n_words = len(parts.dictionary)
         first = bounds[:-1]                           # a text's first part has no space before it
         bare = pc.utf8_slice_codeunits(parts.dictionary, 1)
         bare = pc.if_else(pc.starts_with(parts.dictionary, _JOINED), bare, parts.dictionary)
@@ -125,14 +129,15 @@ class Encoder:
         safe = safe.to_numpy(zero_copy_only=False)
         odd = np.logical_or.reduceat(~safe[codes], first)
         odd |= pc.match_substring(texts, _JOINED).to_numpy(zero_copy_only=False)
-        codes[first] += len(words)
+        codes[first] += n_words
         used = np.unique(codes[np.repeat(~odd, np.diff(bounds))])
-        pieces = [(words[c][1:] if words[c][0] == _JOINED else " " + words[c]) if c < len(words)
-                  else words[c - len(words)] for c in used.tolist()]
+        lead = pc.if_else(pc.starts_with(parts.dictionary, _JOINED), "", " ")
+        spaced = pc.binary_join_element_wise(lead.cast(pa.large_string()), bare, pa.scalar("", pa.large_string()))
+        pieces = pa.concat_arrays([spaced, parts.dictionary]).take(pa.array(used)).to_pylist()
         learnt = self._learn(pieces)
         whole = np.flatnonzero(odd)
         learnt += self._whole(texts.take(pa.array(whole)).to_pylist()) if len(whole) else []
-        table = np.zeros(2 * len(words), dtype=np.int64)
+        table = np.zeros(2 * n_words, dtype=np.int64)
         table[used] = np.arange(len(used))
         # every text is a run of entries of `learnt`: its parts, or itself if odd
         runs = np.where(odd, 1, np.diff(bounds))
