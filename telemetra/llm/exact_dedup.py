@@ -45,6 +45,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     level2 = has_bit(level1, "__xd_pre", bit_mask_table(prefixes, "__xd_pre", PREFIX_BITS),
                      PREFIX_BITS, "__xd_l2")
     rows = level2.withColumn("__xd_sha", F.when(F.col("__xd_l2"), F.sha2(text, 256)))
+    # before the join: the join then carries the digest, not the text
+    rows = rows.withColumn("__xd_digest", F.coalesce("__xd_sha", F.sha2(text, 256)) if digest_all
+                           else F.col("__xd_sha"))
 
     per_id = (rows.where("__xd_l2").groupBy("__xd_len", "__xd_sha", "__xd_id")
               .agg(F.count(F.lit(1)).alias("n")))
@@ -61,7 +64,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "__xd_keep": F.when(F.col("__xd_size").isNull(), F.col("__xd_id")).otherwise(F.col("__xd_top")),
         "__xd_size": F.coalesce("__xd_size", F.lit(1).cast("long")),
         "__xd_kept": F.col("__xd_size").isNull() | F.col("__xd_id").eqNullSafe(F.col("__xd_top")),
-        "__xd_digest": F.coalesce("__xd_sha", F.sha2(text, 256)) if digest_all else F.col("__xd_sha"),
     })
     if not groups.where("__xd_ties > 1").isEmpty():      # repeated (id, text) rows: keep one
         tied = F.coalesce(F.col("__xd_kept") & (F.col("__xd_ties") > 1), F.lit(False))
