@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from . import exact_dedup as dedup
-from . import language_id, mixing, packing, pii, sharding, token_files, topk, warc
+from . import jaccard_join, language_id, mixing, packing, pii, sharding, token_files, topk, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -82,6 +82,11 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 100 == 0, 10)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.jaccard_components(docs, words=4, percent=85)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -92,6 +97,7 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 SQL = {
