@@ -41,13 +41,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bit_mask_table, cut_lineage, has_bit, pick, ship_package
 
 MASK_BITS = 25
 SKETCH_WORDS = 8
+SKETCH = [f"w{i}" for i in range(SKETCH_WORDS)]
 BLOCK_BYTES = 1 << 22
 #: Rows met in the bucket of an empty segment, for the choice of K.
 EMPTY_BUCKET = 300.0
@@ -232,17 +233,19 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def shingle_classes(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n, h1, h2 of every row."""
+    """doc_id, n, h1, h2 and the sketch of every row."""
     def run(batches):
         for batch in batches:
             for first, texts in _blocks(batch.column(1).to_pylist()):
-                n, h1, h2 = identities(shingle_sets(texts, words))
+                sets = shingle_sets(texts, words)
+                n, h1, h2 = identities(sets)
+                sketch = np.ascontiguousarray(sketches(sets).T)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), _long(n), _long(h1), _long(h2)],
-                    names=["doc_id", "n", "h1", "h2"])
+                    [batch.column(0).slice(first, len(texts)), _long(n), _long(h1), _long(h2), *map(pa.array, sketch)],
+                    names=["doc_id", "n", "h1", "h2", *SKETCH])
 
     return (docs.select(pick(id_col).cast("long").alias("doc_id"), pick(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n long, h1 long, h2 long"))
+            .mapInArrow(run, "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{w} long" for w in SKETCH)))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -271,8 +274,35 @@ def connected_components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _near(x: str, y: str, percent: int) -> Column:
+    """The sketches of two joined rows allow a link."""
+    apart = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in SKETCH), F.lit(0))
+    return apart * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
+
+
+def _shingles(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the ``nodes`` (a few more may come through the mask)."""
+    def run(batches):
+        for batch in batches:
+            for first, texts in _blocks(batch.column(1).to_pylist()):
+                sets = [s.astype("<u8").tobytes() for s in shingle_sets(texts, words)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(sets, pa.binary())],
+                                                 names=["node", "shingles"])
+
+    return _masked(rows, nodes).mapInArrow(run, "node long, shingles binary")
+
+
+def _masked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows whose id is one of ``nodes``, and a few more: a fixed-size mask is sent."""
+    masks = bit_mask_table(nodes.select(F.xxhash64("node").alias("h")), "h", MASK_BITS)
+    return has_bit(rows.withColumn("h", F.xxhash64("doc_id")), "h", masks, MASK_BITS, "hit").where("hit").select(
+        "doc_id", "text")
+
+
+def _verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets link."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = cut_lineage(_shingles(rows, nodes, words).distinct())
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
@@ -296,7 +326,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     ship_package(spark)
     rows = docs.select(pick(id_col).cast("long").alias("doc_id"), pick(text_col).cast("string").alias("text"))
     members = cut_lineage(shingle_classes(rows, words))
-    classes = cut_lineage(members.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2")
+    classes = cut_lineage(members.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2", *SKETCH)
                           .agg(F.min("doc_id").alias("node")))
     links = _links(rows, classes, words, percent)
     # an id that stands at several texts links their classes
@@ -313,9 +343,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
 
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives that span every component."""
-    reps = has_bit(rows.withColumn("h", F.xxhash64("doc_id")),
-                   "h", bit_mask_table(classes.select(F.xxhash64("node").alias("h")), "h", MASK_BITS),
-                   MASK_BITS, "rep").where("rep").select("doc_id", "text")
+    reps = _masked(rows, classes)
 
     def emit(batches):
         for batch in batches:
@@ -336,42 +364,26 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     shared = met.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("sig")
     met = cut_lineage(met.join(shared, "sig"))
 
-    # the best centre of each set
+    # every set with the best of its centres
+    sketch = classes.select("node", "n", *SKETCH)
     fame = met.groupBy("node").agg(F.count(F.lit(1)).alias("fame"))
     famed = met.join(fame, "node")
     centre = famed.groupBy("sig").agg(F.max(F.struct("fame", "node")).alias("c"))
-    best = famed.join(centre, "sig").where("node <> c.node").groupBy("node").agg(F.max("c").alias("c"))
-    stars = best.select(F.col("node").alias("a"), F.col("c.node").alias("b"))
-
-    def describe(batches):
-        for batch in batches:
-            for first, texts in _blocks(batch.column(1).to_pylist()):
-                sets = shingle_sets(texts, words)
-                sk = sketches(sets)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), _long(np.array([len(s) for s in sets])),
-                     *[pa.array(np.ascontiguousarray(sk[:, i])) for i in range(SKETCH_WORDS)],
-                     pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
-                    names=["node", "n", *[f"w{i}" for i in range(SKETCH_WORDS)], "shingles"])
-
-    wanted = met.select(F.col("node").alias("doc_id")).distinct()
-    asked = has_bit(rows.withColumn("h", F.xxhash64("doc_id")), "h",
-                    bit_mask_table(wanted.select(F.xxhash64("doc_id").alias("h")), "h", MASK_BITS),
-                    MASK_BITS, "ask").where("ask").select("doc_id", "text")
-    words_ddl = ", ".join(f"w{i} long" for i in range(SKETCH_WORDS))
-    sets = asked.mapInArrow(describe, f"node long, n long, {words_ddl}, shingles binary")
-    sets = cut_lineage(sets.join(wanted.withColumnRenamed("doc_id", "node"), "node", "left_semi"))
-
-    first = cut_lineage(_verify(stars, sets, percent))
+    best = (famed.join(centre, "sig").where("node <> c.node").groupBy("node").agg(F.max("c").alias("c"))
+            .select(F.col("node").alias("a"), F.col("c.node").alias("b")))
+    stars = (best.join(sketch.alias("x"), F.col("a") == F.col("x.node"))
+             .join(sketch.alias("y"), F.col("b") == F.col("y.node"))
+             .where(_near("x", "y", percent)).select("a", "b").distinct())
+    first = cut_lineage(_verify(cut_lineage(stars), rows, words, percent))
+
+    # pairs of one bucket whose sets are still in different components
     component = connected_components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
     rest = met.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (rest.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("sig"))
-    rest = rest.join(mixed, "sig").join(sets.drop("shingles"), "node")
+    rest = rest.join(mixed, "sig").join(sketch, "node")
     x, y = rest.alias("x"), rest.alias("y")
-    apart = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(1, SKETCH_WORDS)),
-                F.bit_count(F.col("x.w0").bitwiseXOR(F.col("y.w0"))))
-    near = apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
-    pairs = (x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component")) & near)
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    return first.unionByName(_verify(pairs, sets, percent))
+    pairs = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
+                   & _near("x", "y", percent))
+    pairs = cut_lineage(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    return first.unionByName(_verify(pairs, rows, words, percent))
