@@ -58,7 +58,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.col("__xd_len").alias("__xd_glen"), F.col("__xd_sha").alias("__xd_gsha"),
                 F.col("top.__xd_id").alias("__xd_top"), F.col("top.n").alias("__xd_ties"),
                 "__xd_size"))
-    joined = rows.join(groups, (F.col("__xd_len") == F.col("__xd_glen"))
+    # rows outside surviving groups need no look-up and are not shuffled
+    alone = rows.where("NOT __xd_l2").withColumns({
+        "__xd_keep": F.col("__xd_id"), "__xd_size": F.lit(1).cast("long"), "__xd_kept": F.lit(True)})
+    joined = rows.where("__xd_l2").join(groups, (F.col("__xd_len") == F.col("__xd_glen"))
                        & (F.col("__xd_sha") == F.col("__xd_gsha")), "left")
     joined = joined.withColumns({
         "__xd_keep": F.when(F.col("__xd_size").isNull(), F.col("__xd_id")).otherwise(F.col("__xd_top")),
@@ -70,5 +73,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         first = F.row_number().over(Window.partitionBy("__xd_len", "__xd_sha", "__xd_id")
                                     .orderBy(F.lit(0))) == 1
         joined = joined.where(~tied).unionByName(joined.where(tied).withColumn("__xd_kept", first))
+    joined = alone.unionByName(joined.select(alone.columns))
     return with_outputs(joined, {"keep_id": "__xd_keep", "group_size": "__xd_size",
                                  "kept": "__xd_kept", "text_sha256": "__xd_digest"}, docs.columns)

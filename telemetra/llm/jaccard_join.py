@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_mask_table, cut_lineage, has_bit, pick, ship_package
+from .common import bit_mask_table, cut_lineage, has_bit, pick, safe_name, ship_package
 
 MASK_BITS = 25
 SKETCH_WORDS = 8
@@ -133,8 +133,8 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
         if k >= words:
             out.append(np.unique(shingle[a:a + k - words + 1]))
         elif k:
-            whole = (word[a:a + k] * times[:k]).sum(dtype=np.uint64) + times[words] * np.uint64(k)
-            out.append(mix(np.array([whole], np.uint64)))
+            whole = np.append(word[a:a + k] * times[:k], times[words:] * np.uint64(k)).sum(keepdims=True)
+            out.append(mix(whole))
         else:
             out.append(np.zeros(0, np.uint64))
         a += k
@@ -341,6 +341,26 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
         F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
 
 
+def near_distinct(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """``docs`` without those that link, directly or not, with a smaller id; rows
+    without id stay, of rows that repeat an id one stays.  Ids that may go are sent
+    as a mask of fixed size; only their rows are shuffled to be looked up."""
+    found = cut_lineage(jaccard_components(docs, words, percent, id_col, text_col))
+    key, hit = safe_name(docs, "__nd_key"), safe_name(docs, "__nd_hit")
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    suspect = cut_lineage(found.where("doc_id <> component_id").select("doc_id")
+                          .unionByName(repeated.select("doc_id")).distinct())
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    masks = bit_mask_table(suspect.select(F.xxhash64("doc_id").alias("h")), "h", MASK_BITS)
+    marked = has_bit(docs.withColumn(key, F.xxhash64(pick(id_col).cast("long"))), key, masks, MASK_BITS, hit)
+    asked = marked.where(F.col(hit)).withColumn(key, pick(id_col).cast("long"))
+    stay = asked.join(gone, key, "left_anti")
+    if not repeated.isEmpty():
+        stay = stay.where(F.col(key).isNull()).unionByName(stay.where(F.col(key).isNotNull()).dropDuplicates([key]))
+    return marked.where(~F.col(hit)).unionByName(stay.select(marked.columns)).drop(key, hit)
+
+
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives that span every component."""
     reps = _masked(rows, classes)

@@ -10,7 +10,7 @@ from . import exact_dedup as dedup
 from . import jaccard_join, language_id, mixing, packing, pii, sharding, token_files, topk, warc
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -24,7 +24,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, _vocabulary("word_bpe_49k.json")).select(
+    return packing.pack(docs, vocabulary("word_bpe_49k.json")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset")
 
@@ -37,7 +37,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    folder = token_files.write_token_files(docs, _vocabulary("byte_bpe_50k.json"))
+    folder = token_files.write_token_files(docs, vocabulary("byte_bpe_50k.json"))
     return token_files.read_token_files(spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
