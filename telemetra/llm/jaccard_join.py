@@ -50,6 +50,8 @@ MASK_BITS = 25
 SKETCH_WORDS = 8
 SKETCH = [f"w{i}" for i in range(SKETCH_WORDS)]
 BLOCK_BYTES = 1 << 22
+#: Buckets of up to so many sets name their pairs before the sketches are read.
+FEW = 8
 #: Rows met in the bucket of an empty segment, for the choice of K.
 EMPTY_BUCKET = 300.0
 
@@ -280,16 +282,37 @@ def _near(x: str, y: str, percent: int) -> Column:
     return apart * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
 
 
+def _long_sketch(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles in a power of two of buckets, at least their number;
+    the halves of a longer sketch folded by xor give the shorter one."""
+    bits = 64 * SKETCH_WORDS
+    while bits < len(shingles):
+        bits *= 2
+    odd = np.bincount((mix(shingles + _C3) >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _sketch_distance(x: np.ndarray, y: np.ndarray) -> int:
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _shingles(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the ``nodes`` (a few more may come through the mask)."""
+    """(node, n, sketch, shingles) of the ``nodes`` (a few more may come through)."""
     def run(batches):
         for batch in batches:
             for first, texts in _blocks(batch.column(1).to_pylist()):
-                sets = [s.astype("<u8").tobytes() for s in shingle_sets(texts, words)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(sets, pa.binary())],
-                                                 names=["node", "shingles"])
+                sets = shingle_sets(texts, words)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([_long_sketch(s) for s in sets], pa.binary()),
+                    pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                    names=["node", "n", "sketch", "shingles"])
 
-    return _masked(rows, nodes).mapInArrow(run, "node long, shingles binary")
+    return _masked(rows, nodes).mapInArrow(run, "node long, n long, sketch binary, shingles binary")
 
 
 def _masked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -303,19 +326,30 @@ def _verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Data
     """Those of ``pairs`` (a, b) whose sets link."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = cut_lineage(_shingles(rows, nodes, words).distinct())
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
-    def run(batches):
-        for batch in batches:
-            hit = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                same = len(p) + len(q) - len(np.union1d(p, q))
-                hit.append(100 * same >= percent * (len(p) + len(q) - same))
-            yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+    def beside(pairs, column):
+        left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(column).alias("xa"))
+        right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(column).alias("xb"))
+        return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb")
+
+    def tested(test):
+        def run(batches):
+            for batch in batches:
+                hit = [test(na, nb, np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"))
+                       for na, nb, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(),
+                                               batch.column(4), batch.column(5))]
+                yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+        return run
+
+    def near(na, nb, x, y):
+        return _sketch_distance(x, y) * (100 + percent) <= (na + nb) * (100 - percent)
+
+    def linked(na, nb, x, y):
+        same = na + nb - len(np.union1d(x, y))
+        return 100 * same >= percent * (na + nb - same)
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    left = cut_lineage(beside(pairs, "sketch").mapInArrow(tested(near), "a long, b long").distinct())
+    return beside(left, "shingles").mapInArrow(tested(linked), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -399,11 +433,21 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     # pairs of one bucket whose sets are still in different components
     component = connected_components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
     rest = met.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (rest.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo < hi").select("sig"))
-    rest = rest.join(mixed, "sig").join(sketch, "node")
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
-                   & _near("x", "y", percent))
-    pairs = cut_lineage(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    mixed = (rest.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.count(F.lit(1)).alias("size")).where("lo < hi").select("sig", "size"))
+    rest = cut_lineage(rest.select("sig", "node", "component").join(mixed, "sig"))
+
+    def apart(side):
+        x, y = side.alias("x"), side.alias("y")
+        return x, y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
+
+    # small buckets repeat the same few pairs: name the pairs, then look at the sketches
+    x, y, apart_few = apart(rest.where(F.col("size") <= FEW))
+    few = x.join(y, apart_few).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    few = (few.join(sketch.alias("x"), F.col("a") == F.col("x.node")).join(sketch.alias("y"), F.col("b") == F.col("y.node"))
+           .where(_near("x", "y", percent)).select("a", "b"))
+    # larger ones name only the pairs whose sketches allow a link
+    x, y, apart_many = apart(rest.where(F.col("size") > FEW).join(sketch, "node"))
+    many = x.join(y, apart_many & _near("x", "y", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    pairs = cut_lineage(few.unionByName(many).distinct())
     return first.unionByName(_verify(pairs, rows, words, percent))
