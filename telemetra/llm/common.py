@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir, cut_lineage, ship_package
 
 __all__ = ["bit_mask_table", "checkpoint_dir", "cut_lineage", "default_partitions", "has_bit",
-           "pick", "safe_name", "shared_folder", "ship_file", "ship_package", "shipped_path",
+           "pick", "released", "safe_name", "shared_folder", "ship_file", "ship_package", "shipped_path",
            "with_outputs"]
 
 
@@ -66,6 +69,20 @@ def has_bit(df: DataFrame, name: str, masks: DataFrame, bits: int, out: str) ->
     return hit.withColumn(out, test).drop(word, mask)
 
 
+def released(batches):
+    """Pass a task's output on; when it ends, hand free memory back to the system,
+    for the worker process goes on to other tasks."""
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):       # another C library
+            pass
+
+
 _SENT: set[tuple[str, str]] = set()
 
 

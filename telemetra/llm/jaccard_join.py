@@ -44,12 +44,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_mask_table, cut_lineage, has_bit, pick, safe_name, ship_package
+from .common import bit_mask_table, cut_lineage, has_bit, pick, released, safe_name, ship_package
 
 MASK_BITS = 25
 SKETCH_WORDS = 8
 SKETCH = [f"w{i}" for i in range(SKETCH_WORDS)]
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 #: Buckets of up to so many sets name their pairs before the sketches are read.
 FEW = 8
 #: Rows met in the bucket of an empty segment, for the choice of K.
@@ -247,7 +247,7 @@ def shingle_classes(docs: DataFrame, words: int, id_col: str = "doc_id", text_co
                     names=["doc_id", "n", "h1", "h2", *SKETCH])
 
     return (docs.select(pick(id_col).cast("long").alias("doc_id"), pick(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{w} long" for w in SKETCH)))
+            .mapInArrow(lambda b: released(run(b)), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{w} long" for w in SKETCH)))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -312,7 +312,7 @@ def _shingles(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                     pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
                     names=["node", "n", "sketch", "shingles"])
 
-    return _masked(rows, nodes).mapInArrow(run, "node long, n long, sketch binary, shingles binary")
+    return _masked(rows, nodes).mapInArrow(lambda b: released(run(b)), "node long, n long, sketch binary, shingles binary")
 
 
 def _masked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -410,7 +410,7 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
                     yield pa.RecordBatch.from_arrays([_long(sig[i:i + (1 << 17)]), _long(ent[i:i + (1 << 17)])],
                                                      names=["sig", "h1"])
 
-    told = cut_lineage(reps.mapInArrow(emit, "sig long, h1 long"))
+    told = cut_lineage(reps.mapInArrow(lambda b: released(emit(b)), "sig long, h1 long"))
     again = told.groupBy("sig").count().where("count > 1").select("sig")
     met = has_bit(told, "sig", bit_mask_table(again, "sig", MASK_BITS), MASK_BITS, "met").where("met").drop("met")
     met = met.join(classes.select("h1", "node"), "h1").select("sig", "node").distinct()

@@ -21,6 +21,7 @@ replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, safe_name, ship_package
+from .common import pick, released, safe_name, ship_package
 
 SAMPLE_DOCS = 2_000
 TRAIN_TASKS = 8
@@ -158,7 +159,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", i
 
     grams: dict[str, np.ndarray] = {}
     scripts: dict[str, np.ndarray] = {}
-    for r in sample.mapInArrow(count, "lang string, grams binary, scripts binary").toLocalIterator():
+    for r in sample.mapInArrow(lambda b: released(count(b)), "lang string, grams binary, scripts binary").toLocalIterator():
         grams[r["lang"]] = grams.get(r["lang"], 0) + np.frombuffer(r["grams"], "<i8")
         scripts[r["lang"]] = scripts.get(r["lang"], 0) + np.frombuffer(r["scripts"], "<i8")
     langs = tuple(sorted(k for k in grams if grams[k].sum()))
@@ -211,7 +212,7 @@ def label_texts(texts: list[str | None], model: Model, penalty: float = SWITCH_P
     if not width or not given:
         return out
     hard: list[tuple] = []
-    chars = max(1 << 16, (1 << 23) // (width + 4))
+    chars = max(1 << 16, (1 << 22) // (width + 4))
     for i, j in _text_blocks([texts[k] for k in given], chars):
         _label_block(given[i:j], [texts[k] for k in given[i:j]], model, penalty, out, hard)
     if hard:
@@ -273,8 +274,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: flo
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(LABEL)
-    def label(texts: pa.Array) -> pa.Array:
-        return pa.array(label_texts(texts.to_pylist(), sent.value, penalty), _TYPE)
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def run():
+            for texts in batches:
+                parts = [label_texts(texts.slice(i, 2000).to_pylist(), sent.value, penalty)
+                         for i in range(0, len(texts), 2000)]
+                yield pa.array([d for p in parts for d in p], _TYPE)
+
+        yield from released(run())
 
     out = {"lang_pred": "lang", "score": "score", "lang_spans": "spans"}
     work = safe_name(docs, "__li")

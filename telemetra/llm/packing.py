@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import default_partitions, pick, ship_file, ship_package, shipped_path
+from .common import default_partitions, pick, released, ship_file, ship_package, shipped_path
 from .tokens import blocks, encoder
 
 #: Documents whose pieces a block gets on average.
@@ -110,7 +110,7 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), end_id: in
     piece_limit = min(limits.tokens, limits.loss)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _cut(batches, shipped_path(name), piece_limit, end_id, n_blocks)
+        yield from released(_cut(batches, shipped_path(name), piece_limit, end_id, n_blocks))
 
     def pack_group(table: pa.Table) -> pa.Table:
         return _pack_group(table, limits)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import default_partitions, pick, shared_folder, ship_file, ship_package, shipped_path
+from .common import default_partitions, pick, released, shared_folder, ship_file, ship_package, shipped_path
 from .tokens import blocks, encoder
 
 MAGIC = int.from_bytes(b"TOKIDX01", "little")
@@ -52,7 +52,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str | None = Non
                .sortWithinPartitions("doc_id", "tie").drop("tie"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _write_part(batches, shipped_path(name), folder, end_id)
+        yield from released(_write_part(batches, shipped_path(name), folder, end_id))
 
     parts = sorted(tuple(r) for r in ordered.mapInArrow(
         write, "part int, n_docs long, n_tokens long, width int").collect())

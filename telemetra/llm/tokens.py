@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words whose ids a worker remembers; beyond it the memory is emptied.
-REMEMBERED = 700_000
+REMEMBERED = 250_000
 _WORD = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 #: Stands before a piece that has no space before it in the text.
 _JOINED = "\x01"
@@ -168,7 +168,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def blocks(texts: pa.Array, size: int = 12_000_000):
+def blocks(texts: pa.Array, size: int = 6_000_000):
     """Index ranges of about ``size`` bytes of text each."""
     lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
