@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage, ship_package
 
-__all__ = ["bit_mask_table", "checkpoint_dir", "cut_lineage", "default_partitions", "has_bit",
+__all__ = ["bit_mask_table", "checkpoint_dir", "cut_lineage", "default_partitions", "discard", "has_bit",
            "pick", "released", "safe_name", "shared_folder", "ship_file", "ship_package", "shipped_path",
-           "with_outputs"]
+           "staged", "with_outputs"]
 
 
 def safe_name(df: DataFrame, name: str) -> str:
@@ -69,6 +69,22 @@ def has_bit(df: DataFrame, name: str, masks: DataFrame, bits: int, out: str) ->
     return hit.withColumn(out, test).drop(word, mask)
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back; ``discard``
+    deletes it once everything made from it is written too."""
+    path = shared_folder(df.sparkSession, "staged")
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def released(batches):
     """Pass a task's output on; when it ends, hand free memory back to the system,
     for the worker process goes on to other tasks."""

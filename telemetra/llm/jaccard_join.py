@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_mask_table, cut_lineage, has_bit, pick, released, safe_name, ship_package
+from .common import bit_mask_table, cut_lineage, discard, has_bit, pick, released, safe_name, ship_package, staged
 
 MASK_BITS = 25
 SKETCH_WORDS = 8
@@ -259,7 +259,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     def state(e):
         return e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
 
-    e = cut_lineage(ordered(edges))
+    e = staged(ordered(edges))
     before = state(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -267,7 +267,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = ordered(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut_lineage(ordered(small.unionByName(least.select("u", F.col("m").alias("v")))))
+        old, e = e, staged(ordered(small.unionByName(least.select("u", F.col("m").alias("v")))))
+        discard(old)
         after = state(e)
         if after == before:
             break
@@ -410,13 +411,15 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
                     yield pa.RecordBatch.from_arrays([_long(sig[i:i + (1 << 17)]), _long(ent[i:i + (1 << 17)])],
                                                      names=["sig", "h1"])
 
-    told = cut_lineage(reps.mapInArrow(lambda b: released(emit(b)), "sig long, h1 long"))
+    told = staged(reps.mapInArrow(lambda b: released(emit(b)), "sig long, h1 long"))
     again = told.groupBy("sig").count().where("count > 1").select("sig")
     met = has_bit(told, "sig", bit_mask_table(again, "sig", MASK_BITS), MASK_BITS, "met").where("met").drop("met")
     met = met.join(classes.select("h1", "node"), "h1").select("sig", "node").distinct()
-    met = cut_lineage(met)
+    met = staged(met)
+    discard(told)
     shared = met.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("sig")
-    met = cut_lineage(met.join(shared, "sig"))
+    every, met = met, staged(met.join(shared, "sig"))
+    discard(every)
 
     # every set with the best of its centres
     sketch = classes.select("node", "n", *SKETCH)
@@ -435,7 +438,7 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     rest = met.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (rest.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                      F.count(F.lit(1)).alias("size")).where("lo < hi").select("sig", "size"))
-    rest = cut_lineage(rest.select("sig", "node", "component").join(mixed, "sig"))
+    rest = staged(rest.select("sig", "node", "component").join(mixed, "sig"))
 
     def apart(side):
         x, y = side.alias("x"), side.alias("y")
@@ -450,4 +453,6 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     x, y, apart_many = apart(rest.where(F.col("size") > FEW).join(sketch, "node"))
     many = x.join(y, apart_many & _near("x", "y", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     pairs = cut_lineage(few.unionByName(many).distinct())
+    discard(rest)
+    discard(met)
     return first.unionByName(_verify(pairs, rows, words, percent))

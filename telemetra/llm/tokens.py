@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct words whose ids a worker remembers; beyond it the memory is emptied.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 _WORD = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 #: Stands before a piece that has no space before it in the text.
 _JOINED = "\x01"
@@ -114,6 +114,8 @@ class Encoder:
                 gc.enable()
 
     def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self.lower:
+            texts = pc.ascii_lower(texts)                 # "The" and "the" are one piece
         marked = pc.replace_substring_regex(texts, r"([A-Za-z])([.,])", rf"\1 {_JOINED}\2")
         marked = pc.replace_substring_regex(marked, r"([!-~])\n([!-~])", f"\\1 {_JOINED}\n {_JOINED}\\2")
         split = pc.split_pattern(marked, " ")
@@ -131,7 +133,7 @@ class Encoder:
         odd |= pc.match_substring(texts, _JOINED).to_numpy(zero_copy_only=False)
         codes[first] += n_words
         used = np.unique(codes[np.repeat(~odd, np.diff(bounds))])
-        lead = pc.if_else(pc.starts_with(parts.dictionary, _JOINED), "", " ")
+        lead = pc.if_else(pc.starts_with(parts.dictionary, _JOINED), "", " " if self.spaced else "")
         spaced = pc.binary_join_element_wise(lead.cast(pa.large_string()), bare, pa.scalar("", pa.large_string()))
         pieces = pa.concat_arrays([spaced, parts.dictionary]).take(pa.array(used)).to_pylist()
         learnt = self._learn(pieces)
@@ -168,7 +170,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def blocks(texts: pa.Array, size: int = 6_000_000):
+def blocks(texts: pa.Array, size: int = 10_000_000):
     """Index ranges of about ``size`` bytes of text each."""
     lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
