@@ -43,6 +43,16 @@ def _byte_chars() -> dict[int, str]:
     return table
 
 
+def _ascii_lower(texts: pa.LargeStringArray) -> pa.Array:
+    """A to Z in lower case, every other byte as it is (no nulls)."""
+    _, offsets, data = texts.buffers()
+    if data is None:
+        return texts
+    raw = np.frombuffer(data, np.uint8)
+    low = raw + ((raw >= 65) & (raw <= 90)) * np.uint8(32)
+    return pa.Array.from_buffers(texts.type, len(texts), [None, offsets, pa.py_buffer(low)], offset=texts.offset)
+
+
 class Encoder:
     """text -> ids as a little-endian unsigned array."""
 
@@ -115,7 +125,7 @@ class Encoder:
 
     def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.lower:
-            texts = pc.ascii_lower(texts)                 # "The" and "the" are one piece
+            texts = _ascii_lower(texts)                   # "The" and "the" are one piece
         marked = pc.replace_substring_regex(texts, r"([A-Za-z])([.,])", rf"\1 {_JOINED}\2")
         marked = pc.replace_substring_regex(marked, r"([!-~])\n([!-~])", f"\\1 {_JOINED}\n {_JOINED}\\2")
         split = pc.split_pattern(marked, " ")
