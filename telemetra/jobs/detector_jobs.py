@@ -112,10 +112,9 @@ def h19_prediction_log_documents(spark, sf_dir):
 
 
 def e10_worklist_documents(spark, sf_dir):
-    """Anomaly worklist: flagged documents by score, top 20 (the limit is the
-    feature: a review queue)."""
+    """Anomaly worklist: every flagged document by score."""
     return (_documents_scored(spark, sf_dir).where(F.col("prediction") == 1)
-            .orderBy(F.col("anomaly_score").desc(), F.col("doc_id")).limit(20)
+            .orderBy(F.col("anomaly_score").desc(), F.col("doc_id"))
             .select("doc_id", "source", "anomaly_score"))
 
 
@@ -203,7 +202,7 @@ SQL["e9_batch_totals_documents"] = f"""SELECT source AS batch_id, count(*) AS in
   count(*) - CAST(sum(CAST(anomaly_score >= 0.5 AS INTEGER)) AS BIGINT) AS normal_count,
   'weighted_ensemble' AS model_name, '1' AS model_version FROM {_DOCS} GROUP BY source"""
 SQL["e10_worklist_documents"] = f"""SELECT doc_id, source, anomaly_score FROM {_DOCS}
-  WHERE anomaly_score >= 0.5 ORDER BY anomaly_score DESC, doc_id LIMIT 20"""
+  WHERE anomaly_score >= 0.5 ORDER BY anomaly_score DESC, doc_id"""
 SQL["h19_prediction_log_documents"] = f"""SELECT '{LOG_TIME}' AS timestamp,
   'batch-' || d.source AS request_id, '/predict/batch' AS endpoint,
   'weighted_ensemble' AS model_name, '1' AS model_version, d.doc_id, s.score, s.score2,

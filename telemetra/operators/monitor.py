@@ -121,23 +121,14 @@ def worst_status(metrics: DataFrame, keys: Sequence[str] = (), order: str | None
 
 
 ALERT_TEXT = {
-    ("system", "error_rate"): ("Share of HTTP error responses is above its limit.",
-                               "Check input validation, logs and the causes of 4xx/5xx responses."),
-    ("system", "availability"): ("Service availability is below its objective.",
-                                 "Check container health, model loading and service exceptions."),
-    ("system", "latency_p95_ms"): ("p95 latency is above its limit.",
-                                   "Check container resources, batch sizes and inference time."),
-    ("data", "psi"): ("The distribution of a numeric input changed.",
-                      "Validate the source, units and operating conditions before retraining."),
-    ("data", "js_divergence"): ("The distribution of a categorical input changed.",
-                                "Review the product-type mix and unexpected categories."),
-    ("data", "missing_column"): ("A required input column did not appear in production.",
-                                 "Block the affected source and review the input contract."),
-    ("model", "anomaly_rate_difference"): ("The anomaly rate moved away from validation.",
-                                           "Investigate drift, operating changes and input quality."),
-    ("model", "score_mean_shift"): ("The mean anomaly score shifted against validation.",
-                                    "Review the score distribution; consider retraining or a new "
-                                    "threshold."),
+    ("system", "error_rate"): ("error_rate over limit", "look up the failing endpoints by status code"),
+    ("system", "availability"): ("availability under target", "look up the 5xx responses of the window"),
+    ("system", "latency_p95_ms"): ("latency_p95_ms over limit", "compare latency by endpoint and batch size"),
+    ("data", "psi"): ("PSI over limit", "compare the subject with its reference bins"),
+    ("data", "js_divergence"): ("JS divergence over limit", "compare the subject with its reference shares"),
+    ("data", "missing_column"): ("column absent", "stop the load and ask for the column"),
+    ("model", "anomaly_rate_difference"): ("anomaly rate off its reference", "check the inputs, then the threshold"),
+    ("model", "score_mean_shift"): ("mean score off its reference", "check the inputs, then the model"),
 }
 
 

@@ -21,7 +21,7 @@ def _batch(spark):
                      40.0 + i / 10, i, 0, 0, 0, 0, 0, 0))
     rows[0] = rows[0][:6] + (None,) + rows[0][7:]            # missing torque
     rows[1] = rows[1][:6] + (-5.0,) + rows[1][7:]            # negative torque
-    rows[2] = rows[2][:5] + ("rapido",) + rows[2][6:]        # text in speed
+    rows[2] = rows[2][:5] + ("12x",) + rows[2][6:]        # text in speed
     rows[3] = rows[3][:2] + ("X",) + rows[3][3:]             # unknown type
     rows.append(rows[4])                                     # duplicated row
     schema = ", ".join(f"`{c}` {t}" for c, t in zip(COLS, [
