@@ -15,30 +15,57 @@ from telemetra.plans import hscan, knn
 import pytest
 
 
-@pytest.mark.parametrize("window_limit", [0, None])        # 0 forces the range-bucketed scan
-def test_prefix_sums_match_cumsum(spark, window_limit):
+@pytest.mark.parametrize("ranges", [None, 1, 7, 1000])
+@pytest.mark.parametrize("descending", [False, True])
+def test_prefix_sums_match_cumsum(spark, ranges, descending):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 500), "x": rng.normal(size=500).round(2),
                         "w": rng.integers(1, 5, 500)})
     pdf = pdf.groupby(["g", "x"], as_index=False)["w"].sum()
-    out = hscan.prefix_sums(spark.createDataFrame(pdf), ["g"], "x", ["w"], ranges=7,
-                            window_limit=window_limit).toPandas()
-    exp = pdf.sort_values(["g", "x"]).assign(cum=lambda d: d.groupby("g")["w"].cumsum())
+    out = hscan.prefix_sums(spark.createDataFrame(pdf), ["g"], "x", ["w"], ranges=ranges,
+                            descending=descending).toPandas()
+    exp = pdf.sort_values(["g", "x"], ascending=not descending).assign(cum=lambda d: d.groupby("g")["w"].cumsum())
     m = out.merge(exp, on=["g", "x"])
     assert len(m) == len(pdf) and (m["cum_w"] == m["cum"]).all()
 
 
-@pytest.mark.parametrize("map_limit", [0, hscan.MAP_LIMIT])   # 0 forces the distributed scan
-def test_exact_quantiles_match_numpy(spark, map_limit):
+@pytest.mark.parametrize("ranges", [None, 1, 1000])
+def test_exact_quantiles_match_numpy(spark, ranges):
     rng = np.random.default_rng(2)
     v = rng.exponential(size=1001).round(3)
     df = spark.createDataFrame([(float(x),) for x in v], "x double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 0.97, 1.0]
-    q = {r["p"]: r["q"] for r in hscan.exact_quantiles(df, [], "x", probs, map_limit=map_limit).collect()}
+    q = {r["p"]: r["q"] for r in hscan.exact_quantiles(df, [], "x", probs, ranges=ranges).collect()}
     for p in probs:
         assert math.isclose(q[p], float(np.quantile(v, p)), rel_tol=1e-12, abs_tol=1e-12)
 
 
+def test_null_keys_and_missing_values_alike_at_any_range_count(spark):
+    rows = [(None, 1.0), (None, 4.0), (None, float("nan")), ("a", 2.0), ("a", 2.0), ("a", None),
+            ("a", 9.0), ("b", float("nan")), ("c", 5.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    want_q = {(None, 0.5): 2.5, ("a", 0.5): 2.0, ("c", 0.5): 5.0, (None, 1.0): 4.0, ("a", 1.0): 9.0, ("c", 1.0): 5.0}
+    want_s = {(None, 1.0, 1, 2), (None, 4.0, 2, 2), ("a", 2.0, 2, 3), ("a", 9.0, 3, 3), ("c", 5.0, 1, 1)}
+    for n in (None, 1, 1000):
+        q = hscan.exact_quantiles(df, ["k"], "x", [0.5, 1.0], ranges=n).collect()
+        assert len(q) == len(want_q) and {(r["k"], r["p"]): r["q"] for r in q} == want_q
+        s = hscan.prefix_sums(hscan.value_counts(df, ["k"], "x"), ["k"], "x", ["cnt"], ranges=n).collect()
+        assert len(s) == len(want_s) and {(r["k"], r["x"], r["cum_cnt"], r["total_cnt"]) for r in s} == want_s
+
+
+def test_only_group_is_cut_into_ranges(spark, monkeypatch):
+    monkeypatch.setattr(hscan, "RANGE_ROWS", 100)
+    placed = hscan._in_ranges(spark.range(1000).select(F.col("id").alias("x")), [], F.col("x").asc(), None)
+    sizes = [r["count"] for r in placed.groupBy(hscan._RANGE).count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 200
+
+
+def test_empty_input_has_no_quantiles(spark):
+    df = spark.createDataFrame([], "k string, x double")
+    assert hscan.exact_quantiles(df, ["k"], "x", [0.5]).collect() == []
+    assert hscan.prefix_sums(hscan.value_counts(df, [], "x"), [], "x", ["cnt"]).collect() == []
+
+
 def test_partition_invariance(spark):
     rng = np.random.default_rng(3)
     df = spark.createDataFrame([(float(x),) for x in rng.normal(size=300)], "x double")
