@@ -64,6 +64,11 @@ def long_form(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = (),
     return out
 
 
+def present_double(c: str | Column) -> Column:
+    """``c`` as a double, NULL where it is NaN or cannot be read as a number."""
+    return F.nanvl(col_(c).try_cast("double"), F.lit(None).cast("double"))
+
+
 def bin_index(edges: str | Column, x: str | Column) -> Column:
     """Index of the histogram bin over (-inf, e1, ..., ek, inf): the number of
     inner edges <= x (bins are [a, b), numpy ``histogram``)."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetra import config
-from telemetra.functions.exprs import safe_div
+from telemetra.functions.exprs import present_double, safe_div
 from telemetra.plans.hscan import prefix_sums
 from telemetra.session import cut_lineage
 
@@ -42,8 +42,8 @@ def confusion(df: DataFrame, y: str, pred: str, keys: Sequence[str] = ()) -> Dat
 
 def score_table(df: DataFrame, y: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, score, pos, neg, tp, fp, P, N): distinct scores with cumulative
-    counts of rows at or above each score."""
-    g = (df.where(F.col(score).isNotNull())
+    counts of rows at or above each score; rows without a score (NULL, NaN) are left out."""
+    g = (df.where(present_double(score).isNotNull())
          .groupBy(*keys, F.col(score).alias("score"))
          .agg(F.sum(F.col(y).cast("long")).alias("pos"),
               F.sum((1 - F.col(y)).cast("long")).alias("neg")))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetra import config
-from telemetra.functions.exprs import rank_status, severity_higher, severity_lower, status_rank
+from telemetra.functions.exprs import (present_double, rank_status, severity_higher,
+                                       severity_lower, status_rank)
 from telemetra.operators import drift
 from telemetra.plans.hscan import exact_quantiles
 from telemetra.session import cut_lineage
@@ -25,15 +26,13 @@ METRIC_SCHEMA = ("category string, metric string, subject string, value double,
 # ------------------------------------------------------------------ H4 ----
 def trailing_window(df: DataFrame, ts: str, as_of: Column | str, hours: int = config.WINDOW_HOURS
                     ) -> DataFrame:
-    """Events with a parsable timestamp inside (as_of - hours, as_of]; lower
-    bound inclusive as in the reference.  ``as_of`` is a parameter, never the
+    """Events with a parsable timestamp inside [as_of - hours, as_of].  ``as_of`` is a parameter, never the
     wall clock, so a re-run gives the same answer."""
     t = F.col(ts)
     if not isinstance(dict(df.dtypes)[ts], str) or dict(df.dtypes)[ts] == "string":
         t = F.expr(f"try_to_timestamp(`{ts}`)")
-    lo = (F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of) - F.expr(
-        f"INTERVAL {int(hours)} HOURS")
-    return df.where(t.isNotNull() & (t >= lo))
+    hi = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    return df.where(t.isNotNull() & (t >= hi - F.expr(f"INTERVAL {int(hours)} HOURS")) & (t <= hi))
 
 
 # ------------------------------------------------------------------ H9 ----
@@ -42,10 +41,13 @@ def system_metrics(events: DataFrame, ts: str = "timestamp", status: str = "stat
                    limits: dict = config.SYSTEM_LIMITS) -> DataFrame:
     """One row: request_count, processed_instances, error_count, error_rate,
     availability, latency_mean_ms, latency_p95_ms, throughput per minute and
-    the three severities plus their worst.  Non-numeric status codes count in
-    neither errors nor availability; NULL instances count 0."""
-    code = F.col(status).try_cast("int")
-    lat = F.col(latency).try_cast("double")
+    the three severities plus their worst.  Status codes are read as numbers
+    ("500.0" is 500); NULL, NaN and other text count in neither errors nor
+    availability, and such latencies in neither mean nor p95; NULL instances
+    count 0.  Without events the row has NULL rates and every status is
+    ``no_data``."""
+    code = present_double(status)
+    lat = present_double(latency)
     base = events.select(F.col(ts).alias("_ts"), code.alias("_code"), lat.alias("_lat"),
                          F.coalesce(F.col(instances).try_cast("long"), F.lit(0)).alias("_inst"))
     agg = base.agg(
@@ -53,15 +55,15 @@ def system_metrics(events: DataFrame, ts: str = "timestamp", status: str = "stat
         F.count_if(F.col("_code") >= 400).alias("error_count"),
         F.count_if(F.col("_code") < 500).alias("_avail"), F.avg("_lat").alias("latency_mean_ms"),
         F.min("_ts").alias("_t0"), F.max("_ts").alias("_t1"), F.count("_ts").alias("_nts"))
-    p95 = exact_quantiles(base.select(F.col("_lat").alias("x")), [], "x", [0.95]).select(
-        F.col("q").alias("latency_p95_ms"))
+    p95 = exact_quantiles(base.select(F.col("_lat").alias("x")), [], "x", [0.95]).agg(
+        F.max("q").alias("latency_p95_ms"))
     minutes = F.when(F.col("_nts") >= 2, F.greatest(
         (F.unix_micros(F.col("_t1").cast("timestamp"))
          - F.unix_micros(F.col("_t0").cast("timestamp"))) / 6e7, F.lit(1.0))).otherwise(1.0)
     out = agg.crossJoin(p95).select(
         "request_count", "processed_instances", "error_count",
-        (F.col("error_count") / F.col("request_count")).alias("error_rate"),
-        (F.col("_avail") / F.col("request_count")).alias("availability"),
+        F.try_divide("error_count", "request_count").alias("error_rate"),
+        F.try_divide("_avail", "request_count").alias("availability"),
         "latency_mean_ms", "latency_p95_ms",
         (F.col("request_count") / minutes).alias("throughput_requests_per_minute"))
     out = (out.withColumn("error_rate_status", severity_higher(
@@ -73,7 +75,9 @@ def system_metrics(events: DataFrame, ts: str = "timestamp", status: str = "stat
             limits["max_p95_latency_ms_critical"])))
     worst = F.greatest(*[status_rank(c) for c in
                          ("error_rate_status", "availability_status", "latency_status")])
-    return out.withColumn("status", rank_status(worst))
+    out = out.withColumn("status", rank_status(worst))
+    return out.withColumns({c: F.when(F.col("request_count") == 0, "no_data").otherwise(F.col(c))
+                            for c in out.columns if c.endswith("status")})
 
 
 def system_metric_rows(sysm: DataFrame, limits: dict = config.SYSTEM_LIMITS) -> DataFrame:
@@ -95,8 +99,8 @@ def endpoint_metrics(events: DataFrame, path: str = "path", status: str = "statu
     """Per endpoint: request_count, error_rate, latency mean and exact p95;
     NULL paths dropped."""
     e = events.where(F.col(path).isNotNull()).select(
-        F.col(path).alias("path"), F.col(status).try_cast("int").alias("_code"),
-        F.col(latency).try_cast("double").alias("x"))
+        F.col(path).alias("path"), present_double(status).alias("_code"),
+        present_double(latency).alias("x"))
     g = e.groupBy("path").agg(
         F.count(F.lit(1)).alias("request_count"),
         F.avg(F.when(F.col("_code").isNotNull(), (F.col("_code") >= 400).cast("double")))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemetra.functions.exprs import adjusted_skewness, long_form
+from telemetra.functions.exprs import adjusted_skewness, long_form, present_double
 from telemetra.plans.hscan import exact_quantiles
 
 
@@ -101,7 +101,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     x = F.col("x")
     out = (long.join(b, "column_name")
            .groupBy("column_name", "lower", "upper")
-           .agg(F.count_if((x < F.col("lower")) | (x > F.col("upper"))).alias("outliers"),
+           .agg(F.count_if(~F.isnan(x) & ((x < F.col("lower")) | (x > F.col("upper")))).alias("outliers"),
                 F.count(F.lit(1)).alias("_n")))
     return out.select("column_name", "lower", "upper", "outliers",
                       F.round(F.col("outliers") * 100.0 / F.col("_n"), 2).alias("outlier_pct"))
@@ -114,7 +114,7 @@ def outlier_flag(df: DataFrame, columns: Sequence[str], bounds: DataFrame) -> Da
         F.first("lower").alias("lo"), F.first("upper").alias("hi"))
     flag = F.lit(False)
     for c in columns:
-        x = F.col(c)
+        x = present_double(c)
         flag = flag | F.coalesce((x < F.col(f"{c}_lo")) | (x > F.col(f"{c}_hi")), F.lit(False))
     return df.crossJoin(F.broadcast(wide)).withColumn("any_outlier", flag).drop(
         *[f"{c}_lo" for c in columns], *[f"{c}_hi" for c in columns])
@@ -135,10 +135,10 @@ def class_share(df: DataFrame, label: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.80) -> DataFrame:
-    """Pearson correlation of every pair in one aggregate; ``strong`` when
+    """Pearson correlation of every pair (rows with both values) in one aggregate; ``strong`` when
     |r| >= threshold."""
     pairs = list(itertools.combinations(columns, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    one = df.agg(*[F.corr(present_double(a), present_double(b)).alias(f"{a}__{b}") for a, b in pairs])
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
                  F.col(f"{a}__{b}").alias("pearson")) for a, b in pairs])).alias("r")).select(

@@ -156,7 +156,7 @@ def gate_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
             rng.append(F.count_if(F.col(c) < 0))
     if spec.ordered_pair and all(c in present and _is_numeric(df, c) for c in spec.ordered_pair):
         lo, hi = spec.ordered_pair
-        rng.append(F.count_if(F.col(hi) <= F.col(lo)))
+        rng.append(F.count_if((F.col(hi) <= F.col(lo)) & ~missing_cell(df, lo)))
     aggs["ranges"] = sum(rng, F.lit(0)) if rng else F.lit(0)
     # B11 target classes, B12 label consistency
     has_labels = spec.target in present and all(m in present for m in spec.modes)
@@ -324,12 +324,12 @@ def missing_by_column(df: DataFrame) -> DataFrame:
 
 def range_violations(df: DataFrame, positive: Sequence[str], nonnegative: Sequence[str],
                      ordered_pair: tuple | None = None) -> DataFrame:
-    """(check, column_name, violations); NULLs never count."""
+    """(check, column_name, violations); NULL and NaN never count."""
     checks = [(f"positive", c, F.count_if(F.col(c) <= 0)) for c in positive]
     checks += [("nonnegative", c, F.count_if(F.col(c) < 0)) for c in nonnegative]
     if ordered_pair:
         lo, hi = ordered_pair
-        checks.append(("ordered", f"{hi}>{lo}", F.count_if(F.col(hi) <= F.col(lo))))
+        checks.append(("ordered", f"{hi}>{lo}", F.count_if((F.col(hi) <= F.col(lo)) & ~missing_cell(df, lo))))
     one = df.agg(*[e.alias(f"_v{i}") for i, (_, _, e) in enumerate(checks)])
     return one.select(F.explode(F.array(*[
         F.struct(F.lit(k).alias("check"), F.lit(c).alias("column_name"),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemetra.functions.exprs import bin_index
+from telemetra.functions.exprs import bin_index, present_double
 from telemetra.session import checkpoint_dir
 
 
@@ -41,7 +41,7 @@ def endpoint_windows(stream: DataFrame, ts: str = "timestamp", path: str = "path
     """Per sliding window and endpoint: requests, errors, mean and
     approximate p95 latency.  Append mode emits a window once the watermark
     passes its end; state is bounded by the windows still open."""
-    code = F.col(status).try_cast("int")
+    code = present_double(status)
     return (stream.withWatermark(ts, watermark)
             .groupBy(F.window(ts, window, slide).alias("w"), F.col(path).alias("path"))
             .agg(F.count(F.lit(1)).alias("requests"),
@@ -56,10 +56,11 @@ def windowed_bin_counts(stream: DataFrame, profile: DataFrame, column: str, ts:
                         window: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
     """Counts per (tumbling window, reference bin) of one numeric column;
     PSI of a closed window is then ``drift._psi_from_counts`` on these counts
-    (e.g. in ``foreachBatch``).  The profile row is a small broadcast."""
+    (e.g. in ``foreachBatch``).  NULL and NaN are in no bin.  The profile row is a small broadcast."""
     edges = profile.where(F.col("column_name") == column).select("bin_edges")
-    return (stream.withWatermark(ts, watermark).crossJoin(F.broadcast(edges))
-            .withColumn("bin", bin_index("bin_edges", F.col(column).cast("double")))
+    x = present_double(column)
+    return (stream.where(x.isNotNull()).withWatermark(ts, watermark).crossJoin(F.broadcast(edges))
+            .withColumn("bin", bin_index("bin_edges", x))
             .groupBy(F.window(ts, window).alias("w"), "bin")
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), "bin", "n"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from telemetra.operators import drift, monitor as M
+from telemetra.operators import drift, monitor as M, profile as P
 
 
 def _profile(spark, edges, props, col="x"):
@@ -137,3 +137,28 @@ def test_shift_psi_monotone_and_zero(spark):
         a = np.clip(counts / counts.sum(), 1e-6, None); a = a / a.sum()
         e = np.full(10, 0.1)
         assert math.isclose(s["psi"][i], float(np.sum((a - e) * np.log(a / e))), rel_tol=1e-9)
+
+
+def test_system_metrics_read_text_codes_and_skip_nan(spark):
+    rows = [("2024-01-01 00:00:00", "500.0", 10.0), ("2024-01-01 00:10:00", "200", float("nan")),
+            ("2024-01-01 00:20:00", "NaN", 30.0), ("2024-01-01 00:30:00", None, None)]
+    log = (spark.createDataFrame(rows, "timestamp string, status_code string, latency_ms double")
+           .selectExpr("cast(timestamp as timestamp) timestamp", "status_code", "latency_ms", "1 instance_count"))
+    r = M.system_metrics(log).first()
+    assert (r["request_count"], r["error_count"], r["availability"]) == (4, 1, 0.25)
+    assert r["latency_mean_ms"] == 20.0 and abs(r["latency_p95_ms"] - 29.0) < 1e-9
+    none = M.system_metrics(M.trailing_window(log, "timestamp", "2020-01-01 00:00:00")).collect()
+    assert len(none) == 1 and none[0]["request_count"] == 0 and none[0]["error_rate"] is None
+    assert {none[0][c] for c in none[0].asDict() if c.endswith("status")} == {"no_data"}
+    within = M.trailing_window(log, "timestamp", "2024-01-01 00:10:00", hours=1)
+    assert within.count() == 2
+
+
+def test_nan_is_no_outlier_and_breaks_no_correlation(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(20)] + [(nan, 1.0), (3.0, nan), (None, 5.0)],
+                               "a double, b double")
+    assert {r["column_name"]: r["outliers"] for r in P.iqr_outliers(df, ["a", "b"]).collect()} == {"a": 0, "b": 0}
+    bounds = P.iqr_bounds(df, ["a", "b"])
+    assert P.outlier_flag(df, ["a", "b"], bounds).where("any_outlier").count() == 0
+    assert abs(P.correlations(df, ["a", "b"]).first()["pearson"] - 1.0) < 1e-12
