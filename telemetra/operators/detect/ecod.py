@@ -8,8 +8,9 @@ skew, the left for negative, both summed for zero skew.
 
 The library scores new rows against the union of training and new rows; that
 is the default here (``union=True``), so tails are never empty.  With
-``union=False`` the training ECDF alone is used and values outside the
-training range get an infinite tail score.
+``union=False`` the training ECDF alone is used: a new value is ranked among
+the training values (it enters the scan with weight 0), and one outside the
+training range gets an infinite tail score.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from telemetra.session import cut_lineage
 
 def _weighted_skew_sign(dist: DataFrame) -> DataFrame:
     """Sign of the population skewness per feature from weighted moments."""
+    dist = dist.where("w > 0")
     m = dist.groupBy("column_name").agg(
         F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("s1"))
-    c = dist.join(m, "column_name").withColumn("d", F.col("x") - F.col("s1") / F.col("n"))
+    c = dist.join(F.broadcast(m), "column_name").withColumn("d", F.col("x") - F.col("s1") / F.col("n"))
     mom = c.groupBy("column_name").agg(
         F.sum(F.col("w") * F.pow("d", 2)).alias("m2"), F.sum(F.col("w") * F.pow("d", 3)).alias("m3"),
         F.first("n").alias("n"))
@@ -47,8 +49,8 @@ def tail_table(dist: DataFrame) -> DataFrame:
 
 
 def _outlyingness() -> F.Column:
-    ul = -F.ln(F.col("left"))
-    ur = -F.ln(F.col("right"))
+    ul, ur = (F.when(F.col(tail) == 0, F.lit(float("inf"))).otherwise(-F.ln(F.col(tail)))
+              for tail in ("left", "right"))
     sg = F.col("skew_sign")
     uskew = F.when(sg > 0, ur).when(sg < 0, ul).otherwise(ul + ur)
     return F.greatest(ul, ur, uskew)
@@ -69,7 +71,8 @@ def ecod_scores(train: DataFrame, score: DataFrame, features: Sequence[str], ids
         dist = weighted(sl)                        # fit: the training rows themselves
     else:
         tl = long_form(train.select(*features, w.alias("_w")), features, ids=["_w"])
-        dist = weighted(tl).unionByName(weighted(sl)) if union else weighted(tl)
+        asked = weighted(sl) if union else weighted(sl).withColumn("w", F.lit(0).cast("long"))
+        dist = weighted(tl).unionByName(asked)
         dist = cut_lineage(dist)
     tails = tail_table(dist)
     joined = sl.join(tails, ["column_name", "x"], "left")

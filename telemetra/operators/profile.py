@@ -99,7 +99,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = long_form(df, columns, drop_nulls=False)
     b = iqr_bounds(df, columns)
     x = F.col("x")
-    out = (long.join(b, "column_name")
+    out = (long.join(F.broadcast(b), "column_name")
            .groupBy("column_name", "lower", "upper")
            .agg(F.count_if(~F.isnan(x) & ((x < F.col("lower")) | (x > F.col("upper")))).alias("outliers"),
                 F.count(F.lit(1)).alias("_n")))
@@ -154,7 +154,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     idx = F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(
         F.least(F.floor((F.col("x") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))),
                 F.lit(bins - 1)))
-    counts = (long.join(mm, "column_name").withColumn("bin", idx.cast("int"))
+    counts = (long.join(F.broadcast(mm), "column_name").withColumn("bin", idx.cast("int"))
               .groupBy("column_name", "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count")))
     return counts.select("column_name", "bin",
                          (F.col("_lo") + F.col("bin") * width).alias("lower"),

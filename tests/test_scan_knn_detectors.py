@@ -191,3 +191,15 @@ def test_rff_one_class_deterministic_and_ranks_outlier(spark):
     assert np.allclose(scores[0]["ocsvm_score"], scores[1]["ocsvm_score"])
     s = scores[0].set_index("id")["ocsvm_score"]
     assert s.idxmax() == 300
+
+
+def test_ecod_ranks_new_values_in_the_training_ecdf(spark):
+    train = [float(i * i) for i in range(20)]                   # skewed to the right
+    new = {0: 1000.0, 1: 5.5, 2: -3.0, 3: 16.0, 4: 361.0}
+    tdf = spark.createDataFrame([(i, v) for i, v in enumerate(train)], "id long, a double")
+    cdf = spark.createDataFrame(list(new.items()), "id long, a double")
+    got = {r["id"]: r["ecod_score"] for r in ecod.ecod_scores(tdf, cdf, ["a"], ["id"], union=False).collect()}
+    ln = lambda n: math.inf if n == 0 else -math.log(n / len(train))
+    for k, x in new.items():
+        want = max(ln(sum(t <= x for t in train)), ln(sum(t >= x for t in train)))
+        assert got[k] == want or math.isclose(got[k], want, rel_tol=1e-12)
