@@ -8,7 +8,8 @@ cut by Arrow there, and also between an ASCII letter and a full stop or comma an
 around a single line end between printable ASCII characters; each distinct piece is
 encoded once, one Latin word straight by the library's BPE model, and numpy puts the
 ids of the texts together.  The result equals encoding the whole text (tests compare
-them); a text or piece outside these rules is encoded whole by the library.
+them); a text or piece outside these rules, and a text that holds the string of an
+added token (one id to the library), is encoded whole by the library.
 """
 
 from __future__ import annotations
@@ -61,12 +62,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True      # their strings are ordinary text
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype(dtype or ("<u2" if size <= 1 << 16 else "<u4"))
         settings = json.loads(self.library.to_str())
         self.lower = "Lowercase" in json.dumps(settings["normalizer"])
         self.spaced = settings["normalizer"] is None
+        added = [t["content"] for t in settings["added_tokens"]]
+        self.added = _ascii_lower(pa.array(added, pa.large_string())).to_pylist() if self.lower else added
         self.chars = _byte_chars()
         self.words_direct = True
         self.code = "H" if self.dtype.itemsize == 2 else "I"
@@ -124,6 +126,7 @@ class Encoder:
                 gc.enable()
 
     def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        given = texts
         if self.lower:
             texts = _ascii_lower(texts)                   # "The" and "the" are one piece
         marked = pc.replace_substring_regex(texts, r"([A-Za-z])([.,])", rf"\1 {_JOINED}\2")
@@ -140,7 +143,8 @@ class Encoder:
             pc.equal(parts.dictionary, _JOINED + "\n"), pc.equal(pc.utf8_trim_whitespace(bare), bare)))
         safe = safe.to_numpy(zero_copy_only=False)
         odd = np.logical_or.reduceat(~safe[codes], first)
-        odd |= pc.match_substring(texts, _JOINED).to_numpy(zero_copy_only=False)
+        for mark in (_JOINED, *self.added):
+            odd |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
         codes[first] += n_words
         used = np.unique(codes[np.repeat(~odd, np.diff(bounds))])
         lead = pc.if_else(pc.starts_with(parts.dictionary, _JOINED), "", " " if self.spaced else "")
@@ -148,7 +152,7 @@ class Encoder:
         pieces = pa.concat_arrays([spaced, parts.dictionary]).take(pa.array(used)).to_pylist()
         learnt = self._learn(pieces)
         whole = np.flatnonzero(odd)
-        learnt += self._whole(texts.take(pa.array(whole)).to_pylist()) if len(whole) else []
+        learnt += self._whole(given.take(pa.array(whole)).to_pylist()) if len(whole) else []
         table = np.zeros(2 * n_words, dtype=np.int64)
         table[used] = np.arange(len(used))
         # every text is a run of entries of `learnt`: its parts, or itself if odd

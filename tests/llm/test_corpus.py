@@ -81,6 +81,19 @@ def test_encoder_equals_library(name):
         assert ids[at[k]:at[k + 1]].tolist() == e.library.encode(t or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_as_the_library_encodes_them(name):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(P.path(name))             # with its default settings
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c", "<|ENDOFTEXT|> a", "x. <|startoftext|>,\ny",
+             "The <|EndOfText|>", "<|endoftext| >", "no token", None, "", "Two <|endoftext|><|endoftext|>  É"]
+    e = Encoder(P.path(name))
+    ids, at = e.encode_all(pa.array(texts))
+    for k, t in enumerate(texts):
+        assert ids[at[k]:at[k + 1]].tolist() == plain.encode(t or "", add_special_tokens=False).ids
+
+
 def test_token_files_round_trip(spark, docs, empty):
     path = P.path("byte_bpe_50k.json")
     e = Encoder(path)
