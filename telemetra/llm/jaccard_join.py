@@ -379,23 +379,45 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
 def near_distinct(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``docs`` without those that link, directly or not, with a smaller id; rows
-    without id stay, of rows that repeat an id one stays.  Ids that may go are sent
-    as a mask of fixed size; only their rows are shuffled to be looked up."""
+    without id stay.  An id that stands at several texts names a row of each: a row
+    goes only if its own text links with that of a smaller id (ties: the smaller
+    SHA-256 of the text, then of the whole row) or it repeats an id and its text.
+    Ids that may go are sent as a mask of fixed size; only their rows are shuffled
+    to be looked up."""
+    repeated = docs.select(pick(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").groupBy("doc_id").count()
+    if not repeated.where("count > 1").isEmpty():
+        return _near_distinct_rows(docs, words, percent, id_col, text_col)
     found = cut_lineage(jaccard_components(docs, words, percent, id_col, text_col))
     key, hit = safe_name(docs, "__nd_key"), safe_name(docs, "__nd_hit")
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    suspect = cut_lineage(found.where("doc_id <> component_id").select("doc_id")
-                          .unionByName(repeated.select("doc_id")).distinct())
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
-    masks = bit_mask_table(suspect.select(F.xxhash64("doc_id").alias("h")), "h", MASK_BITS)
+    gone = found.where("doc_id <> component_id").select("doc_id")
+    masks = bit_mask_table(gone.select(F.xxhash64("doc_id").alias("h")), "h", MASK_BITS)
     marked = has_bit(docs.withColumn(key, F.xxhash64(pick(id_col).cast("long"))), key, masks, MASK_BITS, hit)
     asked = marked.where(F.col(hit)).withColumn(key, pick(id_col).cast("long"))
-    stay = asked.join(gone, key, "left_anti")
-    if not repeated.isEmpty():
-        stay = stay.where(F.col(key).isNull()).unionByName(stay.where(F.col(key).isNotNull()).dropDuplicates([key]))
+    stay = asked.join(gone.select(F.col("doc_id").alias(key)), key, "left_anti")
     return marked.where(~F.col(hit)).unionByName(stay.select(marked.columns)).drop(key, hit)
 
 
+def _near_distinct_rows(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """:func:`near_distinct` where ids repeat: the rows are written with a number of
+    their own, the numbers are joined, and of each component the first row stays."""
+    key = safe_name(docs, "__nd_key")
+    rows = cut_lineage(docs.withColumn(key, F.monotonically_increasing_id()))
+    named = rows.where(pick(id_col).cast("long").isNotNull())
+    found = jaccard_components(named, words, percent, key, text_col).select(
+        F.col("doc_id").alias("key"), F.col("n_shingles").alias("n"), F.col("component_id").alias("component"))
+    order = named.select(F.col(key).alias("key"), pick(id_col).cast("long").alias("id"),
+                         F.sha2(F.coalesce(pick(text_col).cast("string"), F.lit("")), 256).alias("digest"),
+                         F.sha2(F.to_json(F.struct(*[pick(c) for c in docs.columns])), 256).alias("whole"))
+    # a row without words links with nothing but the repeats of its id and text
+    wordless = F.col("n") == 0
+    groups = cut_lineage(order.join(found, "key").select(
+        "key", "id", "digest", "whole", F.when(~wordless, F.col("component")).alias("g1"),
+        F.when(wordless, F.col("id")).alias("g2"), F.when(wordless, F.col("digest")).alias("g3")))
+    first = groups.groupBy("g1", "g2", "g3").agg(F.min(F.struct("id", "digest", "whole", "key"))["key"].alias("key"))
+    gone = groups.select("key").join(first, "key", "left_anti").select(F.col("key").alias(key))
+    return rows.join(gone, key, "left_anti").select(*[pick(c) for c in docs.columns])
+
+
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives that span every component."""
     reps = _masked(rows, classes)
