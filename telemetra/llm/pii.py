@@ -2,7 +2,7 @@
 confirm them, words nearby adjust the score.
 
 Per kind, matches are leftmost and do not overlap; a match that fails its check is
-dropped and not tried again.  The patterns are written so that each scans a text
+dropped and not tried again (an IBAN's is: from the next word in it).  The patterns are written so that each scans a text
 in linear time (runs of digits are entered at their first digit only and never
 given back; e-mail candidates are grown around each ``@``).
 
@@ -97,15 +97,20 @@ def phones(text: str):
 
 
 def ibans(text: str):
-    """The longest prefix of the match that passes mod 97 and ends at a word end."""
-    for m in _IBAN.finditer(text):
+    """The longest prefix of the match that passes mod 97 and ends at a word end; the
+    search goes on behind it, or at the next word of a match without one."""
+    m = _IBAN.search(text)
+    while m:
+        at = m.start() + 1
         for end in range(m.end(), m.start() + 14, -1):
             if text[end - 1] == " " or end < len(text) and text[end].isalnum():
                 continue
             value = text[m.start():end].replace(" ", "")
             if 15 <= len(value) <= 34 and mod97(value):
                 yield m.start(), end
+                at = end
                 break
+        m = _IBAN.search(text, at)
 
 
 def national_ids(text: str):
