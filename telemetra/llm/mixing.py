@@ -13,8 +13,10 @@ Offsets are prefix sums of sizes within a source in md5(id) order.  A source is
 cut into hash buckets (one per shuffle partition and 100,000 rows at least), each
 bucket's total is summed first, and the running sum inside a bucket starts from
 the total of the buckets before it: a source with a third of all rows is spread
-over all tasks.  The table of sources (one row each) is broadcast; more than
-``MAX_SOURCES`` are refused.
+over all tasks.  What is known of a source is joined to the totals of its buckets,
+and these to the rows, by source and bucket: no table of sources is broadcast.  Up
+to ``FEW_SOURCES`` are ranked and filled in one task, more by prefix sums over
+ranges, with the same result.
 
 Defined results: a null text has size 0 and is never taken; null sources form one
 source, last in order; a null id orders as the empty string; rows that repeat an
@@ -29,9 +31,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.hscan import prefix_sums
 from .common import cut_lineage, default_partitions, pick, with_outputs
 
-MAX_SOURCES = 100_000
+#: Sources that one task ranks and fills.
+FEW_SOURCES = 100_000
 BUCKET_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 #: Density over training time as (time, weight) knots, taken in turn by the sources.
@@ -61,17 +65,21 @@ def inverse_demand(knots, u: Column) -> Column:
     return out
 
 
+def _weight(rank: Column, weights) -> Column:
+    return F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
+
+
+def _target() -> Column:
+    return F.least(F.col("cap").cast("double"), F.col("level") * F.col("w")).alias("target")
+
+
 def source_targets(sources: DataFrame, weights, max_repeats: int, share: float) -> DataFrame:
     """sources (src, source_size) -> rank, target: water filling in closed form.
     With sources in order of cap / weight, the level is the largest of
     (words - caps before) / (weights from here on)."""
     by_name = Window.orderBy(F.col("src").asc_nulls_last())
-    ranked = sources.withColumn("rank", F.row_number().over(by_name) - 1)
-    ranked = ranked.withColumns({
-        "w": F.element_at(F.array(*[F.lit(int(w)) for w in weights]),
-                          (F.col("rank") % len(weights) + 1).cast("int")),
-        "cap": F.col("source_size") * max_repeats,
-    })
+    ranked = sources.withColumn("rank", (F.row_number().over(by_name) - 1).cast("long"))
+    ranked = ranked.withColumns({"w": _weight(F.col("rank"), weights), "cap": F.col("source_size") * max_repeats})
     filling = Window.orderBy(F.col("cap") / F.col("w"), "rank")
     before = filling.rowsBetween(Window.unboundedPreceding, -1)
     onward = filling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -80,8 +88,23 @@ def source_targets(sources: DataFrame, weights, max_repeats: int, share: float)
     level = (words - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("w").over(onward)
     return (ranked.withColumn("level", level)
             .withColumn("level", F.max("level").over(everything))
-            .select("src", "source_size", "rank",
-                    F.least(F.col("cap").cast("double"), F.col("level") * F.col("w")).alias("target")))
+            .select("src", "source_size", "rank", _target()))
+
+
+def many_source_targets(sources: DataFrame, weights, max_repeats: int, share: float,
+                        ranges: int | None = None) -> DataFrame:
+    """:func:`source_targets` by prefix sums over ranges of sources."""
+    named = sources.select("src", "source_size", F.lit(1).cast("long").alias("one"), F.struct(
+        F.col("src").isNull().alias("no"), F.coalesce("src", F.lit("")).alias("name")).alias("by"))
+    ranked = prefix_sums(named, [], "by", ["one"], ranges).select(
+        "src", "source_size", (F.col("cum_one") - 1).alias("rank"))
+    ranked = ranked.withColumns({"w": _weight(F.col("rank"), weights), "cap": F.col("source_size") * max_repeats})
+    ranked = ranked.withColumn("by", F.struct((F.col("cap") / F.col("w")).alias("fill"), "rank"))
+    filled = prefix_sums(ranked, [], "by", ["cap", "w", "source_size"], ranges)
+    words = F.col("total_source_size") * F.lit(float(share))
+    level = filled.agg(F.max((words - (F.col("cum_cap") - F.col("cap")))
+                             / (F.col("total_w") - F.col("cum_w") + F.col("w"))).alias("level"))
+    return filled.crossJoin(F.broadcast(level)).select("src", "source_size", "rank", _target())
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -101,25 +124,24 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sources = cut_lineage(sized.groupBy(F.col("__mx_src").alias("src"))
                           .agg(F.sum("__mx_size").alias("source_size"), F.count(F.lit(1)).alias("n")))
     known = sources.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()
-    if known["k"] > MAX_SOURCES:
-        raise ValueError(f"{known['k']} sources; {MAX_SOURCES} at most are supported")
     buckets = max(default_partitions(spark), math.ceil(known["n"] / BUCKET_ROWS))
-    plan = source_targets(sources.drop("n"), weights, max_repeats, share).select(
-        F.col("src").alias("__mx_key"), F.col("source_size").alias("__mx_ssize"),
+    targets = source_targets if known["k"] <= FEW_SOURCES else many_source_targets
+    plan = targets(sources.drop("n"), weights, max_repeats, share).select(
+        _key(F.col("src")).alias("__mx_key"), F.col("source_size").alias("__mx_ssize"),
         F.col("rank").alias("__mx_rank"), F.col("target").alias("__mx_target"))
-    base = (base.join(F.broadcast(plan), F.col("__mx_src").eqNullSafe(F.col("__mx_key")))
+    base = (base.withColumn("__mx_key", _key(F.col("__mx_src")))
             .withColumn("__mx_bucket", F.floor(
                 F.conv(F.substring("__mx_ord", 1, 8), 16, 10).cast("long") * buckets / (1 << 32)).cast("int")))
 
-    totals = base.groupBy("__mx_rank", "__mx_bucket").agg(F.sum("__mx_size").alias("t"))
-    ahead = (Window.partitionBy("__mx_rank").orderBy("__mx_bucket")
+    totals = base.groupBy("__mx_key", "__mx_bucket").agg(F.sum("__mx_size").alias("t"))
+    ahead = (Window.partitionBy("__mx_key").orderBy("__mx_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("__mx_rank", "__mx_bucket",
-                            F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("__mx_ahead"))
-    inside = (Window.partitionBy("__mx_rank", "__mx_bucket")
+    offsets = totals.select("__mx_key", "__mx_bucket",
+                            F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("__mx_ahead")).join(plan, "__mx_key")
+    inside = (Window.partitionBy("__mx_key", "__mx_bucket")
               .orderBy("__mx_ord", "__mx_size", F.xxhash64(pick(text_col).cast("string")))
               .rowsBetween(Window.unboundedPreceding, -1))
-    rows = base.join(offsets, ["__mx_rank", "__mx_bucket"]).withColumn(
+    rows = base.join(offsets, ["__mx_key", "__mx_bucket"]).withColumn(
         "__mx_start", F.col("__mx_ahead") + F.coalesce(F.sum("__mx_size").over(inside), F.lit(0)))
     goal = F.round("__mx_target").cast("long")
     parts = [F.greatest(F.lit(0), F.least(F.col("__mx_size"), goal - F.col("__mx_start") - F.col("__mx_ssize") * e))
@@ -135,6 +157,11 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                "copy_words": "__mx_parts"}, docs.columns)
 
 
+def _key(src: Column) -> Column:
+    """A source as a key that is never null."""
+    return F.when(src.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), src))
+
+
 def _time(u: Column, schedules) -> Column:
     u = F.least(F.lit(1.0), u)
     out = inverse_demand(schedules[-1], u)
