@@ -58,18 +58,19 @@ def s3_dedup_events(spark, sf_dir):
 def s5_scoring_lineitem(spark, sf_dir):
     """Streaming scoring: contract check, quarantine of violating rows, robust
     z-scores with frozen parameters (fitted on the reference period) and a
-    flag when any |z| exceeds 3.  Both sinks are read back and counted."""
+    flag when any |z| exceeds 3.  The sinks hold the whole rows (scaled measures and
+    flag; given values and violations) and are read back and counted."""
     li = table(spark, sf_dir, "lineitem")
     params = D.fit_robust_scaler(reference_period(li), MEASURES)
     st = S.read_stream(spark, sf_dir, li.schema, file_glob="lineitem.parquet")
     checked = Q.contract_violations(st, "l_returnflag", ["A", "N"], ["l_quantity", "l_extendedprice"],
                                     ["l_discount", "l_tax"])
     valid, quarantine = S.split_contract(checked.drop("valid"))
-    scaled = D.apply_robust_scaler(valid.select(*MEASURES), params, MEASURES)
+    scaled = D.apply_robust_scaler(valid, params, MEASURES)
     flag = F.greatest(*[F.abs(F.col(c)) for c in MEASURES]) > 3
-    scored = scaled.select(flag.cast("int").alias("prediction"))
+    scored = scaled.withColumn("prediction", flag.cast("int"))
     good, _ = S.run_available_now(scored, "s5_scored")
-    bad, _ = S.run_available_now(quarantine.select(F.lit(1).alias("q")), "s5_quarantine")
+    bad, _ = S.run_available_now(quarantine, "s5_quarantine")
     return (good.groupBy(F.lit("scored").alias("sink"), "prediction").agg(F.count(F.lit(1)).alias("rows"))
             .unionByName(bad.groupBy(F.lit("quarantine").alias("sink"),
                                      F.lit(None).cast("int").alias("prediction"))

@@ -120,6 +120,13 @@ def domain_offenders(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
                      .alias(k) for k in checks])
 
 
+def offender_table(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Every offending value, (check, value, count)."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("check"), v.cast("string").alias("value")) for k, v in checks.items()])
+    return (df.select(F.explode(pairs).alias("p")).select("p.check", "p.value").where(F.col("value").isNotNull())
+            .groupBy("check", "value").agg(F.count(F.lit(1)).alias("count")))
+
+
 def _offender_detail(c: str, col: str) -> Column:
     o = F.col(col)
     return F.when(o["n"] > 0, F.concat(F.lit(c + ":"), o["n"].cast("string"), F.lit(" values "),

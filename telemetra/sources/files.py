@@ -4,6 +4,7 @@ report / log sinks."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,29 +36,43 @@ def read_csv_tolerant(spark: SparkSession, path: str, expected: Sequence[str],
     doubled quotes, trimmed cells, blank rows skipped, decimal comma, upper-cased
     categories; header checks (empty, duplicate, missing, extra) are returned
     as a report.  Numbers are ``try_cast`` so bad cells become NULL instead of
-    failing the job."""
+    failing the job.  Lines with more or fewer cells than the header are no rows:
+    they are in the report as the table ``rejects`` (line).  A repeated or empty
+    header gets its position as a suffix or as its name."""
     sep = detect_separator(spark, path)
-    raw = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
+    first = spark.read.text(path).limit(1).collect()
+    head = first[0][0].lstrip("\ufeff") if first else ""
+    names = [c.strip() for c in next(csv.reader([head], delimiter=sep, skipinitialspace=True), [])]
+    columns = [n if n and names.count(n) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names)]
+    bad = "_corrupt_record"
+    while bad in columns:
+        bad = "_" + bad
+    schema = T.StructType([T.StructField(f"{i}", T.StringType()) for i in range(len(columns))]
+                          + [T.StructField(bad, T.StringType())])
+    raw = (spark.read.schema(schema).option("header", True).option("sep", sep).option("quote", '"')
            .option("escape", '"').option("ignoreLeadingWhiteSpace", True)
-           .option("ignoreTrailingWhiteSpace", True).csv(path))
-    names = [c.lstrip("﻿").strip() for c in raw.columns]
+           .option("ignoreTrailingWhiteSpace", True).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", bad).csv(path))
+    # parsed once: rows and rejects read it, and column pruning would hide ragged lines
+    raw = cut_lineage(raw) if columns else spark.createDataFrame([], schema)
     report = {
         "separator": sep,
         "empty_header": any(n == "" for n in names),
         "duplicate_header": sorted({n for n in names if names.count(n) > 1}),
         "missing": sorted(set(expected) - set(names)),
         "extra": sorted(set(names) - set(expected)),
+        "rejects": raw.where(F.col(bad).isNotNull()).select(F.col(bad).alias("line")),
     }
-    df = raw.toDF(*names)
+    df = raw.where(F.col(bad).isNull()).drop(bad).toDF(*columns)
     nonblank = F.lit(False)
-    for c in names:
+    for c in columns:
         nonblank = nonblank | (F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")) != "")
     df = df.where(nonblank)
     for c in numeric:
-        if c in names:
+        if c in columns:
             df = df.withColumn(c, F.expr(f"try_cast(regexp_replace(trim(`{c}`), ',', '.') AS DOUBLE)"))
     for c in upper:
-        if c in names:
+        if c in columns:
             df = df.withColumn(c, F.upper(F.trim(F.col(f"`{c}`"))))
     return df, report
 
