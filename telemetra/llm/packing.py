@@ -30,6 +30,8 @@ from .tokens import blocks, encoder
 
 #: Documents whose pieces a block gets on average.
 BLOCK_DOCS = 1024
+#: Bytes of text of a block at most, on average (its ids are no more).
+BLOCK_BYTES = 16_000_000
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "segment int, loss_tokens long, ids binary")
 
@@ -106,7 +108,8 @@ def pack(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), end_id: in
         pick(id_col).cast("long").alias("doc_id"), pick(text_col).cast("string").alias("text"),
         (F.coalesce(pick(prompt_tokens_col).cast("long"), F.lit(0)) if prompt_tokens_col
          else F.lit(0).cast("long")).alias("head"))
-    n_blocks = max(1, -(-docs.count() // BLOCK_DOCS))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
+    n_blocks = max(1, -(-size["n"] // BLOCK_DOCS), -(-size["b"] // BLOCK_BYTES))
     piece_limit = min(limits.tokens, limits.loss)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
