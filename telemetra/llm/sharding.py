@@ -5,10 +5,11 @@ per slot; the slots (at most ``n_slots`` rows, so they may be collected) are giv
 to shards largest first, each to the shard with fewest bytes, and the
 slot-to-shard map is stored as a numbered version.  Growing or rebalancing edits
 the map: version k + 1 moves as few slots as needed and no record is hashed anew.
+A map names all slots, those without rows too, so that later rows have their place.
 
 Defined results: a null text has no bytes (size 8, the record's fixed cost); a
 null id hashes as null with its text; identical rows share a slot; an empty table
-gives an empty result and an empty map; input columns named like an output are
+gives an empty result and a map of empty slots; input columns named like an output are
 replaced.
 """
 
@@ -78,30 +79,74 @@ def grown_map(shards: dict[int, int], totals, n_shards: int) -> dict[int, int]:
     return out
 
 
-def store_map(spark: SparkSession, folder: str, version: int, shards: dict[int, int], totals) -> DataFrame:
-    """Write one version of the map and read it back; ``row_base`` is the number
-    of rows in the lower slots of the same shard."""
+def _map_rows(shards: dict[int, int], totals) -> list[tuple]:
+    """``MAP_SCHEMA`` of every slot; ``row_base`` is the number of rows in the lower
+    slots of the same shard."""
     base: dict[int, int] = {}
-    rows = []
-    for slot, size, n in sorted(totals):
-        shard = shards[slot]
+    rows, known = [], {slot: (size, n) for slot, size, n in totals}
+    for slot in sorted(shards):
+        shard, (size, n) = shards[slot], known.get(slot, (0, 0))
         rows.append((slot, shard, size, n, base.get(shard, 0)))
         base[shard] = base.get(shard, 0) + n
+    return rows
+
+
+def store_map(spark: SparkSession, folder: str, version: int, shards: dict[int, int], totals) -> DataFrame:
+    """Write one version of the map and read it back."""
     path = f"{folder}/version={version}"
-    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.parquet(path)
+    spark.createDataFrame(_map_rows(shards, totals), MAP_SCHEMA).coalesce(1).write.parquet(path)
     return spark.read.schema(MAP_SCHEMA).parquet(path)
 
 
+def newest_version(spark: SparkSession, folder: str) -> int:
+    """The number of the newest stored map, 0 if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return max((int(n[8:]) for n in names if n.startswith("version=") and n[8:].isdigit()), default=0)
+
+
+def stored_map(spark: SparkSession, folder: str, version: int, n_slots: int = N_SLOTS) -> dict[int, int]:
+    rows = spark.read.schema(MAP_SCHEMA).parquet(f"{folder}/version={version}").collect()
+    shards = {row["virtual_slot"]: row["shard"] for row in rows}
+    if sorted(shards) != list(range(n_slots)):
+        raise ValueError(f"version {version} is not a map of {n_slots} slots")
+    return shards
+
+
+def rebalance(docs: DataFrame, n_shards: int, map_folder: str, id_col: str = "doc_id", text_col: str = "text",
+              n_slots: int = N_SLOTS) -> int:
+    """Grow the newest stored map from ``n_shards`` by one shard, by the bytes of
+    ``docs``, and store it as the next version, whose number is returned."""
+    spark = docs.sparkSession
+    version = newest_version(spark, map_folder)
+    if not version:
+        raise ValueError(f"no stored map in {map_folder}")
+    shards = stored_map(spark, map_folder, version, n_slots)
+    known = {slot: (size, n) for slot, size, n in slot_totals(with_slots(docs, id_col, text_col, n_slots))}
+    totals = [(slot, *known.get(slot, (0, 0))) for slot in range(n_slots)]
+    store_map(spark, map_folder, version + 1, grown_map(shards, totals, n_shards), totals)
+    return version + 1
+
+
 def assign_shards(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
-                  n_slots: int = N_SLOTS, map_folder: str | None = None) -> DataFrame:
+                  n_slots: int = N_SLOTS, map_folder: str | None = None, version: int | None = None) -> DataFrame:
     """Every row of ``docs`` with ``size``, ``text_crc32``, ``virtual_slot``,
     ``shard`` and ``slot`` (its place in the shard, gapless from 0).  The shard of a
-    row follows the stored map (version 1 in ``map_folder``), balanced by bytes."""
+    row follows the stored map in ``map_folder``: ``version`` of it, by default the
+    newest; where there is none, version 1 is made, balanced by bytes."""
     spark = docs.sparkSession
     rows = with_slots(docs, id_col, text_col, n_slots)
     totals = slot_totals(rows)
     folder = map_folder or shared_folder(spark, "slot_maps")
-    table = store_map(spark, folder, 1, balanced_map(totals, n_shards), totals).select(
+    version = version or (newest_version(spark, map_folder) if map_folder else 0)
+    if version:
+        stored = stored_map(spark, folder, version, n_slots)
+        table = spark.createDataFrame(_map_rows(stored, totals), MAP_SCHEMA)
+    else:
+        shards = {slot: slot % n_shards for slot in range(n_slots)} | balanced_map(totals, n_shards)
+        table = store_map(spark, folder, 1, shards, totals)
+    table = table.select(
         F.col("virtual_slot").alias("__sh_vslot"), F.col("shard").alias("__sh_shard"),
         F.col("row_base").alias("__sh_base"))
     place = Window.partitionBy("__sh_slot").orderBy("__sh_hash", F.col("__sh_id"))
