@@ -17,29 +17,37 @@ from telemetra.llm.queries import vocabulary
 from telemetra.sources.tables import table
 
 
-def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*[pick(c) for c in like.columns])
+#: Columns that the stages read; the others are only carried.
+READ = ("doc_id", "text", "lang", "source")
+
+
+def _carrying(docs: DataFrame, operator) -> DataFrame:
+    """``operator`` over ``docs`` and the columns of ``docs`` from its result: the
+    carried ones go through under names that no operator gives."""
+    names = {c: c if c.lower() in READ else f"__cp_{i}" for i, c in enumerate(docs.columns)}
+    out = operator(docs.select(*[pick(c).alias(n) for c, n in names.items()]))
+    return out.select(*[pick(n).alias(c) for c, n in names.items()])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without text or letters go."""
     model = language_id.train(docs.where(~language_id.held_out()))
-    return _columns(language_id.identify(docs, model).where(F.col("lang_pred") != "und"), docs)
+    return _carrying(docs, lambda d: language_id.identify(d, model).where(F.col("lang_pred") != "und"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
-    return _columns(exact_dedup.exact_dedup(docs).where("kept"), docs)
+    return _carrying(docs, lambda d: exact_dedup.exact_dedup(d).where("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked texts (five-word shingles, similarity 0.8 or more) the smallest id."""
-    return _columns(jaccard_join.near_distinct(docs, words=5, percent=80), docs)
+    return _carrying(docs, lambda d: jaccard_join.near_distinct(d, words=5, percent=80))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole copies of documents in training order, sources at their target weights."""
-    return _columns(mixing.mix_copies(docs), docs)
+    return _carrying(docs, mixing.mix_copies)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
