@@ -14,7 +14,8 @@ cut into hash buckets (one per shuffle partition and 100,000 rows at least), eac
 bucket's total is summed first, and the running sum inside a bucket starts from
 the total of the buckets before it: a source with a third of all rows is spread
 over all tasks.  What is known of a source is joined to the totals of its buckets,
-and these to the rows, by source and bucket: no table of sources is broadcast.  Up
+and these to the rows, by source and bucket: no broadcast is
+forced.  Up
 to ``FEW_SOURCES`` are ranked and filled in one task, more by prefix sums over
 ranges, with the same result.
 
