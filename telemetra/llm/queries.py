@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from . import exact_dedup as dedup
-from . import jaccard_join, language_id, mixing, packing, pii, sharding, token_files, topk, warc
+from . import bpe_automaton, fim, jaccard_join, language_id, mixing, packing, pii, sharding, token_files, topk, warc
 
 
 def vocabulary(name: str) -> str:
@@ -87,6 +87,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(docs, words=4, percent=85)
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = vocabulary("word_bpe_49k.json")
+    return bpe_automaton.decode(bpe_automaton.encode(docs, words), words).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = fim.fill_in_middle(docs, seed=7, transform=100, spm=50)
+    own = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256")
+    return fim.restored(out, keep=own).select(*own, "restored_sha256")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -98,6 +114,8 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_bpe": op11_bpe,
+    "op12_fim": op12_fim,
 }
 
 SQL = {
@@ -160,4 +178,28 @@ SQL = {
         r AS (
           SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op12_fim": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+                 regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u
+          FROM documents),
+        k AS (
+          SELECT *, CAST(len(u) AS BIGINT) AS n,
+                 CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS x,
+                 CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+                 CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+          FROM d),
+        c AS (
+          SELECT *, array_to_string(u[1:least(x, y)], '') AS pre, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS mid,
+                 array_to_string(u[greatest(x, y) + 1:], '') AS suf,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+                      THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+          FROM k)
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                                ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM c""",
 }
