@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from . import exact_dedup as dedup
-from . import bpe_automaton, fim, jaccard_join, language_id, mixing, packing, pii, sharding, token_files, topk, warc
+from . import alignment, bpe_automaton, fim, jaccard_join, language_id, mixing, packing, pii, sharding, token_files, topk, warc
 
 
 def vocabulary(name: str) -> str:
@@ -103,6 +103,12 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.restored(out, keep=own).select(*own, "restored_sha256")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), digest=True).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_packing": op2_packing,
@@ -116,6 +122,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_bpe": op11_bpe,
     "op12_fim": op12_fim,
+    "op13_alignment": op13_alignment,
 }
 
 SQL = {
