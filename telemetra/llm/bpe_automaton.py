@@ -39,6 +39,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -106,9 +107,6 @@ class Automaton:
         suffix = model.get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.size = max(vocab.values()) + 1
-        self.labels = [""] * self.size
-        for s, i in vocab.items():
-            self.labels[i] = s
         self.left, self.right = np.full(self.size, -1, np.int64), np.full(self.size, -1, np.int64)
         self.born = np.full(self.size, -1, np.int64)            # the merge that made the token
         self._compile([(vocab[a], vocab[b], vocab[a + b]) for a, b in merges], vocab.values())
@@ -291,9 +289,6 @@ class AutomatonEncoder(Encoder):
         longest = sorted(self.specials, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.byte_of = {ord(c): b for b, c in _byte_chars().items()}
-        self.joiner = " " if settings["decoder"] is None else None
-        if settings["decoder"] is not None and settings["decoder"]["type"] != "ByteLevel":
-            raise ValueError(f"no decoder {settings['decoder']['type']}")
         super().__init__(path)
 
     def _words(self, words: list[str], into: dict[str, bytes]) -> list[str]:
@@ -329,36 +324,45 @@ class AutomatonEncoder(Encoder):
         return self._packed([[i for p in own for i in ([p] if isinstance(p, int) else
                                                       [x for w in p for x in ids[w]])] for own in parts])
 
-    def decode_all(self, ids: pa.ListArray) -> pa.Array:
-        """The text of each list of ids: the labels on their arcs."""
-        flat, offsets = ids.flatten(), np.asarray(ids.offsets, np.int64)
-        offsets = offsets - offsets[0]
-        labels = self._labels()
-        taken = labels.take(flat.cast(pa.int64()))
-        lists = pa.LargeListArray.from_arrays(pa.array(offsets), taken)
-        if self.joiner is not None:
-            return pc.binary_join(lists, pa.scalar(self.joiner, taken.type))
-        joined = pc.binary_join(lists, pa.scalar("", taken.type)).to_pylist()
-        return pa.array([s.translate(self.byte_of).encode("latin-1").decode("utf-8", "replace") for s in joined],
-                        pa.large_string())
 
-    def _labels(self) -> pa.Array:
-        if not hasattr(self, "_label_array"):
-            known = self.automaton.labels + [""] * (max([-1, *self.specials.values()]) + 1 - self.automaton.size)
-            for s, i in self.specials.items():
-                known[i] = s
-            self._label_array = pa.array(known, pa.large_string())
-        return self._label_array
+class Labels:
+    """The labels of a vocabulary's arcs: ids to text."""
 
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            settings = json.load(f)
+        decoder = settings["decoder"]
+        if decoder is not None and decoder["type"] != "ByteLevel":
+            raise ValueError(f"no decoder {decoder['type']}")
+        self.joiner = " " if decoder is None else ""
+        self.byte_of = {ord(c): b for b, c in _byte_chars().items()} if decoder else None
+        named = settings["model"]["vocab"] | {t["content"]: t["id"] for t in settings["added_tokens"]}
+        known = [""] * (max(named.values()) + 1)
+        for label, i in named.items():
+            known[i] = label
+        self.known = pa.array(known, pa.large_string())
 
-_KNOWN: dict[str, AutomatonEncoder] = {}
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The text of each list of ids."""
+        offsets = np.asarray(ids.offsets, np.int64)
+        labels = self.known.take(ids.flatten().cast(pa.int64()))
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0]), labels)
+        joined = pc.binary_join(lists, pa.scalar(self.joiner, labels.type))
+        if self.byte_of is None:
+            return joined
+        return pa.array([s.translate(self.byte_of).encode("latin-1").decode("utf-8", "replace") for s in joined.to_pylist()],
+                        pa.large_string())
 
 
+@lru_cache(maxsize=4)
 def automaton_encoder(path: str) -> AutomatonEncoder:
     """One compiled automaton per worker process and file."""
-    if path not in _KNOWN:
-        _KNOWN[path] = AutomatonEncoder(path)
-    return _KNOWN[path]
+    return AutomatonEncoder(path)
+
+
+@lru_cache(maxsize=4)
+def labels(path: str) -> Labels:
+    return Labels(path)
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -389,7 +393,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     name = ship_file(spark, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = automaton_encoder(shipped_path(name))
+        known = labels(shipped_path(name))
         for batch in batches:
             rows = max(1, min(1000, (1 << 20) * len(batch) // max(1, len(batch.column(1).flatten()))))
             for a in range(0, len(batch), rows):
@@ -397,7 +401,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
                 ids = part.column(1)
                 if ids.null_count:
                     ids = pa.array([x or [] for x in ids.to_pylist()], ids.type)
-                text = enc.decode_all(ids).cast(pa.string())
+                text = known.decode_all(ids).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, text], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(lambda b: released(run(b)), "doc_id long, ids array<int>, decoded string")

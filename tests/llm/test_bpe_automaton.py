@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemetra.llm import bpe_automaton, queries
-from telemetra.llm.bpe_automaton import Automaton, AutomatonEncoder
+from telemetra.llm.bpe_automaton import Automaton, AutomatonEncoder, Labels
 
 P = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
@@ -27,7 +27,7 @@ def test_encoder_and_decoder_equal_the_library(name):
     lists = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
     assert lists == [library.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
     array = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
-    assert own.decode_all(array).to_pylist() == [library.decode(x, skip_special_tokens=False) for x in lists]
+    assert Labels(P.path(name)).decode_all(array).to_pylist() == [library.decode(x, skip_special_tokens=False) for x in lists]
 
 
 def _toy(merges):
