@@ -34,6 +34,8 @@ columns other than id and text are ignored.
 
 from __future__ import annotations
 
+import json
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -48,7 +50,7 @@ from .common import default_partitions, pick, released, ship_file, ship_package,
 from .tokens import Encoder, _byte_chars, blocks
 
 #: Texts of more bytes are dealt out as ranges of so many.
-CHUNK_BYTES = 1 << 14
+CHUNK_BYTES = 1 << 16
 #: Neighbouring fragments that are composed in one round.
 FAN = 16
 #: Rows of one broadcast table of pair counts, about.
@@ -58,6 +60,11 @@ BLOCK_BYTES = 1 << 21
 #: Distinct pieces whose ids a worker remembers; beyond it the memory is emptied.
 REMEMBERED = 250_000
 
+#: How a byte-level file splits a text into words (fixed by the format).
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Pieces of characters that every engine's tables class alike.
+_PLAIN = "^[ \n][!-~À-ÖØ-öø-ÿ]{1,64}$"
+
 LINKS = "array<struct<a: int, b: int, n: int>>"
 ALIGNED = f"doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, links {LINKS}"
 
@@ -74,6 +81,11 @@ class Tokens:
     b_from: np.ndarray
     whole: np.ndarray          # both spell the space and the text
 
+    def of(self, i: int) -> Tokens:
+        """Those of one text."""
+        (a, a_to), (b, b_to) = self.a_from[i:i + 2], self.b_from[i:i + 2]
+        return Tokens(self.a[a:a_to], self.b[b:b_to], np.array([0, a_to - a]), np.array([0, b_to - b]), self.whole[i:i + 1])
+
 
 class Pair:
     """The two tokenizers of a worker."""
@@ -97,21 +109,68 @@ class Pair:
         # cutting before a space or a line end needs that no B token goes across
         if any(" " in t.lstrip(b" ").decode("utf-8", "replace") or (b"\n" in t and t != b"\n") for t in self.bytes_b):
             raise ValueError("a token of B goes across a space or line end")
+        self.label_a, self.label_b = (pa.array(x, pa.large_binary()) for x in (self.bytes_a, self.bytes_b))
         self.length_a = np.array([len(t) for t in self.bytes_a], np.int64)
         self.length_b = np.array([len(t) for t in self.bytes_b], np.int64)
         top = max(len(self.bytes_a), len(self.bytes_b))
         #: decimal ids, each with the four ends a token can have in the groups' text
         self.written = pa.array([f"{i}{end}" for i in range(top) for end in ("", ",", "|", ";")], pa.large_string())
         self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.ranked = self._ranked(path_a)
+
+    def _ranked(self, path_a: str):
+        """A as ranks of its tokens' bytes, read by tiktoken: fit for pieces of plain
+        letters, many in one call; None where A's file is not of that kind or a probe
+        differs."""
+        import tiktoken
+
+        with open(path_a, encoding="utf-8") as f:
+            settings = json.load(f)
+        split, model = settings["pre_tokenizer"] or {}, settings["model"]
+        made = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if (settings["normalizer"] is not None or split.get("type") != "ByteLevel" or not split.get("use_regex")
+                or split.get("add_prefix_space") or made != sorted(made) or model.get("end_of_word_suffix")):
+            return None
+        ranks = {t: i for i, t in enumerate(self.bytes_a) if t}
+        found = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        probe = " the quick\nBrown été can't ÄÖ 12ab x_y (z).\n\n a"
+        return found if found.encode_ordinary(probe) == self.a.library.encode(probe, add_special_tokens=False).ids else None
+
+    def _ids_a(self, pieces: list[str]) -> dict[str, bytes]:
+        """A's ids of distinct pieces."""
+        out: dict[str, bytes] = {}
+        rest = pieces
+        if self.ranked is not None:
+            plain = pc.match_substring_regex(pa.array(pieces, pa.string()), _PLAIN).to_pylist()
+            told, rest = [p for p, ok in zip(pieces, plain) if ok], [p for p, ok in zip(pieces, plain) if not ok]
+            flat = np.array(self.ranked.encode_ordinary("".join(told)), np.int64)
+            ends = np.cumsum(np.fromiter((len(p.encode()) for p in told), np.int64, len(told)))
+            cut = np.searchsorted(np.cumsum(self.length_a[flat]), ends, "right").tolist()
+            packed, width = flat.astype(self.a.dtype).tobytes(), self.a.dtype.itemsize
+            out = {p: packed[i * width:j * width] for p, i, j in zip(told, [0, *cut], cut)}
+        out.update(zip(rest, self.a._whole(rest)))
+        return out
 
     def _spelled(self, texts: list[str], ids_a: list[bytes], ids_b: list[list[int]]):
-        out = []
-        for t, a, b in zip(texts, ids_a, ids_b):
-            data = t.encode()
-            same = data == b"".join([self.bytes_b[i] for i in b]) and data == b"".join(
-                [self.bytes_a[i] for i in np.frombuffer(a, self.a.dtype).tolist()])
-            out.append((a, np.array(b, "<i4").tobytes(), same))
-        return out
+        """(A ids, B ids, whether both spell the text) of each text."""
+        packed_b = [array("i", x).tobytes() for x in ids_b]
+        data = [t.encode() for t in texts]
+        flat_a = np.frombuffer(b"".join(ids_a), self.a.dtype)
+        flat_b = np.frombuffer(b"".join(packed_b), np.int32)
+        size_a = np.fromiter(map(len, ids_a), np.int64, len(data)) // self.a.dtype.itemsize
+        size_b = np.fromiter(map(len, packed_b), np.int64, len(data)) // 4
+        want, size = b"".join(data), np.fromiter(map(len, data), np.int64, len(data))
+        same = np.ones(len(data), bool)
+        for flat, sizes, labels in ((flat_a, size_a, self.label_a), (flat_b, size_b, self.label_b)):
+            told = labels.take(pa.array(flat.astype(np.int32)))
+            ends = np.asarray(told.buffers()[1]).view(np.int64)[:len(told) + 1]
+            upto = ends[np.cumsum(sizes)]
+            found = told.buffers()[2].to_pybytes() if told.buffers()[2] else b""
+            if found[:len(want)] == want and upto[-1] == len(want) and (upto == np.cumsum(size)).all():
+                continue
+            begin = np.concatenate([[0], upto[:-1]])            # some text is not spelled: which
+            same &= np.array([found[x:y] == d for x, y, d in zip(begin.tolist(), upto.tolist(), data)], bool)
+        return list(zip(ids_a, packed_b, same.tolist()))
 
     def _pieces(self, pieces: list[str]) -> list[tuple[bytes, bytes, bool]]:
         """Both tokenizers' ids of pieces that begin with a space or a line end."""
@@ -120,9 +179,7 @@ class Pair:
         new = [p for p in pieces if p not in self.known]
         own: dict[str, tuple[bytes, bytes, bool]] = {}
         if new:
-            ids_a: dict[str, bytes] = {}
-            rest = self.a._words(new, ids_a)
-            ids_a.update(zip(rest, self.a._whole(rest)))
+            ids_a = self._ids_a(new)
             ids_b = self.b.encode([p[1:] if p[0] == " " else p for p in new], num_threads=1)
             ids_b = [i if p[0] == " " else i[1:] for p, i in zip(new, ids_b)]     # without the added space
             own = dict(zip(new, self._spelled(new, [ids_a[p] for p in new], ids_b)))
@@ -265,34 +322,50 @@ class Grouped:
     times: np.ndarray
 
 
+def _merged(a_end: np.ndarray, b_end: np.ndarray):
+    """The distinct ends of both sides in order, with the ends of A and of B up to and
+    including each."""
+    ends = np.concatenate([a_end, b_end])
+    order = np.argsort(ends, kind="stable")          # two sorted runs: one merge
+    ends, of_a = ends[order], order < len(a_end)
+    keep = np.append(ends[1:] != ends[:-1], True) if len(ends) else np.zeros(0, bool)
+    upto_a = np.cumsum(of_a)
+    return ends[keep], upto_a[keep], (np.arange(1, len(ends) + 1) - upto_a)[keep]
+
+
 def grouped(pair: Pair, a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, text_end: np.ndarray) -> Grouped:
     """Align the tokens of texts that lie one after the other; ``text_end`` are the ends
     of the texts (each a common end; texts without tokens repeat the one before)."""
-    n_texts = len(text_end)
-    common = np.intersect1d(a_end, b_end, assume_unique=True)
-    per_text = np.searchsorted(common, text_end, "right")
-    n_groups = np.diff(per_text, prepend=0)
+    stretch, upto_a, upto_b = _merged(a_end, b_end)
+    from_a, from_b = np.concatenate([[0], upto_a[:-1]]), np.concatenate([[0], upto_b[:-1]])
+    from_a, from_b = from_a[:len(stretch)], from_b[:len(stretch)]
+    ends_a, ends_b = upto_a > from_a, upto_b > from_b
+    common = ends_a & ends_b
+    before = np.cumsum(common) - common                 # common ends before each end
     # links: the stretches between neighbouring ends
-    stretch = np.union1d(a_end, b_end)
-    linked = (a[np.searchsorted(a_end, stretch)] << 32) | b[np.searchsorted(b_end, stretch)]
-    text = np.searchsorted(text_end, stretch)
-    n_links = np.bincount(text, minlength=n_texts)
-    ids, code = np.unique(linked, return_inverse=True)
-    key, times = np.unique(text * max(1, len(ids)) + code, return_counts=True)
+    upto = np.searchsorted(stretch, text_end, "right")
+    n_links = np.diff(upto, prepend=0)
+    n_groups = np.diff(np.concatenate([[0], np.cumsum(common)])[upto], prepend=0)
+    top = np.int64(len(pair.bytes_b))
+    every = len(pair.bytes_a) * top
+    key = np.sort(np.repeat(np.arange(len(text_end)), n_links) * every + a[from_a] * top + b[from_b])
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    times = np.diff(np.append(first, len(key)))
+    text, linked = key[first] // every, key[first] % every
     # text: the tokens of a group, A before B, each with what stands behind it
-    group_a, group_b = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
-    at_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")
-    at_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
-    ends_a = np.where(np.diff(group_a, append=-1) != 0, 2, 1)
-    last = np.zeros(len(common), bool)
-    last[per_text[n_groups > 0] - 1] = True
-    ends_b = np.where(np.diff(group_b, append=-1) != 0, np.where(last[group_b], 0, 3), 1)
+    group_a, group_b = before[ends_a], before[ends_b]
+    at_a = np.arange(len(a)) + np.concatenate([[0], upto_b[common]])[group_a]
+    at_b = np.arange(len(b)) + upto_a[common][group_b]
+    behind_a = np.where(np.diff(group_a, append=-1) != 0, 2, 1)
+    last = np.zeros(int(common.sum()), bool)
+    last[np.cumsum(n_groups)[n_groups > 0] - 1] = True
+    behind_b = np.where(np.diff(group_b, append=-1) != 0, np.where(last[group_b], 0, 3), 1)
     written = np.empty(len(a) + len(b), np.int64)
-    written[at_a], written[at_b] = a * 4 + ends_a, b * 4 + ends_b
-    upto = np.searchsorted(a_end, text_end, "right") + np.searchsorted(b_end, text_end, "right")
-    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], upto])), pair.written.take(pa.array(written)))
+    written[at_a], written[at_b] = a * 4 + behind_a, b * 4 + behind_b
+    tokens = np.concatenate([[0], upto_a + upto_b])[upto]
+    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], tokens])), pair.written.take(pa.array(written)))
     return Grouped(pc.binary_join(lists, pa.scalar("", pa.large_string())), n_groups, n_links,
-                   key // max(1, len(ids)), ids[key % max(1, len(ids))], times)
+                   text, (linked // top) << 32 | linked % top, times)
 
 
 def fragment(pair: Pair, tokens: Tokens, base: int, after: int, upto: int) -> Fragment:
@@ -422,15 +495,12 @@ def _fragments(chunks: DataFrame, get_pair) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = get_pair()
         for batch in batches:
-            own = []
-            for i, r in enumerate(batch.drop_columns(["text"]).to_pylist()):
-                tokens = pair.encode(batch.column("text").slice(i, 1))
-                own.append(_to_row(r["key"], r["doc_id"], r["no"], fragment(pair, tokens, r["base"], r["after"], r["upto"])))
-                if len(own) == 64:
-                    yield from _fragment_batch(own).to_batches()
-                    own = []
-            if own:
-                yield from _fragment_batch(own).to_batches()
+            texts, rows = batch.column("text"), batch.drop_columns(["text"])
+            for a, b in blocks(texts, BLOCK_BYTES):
+                tokens = pair.encode(texts.slice(a, b - a))
+                yield from _fragment_batch([
+                    _to_row(r["key"], r["doc_id"], r["no"], fragment(pair, tokens.of(i), r["base"], r["after"], r["upto"]))
+                    for i, r in enumerate(rows.slice(a, b - a).to_pylist())]).to_batches()
 
     return chunks.mapInArrow(lambda b: released(run(b)), FRAGMENT)
 
