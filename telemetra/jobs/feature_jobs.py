@@ -72,6 +72,14 @@ def d10_preprocess_lineitem(spark, sf_dir):
         *[F.avg(F.col(c)).alias(f"avg_{c.replace(' ', '_')}") for c in feats])
 
 
+def d11_split_inputs_lineitem(spark, sf_dir):
+    """Every row's raw inputs beside its split and its scaled features."""
+    t = telemetry(spark, sf_dir)
+    out, _, _ = D.preprocess(t, ROLES, "base", FIT(), "semi_supervised",
+                             keep=["l_orderkey", "l_partkey", "l_suppkey", "period"], raw="raw_")
+    return out
+
+
 QUERIES = {
     "d1_label_repair_lineitem": d1_label_repair_lineitem,
     "d2_d4_engineered_lineitem": d2_d4_engineered_lineitem,
@@ -79,6 +87,7 @@ QUERIES = {
     "d8_robust_scale_lineitem": d8_robust_scale_lineitem,
     "d9_one_hot_lineitem": d9_one_hot_lineitem,
     "d10_preprocess_lineitem": d10_preprocess_lineitem,
+    "d11_split_inputs_lineitem": d11_split_inputs_lineitem,
 }
 
 # ------------------------------------------------------------------ oracle SQL
@@ -91,6 +100,7 @@ _T = """(SELECT *, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS target,
   l_quantity * l_linenumber AS "Torque_ToolWear_Product" FROM lineitem)"""
 _ENG = ["l_discount", "l_tax", "l_extendedprice", "l_quantity", "l_linenumber",
         "Temperature difference", "Power", "Torque_ToolWear_Product"]
+_BASE = ["l_discount", "l_tax", "l_extendedprice", "l_quantity", "l_linenumber"]
 _ENG_ONLY = ["Temperature difference", "Power", "Torque_ToolWear_Product"]
 
 
@@ -123,4 +133,10 @@ SELECT period, target, count(*) AS rows, """
     + ", avg(CAST(l_returnflag = 'N' AS DOUBLE)) AS avg_l_returnflag_N"
     + ", avg(CAST(l_returnflag = 'R' AS DOUBLE)) AS avg_l_returnflag_R"
     + f" FROM {_T} GROUP BY period, target",
+    "d11_split_inputs_lineitem": f"""WITH p AS ({_scaler_sql(_BASE)})
+SELECT l_orderkey, l_partkey, l_suppkey, period, l_returnflag AS raw_l_returnflag, """
+    + ", ".join(f"{c} AS raw_{c}, (CAST({c} AS DOUBLE) - (SELECT center FROM p WHERE column_name = '{c}')) "
+                f"/ (SELECT scale FROM p WHERE column_name = '{c}') AS {c}" for c in _BASE)
+    + "".join(f", CAST(l_returnflag = '{v}' AS DOUBLE) AS l_returnflag_{v}" for v in "ANR")
+    + f" FROM {_T}",
 }

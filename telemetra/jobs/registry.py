@@ -12,6 +12,7 @@ MODULES = [
     "telemetra.jobs.evaluation_jobs",
     "telemetra.jobs.monitor_jobs",
     "telemetra.jobs.detector_jobs",
+    "telemetra.jobs.neighbour_jobs",
     "telemetra.jobs.streaming_jobs",
     "telemetra.jobs.source_jobs",
 ]

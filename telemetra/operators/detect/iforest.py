@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from telemetra.plans.hscan import exact_quantiles
 from telemetra.session import ship_package
 
-NODE_SCHEMA = ("tree int, node int, feature int, split double, left int, right int, size int")
+NODE_SCHEMA = ("tree int, node int, feature int, split double, left int, right int, size int, "
+               "sample int")
 EULER = 0.5772156649015329
 
 
@@ -65,7 +66,8 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
 def fit_forest(df: DataFrame, id_col: str, vec_col: str, n_trees: int = 100,
                max_samples: int = 256, seed: int = 42) -> pd.DataFrame:
     """Grow the forest; returns the node table (small, bounded by
-    n_trees * 2 * max_samples rows)."""
+    n_trees * 2 * max_samples rows), with the rows that each tree was grown from
+    (``sample``): it can be saved and read back as it is."""
     n = df.count()
     psi = min(max_samples, n)
     keep = min(1.0, 3.0 * psi / max(n, 1))
@@ -88,18 +90,16 @@ def fit_forest(df: DataFrame, id_col: str, vec_col: str, n_trees: int = 100,
         out = pd.DataFrame(nodes, columns=["node", "feature", "split", "left", "right", "size"])
         out.insert(0, "tree", tree)
         return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "left": "int32",
-                           "right": "int32", "size": "int32"})
+                           "right": "int32", "size": "int32"}).assign(sample=np.int32(psi))
 
     ship_package(df.sparkSession)
     forest = sampled.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
-    nodes = forest.toPandas()
-    nodes.attrs["psi"] = psi
-    return nodes
+    return forest.toPandas()
 
 
 def score_forest(df: DataFrame, id_col: str, vec_col: str, nodes: pd.DataFrame) -> DataFrame:
     """(id, iforest_score) by vectorised traversal of every tree."""
-    psi = nodes.attrs.get("psi", 256)
+    psi = int(nodes["sample"].iloc[0])
     trees = []
     for t, g in nodes.groupby("tree"):
         g = g.sort_values("node")

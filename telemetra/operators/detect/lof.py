@@ -5,40 +5,85 @@ k-distance = max distance to the k neighbours; local reachability density
 ``lrd = 1 / (mean(max(kdist(o), d(p, o))) + 1e-10)``; ``lof = mean(lrd(o)) /
 lrd(p)``.  Training points exclude themselves; new points (novelty mode) are
 scored against the training neighbours, densities and k-distances.
+
+Several k are served by one neighbour list: the list of the largest k, whose prefixes
+are the lists of all smaller ones (:func:`lof_fit_list`, :func:`lof_score_list`).  With
+``approximate=True`` the list comes from the projection forest of ``plans.knn``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra.plans.hscan import exact_quantiles
-from telemetra.plans.knn import knn_join
+from telemetra.plans.knn import approximate_knn_join, knn_join
 from telemetra.session import cut_lineage
 
 
-def lof_fit(train: DataFrame, k: int = 20, id_col: str = "id", vec_col: str = "vec",
-            **knn_args) -> DataFrame:
+def neighbour_list(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
+                   exclude_self: bool = False, approximate: bool = False, **knn_args) -> DataFrame:
+    """(q_id, r_id, dist, rn): the k nearest training rows in order (ties by id).  Its
+    rows with rn <= j are the list of any smaller j."""
+    join = approximate_knn_join if approximate else knn_join
+    nn = join(queries, train, k, id_col, vec_col, exclude_self=exclude_self, **knn_args)
+    return nn.withColumn("rn", F.row_number().over(Window.partitionBy("q_id").orderBy("dist", "r_id")))
+
+
+def _prefixes(nn: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """The list of every k: a neighbour goes to each k that reaches its place."""
+    every = F.array(*[F.lit(int(k)) for k in sorted(set(ks))])
+    return nn.select("q_id", "r_id", "dist", F.explode(F.filter(every, lambda k: k >= F.col("rn"))).alias("k"))
+
+
+def _densities(nn: DataFrame, kdist: DataFrame) -> DataFrame:
+    """(q_id, k, lrd) from neighbour lists and the neighbours' k-distances."""
+    near = kdist.select(F.col("id").alias("r_id"), "k", F.col("kdist").alias("_ko"))
+    return (nn.join(near, ["r_id", "k"]).groupBy("q_id", "k")
+            .agg((1.0 / (F.avg(F.greatest("_ko", "dist")) + 1e-10)).alias("lrd")))
+
+
+def lof_fit_list(train: DataFrame, ks: Sequence[int], id_col: str = "id", vec_col: str = "vec",
+                 **knn_args) -> DataFrame:
+    """(id, k, kdist, lrd, lof) of the training points for every k of the list, from one
+    neighbour list of the largest."""
+    nn = cut_lineage(_prefixes(neighbour_list(train, train, max(ks), id_col, vec_col, exclude_self=True, **knn_args), ks))
+    kd = nn.groupBy(F.col("q_id").alias("id"), "k").agg(F.max("dist").alias("kdist"))
+    lrd = cut_lineage(_densities(nn, kd).withColumnRenamed("q_id", "id").join(kd, ["id", "k"]))
+    lof = (nn.join(lrd.select(F.col("id").alias("r_id"), "k", F.col("lrd").alias("_lo")), ["r_id", "k"])
+           .groupBy(F.col("q_id").alias("id"), "k").agg(F.avg("_lo").alias("_ml")))
+    return lrd.join(lof, ["id", "k"]).select("id", "k", "kdist", "lrd", (F.col("_ml") / F.col("lrd")).alias("lof"))
+
+
+def lof_fit(train: DataFrame, k: int = 20, id_col: str = "id", vec_col: str = "vec", **knn_args) -> DataFrame:
     """(id, kdist, lrd, lof) of the training points."""
-    nn = knn_join(train, train, k, id_col, vec_col, exclude_self=True, **knn_args)
-    kd = nn.groupBy("q_id").agg(F.max("dist").alias("kdist")).withColumnRenamed("q_id", "id")
-    reach = (nn.join(kd.select(F.col("id").alias("r_id"), F.col("kdist").alias("_ko")), "r_id")
-             .withColumn("_reach", F.greatest("_ko", "dist")))
-    lrd = reach.groupBy("q_id").agg((1.0 / (F.avg("_reach") + 1e-10)).alias("lrd"))
-    lrd = cut_lineage(lrd.withColumnRenamed("q_id", "id").join(kd, "id"))
-    lof = (nn.join(lrd.select(F.col("id").alias("r_id"), F.col("lrd").alias("_lo")), "r_id")
-           .groupBy("q_id").agg(F.avg("_lo").alias("_ml")).withColumnRenamed("q_id", "id"))
-    return lrd.join(lof, "id").select("id", "kdist", "lrd", (F.col("_ml") / F.col("lrd")).alias("lof"))
+    return lof_fit_list(train, [k], id_col, vec_col, **knn_args).drop("k")
+
+
+def lof_score_list(new: DataFrame, train: DataFrame, fitted: DataFrame, ks: Sequence[int],
+                   id_col: str = "id", vec_col: str = "vec", **knn_args) -> DataFrame:
+    """Novelty mode: (id, k, lof) of new points against the training set, for every k
+    that ``fitted`` (of :func:`lof_fit_list`, or its saved table) holds."""
+    nn = cut_lineage(_prefixes(neighbour_list(new, train, max(ks), id_col, vec_col, **knn_args), ks))
+    lrd = _densities(nn, fitted)
+    near = fitted.select(F.col("id").alias("r_id"), "k", F.col("lrd").alias("_lo"))
+    mean = nn.join(near, ["r_id", "k"]).groupBy("q_id", "k").agg(F.avg("_lo").alias("_ml"))
+    return mean.join(lrd, ["q_id", "k"]).select(F.col("q_id").alias("id"), "k", (F.col("_ml") / F.col("lrd")).alias("lof"))
 
 
 def lof_score_new(new: DataFrame, train: DataFrame, fitted: DataFrame, k: int = 20,
                   id_col: str = "id", vec_col: str = "vec", **knn_args) -> DataFrame:
-    """Novelty mode: (id, lof) of new points against the training set."""
-    nn = knn_join(new, train, k, id_col, vec_col, exclude_self=False, **knn_args)
-    f = fitted.select(F.col("id").alias("r_id"), F.col("kdist").alias("_ko"), F.col("lrd").alias("_lo"))
-    j = nn.join(f, "r_id").withColumn("_reach", F.greatest("_ko", "dist"))
-    g = j.groupBy("q_id").agg((1.0 / (F.avg("_reach") + 1e-10)).alias("lrd"), F.avg("_lo").alias("_ml"))
-    return g.select(F.col("q_id").alias("id"), (F.col("_ml") / F.col("lrd")).alias("lof"))
+    """Novelty mode for one k: (id, lof)."""
+    held = fitted.select("id", F.lit(int(k)).alias("k"), "kdist", "lrd")
+    return lof_score_list(new, train, held, [k], id_col, vec_col, **knn_args).drop("k")
+
+
+def lof_offsets(fitted: DataFrame, contamination: float) -> DataFrame:
+    """E5 for every k: (k, offset), the contamination percentile of the negative LOF."""
+    neg = fitted.select("k", (-F.col("lof")).alias("x"))
+    return exact_quantiles(neg, ["k"], "x", [contamination]).select("k", F.col("q").alias("offset"))
 
 
 def lof_offset(fitted: DataFrame, contamination: float) -> DataFrame:
@@ -50,6 +95,8 @@ def lof_offset(fitted: DataFrame, contamination: float) -> DataFrame:
 def lof_predict(scored: DataFrame, offset: DataFrame) -> DataFrame:
     """Outlier when -lof < offset; the reference's anomaly score is
     -decision_function = lof + offset."""
-    return (scored.crossJoin(F.broadcast(offset))
+    on = ["k"] if "k" in offset.columns else None
+    joined = scored.join(F.broadcast(offset), on) if on else scored.crossJoin(F.broadcast(offset))
+    return (joined
             .withColumn("anomaly_score", F.col("lof") + F.col("offset"))
             .withColumn("prediction", ((-F.col("lof")) < F.col("offset")).cast("int")))

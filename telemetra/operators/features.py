@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetra.functions.exprs import long_form
-from telemetra.plans.hscan import exact_quantiles
+from telemetra.plans.hscan import exact_quantiles, prefix_sums
+from telemetra.session import cut_lineage
 
 TEMP_DIFF = "Temperature difference"
 POWER = "Power"
@@ -120,39 +121,57 @@ def apply_robust_scaler(df: DataFrame, params: DataFrame, columns: Sequence[str]
     return out.drop(*[f"{c}_c" for c in columns], *[f"{c}_s" for c in columns])
 
 
-def fit_one_hot(df: DataFrame, column: str, max_categories: int = 1000) -> list:
-    """Sorted distinct categories of the fit rows.  The list is a model
-    parameter; its size is checked before it reaches the driver."""
-    cats = df.select(column).where(F.col(column).isNotNull()).distinct()
-    top = [r[0] for r in cats.limit(max_categories + 1).collect()]
-    if len(top) > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} categories")
-    return sorted(top)
+#: Up to so many categories become columns; more become one sparse column.
+WIDE_CATEGORIES = 1000
 
 
-def apply_one_hot(df: DataFrame, column: str, categories: Sequence, prefix: str | None = None,
+def fit_categories(df: DataFrame, column: str) -> DataFrame:
+    """The sorted distinct categories of the fit rows as a table (category,
+    position), however many: a parameter table, fit to be saved."""
+    cats = cut_lineage(df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("category")).agg(
+        F.lit(1).alias("one")))
+    return prefix_sums(cats, [], "category", ["one"], with_totals=False).select(
+        "category", (F.col("cum_one") - 1).cast("long").alias("position"))
+
+
+def fit_one_hot(df: DataFrame, column: str) -> list | DataFrame:
+    """The sorted category list where it is short enough for a column each
+    (counted), else the category table."""
+    cats = cut_lineage(fit_categories(df, column))
+    if cats.count() > WIDE_CATEGORIES:
+        return cats
+    return sorted(r[0] for r in cats.select("category").collect())
+
+
+def apply_one_hot(df: DataFrame, column: str, categories: Sequence | DataFrame, prefix: str | None = None,
                   drop: bool = True) -> DataFrame:
-    """Unseen categories give all zeros (``handle_unknown='ignore'``)."""
+    """Unseen categories give all zeros (``handle_unknown='ignore'``).  With a category
+    table the row of zeros and a one is kept as ``<prefix>_position``, NULL for none:
+    the table is joined, sent along only if Spark finds it small."""
     pre = prefix or column
-    out = df
-    for cat in categories:
-        out = out.withColumn(f"{pre}_{cat}",
-                             F.coalesce((F.col(column) == F.lit(cat)).cast("double"), F.lit(0.0)))
+    if isinstance(categories, DataFrame):
+        known = categories.select(F.col("category").alias("_oh"), F.col("position").alias(f"{pre}_position"))
+        out = df.join(known, df[column] == known["_oh"], "left").drop("_oh")
+        return out.drop(column) if drop else out
+    out = df.withColumns({f"{pre}_{cat}": F.coalesce((F.col(column) == F.lit(cat)).cast("double"), F.lit(0.0))
+                          for cat in categories}) if categories else df
     return out.drop(column) if drop else out
 
 
 def preprocess(df: DataFrame, roles: Roles, feature_set: str, fit_filter, approach: str,
-               keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, list]:
+               keep: Sequence[str] = (), raw: str | None = None) -> tuple[DataFrame, DataFrame, list]:
     """Fit scaler + encoder on the fit rows, apply to every row.  Returns
     (features, scaler parameters, categories).  ``fit_filter`` selects the
-    training rows (a Column)."""
+    training rows (a Column).  With ``raw`` (D11) every input column is also kept
+    unscaled under that prefix, beside its row's split and features."""
     feats = engineer(df, roles)
     cols = roles.feature_sets()[feature_set]
     numeric = [c for c in cols if c != roles.type_col]
     fit = fit_rows(feats.where(fit_filter), roles.target, approach)
     params = fit_robust_scaler(fit, numeric)
     cats = fit_one_hot(fit, roles.type_col)
-    out = feats.select(*keep, *cols)
+    kept = [F.col(c).alias(f"{raw}{c}") for c in cols] if raw else []
+    out = feats.select(*keep, *kept, *cols)
     out = apply_robust_scaler(out, params, numeric)
     out = apply_one_hot(out, roles.type_col, cats)
     return out, params, cats

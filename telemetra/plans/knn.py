@@ -1,5 +1,7 @@
-"""Exact k-nearest-neighbour join with pivot partitioning.
+"""k-nearest-neighbour joins: exact by pivot partitioning, approximate by a forest of
+random projection trees (:func:`approximate_knn_join`).
 
+The exact join.
 Method of Lu, Shen, Chen and Ooi, "Efficient processing of k nearest
 neighbor joins using MapReduce" (PVLDB 2012):
 
@@ -126,36 +128,155 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id",
           .withColumn("rc", F.pmod(F.xxhash64("id"), F.col("nrc")).cast("int"))
           .select("qcell", "qb", "rc", "id", "vec"))
 
-    def block_topk(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+    return cut_lineage(_merged(_blocked_topk(qb, rb, ["qcell", "qb", "rc"], k, exclude_self), k))
+
+
+def _nearest(qid: np.ndarray, qx: np.ndarray, rid: np.ndarray, rx: np.ndarray, k: int,
+             exclude_self: bool) -> pd.DataFrame:
+    """The k nearest references of every query; ties by reference id."""
+    order = np.argsort(rid, kind="stable")
+    rx, rid = rx[order], rid[order]
+    out = []
+    step = max(1, min(64, (1 << 23) // max(1, rx.size)))
+    for s in range(0, len(qx), step):
+        diff = qx[s:s + step, None, :] - rx[None, :, :]
+        d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+        if exclude_self:
+            d[qid[s:s + step, None] == rid[None, :]] = np.inf
+        kk = min(k, d.shape[1])
+        kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+        # all at the k-th distance or nearer, then the smallest ids among its ties
+        i, j = np.nonzero((d <= kth[:, None]) & np.isfinite(d))
+        at = np.lexsort((j, d[i, j], i))
+        i, j = i[at], j[at]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        i, j = i[place < kk], j[place < kk]
+        out.append(pd.DataFrame({"q_id": qid[s + i], "r_id": rid[j], "dist": d[i, j]}))
+    return pd.concat(out).astype({"q_id": "int64", "r_id": "int64"})
+
+
+def _blocked_topk(qb: DataFrame, rb: DataFrame, keys: list[str], k: int, exclude_self: bool) -> DataFrame:
+    """Local top-k of the query and reference blocks that share ``keys``."""
+    def block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         if len(qpdf) == 0 or len(rpdf) == 0:
             return pd.DataFrame({"q_id": [], "r_id": [], "dist": []})
-        qx, rx = _as_matrix(qpdf["vec"]), _as_matrix(rpdf["vec"])
-        qid, rid = qpdf["id"].to_numpy(), rpdf["id"].to_numpy()
-        order = np.argsort(rid, kind="stable")
-        rx, rid = rx[order], rid[order]
-        out_q, out_r, out_d = [], [], []
-        for s in range(0, len(qx), 64):
-            diff = qx[s:s + 64, None, :] - rx[None, :, :]
-            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            if exclude_self:
-                d = np.where(qid[s:s + 64, None] == rid[None, :], np.inf, d)
-            kk = min(k, d.shape[1])
-            for i in range(d.shape[0]):
-                row = d[i]
-                # ids are pre-sorted, so a stable sort breaks distance ties by id
-                idx = np.argsort(row, kind="stable")[:kk]
-                idx = idx[np.isfinite(row[idx])]
-                out_q.append(np.full(len(idx), qid[s + i]))
-                out_r.append(rid[idx])
-                out_d.append(row[idx])
-        return pd.DataFrame({"q_id": np.concatenate(out_q).astype("int64"),
-                             "r_id": np.concatenate(out_r).astype("int64"),
-                             "dist": np.concatenate(out_d)})
+        return _nearest(qpdf["id"].to_numpy(), _as_matrix(qpdf["vec"]), rpdf["id"].to_numpy(),
+                        _as_matrix(rpdf["vec"]), k, exclude_self)
 
     ship_package(qb.sparkSession)
-    local = (qb.groupBy("qcell", "qb", "rc")
-             .cogroup(rb.groupBy("qcell", "qb", "rc"))
-             .applyInPandas(block_topk, PAIR_SCHEMA))
+    return qb.groupBy(*keys).cogroup(rb.groupBy(*keys)).applyInPandas(block, PAIR_SCHEMA)
+
+
+def _merged(local: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("q_id").orderBy("dist", "r_id")
-    return cut_lineage(local.withColumn("_rn", F.row_number().over(w))
-                       .where(F.col("_rn") <= k).drop("_rn"))
+    return local.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+
+# -- approximate: a forest of random projection trees ------------------------------------
+
+class ProjectionForest:
+    """Random projection trees over a bounded sample of the reference rows.
+
+    A node splits at the median projection of its sample onto the line through two of
+    its rows.  Trees are as deep as leaves of about ``leaf_rows`` reference rows need,
+    but no deeper than 16 sample rows a leaf allow: ``sample_rows`` (documented bound of
+    the sample) sets how far the leaves shrink; larger leaves are split into blocks by
+    the join, so no group is unbounded."""
+
+    def __init__(self, sample: np.ndarray, n_rows: int, trees: int, leaf_rows: int, seed: int):
+        rng = np.random.default_rng(seed)
+        depth = max(0, min(math.ceil(math.log2(max(1.0, n_rows / leaf_rows))),
+                           int(math.log2(max(1, len(sample) // 16)))))
+        self.depth, self.trees = depth, []
+        for _ in range(trees):
+            normal = np.zeros(((1 << depth) - 1, sample.shape[1] if sample.ndim == 2 else 0))
+            cut = np.zeros((1 << depth) - 1)
+            rows = {0: np.arange(len(sample))}
+            for node in range((1 << depth) - 1):
+                own = rows.pop(node)
+                a, b = sample[rng.choice(own, 2)] if len(own) else np.zeros((2, normal.shape[1]))
+                line = a - b
+                if not np.any(line):                    # equal rows: any direction
+                    line = rng.standard_normal(normal.shape[1])
+                normal[node] = line / np.linalg.norm(line)
+                at = sample[own] @ normal[node]
+                cut[node] = np.median(at) if len(own) else 0.0
+                rows[2 * node + 1], rows[2 * node + 2] = own[at <= cut[node]], own[at > cut[node]]
+            self.trees.append((normal, cut))
+
+    def leaves(self, x: np.ndarray, probes: int = 1) -> list[list[np.ndarray]]:
+        """Per tree the leaf of every row, and with ``probes`` 2 the leaf behind the
+        split that the row passes most narrowly."""
+        out = []
+        for normal, cut in self.trees:
+            node = np.zeros(len(x), np.int64)
+            narrow, other = np.full(len(x), np.inf), np.zeros(len(x), np.int64)
+            level = np.zeros(len(x), np.int64)
+            for d in range(self.depth):
+                side = np.einsum("ij,ij->i", x, normal[node]) - cut[node]
+                closer = np.abs(side) < narrow
+                other[closer], level[closer] = (2 * node + 1 + (side <= 0))[closer], d + 1
+                narrow[closer] = np.abs(side)[closer]
+                node = 2 * node + 1 + (side > 0)
+            found = [node]
+            if probes > 1 and self.depth:
+                for d in range(self.depth):
+                    on = level <= d
+                    side = np.einsum("ij,ij->i", x[on], normal[other[on]]) - cut[other[on]]
+                    other[on] = 2 * other[on] + 1 + (side > 0)
+                found.append(other)
+            out.append(found)
+        return out
+
+
+def _leaf_rows(df: DataFrame, id_col: str, vec_col: str, forest: ProjectionForest, probes: int) -> DataFrame:
+    """(tree, leaf, id, vec): one row per tree and probe."""
+    def fn(it):
+        for pdf in it:
+            if not len(pdf):
+                continue
+            x = _as_matrix(pdf[vec_col])
+            for tree, found in enumerate(forest.leaves(x, probes)):
+                for leaf in found:
+                    yield pd.DataFrame({"tree": np.int32(tree), "leaf": leaf, "id": pdf[id_col].astype("int64"), "vec": list(x)})
+
+    ship_package(df.sparkSession)
+    return df.select(id_col, vec_col).mapInPandas(fn, "tree int, leaf long, id long, vec array<double>")
+
+
+def approximate_knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
+                         exclude_self: bool = False, trees: int = 8, leaf_rows: int = 512, probes: int = 2,
+                         sample_rows: int = 1 << 16, block: int = 2048, seed: int = 42) -> DataFrame:
+    """Approximate k nearest references of every query: (q_id, r_id, dist); distances
+    are exact, some neighbours may be missed.  All reference rows are indexed; a query
+    meets the rows of ``probes`` leaves in each tree.  Beside the trees (bounded by the
+    sample) nothing is broadcast; the leaf counts are one row per leaf."""
+    spark = queries.sparkSession
+    n = refs.count()
+    if n == 0:
+        return spark.createDataFrame([], PAIR_SCHEMA)
+    keep = min(1.0, 1.5 * sample_rows / n)
+    limit = min(int(-(2 ** 63) + keep * 2.0 ** 64), 2 ** 63 - 1)
+    drawn = (refs.where(F.xxhash64(id_col, F.lit(seed)) <= F.lit(limit)).select(vec_col)
+             .limit(2 * sample_rows).toPandas())
+    if not len(drawn):
+        drawn = refs.select(vec_col).limit(sample_rows).toPandas()
+    forest = ProjectionForest(_as_matrix(drawn[vec_col]), n, trees, leaf_rows, seed)
+    ra = cut_lineage(_leaf_rows(refs, id_col, vec_col, forest, 1))
+    qa = cut_lineage(_leaf_rows(queries, id_col, vec_col, forest, probes))
+    size = lambda d, name: d.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+    plan = cut_lineage(size(qa, "nqb").join(size(ra, "nrc"), ["tree", "leaf"]))
+    qb = (qa.join(plan, ["tree", "leaf"]).withColumn("qb", F.pmod(F.xxhash64("id"), F.col("nqb")).cast("int"))
+          .withColumn("rc", F.explode(F.sequence(F.lit(0), F.col("nrc") - 1))))
+    rb = (ra.join(plan, ["tree", "leaf"]).withColumn("rc", F.pmod(F.xxhash64("id"), F.col("nrc")).cast("int"))
+          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nqb") - 1))))
+    keys = ["tree", "leaf", "qb", "rc"]
+    local = _blocked_topk(qb.select(*keys, "id", "vec"), rb.select(*keys, "id", "vec"), keys, k, exclude_self)
+    return cut_lineage(_merged(local.dropDuplicates(["q_id", "r_id"]), k))
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: exact neighbours, how many of them ``found`` holds, their share."""
+    hit = exact.join(found.select("q_id", "r_id", F.lit(1).alias("_hit")), ["q_id", "r_id"], "left")
+    return hit.agg(F.count(F.lit(1)).alias("neighbours"), F.count("_hit").alias("found")).withColumn(
+        "recall", F.col("found") / F.col("neighbours"))

@@ -186,7 +186,7 @@ def test_rff_one_class_deterministic_and_ranks_outlier(spark):
     gamma = ocsvm.gamma_scale(df, "vec", 4).first()["gamma_scale"]
     scores = []
     for _ in range(2):
-        m = ocsvm.RffOneClass(4, gamma, nu=0.05, n_features=2048, steps=25, seed=3).fit(df, "vec")
+        m = ocsvm.RffOneClass(4, gamma, nu=0.05, n_features=2048, seed=3).fit(df, "vec")
         scores.append(m.score(df, "id", "vec").toPandas().sort_values("id"))
     assert np.allclose(scores[0]["ocsvm_score"], scores[1]["ocsvm_score"])
     s = scores[0].set_index("id")["ocsvm_score"]
@@ -203,3 +203,78 @@ def test_ecod_ranks_new_values_in_the_training_ecdf(spark):
     for k, x in new.items():
         want = max(ln(sum(t <= x for t in train)), ln(sum(t >= x for t in train)))
         assert got[k] == want or math.isclose(got[k], want, rel_tol=1e-12)
+
+
+def _lof_by_hand(train, new, k):
+    """scikit-learn's novelty scores by the formula."""
+    def lists(x, own):
+        d = np.sqrt(((x[:, None, :] - train[None, :, :]) ** 2).sum(-1))
+        if own:
+            np.fill_diagonal(d, np.inf)
+        order = np.lexsort((np.broadcast_to(np.arange(len(train)), d.shape), d), axis=1)[:, :k]
+        return order, np.take_along_axis(d, order, 1)
+
+    nn, dist = lists(train, True)
+    kd = dist[:, -1]
+    lrd = 1 / (np.maximum(kd[nn], dist).mean(1) + 1e-10)
+    nn_new, dist_new = lists(new, False)
+    lrd_new = 1 / (np.maximum(kd[nn_new], dist_new).mean(1) + 1e-10)
+    return lrd[nn].mean(1) / lrd, lrd[nn_new].mean(1) / lrd_new
+
+
+def test_one_neighbour_list_serves_every_k_and_new_rows(spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(150, 4)), rng.normal(size=(30, 4)) * 2
+    x[3] = x[4]
+    vec = "id long, vec array<double>"
+    train = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], vec)
+    new = spark.createDataFrame([(1000 + i, v.tolist()) for i, v in enumerate(y)], vec)
+    ks = [5, 11, 20]
+    fitted = lof.lof_fit_list(train, ks).cache()
+    scored = lof.lof_score_list(new, train, fitted, ks).toPandas()
+    fit = fitted.toPandas()
+    for k in ks:
+        own, novel = _lof_by_hand(x, y, k)
+        assert np.allclose(fit[fit.k == k].sort_values("id").lof, own, rtol=1e-9)
+        assert np.allclose(scored[scored.k == k].sort_values("id").lof, novel, rtol=1e-9)
+    one = lof.lof_fit(train, 11)
+    assert np.allclose(lof.lof_score_new(new, train, one, 11).toPandas().sort_values("id").lof, _lof_by_hand(x, y, 11)[1])
+    flagged = lof.lof_predict(lof.lof_score_list(new, train, fitted, ks), lof.lof_offsets(fitted, 0.05)).toPandas()
+    for k in ks:
+        own, novel = _lof_by_hand(x, y, k)
+        cut = np.quantile(-own, 0.05)
+        assert (flagged[flagged.k == k].sort_values("id").prediction.to_numpy() == (-novel < cut)).all()
+
+
+def test_approximate_neighbours_recall(spark):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(size=(1500, 6)), rng.normal(size=(500, 6)) * 0.1 + 4, np.zeros((40, 6))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>").cache()
+    exact = knn.knn_join(df, df, 30, exclude_self=True)
+    found = knn.approximate_knn_join(df, df, 30, exclude_self=True, leaf_rows=200, block=64)
+    row = knn.recall(found, exact).first()
+    assert row.neighbours == 30 * len(x) and row.recall >= 0.9
+    assert found.groupBy("q_id").count().agg({"count": "max"}).first()[0] <= 30
+    assert knn.approximate_knn_join(df, df.limit(0), 3).count() == 0
+
+
+def test_partitioned_selection_breaks_ties_by_id():
+    x = np.array([[0.0], [1.0], [1.0], [-1.0], [2.0]])
+    out = knn._nearest(np.array([7]), np.zeros((1, 1)), np.array([9, 4, 2, 3, 7]), x, 3, True)
+    assert out.r_id.tolist() == [9, 2, 3] and out.dist.tolist() == [0.0, 1.0, 1.0]
+
+
+def test_ecod_scores_are_the_same_by_ranges(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, float(round(a, 1)), None if i % 17 == 0 else float(b), float("nan") if i % 13 == 0 else 1.0)
+            for i, (a, b) in enumerate(rng.normal(size=(500, 2)))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    new = spark.createDataFrame([(i, a * 3, b, 2.0) for i, a, b, _ in rows], "id long, a double, b double, c double")
+    model = ecod.ecdf(ecod.value_table(df, ["a", "b", "c"]))
+    whole = ecod.score_rows(new, ["a", "b", "c"], model).select("id", "ecod_score").toPandas().sort_values("id")
+    parts = ecod.score_rows(new, ["a", "b", "c"], model, lookup_values=20, lookup_rows=60)
+    assert "_ec_key" not in parts.columns
+    parts = parts.select("id", "ecod_score").toPandas().sort_values("id")
+    assert np.allclose(whole.ecod_score, parts.ecod_score, rtol=1e-12) and np.isinf(whole.ecod_score).all()
+    plan = ecod.score_rows(new, ["a", "b", "c"], model)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Join" not in plan
