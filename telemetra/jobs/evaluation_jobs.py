@@ -6,6 +6,7 @@ length (``score2``), joined on ``doc_id``.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from telemetra import config
@@ -13,6 +14,7 @@ from telemetra.jobs.common import SQL_SCORED, scored_labels
 from telemetra.operators import ensemble as G
 from telemetra.operators import evaluate as E
 from telemetra.session import cut_lineage
+from telemetra.sources.tables import table
 
 THRESHOLD = 3000.0
 
@@ -84,15 +86,31 @@ def f12_best_overall(spark, sf_dir):
     return _run_table(spark, sf_dir).orderBy(F.col("pr_auc").desc(), F.col("run_id")).limit(1)
 
 
+def _split():
+    """Validation or test by the first digit of the id's MD5: fixed, and no property of
+    the row."""
+    return F.when(F.md5(F.col("doc_id").cast("string")) < "8", "validation").otherwise("test")
+
+
 def f13_candidates(spark, sf_dir):
-    """Held-out comparison: the two models' metrics at their own picked
-    thresholds plus curve metrics, one grouped job."""
-    return E.evaluate_grouped(_two_models(spark, sf_dir), "y", "score", ["model"])
+    """Held-out comparison: each model's threshold is picked on the validation half,
+    frozen, and judged on the test half."""
+    return E.held_out_comparison(_two_models(spark, sf_dir).withColumn("split", _split()), "y", "score", "split", ["model"])
+
+
+STORED = {"v1": 3000.0, "v2": 2500.0}
 
 
 def f14_audit(spark, sf_dir):
-    s = E.apply_threshold(scored_labels(spark, sf_dir), "score", THRESHOLD)
-    return E.audit_predictions(s, "score", "prediction", THRESHOLD)
+    """Audit of stored predictions: the labelled documents were scored and stored by two
+    model versions (the second, with a lower threshold, for quality 1); the
+    audit reads the stored table back and holds it against the threshold now in force."""
+    s = scored_labels(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    version = F.when(F.col("quality") >= 1, "v2").otherwise("v1")
+    used = F.when(F.col("quality") >= 1, STORED["v2"]).otherwise(STORED["v1"])
+    stored = cut_lineage(s.select("doc_id", version.alias("model_version"), "score",
+                                  (F.col("score") >= used).cast("int").alias("prediction")))
+    return E.audit_predictions(stored, "score", "prediction", STORED["v1"], ["model_version"])
 
 
 def f15_find_run(spark, sf_dir):
@@ -107,26 +125,33 @@ def f15_find_run(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- ensembles
-def _normalized(spark, sf_dir):
-    s = scored_labels(spark, sf_dir)
+def _minmax(spark, sf_dir):
+    """Both scores on their min-max scale, from one written scan."""
+    s = cut_lineage(scored_labels(spark, sf_dir))
     s = G.apply_minmax(s, "score", G.fit_minmax(s, "score"), "mm_a")
-    s = G.apply_minmax(s, "score2", G.fit_minmax(s, "score2"), "mm_b")
-    s = G.percentile_rank(s, "score", "pr_a")
-    return cut_lineage(G.percentile_rank(s, "score2", "pr_b"))
+    return G.apply_minmax(s, "score2", G.fit_minmax(s, "score2"), "mm_b")
+
+
+def _ranked(spark, sf_dir):
+    s = cut_lineage(scored_labels(spark, sf_dir))
+    return G.percentile_rank(G.percentile_rank(s, "score", "pr_a"), "score2", "pr_b")
+
+
+def _normalized(spark, sf_dir):
+    s = cut_lineage(_minmax(spark, sf_dir))
+    return cut_lineage(G.percentile_rank(G.percentile_rank(s, "score", "pr_a"), "score2", "pr_b"))
 
 
 def g1_g2_minmax(spark, sf_dir):
-    return _normalized(spark, sf_dir).select("doc_id", "y", "mm_a", "mm_b")
+    return _minmax(spark, sf_dir).select("doc_id", "y", "mm_a", "mm_b")
 
 
 def g3_percentile_rank(spark, sf_dir):
-    return _normalized(spark, sf_dir).select("doc_id", "y", "pr_a", "pr_b")
+    return _ranked(spark, sf_dir).select("doc_id", "y", "pr_a", "pr_b")
 
 
-def _configs(spark, sf_dir):
-    """14 weighted + 2 minimum + 2 cascade configurations as one long
-    table (config, y, score)."""
-    n = _normalized(spark, sf_dir)
+def _fixed_configs(n, spark):
+    """14 weighted + 2 minimum configurations as one long table (config, y, score)."""
     w = G.weight_grid(spark, config.ENSEMBLE_WEIGHTS)
     weighted = (n.crossJoin(F.broadcast(w))
                 .select("y", F.explode(F.array(
@@ -138,14 +163,19 @@ def _configs(spark, sf_dir):
     others = n.select("y", F.explode(F.array(
         F.struct(F.lit("minimum_minmax").alias("config"), G.minimum("mm_a", "mm_b").alias("score")),
         F.struct(F.lit("minimum_rank").alias("config"), G.minimum("pr_a", "pr_b").alias("score")),
-        F.struct(F.lit("cascade_a_b").alias("config"), G.cascade("pr_a", "pr_b", 0.5).alias("score")),
-        F.struct(F.lit("cascade_b_a").alias("config"), G.cascade("pr_b", "pr_a", 0.5).alias("score")),
     )).alias("c")).select("y", "c.config", "c.score")
     return weighted.unionByName(others)
 
 
+def _searched_cascades(n):
+    """Both cascade orders, each under its best gate."""
+    parts = [G.best_gate(G.gate_search(n, "y", a, b, config.CASCADE_GATES)).withColumn("config", F.lit(name))
+             for name, a, b in (("cascade_a_b", "pr_a", "pr_b"), ("cascade_b_a", "pr_b", "pr_a"))]
+    return parts[0].unionByName(parts[1])
+
+
 def g4_weighted_grid(spark, sf_dir):
-    n = _normalized(spark, sf_dir)
+    n = _minmax(spark, sf_dir)
     w = G.weight_grid(spark, config.ENSEMBLE_WEIGHTS)
     long = n.crossJoin(F.broadcast(w)).select(
         "weight_id", "w_a", "w_b", "y", G.weighted("mm_a", "mm_b", "w_a", "w_b").alias("score"))
@@ -153,28 +183,30 @@ def g4_weighted_grid(spark, sf_dir):
 
 
 def g5_minimum(spark, sf_dir):
-    n = _normalized(spark, sf_dir).select("doc_id", "y", G.minimum("pr_a", "pr_b").alias("score"))
+    n = _ranked(spark, sf_dir).select("doc_id", "y", G.minimum("pr_a", "pr_b").alias("score"))
     return E.curve_metrics(E.score_table(n, "y", "score"))
 
 
 def g6_cascade(spark, sf_dir):
-    return _normalized(spark, sf_dir).select(
+    return _ranked(spark, sf_dir).select(
         "doc_id", "y", G.cascade("pr_a", "pr_b", 0.5).alias("cascade_a_b"),
         G.cascade("pr_b", "pr_a", 0.5).alias("cascade_b_a"))
 
 
 def g7_gate_search(spark, sf_dir):
-    n = _normalized(spark, sf_dir)
-    gates = G.gate_grid(spark, config.CASCADE_GATES)
-    long = n.crossJoin(F.broadcast(gates)).select(
-        "gate_id", "gate", "y", G.cascade("pr_a", "pr_b", "gate").alias("score"))
-    ev = E.evaluate_grouped(long, "y", "score", ["gate_id", "gate"]).where(F.col("threshold").isNotNull())
-    key = F.struct("pr_auc", "precision", -F.col("false_positive_rate"), "recall", -F.col("gate_id"))
-    return ev.agg(F.max_by(F.struct(*ev.columns), key).alias("b")).select("b.*")
+    """The best gate of both cascade orders."""
+    return _searched_cascades(cut_lineage(_ranked(spark, sf_dir)))
 
 
 def g8_ensemble_experiment(spark, sf_dir):
-    return E.evaluate_grouped(_configs(spark, sf_dir), "y", "score", ["config"])
+    """18 runs: 14 weighted, 2 minimum, 2 cascades under their searched gates; the
+    winner by (pr_auc, recall)."""
+    n = _normalized(spark, sf_dir)
+    fixed = E.evaluate_grouped(_fixed_configs(n, spark), "y", "score", ["config"])
+    runs = cut_lineage(fixed.withColumn("gate", F.lit(None).cast("double")).unionByName(
+        _searched_cascades(n).select(*fixed.columns, "gate")))
+    order = Window.orderBy(F.col("pr_auc").desc(), F.col("recall").desc_nulls_last(), "config")     # 18 rows
+    return runs.withColumn("best", F.row_number().over(order) == 1)
 
 
 def g9_operational(spark, sf_dir):
@@ -276,9 +308,18 @@ _GATES = "(VALUES " + ", ".join(f"({i}, {g}::DOUBLE)" for i, g in enumerate(conf
 _CONFIGS = f"""(SELECT 'weighted_minmax_' || weight_id AS config, y, w_a * mm_a + w_b * mm_b AS score FROM {_MM}, {_W}
   UNION ALL SELECT 'weighted_rank_' || weight_id, y, w_a * pr_a + w_b * pr_b FROM {_MM}, {_W}
   UNION ALL SELECT 'minimum_minmax', y, least(mm_a, mm_b) FROM {_MM}
-  UNION ALL SELECT 'minimum_rank', y, least(pr_a, pr_b) FROM {_MM}
-  UNION ALL SELECT 'cascade_a_b', y, CASE WHEN pr_a >= 0.5 THEN pr_b ELSE 0.0 END FROM {_MM}
-  UNION ALL SELECT 'cascade_b_a', y, CASE WHEN pr_b >= 0.5 THEN pr_a ELSE 0.0 END FROM {_MM})"""
+  UNION ALL SELECT 'minimum_rank', y, least(pr_a, pr_b) FROM {_MM})"""
+_ORDERS = [("cascade_a_b", "pr_a", "pr_b"), ("cascade_b_a", "pr_b", "pr_a")]
+
+
+def _searched(name: str, first: str, second: str) -> str:
+    """A cascade order under its best gate, with the share of positives that pass."""
+    src = f"(SELECT gate_id, gate, y, CASE WHEN {first} >= gate THEN {second} ELSE 0.0 END AS score FROM {_MM}, {_GATES})"
+    reach = (f"(SELECT gate_id, count_if(y = 1 AND {first} >= gate) / nullif(count_if(y = 1), 0) AS reach "
+             f"FROM {_MM}, {_GATES} GROUP BY gate_id)")
+    return (f"SELECT e.*, reach, '{name}' AS config FROM {_grouped(src, 'gate_id, gate')} e JOIN {reach} USING (gate_id) "
+            "WHERE threshold IS NOT NULL ORDER BY pr_auc DESC, precision DESC, false_positive_rate, recall DESC, gate_id LIMIT 1")
+
 
 SQL = {
     "f1_f2_metrics": f"""WITH c AS (SELECT count_if(y = 0 AND score < {THRESHOLD}) AS tn,
@@ -294,9 +335,11 @@ SELECT tn, fp, fn, tp, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
        * (CASE WHEN tn + fp = 0 THEN 0 ELSE tn / (tn + fp) END)) AS g_mean FROM c""",
     "f3_f4_curve_metrics": "SELECT * FROM " + _curve(_ct(_TWO, "model"), "model"),
     "f5_roc_points": f"""SELECT score AS threshold, CASE WHEN "N" = 0 THEN 0 ELSE fp / "N" END AS fpr,
-  CASE WHEN "P" = 0 THEN 0 ELSE tp / "P" END AS tpr FROM {_ct(S)}""",
+  CASE WHEN "P" = 0 THEN 0 ELSE tp / "P" END AS tpr FROM {_ct(S)}
+UNION ALL SELECT CAST(NULL AS DOUBLE), 0.0, 0.0 WHERE EXISTS (SELECT 1 FROM {S})""",
     "f6_pr_points": f"""SELECT score AS threshold, tp / (tp + fp) AS precision,
-  CASE WHEN "P" = 0 THEN 0 ELSE tp / "P" END AS recall FROM {_ct(S)}""",
+  CASE WHEN "P" = 0 THEN 0 ELSE tp / "P" END AS recall FROM {_ct(S)}
+UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0 WHERE EXISTS (SELECT 1 FROM {S})""",
     "f7_predicted_rate": f"""SELECT sum(CAST(score >= {THRESHOLD} AS INTEGER)) AS predicted_anomalies,
   avg(CAST(score >= {THRESHOLD} AS INTEGER)) AS predicted_anomaly_rate FROM {S}""",
     "f8_sweep": "SELECT * FROM " + _sweep(_ct(S)),
@@ -306,9 +349,33 @@ SELECT tn, fp, fn, tp, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
   false_positive_rate FROM (SELECT *, row_number() OVER (PARTITION BY algorithm
   ORDER BY pr_auc DESC NULLS LAST, recall DESC NULLS LAST, run_id) AS rn FROM {_RUN_TABLE}) WHERE rn = 1""",
     "f12_best_overall": f"SELECT * FROM {_RUN_TABLE} ORDER BY pr_auc DESC, run_id LIMIT 1",
-    "f13_candidates": "SELECT * FROM " + _grouped(_TWO, "model"),
-    "f14_audit": f"""SELECT count(*) AS rows, count_if(CAST(score >= {THRESHOLD} AS INTEGER)
-  <> CAST(score >= {THRESHOLD} AS INTEGER)) AS inconsistent, true AS consistent FROM {S}""",
+    "f13_candidates": f"""WITH r AS (SELECT *, md5(CAST(doc_id AS VARCHAR)) < '8' AS val FROM {_TWO}),
+v AS (SELECT model, y, score FROM r WHERE val),
+fz AS (SELECT model, threshold FROM {_pick(_sweep(_ct('v', 'model'), 'model'), 'model')}),
+t AS (SELECT r.model, y, score, coalesce(CAST(score >= threshold AS INTEGER), 0) AS prediction
+  FROM r LEFT JOIN fz USING (model) WHERE NOT val),
+c AS (SELECT model, count_if(y = 0 AND prediction = 0) AS tn, count_if(y = 0 AND prediction = 1) AS fp,
+  count_if(y = 1 AND prediction = 0) AS fn, count_if(y = 1 AND prediction = 1) AS tp,
+  sum(prediction) AS predicted_anomalies, avg(prediction) AS predicted_anomaly_rate,
+  avg(score) AS mean, stddev_pop(score) AS standard_deviation, min(score) AS minimum, max(score) AS maximum,
+  count(score) AS test_samples, quantile_cont(score, 0.05) AS p05, quantile_cont(score, 0.5) AS median,
+  quantile_cont(score, 0.95) AS p95, quantile_cont(score, 0.97) AS p97, quantile_cont(score, 0.99) AS p99
+  FROM t GROUP BY model),
+m AS (SELECT c.*, threshold, roc_auc, pr_auc, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
+  CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS precision,
+  CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall,
+  CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1_score,
+  CASE WHEN tn + fp = 0 THEN 0 ELSE tn / (tn + fp) END AS specificity,
+  CASE WHEN fp + tn = 0 THEN 0 ELSE fp / (fp + tn) END AS false_positive_rate
+  FROM c LEFT JOIN fz USING (model) JOIN {_curve(_ct('t', 'model'), 'model')} USING (model))
+SELECT *, sqrt(recall * specificity) AS g_mean,
+  row_number() OVER (ORDER BY pr_auc DESC NULLS LAST, recall DESC, model) = 1 AS best FROM m""",
+    "f14_audit": f"""WITH s AS (SELECT s.*, CASE WHEN quality >= 1 THEN 'v2' ELSE 'v1' END AS model_version,
+    CASE WHEN quality >= 1 THEN {STORED['v2']} ELSE {STORED['v1']} END AS used
+  FROM {S} s JOIN labels l USING (doc_id))
+SELECT model_version, count(*) AS rows, count_if(score >= used) AS predicted_anomalies,
+  count_if((score >= used) <> (score >= {STORED['v1']})) AS inconsistent,
+  count_if((score >= used) <> (score >= {STORED['v1']})) = 0 AS consistent FROM s GROUP BY model_version""",
     "f15_find_run": f"""SELECT run_id, pr_auc, run_id AS start_time FROM {_RUN_TABLE}
   WHERE algorithm = 'word_length' AND approach = 'reversed' ORDER BY run_id DESC LIMIT 1""",
     "g1_g2_minmax": f"SELECT doc_id, y, mm_a, mm_b FROM {_MM}",
@@ -319,12 +386,11 @@ SELECT tn, fp, fn, tp, (tp + tn) / (tp + tn + fp + fn) AS accuracy,
     "g5_minimum": "SELECT * FROM " + _curve(_ct(f"(SELECT y, least(pr_a, pr_b) AS score FROM {_MM})")),
     "g6_cascade": f"""SELECT doc_id, y, CASE WHEN pr_a >= 0.5 THEN pr_b ELSE 0.0 END AS cascade_a_b,
   CASE WHEN pr_b >= 0.5 THEN pr_a ELSE 0.0 END AS cascade_b_a FROM {_MM}""",
-    "g7_gate_search": "SELECT * FROM " + _grouped(
-        f"(SELECT gate_id, gate, y, CASE WHEN pr_a >= gate THEN pr_b ELSE 0.0 END AS score FROM {_MM}, {_GATES})",
-        "gate_id, gate")
-    + " WHERE threshold IS NOT NULL ORDER BY pr_auc DESC, precision DESC, false_positive_rate, recall DESC,"
-      " gate_id LIMIT 1",
-    "g8_ensemble_experiment": "SELECT * FROM " + _grouped(_CONFIGS, "config"),
+    "g7_gate_search": " UNION ALL ".join(f"(SELECT * FROM ({_searched(*o)}))" for o in _ORDERS),
+    "g8_ensemble_experiment": f"""WITH r AS (SELECT *, CAST(NULL AS DOUBLE) AS gate FROM {_grouped(_CONFIGS, "config")}
+  UNION ALL BY NAME """ + " UNION ALL BY NAME ".join(
+        f"(SELECT * EXCLUDE (gate_id, reach) FROM ({_searched(*o)}))" for o in _ORDERS) + """)
+SELECT *, row_number() OVER (ORDER BY pr_auc DESC, recall DESC NULLS LAST, config) = 1 AS best FROM r""",
     "g9_operational": f"""SELECT doc_id, 0.6 * mm_a + 0.4 * mm_b AS anomaly_score,
   CAST(0.6 * mm_a + 0.4 * mm_b >= 0.5 AS INTEGER) AS prediction FROM {_MM}""",
 }

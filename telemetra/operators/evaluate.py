@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra import config
@@ -40,13 +40,16 @@ def confusion(df: DataFrame, y: str, pred: str, keys: Sequence[str] = ()) -> Dat
         F.sqrt(recall * spec).alias("g_mean"))
 
 
-def score_table(df: DataFrame, y: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+def score_table(df: DataFrame, y: str, score: str, keys: Sequence[str] = (),
+                weight: str | None = None) -> DataFrame:
     """(keys, score, pos, neg, tp, fp, P, N): distinct scores with cumulative
-    counts of rows at or above each score; rows without a score (NULL, NaN) are left out."""
+    counts of rows at or above each score; rows without a score (NULL, NaN) are left out.
+    ``weight`` is a row multiplicity column."""
+    w = F.col(weight) if weight else F.lit(1)
     g = (df.where(present_double(score).isNotNull())
          .groupBy(*keys, F.col(score).alias("score"))
-         .agg(F.sum(F.col(y).cast("long")).alias("pos"),
-              F.sum((1 - F.col(y)).cast("long")).alias("neg")))
+         .agg(F.sum((F.col(y) * w).cast("long")).alias("pos"),
+              F.sum(((1 - F.col(y)) * w).cast("long")).alias("neg")))
     s = prefix_sums(g, keys, "score", ["pos", "neg"], descending=True)
     return s.select(*keys, "score", "pos", "neg", F.col("cum_pos").alias("tp"),
                     F.col("cum_neg").alias("fp"), F.col("total_pos").alias("P"),
@@ -83,18 +86,29 @@ def curve_metrics(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
                     F.when(P > 0, F.col("_ap") / P).alias("pr_auc"))
 
 
+def _ends(table: DataFrame, keys: Sequence[str], **values) -> DataFrame:
+    """One more point per curve, above the highest score (threshold NULL)."""
+    groups = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    return groups.select(*keys, F.lit(None).cast("double").alias("threshold"),
+                         *[F.lit(v).alias(k) for k, v in values.items()])
+
+
 def roc_points(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score."""
-    return table.select(*keys, F.col("score").alias("threshold"),
-                        safe_div(F.col("fp"), F.col("N")).alias("fpr"),
-                        safe_div(F.col("tp"), F.col("P")).alias("tpr"))
+    """(threshold, fpr, tpr) at every distinct score, and the start (0, 0) where
+    nothing is flagged (threshold NULL)."""
+    points = table.select(*keys, F.col("score").cast("double").alias("threshold"),
+                          safe_div(F.col("fp"), F.col("N")).alias("fpr"),
+                          safe_div(F.col("tp"), F.col("P")).alias("tpr"))
+    return points.unionByName(_ends(table, keys, fpr=0.0, tpr=0.0))
 
 
 def pr_points(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """(threshold, precision, recall) at every distinct score."""
-    return table.select(*keys, F.col("score").alias("threshold"),
-                        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-                        safe_div(F.col("tp"), F.col("P")).alias("recall"))
+    """(threshold, precision, recall) at every distinct score, and the closing point
+    (precision 1, recall 0; threshold NULL)."""
+    points = table.select(*keys, F.col("score").cast("double").alias("threshold"),
+                          (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
+                          safe_div(F.col("tp"), F.col("P")).alias("recall"))
+    return points.unionByName(_ends(table, keys, precision=1.0, recall=0.0))
 
 
 def pick_threshold(sweep: DataFrame, min_recall: float = config.MIN_RECALL,
@@ -127,16 +141,40 @@ def apply_threshold(df: DataFrame, score: str, threshold: float | str,
 
 
 def evaluate_grouped(df: DataFrame, y: str, score: str, keys: Sequence[str],
-                     min_recall: float = config.MIN_RECALL) -> DataFrame:
-    """Per configuration the curve metrics plus the operating point
+                     min_recall: float = config.MIN_RECALL, weight: str | None = None) -> DataFrame:
+    """Per configuration the curve metrics plus the operating point
     chosen by F9 (recall floor)."""
-    t = score_table(df, y, score, keys)
+    t = score_table(df, y, score, keys, weight)
     curve = curve_metrics(t, keys)
     pick = pick_threshold(threshold_sweep(t, keys), min_recall, keys).select(
         *keys, "threshold", "precision", "recall", "false_positive_rate")
     return curve.join(pick, list(keys), "left")
 
 
+def held_out_comparison(df: DataFrame, y: str, score: str, split: str, keys: Sequence[str],
+                        min_recall: float = config.MIN_RECALL) -> DataFrame:
+    """candidates (``keys``) compared on rows that chose nothing.  Each candidate's
+    threshold is picked by F9 on the rows of split ``validation`` and frozen; the rows of
+    split ``test`` are flagged with it and give the confusion metrics, curve metrics,
+    flagged share and score distribution.  ``best`` marks the first by (pr_auc, recall).
+    A candidate without a threshold that reaches the recall flags nothing (threshold
+    NULL)."""
+    from telemetra.operators.monitor import score_summary
+
+    rows = cut_lineage(df.select(*keys, F.col(y).alias("y"), F.col(score).cast("double").alias("score"),
+                                 F.col(split).alias("split")))
+    sweep = threshold_sweep(score_table(rows.where("split = 'validation'"), "y", "score", keys), keys)
+    frozen = cut_lineage(pick_threshold(sweep, min_recall, keys).select(*keys, "threshold"))
+    test = rows.where("split = 'test'").join(F.broadcast(frozen), list(keys), "left")
+    test = cut_lineage(test.withColumn("prediction", F.coalesce((F.col("score") >= F.col("threshold")).cast("int"), F.lit(0))))
+    out = (confusion(test, "y", "prediction", keys).join(frozen, list(keys), "left")
+           .join(curve_metrics(score_table(test, "y", "score", keys), keys), list(keys))
+           .join(predicted_rate(test, "prediction", keys), list(keys))
+           .join(score_summary(test, "score", keys).withColumnRenamed("count", "test_samples"), list(keys)))
+    order = Window.orderBy(F.col("pr_auc").desc_nulls_last(), F.col("recall").desc(), *keys)   # one row per candidate
+    return cut_lineage(out).withColumn("best", F.row_number().over(order) == 1)
+
+
 def best_per_group(runs: DataFrame, group: Sequence[str], order: Sequence[str],
                    tiebreak: str) -> DataFrame:
     """best run per group by ``order`` (desc), first run wins ties."""
@@ -146,12 +184,16 @@ def best_per_group(runs: DataFrame, group: Sequence[str], order: Sequence[str],
     return best.select(*group, "b.*")
 
 
-def audit_predictions(df: DataFrame, score: str, pred: str, threshold: float | str) -> DataFrame:
-    """stored prediction must equal ``score >= threshold``."""
+def audit_predictions(df: DataFrame, score: str, pred: str, threshold: float | str,
+                      keys: Sequence[str] = ()) -> DataFrame:
+    """a stored prediction must equal ``score >= threshold`` under the threshold in
+    force; per ``keys`` rows, flagged rows, inconsistent rows, and whether all agree.  A
+    stored NULL is inconsistent."""
     thr = F.col(threshold) if isinstance(threshold, str) else F.lit(float(threshold))
     expect = (F.col(score) >= thr).cast("int")
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.count_if(F.col(pred) != expect).alias("inconsistent")).withColumn(
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(pred) == 1).alias("predicted_anomalies"),
+        F.count_if(~F.col(pred).eqNullSafe(expect)).alias("inconsistent")).withColumn(
         "consistent", F.col("inconsistent") == 0)
 
 
