@@ -36,10 +36,10 @@ def request_log(spark, sf_dir):
 
 def h4_window_events(spark, sf_dir):
     log = request_log(spark, sf_dir)
-    as_of = log.agg(F.max("timestamp").alias("_as_of"))
-    w = M.trailing_window(log.crossJoin(F.broadcast(as_of)), "timestamp", F.col("_as_of"))
+    as_of = M.latest(log, "timestamp")                 # one value
+    w = M.trailing_window(log, "timestamp", as_of)
     return w.agg(F.count(F.lit(1)).alias("events"), F.min("timestamp").alias("first_ts"),
-                 F.max("timestamp").alias("last_ts"), F.max("_as_of").alias("as_of"))
+                 F.max("timestamp").alias("last_ts"), F.lit(as_of).cast(log.schema["timestamp"].dataType).alias("as_of"))
 
 
 def h9_system_events(spark, sf_dir):
@@ -67,10 +67,17 @@ def e7_score_summary_documents(spark, sf_dir):
 
 
 def _feature_events(df):
-    """Production inputs as a dynamic-key map, as prediction events carry them."""
+    """Production inputs as a dynamic-key map, as prediction events carry them: the third
+    lines come without a tax, the fourth with text for the discount, and none with the
+    weight."""
     kv = []
     for c in MEASURES + ["l_returnflag"]:
-        kv += [F.lit(c), F.col(c).cast("string")]
+        value = F.col(c).cast("string")
+        if c == "l_tax":
+            value = F.when(F.col("l_linenumber") != 3, value)
+        elif c == "l_discount":
+            value = F.when(F.col("l_linenumber") == 4, "none").otherwise(value)
+        kv += [F.lit(c), value]
     return df.select(F.create_map(*kv).alias("features"))
 
 
@@ -80,7 +87,7 @@ def h13_data_monitor_lineitem(spark, sf_dir):
     num = drift.numeric_profile(ref, MEASURES)
     cat = drift.categorical_profile(ref, ["l_returnflag"])
     return M.data_monitor(_feature_events(current_period(li)), "features", num, cat,
-                          MEASURES, ["l_returnflag"])
+                          [*MEASURES, "l_weight"], ["l_returnflag"])
 
 
 def _model_events(spark, sf_dir):
@@ -113,38 +120,26 @@ def h15_decision_orders(spark, sf_dir):
                                  "current_performance")
 
 
+REPORT_THRESHOLD = 40.0
+
+
 def h16_report_events(spark, sf_dir):
-    """Full report: trailing 24 h window of the request log, system, data and
-    model monitors against the earlier part of the log, worst overall status
-    and the retraining decision."""
+    """Full report on the last 24 hours of the request log against the log before:
+    system, data (latency and endpoint as inputs) and model monitors, performance against
+    the labels that came in (errors), alerts, statuses and the retraining decision."""
     log = request_log(spark, sf_dir)
-    as_of = log.agg(F.max("timestamp").alias("_as_of"))
-    tagged = log.crossJoin(F.broadcast(as_of)).withColumn(
-        "_in", F.col("timestamp") >= F.col("_as_of") - F.expr("INTERVAL 24 HOURS"))
-    win, ref = tagged.where("_in"), tagged.where("NOT _in")
-    sys_rows = M.system_metric_rows(M.system_metrics(win))
-    num = drift.numeric_profile(ref, ["latency_ms"])
-    cat = drift.categorical_profile(ref, ["path"])
-    feats = win.select(F.create_map(F.lit("latency_ms"), F.col("latency_ms").cast("string"),
-                                    F.lit("path"), F.col("path")).alias("features"))
-    data_rows = M.data_monitor(feats, "features", num, cat, ["latency_ms"], ["path"])
-    pred = lambda d: d.select((F.col("latency_ms") >= 90).cast("int").alias("prediction"),
-                              F.col("latency_ms").alias("anomaly_score"))
-    mref = pred(ref).agg(F.avg(F.col("prediction").cast("double")).alias("predicted_anomaly_rate"),
-                         F.avg("anomaly_score").alias("mean"),
-                         F.stddev_pop("anomaly_score").alias("standard_deviation"))
-    model = M.model_monitor(pred(win), "prediction", "anomaly_score", mref)
-    sections = (sys_rows.select(F.lit("system").alias("section"), "status")
-                .unionByName(data_rows.where(F.col("metric") == "rows")
-                             .select(F.lit("data").alias("section"), "status"))
-                .unionByName(model.select(F.lit("model").alias("section"), "status")))
-    per = sections.groupBy("section").agg(rank_status(F.max(status_rank("status"))).alias("status"))
-    overall = per.agg(rank_status(F.max(status_rank("status"))).alias("status")).select(
-        F.lit("overall").alias("section"), "status")
-    data_status = per.where(F.col("section") == "data").select(F.col("status").alias("data_status"))
-    decision = M.retraining_decision(data_status, "data_status", None).select(
-        F.lit("decision").alias("section"), F.col("decision").alias("status"))
-    return per.unionByName(overall).unionByName(decision)
+    as_of = M.latest(log, "timestamp")
+    kv = [F.lit("latency_ms"), F.col("latency_ms").cast("string"), F.lit("path"), F.col("path")]
+    events = log.select("timestamp", "request_id", "path", "latency_ms", F.create_map(*kv).alias("features"),
+                        (F.col("latency_ms") >= REPORT_THRESHOLD).cast("int").alias("prediction"),
+                        F.col("latency_ms").alias("anomaly_score"))
+    before = events.where(F.col("timestamp") < F.lit(as_of).cast(log.schema["timestamp"].dataType) - F.expr("INTERVAL 24 HOURS"))
+    num = drift.numeric_profile(before, ["latency_ms"])
+    cat = drift.categorical_profile(before, ["path"])
+    ref = before.agg(F.avg(F.col("prediction").cast("double")).alias("predicted_anomaly_rate"),
+                     F.avg("anomaly_score").alias("mean"), F.stddev_pop("anomaly_score").alias("standard_deviation"))
+    labels = log.select("request_id", (F.col("path") == "error").cast("int").alias("y"))
+    return M.full_report(log, events, "timestamp", as_of, num, cat, ["latency_ms"], ["path"], ref, labels)
 
 
 QUERIES = {
@@ -180,7 +175,8 @@ def _rank(s):
     return f"(CASE {s} WHEN 'critical' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END)"
 
 
-_SYS = f"""(SELECT *, {_sev_hi('error_rate', L['max_error_rate_warning'], L['max_error_rate_critical'])} AS error_rate_status,
+def _sys(log: str) -> str:
+    return f"""(SELECT *, {_sev_hi('error_rate', L['max_error_rate_warning'], L['max_error_rate_critical'])} AS error_rate_status,
   {_sev_lo('availability', L['min_availability_warning'], L['min_availability_critical'])} AS availability_status,
   {_sev_hi('latency_p95_ms', L['max_p95_latency_ms_warning'], L['max_p95_latency_ms_critical'])} AS latency_status
   FROM (SELECT request_count, processed_instances, error_count, error_count / request_count AS error_rate,
@@ -190,7 +186,10 @@ _SYS = f"""(SELECT *, {_sev_hi('error_rate', L['max_error_rate_warning'], L['max
   FROM (SELECT count(*) AS request_count, CAST(sum(inst) AS BIGINT) AS processed_instances,
     count_if(code >= 400) AS error_count, count_if(code < 500) AS avail, avg(lat) AS latency_mean_ms,
     quantile_cont(lat, 0.95) AS latency_p95_ms, min(timestamp) AS t0, max(timestamp) AS t1,
-    count(timestamp) AS nts FROM {_LOG})))"""
+    count(timestamp) AS nts FROM {log})))"""
+
+
+_SYS = _sys(_LOG)
 _SYS_FULL = f"""(SELECT *, CASE greatest({_rank('error_rate_status')}, {_rank('availability_status')},
   {_rank('latency_status')}) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'stable' END AS status
   FROM {_SYS})"""
@@ -198,11 +197,16 @@ _SYS_FULL = f"""(SELECT *, CASE greatest({_rank('error_rate_status')}, {_rank('a
 _SCORED_P = f"(SELECT *, CAST(score >= {THRESHOLD} AS INTEGER) AS prediction FROM {SQL_SCORED})"
 _SUMMARY = """SELECT avg(score) AS mean, stddev_pop(score) AS standard_deviation, min(score) AS minimum,
   max(score) AS maximum, count(score) AS count, quantile_cont(score, 0.05) AS p05,
-  quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.95) AS p95"""
+  quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.95) AS p95, quantile_cont(score, 0.97) AS p97,
+  quantile_cont(score, 0.99) AS p99"""
 
 _D = config.DATA_LIMITS
-_H13 = f"""WITH {drift_jobs._sql_profile_ctes(sql_unpivot(SQL_REF, MEASURES))},
-cl AS {sql_unpivot(SQL_CUR, MEASURES)},
+
+
+def _psi_js(ref_long: str, cur_long: str, ref_cat: str, cur_cat: str) -> str:
+    """CTEs psi (column_name, psi) and js (js) of the current against the reference rows."""
+    return f"""{drift_jobs._sql_profile_ctes(ref_long)},
+cl AS {cur_long},
 cb AS (SELECT cl.column_name, len(list_filter(e.edges, lambda z: z <= cl.x)) AS bin, count(*) AS n
          FROM cl JOIN e USING (column_name) GROUP BY ALL),
 g AS (SELECT rp.column_name, rp.bin, rp.proportion, coalesce(cb.n, 0) AS n
@@ -212,18 +216,32 @@ t AS (SELECT *, greatest(n / sum(n) OVER (PARTITION BY column_name), 1e-6) AS a0
 t2 AS (SELECT *, a0 / sum(a0) OVER (PARTITION BY column_name) AS a,
               e0 / sum(e0) OVER (PARTITION BY column_name) AS ee FROM t),
 psi AS (SELECT column_name, sum((a - ee) * ln(a / ee)) AS psi FROM t2 GROUP BY column_name),
-rc AS (SELECT l_returnflag AS category, count(*) / sum(count(*)) OVER () AS p FROM {SQL_REF} GROUP BY l_returnflag),
-cc AS (SELECT l_returnflag AS category, count(*) AS n FROM {SQL_CUR} GROUP BY l_returnflag),
+rc AS (SELECT category, count(*) / sum(count(*)) OVER () AS p FROM {ref_cat} GROUP BY category),
+cc AS (SELECT category, count(*) AS n FROM {cur_cat} GROUP BY category),
 jb AS (SELECT coalesce(rc.p, 0) AS p, coalesce(cc.n, 0) AS n FROM rc FULL OUTER JOIN cc USING (category)),
 jt AS (SELECT p / sum(p) OVER () AS e, n / sum(n) OVER () AS a FROM jb),
 js AS (SELECT 0.5 * (sum(CASE WHEN e > 0 THEN e * ln(e / ((e + a) / 2)) ELSE 0 END)
-                   + sum(CASE WHEN a > 0 THEN a * ln(a / ((e + a) / 2)) ELSE 0 END)) AS js FROM jt),
-m AS (SELECT 'data' AS category, 'psi' AS metric, column_name AS subject, psi AS value,
-        '{_D['psi_critical']}' AS threshold, {_sev_hi('psi', _D['psi_warning'], _D['psi_critical'])} AS status FROM psi
-  UNION ALL SELECT 'data', 'js_divergence', 'l_returnflag', js, '{_D['js_critical']}',
-        {_sev_hi('js', _D['js_warning'], _D['js_critical'])} FROM js
-  UNION ALL SELECT 'data', 'missing_rate', column_name, 0.0, NULL, 'stable' FROM (SELECT DISTINCT column_name FROM cl)
-  UNION ALL SELECT 'data', 'production_mean', column_name, avg(x), NULL, 'stable' FROM cl GROUP BY column_name)
+                   + sum(CASE WHEN a > 0 THEN a * ln(a / ((e + a) / 2)) ELSE 0 END)) AS js FROM jt)"""
+
+
+_PSI_ROW = f"""SELECT 'data' AS category, 'psi' AS metric, column_name AS subject, psi AS value,
+        '{_D['psi_critical']}' AS threshold, {_sev_hi('psi', _D['psi_warning'], _D['psi_critical'])} AS status FROM psi"""
+
+
+def _js_row(subject: str) -> str:
+    return f"""SELECT 'data' AS category, 'js_divergence' AS metric, '{subject}' AS subject, js AS value,
+        '{_D['js_critical']}' AS threshold, {_sev_hi('js', _D['js_warning'], _D['js_critical'])} AS status FROM js"""
+
+
+_CUR_IN = f"""(SELECT * REPLACE (CASE WHEN l_linenumber <> 3 THEN l_tax END AS l_tax,
+  CASE WHEN l_linenumber <> 4 THEN l_discount END AS l_discount) FROM {SQL_CUR})"""
+_H13 = f"""WITH {_psi_js(sql_unpivot(SQL_REF, MEASURES), sql_unpivot(_CUR_IN, MEASURES),
+    f"(SELECT l_returnflag AS category FROM {SQL_REF})", f"(SELECT l_returnflag AS category FROM {SQL_CUR})")},
+m AS ({_PSI_ROW} UNION ALL {_js_row('l_returnflag')}
+""" + "".join(f"""  UNION ALL SELECT 'data', 'missing_rate', '{c}', avg(CAST({c} IS NULL AS INTEGER)), NULL, 'stable' FROM {_CUR_IN}
+  UNION ALL SELECT 'data', 'production_mean', '{c}', avg({c}), NULL, 'stable' FROM {_CUR_IN}
+  UNION ALL SELECT 'data', 'reference_mean', '{c}', avg({c}), NULL, 'stable' FROM {SQL_REF}
+""" for c in MEASURES) + f"""  UNION ALL SELECT 'data', 'missing_column', 'l_weight', NULL, 'column_required', 'critical')
 SELECT * FROM m UNION ALL
 SELECT 'data', 'rows', 'production', (SELECT count(*) FROM {SQL_CUR}), '30',
   CASE max({_rank('status')}) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'stable' END FROM m"""
@@ -248,6 +266,53 @@ SELECT *, CASE WHEN production_rows = 0 THEN 'no_data' WHEN production_rows < 30
 
 _R = config.RETRAINING
 _LIMIT = float(_R["reference_performance"]) * (1 - float(_R["maximum_relative_drop"]))
+_ALERT_TEXT = "(VALUES " + ", ".join(
+    "('{}', '{}', '{}', '{}')".format(c, m, msg.replace("'", "''"), act.replace("'", "''"))
+    for (c, m), (msg, act) in M.ALERT_TEXT.items()) + ") t(category, metric, message, recommended_action)"
+_WIN = f"(SELECT l.* FROM {_LOG} l WHERE timestamp >= (SELECT max(ts) FROM events) - INTERVAL 24 HOURS)"
+_OLD = f"(SELECT l.* FROM {_LOG} l WHERE timestamp < (SELECT max(ts) FROM events) - INTERVAL 24 HOURS)"
+_LAT = "(SELECT 'latency_ms' AS column_name, lat AS x FROM {} WHERE lat IS NOT NULL AND NOT isnan(lat))"
+_H16 = f"""WITH {_psi_js(_LAT.format(_OLD), _LAT.format(_WIN), f"(SELECT path AS category FROM {_OLD})",
+                         f"(SELECT path AS category FROM {_WIN})")},
+s AS {_sys(_WIN)},
+mo AS (SELECT abs(a.r - b.r) AS diff, CASE WHEN b.sd > 0 THEN abs(a.m - b.m) / b.sd ELSE 0.0 END AS shift, a.n FROM
+  (SELECT avg(CAST(lat >= {REPORT_THRESHOLD} AS INTEGER)) AS r, avg(lat) AS m, count(*) AS n FROM {_WIN}) a,
+  (SELECT avg(CAST(lat >= {REPORT_THRESHOLD} AS INTEGER)) AS r, avg(lat) AS m, stddev_pop(lat) AS sd FROM {_OLD}) b),
+ms AS (SELECT *, {_sev_hi('diff', _MD['anomaly_rate_difference_warning'], _MD['anomaly_rate_difference_critical'])} AS ds,
+  {_sev_hi('shift', _MD['score_mean_shift_warning'], _MD['score_mean_shift_critical'])} AS ss FROM mo),
+cf AS (SELECT count_if(path = 'error' AND lat >= {REPORT_THRESHOLD}) AS tp, count_if(path = 'error' AND lat < {REPORT_THRESHOLD}) AS fn,
+  count_if(path <> 'error' AND lat >= {REPORT_THRESHOLD}) AS fp, count_if(path <> 'error' AND lat < {REPORT_THRESHOLD}) AS tn FROM {_WIN}),
+d0 AS ({_PSI_ROW} UNION ALL {_js_row('path')}
+  UNION ALL SELECT 'data', 'missing_rate', 'latency_ms', avg(CAST(lat IS NULL AS INTEGER)), NULL, 'stable' FROM {_WIN}
+  UNION ALL SELECT 'data', 'production_mean', 'latency_ms', avg(lat), NULL, 'stable' FROM {_WIN}
+  UNION ALL SELECT 'data', 'reference_mean', 'latency_ms', avg(lat), NULL, 'stable' FROM {_OLD}),
+m AS (SELECT * FROM d0
+  UNION ALL SELECT 'data', 'rows', 'production', (SELECT n FROM mo), '30',
+    CASE max({_rank('status')}) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'stable' END FROM d0
+  UNION ALL SELECT 'system', 'error_rate', 'service', error_rate, '{float(L['max_error_rate_critical'])}', error_rate_status FROM s
+  UNION ALL SELECT 'system', 'availability', 'service', availability, '{float(L['min_availability_warning'])}', availability_status FROM s
+  UNION ALL SELECT 'system', 'latency_p95_ms', 'service', latency_p95_ms, '{float(L['max_p95_latency_ms_critical'])}', latency_status FROM s
+  UNION ALL SELECT 'model', 'anomaly_rate_difference', 'production', diff, '{_MD['anomaly_rate_difference_critical']}', ds FROM ms
+  UNION ALL SELECT 'model', 'score_mean_shift', 'production', shift, '{_MD['score_mean_shift_critical']}', ss FROM ms
+  UNION ALL SELECT 'model', 'rows', 'production', n, '30',
+    CASE greatest({_rank('ds')}, {_rank('ss')}) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'stable' END FROM ms
+  UNION ALL SELECT 'performance', 'labelled_rows', 'labelled', tp + fn + fp + tn, NULL, 'stable' FROM cf
+  UNION ALL SELECT 'performance', 'precision', 'labelled', CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END, NULL, 'stable' FROM cf
+  UNION ALL SELECT 'performance', 'recall', 'labelled', CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, NULL, 'stable' FROM cf
+  UNION ALL SELECT 'performance', 'false_positive_rate', 'labelled', CASE WHEN fp + tn = 0 THEN 0 ELSE fp / (fp + tn) END, NULL, 'stable' FROM cf
+  UNION ALL SELECT 'performance', 'f1_score', 'labelled', CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END, NULL, 'stable' FROM cf),
+st AS (SELECT 'system' AS category, CASE greatest({_rank('error_rate_status')}, {_rank('availability_status')}, {_rank('latency_status')})
+    WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'stable' END AS status FROM s
+  UNION ALL SELECT category, status FROM m WHERE metric = 'rows'),
+sa AS (SELECT * FROM st UNION ALL SELECT 'overall', CASE max({_rank('status')}) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning'
+  ELSE 'stable' END FROM st),
+dc AS (SELECT (SELECT status FROM st WHERE category = 'data') AS ds, (SELECT value FROM m WHERE metric = 'recall') AS v)
+SELECT 'metric' AS kind, *, CAST(NULL AS VARCHAR) AS message, CAST(NULL AS VARCHAR) AS recommended_action FROM m
+UNION ALL SELECT 'alert', m.*, t.message, t.recommended_action FROM m LEFT JOIN {_ALERT_TEXT} USING (category, metric)
+  WHERE m.status IN ('warning', 'critical')
+UNION ALL SELECT 'status', category, NULL, NULL, NULL, NULL, status, NULL, NULL FROM sa
+UNION ALL SELECT 'decision', 'retraining', 'recall', NULL, v, '{_LIMIT}', CASE WHEN ds <> 'critical' THEN 'continue_monitoring'
+  WHEN v IS NULL THEN 'investigate_drift' WHEN v <= {_LIMIT} THEN 'evaluate_retraining' ELSE 'continue_monitoring' END, NULL, NULL FROM dc"""
 _H17 = drift_jobs.SQL["h17_drift_by_batch_orders"]
 
 SQL = {
@@ -276,6 +341,7 @@ SELECT m.category, m.metric, m.subject, m.severity, m.value, m.threshold, t.mess
   {_SUMMARY.replace('SELECT ', '')} FROM {_SCORED_P}""",
     "e7_score_summary_documents": f"{_SUMMARY} FROM {SQL_SCORED}",
     "h13_data_monitor_lineitem": _H13,
+    "h16_report_events": _H16,
     "h14_model_monitor_events": _H14,
     "h15_decision_orders": f"""WITH st AS ({_H17}),
 li AS (SELECT year(l_shipdate) AS batch_id, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS y,

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra import config
-from telemetra.functions.exprs import bin_index, long_form
-from telemetra.plans.hscan import exact_quantiles, prefix_sums
-from telemetra.session import cut_lineage
+from telemetra.functions.exprs import bin_index, long_form, present_double
+from telemetra.plans.hscan import exact_quantiles
+from telemetra.session import cut_lineage, ship_package
 
 
 # ---------------------------------------------------------------- H1 ------
@@ -37,14 +39,17 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     standard deviation, inner bin edges and bin proportions."""
     long = long_form(df, columns, ids=keys)
     gk = [*keys, "column_name"]
-    # two passes over the input: the moments, and the collapse to
-    # (keys, column, value, count) -- written once, partial aggregation absorbs
-    # repeated values -- from which edges and bin counts are read
-    stats = long.groupBy(*gk).agg(
-        F.count("x").alias("count"), F.min("x").alias("minimum"),
-        F.max("x").alias("maximum"), F.avg("x").alias("mean"),
-        F.stddev_pop("x").alias("standard_deviation"))
+    # one pass over the input collapses it to (keys, column, value, count) -- written
+    # once, partial aggregation absorbs repeated values; moments, edges and bin counts
+    # are read from it
     values = cut_lineage(long.groupBy(*gk, "x").agg(F.count(F.lit(1)).alias("cnt")))
+    x, n = F.col("x"), F.col("cnt")
+    first = values.groupBy(*gk).agg(F.sum("cnt").alias("count"), F.min("x").alias("minimum"), F.max("x").alias("maximum"),
+                                    (F.sum(x * n) / F.sum(n)).alias("mean"))
+    # around the mean: no cancellation
+    spread = values.join(F.broadcast(first.select(*gk, "mean")), gk).groupBy(*gk).agg(
+        F.sqrt(F.sum(n * F.pow(x - F.col("mean"), 2)) / F.sum(n)).alias("standard_deviation"))
+    stats = first.join(spread, gk)
     edges = numeric_edges(values, gk, bins, weight="cnt")
     counts = (values.join(edges, gk).withColumn("bin", bin_index("bin_edges", "x"))
               .groupBy(*gk, "bin").agg(F.sum("cnt").alias("n")))
@@ -166,43 +171,52 @@ def shift_factors(spark, n: int = config.SHIFT_FACTOR_COUNT,
         .otherwise(F.lit(lo) + F.col("id") * F.lit(step)).alias("factor"))
 
 
+def counts_below(df: DataFrame, column: str, thresholds: Sequence[float]) -> list[int]:
+    """Per threshold the number of values below it, in one map-only pass: each task
+    places its values among the sorted thresholds (binary search) and returns counts per
+    interval, which a grouped sum adds.  NULL and NaN are no values.  The thresholds are
+    a bounded grid; as many counts reach the driver."""
+    order = np.argsort(np.asarray(thresholds, np.float64), kind="stable")
+    edges = np.asarray(thresholds, np.float64)[order]
+
+    def fn(batches):
+        for batch in batches:
+            x = batch.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
+            at, n = np.unique(np.searchsorted(edges, x[~np.isnan(x)], "right"), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(n.astype(np.int64))], names=["at", "n"])
+
+    ship_package(df.sparkSession)
+    values = df.select(present_double(column).alias("x")).where("x IS NOT NULL")
+    rows = values.mapInArrow(fn, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
+    cells = np.zeros(len(edges) + 1, np.int64)
+    for r in rows:
+        cells[r["at"]] = r["n"]
+    below = np.empty(len(edges), np.int64)
+    below[order] = np.cumsum(cells)[:-1]
+    return [int(cells.sum()), *below.tolist()]
+
+
 def shift_psi(current: DataFrame, profile: DataFrame, column: str, std: float | None = None
               ) -> DataFrame:
     """PSI of ``column + std * factor`` for every factor of the grid, without
-    copying the data per factor: the shifted bin counts are differences of
-    ``#(x < edge - std*factor)``, read off one prefix sum over the distinct
-    values merged with the (factor, edge) thresholds.
+    copying or sorting the data: the shifted bin counts are differences of
+    ``#(x < edge - std*factor)``, all of them from one :func:`counts_below` pass.
 
     Returns (factor_id, factor, psi)."""
     spark = current.sparkSession
-    prof = profile.where(F.col("column_name") == column)
-    s = F.col("standard_deviation") if std is None else F.lit(float(std))
-    factors = shift_factors(spark)
-    thr = (factors.crossJoin(F.broadcast(prof.select(
-        F.posexplode("bin_edges").alias("edge_pos", "edge"), s.alias("_s"))))
-           .select("factor_id", "edge_pos", (F.col("edge") - F.col("_s") * F.col("factor"))
-                   .alias("t")))
-    data = (current.select(F.col(column).cast("double").alias("v"))
-            .where(F.col("v").isNotNull() & ~F.isnan("v")))
-    n_total = data.agg(F.count(F.lit(1)).alias("n_total"))
-    axis = (data.groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))
-            .unionByName(thr.select(F.col("t").alias("v"), F.lit(0).cast("long").alias("cnt")))
-            .groupBy("v").agg(F.sum("cnt").alias("cnt")))
-    scanned = prefix_sums(axis, [], "v", ["cnt"], with_totals=False)
-    below = (thr.join(scanned, thr["t"] == scanned["v"])
-             .select("factor_id", "edge_pos", (F.col("cum_cnt") - F.col("cnt")).alias("below")))
-    # bin j of the shifted values = [edge_{j-1}, edge_j) shifted back
-    k = prof.select(F.size("bin_edges").alias("k"), "bin_proportions")
-    bins = (factors.crossJoin(F.broadcast(k))
-            .select("factor_id", "k", F.posexplode("bin_proportions").alias("bin", "proportion")))
-    b1 = below.select("factor_id", F.col("edge_pos").alias("bin"), F.col("below").alias("_hi"))
-    b0 = below.select("factor_id", (F.col("edge_pos") + 1).alias("bin"), F.col("below").alias("_lo"))
-    grid = (bins.crossJoin(F.broadcast(n_total))
-            .join(b1, ["factor_id", "bin"], "left").join(b0, ["factor_id", "bin"], "left")
-            .withColumn("n", F.coalesce("_hi", "n_total") - F.coalesce("_lo", F.lit(0)))
-            .select("factor_id", "bin", "proportion", "n"))
-    out = _psi_from_counts(grid, ["factor_id"]).drop("current_count")
-    return out.join(factors, "factor_id").select("factor_id", "factor", "psi")
+    own = profile.where(F.col("column_name") == column).select("bin_edges", "bin_proportions", "standard_deviation").first()
+    if own is None:
+        raise ValueError(f"no reference profile of {column!r}")
+    s = float(own["standard_deviation"] if std is None else std)
+    factors = [(r["factor_id"], r["factor"]) for r in shift_factors(spark).collect()]      # the grid: bounded
+    asked = [(f, edge - s * x) for f, x in factors for edge in own["bin_edges"]]
+    total, *below = counts_below(current, column, [t for _, t in asked])
+    k, rows = len(own["bin_edges"]), []
+    for i, (f, x) in enumerate(factors):
+        upto = [0, *below[i * k:(i + 1) * k], total]
+        rows += [(f, x, j, p, upto[j + 1] - upto[j]) for j, p in enumerate(own["bin_proportions"])]
+    grid = spark.createDataFrame(rows, "factor_id long, factor double, bin int, proportion double, n long")
+    return _psi_from_counts(grid, ["factor_id", "factor"]).select("factor_id", "factor", "psi")
 
 
 def pick_shift(shifts: DataFrame, psi_min: float, psi_max: float | None, target: float

@@ -24,14 +24,24 @@ METRIC_SCHEMA = ("category string, metric string, subject string, value double,
 
 
 # ------------------------------------------------------------------ H4 ----
-def trailing_window(df: DataFrame, ts: str, as_of: Column | str, hours: int = config.WINDOW_HOURS
-                    ) -> DataFrame:
-    """Events with a parsable timestamp inside [as_of - hours, as_of].  ``as_of`` is a parameter, never the
-    wall clock, so a re-run gives the same answer."""
-    t = F.col(ts)
-    if not isinstance(dict(df.dtypes)[ts], str) or dict(df.dtypes)[ts] == "string":
-        t = F.expr(f"try_to_timestamp(`{ts}`)")
-    hi = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+def latest(df: DataFrame, ts: str):
+    """The last parsable timestamp (one value, for ``as_of``); None on an empty log."""
+    return df.agg(F.max(_instant(df, ts))).first()[0]
+
+
+def _instant(df: DataFrame, ts: str) -> Column:
+    return F.expr(f"try_to_timestamp(`{ts}`)") if dict(df.dtypes)[ts] == "string" else F.col(ts)
+
+
+def trailing_window(df: DataFrame, ts: str, as_of, hours: int = config.WINDOW_HOURS) -> DataFrame:
+    """Events with a parsable timestamp inside [as_of - hours, as_of].  ``as_of`` is a
+    parameter (text, datetime or Column), never the wall clock, so a re-run gives the same
+    answer; as a literal its bounds reach the scan.  None keeps nothing."""
+    t = _instant(df, ts)
+    if as_of is None:
+        return df.where(F.lit(False))
+    hi = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    hi = hi.cast(df.schema[ts].dataType if dict(df.dtypes)[ts] != "string" else "timestamp")
     return df.where(t.isNotNull() & (t >= hi - F.expr(f"INTERVAL {int(hours)} HOURS")) & (t <= hi))
 
 
@@ -157,7 +167,8 @@ def data_monitor(current: DataFrame, features: str, num_profile: DataFrame,
     column (dynamic keys).  A column is missing when its key is absent from
     every row.  Rows: psi / js_divergence / missing_column per column plus
     'rows' with the overall status (no_data, insufficient_data, worst-of).
-    Also carries missing_rate and production / reference mean."""
+    Also carries missing_rate, production_mean and reference_mean of the numbers (NULL
+    and text that is no number count as missing)."""
     spark = current.sparkSession
     fm = F.col(features)
     cols = list(numeric) + list(categorical)
@@ -169,7 +180,7 @@ def data_monitor(current: DataFrame, features: str, num_profile: DataFrame,
                         for i, c in enumerate(cols)],
                       *[F.avg(F.when(v.isNull() | F.isnan(v), 1.0).otherwise(0.0)).alias(f"mr_{j}")
                         for j, v in enumerate(num_v.values())],
-                      *[F.avg(v).alias(f"pm_{j}") for j, v in enumerate(num_v.values())])
+                      *[F.avg(F.nanvl(v, F.lit(None).cast("double"))).alias(f"pm_{j}") for j, v in enumerate(num_v.values())])
     stats = one.first()        # one row: bounded
     n = stats["n"]
     if n == 0 or n < minimum_rows:
@@ -196,6 +207,11 @@ def data_monitor(current: DataFrame, features: str, num_profile: DataFrame,
               else float(stats[f"{pfx}_{pos[c]}"]), None, "stable")
              for c in nums for k, pfx in (("missing_rate", "mr"), ("production_mean", "pm"))],
             METRIC_SCHEMA))
+    if nums and "mean" in num_profile.columns:
+        parts.append(num_profile.where(F.col("column_name").isin(nums)).select(
+            F.lit("data").alias("category"), F.lit("reference_mean").alias("metric"),
+            F.col("column_name").alias("subject"), F.col("mean").alias("value"),
+            F.lit(None).cast("string").alias("threshold"), F.lit("stable").alias("status")))
     if cats:
         j = drift.js_divergence(flat.select(*cats), cat_profile, cats)
         parts.append(j.select(
@@ -220,25 +236,27 @@ def data_monitor(current: DataFrame, features: str, num_profile: DataFrame,
 
 
 # ------------------------------------------------------------------ H3/H14 -
+SUMMARY_QUANTILES = {0.05: "p05", 0.5: "median", 0.95: "p95", 0.97: "p97", 0.99: "p99"}
+
+
 def score_summary(df: DataFrame, score: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Mean, population std, min, p05, median, p95, max."""
-    g = df.groupBy(*keys).agg(F.avg(score).alias("mean"), F.stddev_pop(score).alias("standard_deviation"),
-                              F.min(score).alias("minimum"), F.max(score).alias("maximum"),
-                              F.count(score).alias("count"))
-    q = exact_quantiles(df.select(*keys, F.col(score).cast("double").alias("x")), list(keys), "x",
-                        [0.05, 0.5, 0.95])
-    piv = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
-                                 for p, n in ((0.05, "p05"), (0.5, "median"), (0.95, "p95"))])
-    return g.join(piv, list(keys)) if keys else g.crossJoin(piv)
+    """Mean, population std, min, p05, median, p95, p97, p99, max and count of
+    the scores that are numbers (NULL and NaN are left out)."""
+    rows = df.select(*keys, present_double(score).alias("x"))
+    g = rows.groupBy(*keys).agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("standard_deviation"),
+                                F.min("x").alias("minimum"), F.max("x").alias("maximum"), F.count("x").alias("count"))
+    q = exact_quantiles(rows, list(keys), "x", list(SUMMARY_QUANTILES))
+    piv = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n) for p, n in SUMMARY_QUANTILES.items()])
+    return g.join(piv, list(keys), "left") if keys else g.crossJoin(piv)
 
 
 def model_reference(df: DataFrame, y: str, pred: str, score: str) -> DataFrame:
     """H3: observed failure rate, predicted anomaly rate, FPR on label 0 and
     the score summary, one row."""
     rates = df.agg(F.count(F.lit(1)).alias("row_count"),
-                   F.avg(F.col(y).cast("double")).alias("observed_failure_rate"),
-                   F.avg(F.col(pred).cast("double")).alias("predicted_anomaly_rate"),
-                   F.avg(F.when(F.col(y) == 0, F.col(pred).cast("double"))).alias("false_positive_rate"))
+                   F.avg(present_double(y)).alias("observed_failure_rate"),
+                   F.avg(present_double(pred)).alias("predicted_anomaly_rate"),
+                   F.avg(F.when(F.col(y) == 0, present_double(pred))).alias("false_positive_rate"))
     return rates.crossJoin(score_summary(df, score))
 
 
@@ -246,9 +264,10 @@ def model_monitor(current: DataFrame, pred: str, score: str, reference: DataFram
                   minimum_rows: int = config.MINIMUM_ROWS_FOR_DRIFT,
                   limits: dict = config.MODEL_LIMITS) -> DataFrame:
     """One row of anomaly-rate and score-shift metrics against a
-    reference row (predicted_anomaly_rate, mean, standard_deviation)."""
-    p = F.col(pred).try_cast("double")
-    s = F.col(score).try_cast("double")
+    reference row (predicted_anomaly_rate, mean, standard_deviation).  Predictions and
+    scores that are NULL, NaN or no number count in no rate and no mean."""
+    p = present_double(pred)
+    s = present_double(score)
     cur = current.select(p.alias("_p"), s.alias("_s"))
     g = cur.agg(F.count(F.lit(1)).alias("production_rows"),
                 F.count_if(F.col("_p") == 1).alias("anomaly_count"),
@@ -281,6 +300,91 @@ def model_monitor(current: DataFrame, pred: str, score: str, reference: DataFram
                           .when(n < minimum_rows, "insufficient_data").otherwise(status))
 
 
+def model_metric_rows(model: DataFrame, limits: dict = config.MODEL_LIMITS) -> DataFrame:
+    """The model row as metric-table rows (thresholds: the critical limits), and its
+    status over all; without enough rows only that."""
+    own = lambda metric, value, threshold, status: F.struct(
+        F.lit("model").alias("category"), F.lit(metric).alias("metric"), F.lit("production").alias("subject"),
+        F.col(value).cast("double").alias("value"), F.lit(str(threshold)).alias("threshold"), F.col(status).alias("status"))
+    judged = F.array(
+        own("anomaly_rate_difference", "anomaly_rate_absolute_difference", limits["anomaly_rate_difference_critical"], "anomaly_rate_status"),
+        own("score_mean_shift", "mean_shift_standard_deviations", limits["score_mean_shift_critical"], "score_shift_status"))
+    overall = F.array(own("rows", "production_rows", config.MINIMUM_ROWS_FOR_DRIFT, "status"))
+    rows = F.when(F.col("status").isin("no_data", "insufficient_data"), overall).otherwise(F.concat(judged, overall))
+    return model.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def labelled_performance(predictions: DataFrame, labels: DataFrame, key: str, pred: str, y: str) -> DataFrame:
+    """Confusion metrics of the predictions whose label has come in (joined on
+    ``key``), one row; without any, recall is NULL."""
+    from telemetra.operators.evaluate import confusion
+
+    both = predictions.select(key, F.col(pred).alias("_p")).join(labels.select(key, F.col(y).alias("_y")), key)
+    out = confusion(both, "_y", "_p")
+    known = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
+    return out.withColumn("labelled_rows", known).withColumn(
+        "recall", F.when(F.col("tp") + F.col("fn") > 0, F.col("recall")))
+
+
+REPORT_SCHEMA = f"kind string, {METRIC_SCHEMA}, message string, recommended_action string"
+
+
+def full_report(requests: DataFrame, predictions: DataFrame, ts: str, as_of, num_profile: DataFrame,
+                cat_profile: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                model_ref: DataFrame, labels: DataFrame | None = None, key: str = "request_id", y: str = "y",
+                hours: int = config.WINDOW_HOURS) -> DataFrame:
+    """The report over the trailing window of both logs, as one table of kind
+
+    * ``metric``: every row of the system, data and model monitors and, with ``labels``,
+      the labelled performance;
+    * ``alert``: the warning and critical ones with message and action;
+    * ``status``: each monitor's status and the worst of them (category ``overall``);
+    * ``decision``: the retraining decision (status), from the data status and the
+      labelled recall.
+
+    ``requests`` has status_code, latency_ms, instance_count; ``predictions`` the map
+    column features, prediction and anomaly_score.  Each window is read once and
+    written."""
+    win = cut_lineage(trailing_window(requests, ts, as_of, hours))
+    pred = cut_lineage(trailing_window(predictions, ts, as_of, hours))
+    system = cut_lineage(system_metrics(win, ts))
+    data = data_monitor(pred, "features", num_profile, cat_profile, numeric, categorical)
+    model = model_metric_rows(model_monitor(pred, "prediction", "anomaly_score", model_ref))
+    parts = [system_metric_rows(system), data, model]
+    if labels is not None:
+        perf = labelled_performance(pred, labels, key, "prediction", y)
+        parts.append(perf.select(F.explode(F.array(*[
+            F.struct(F.lit("performance").alias("category"), F.lit(m).alias("metric"), F.lit("labelled").alias("subject"),
+                     F.col(m).cast("double").alias("value"), F.lit(None).cast("string").alias("threshold"),
+                     F.lit("stable").alias("status"))
+            for m in ("labelled_rows", "precision", "recall", "false_positive_rate", "f1_score")])).alias("r")).select("r.*"))
+    metrics = parts[0]
+    for part in parts[1:]:
+        metrics = metrics.unionByName(part)
+    metrics = cut_lineage(metrics)
+    # each monitor's own status: the system row's, the ``rows`` metric's of the others
+    own = (system.select(F.lit("system").alias("category"), "status")
+           .unionByName(metrics.where("metric = 'rows'").select("category", "status")))
+    order = F.when(F.col("category") == "system", 0).when(F.col("category") == "data", 1).otherwise(2)
+    worst = worst_status(own.withColumn("_o", order), order="_o").select(F.lit("overall").alias("category"), "status")
+    statuses = own.unionByName(worst)
+    recall = metrics.where("category = 'performance' AND metric = 'recall'").agg(F.max("value").alias("_recall"))
+    state = own.where("category = 'data'").select(F.col("status").alias("_data")).crossJoin(recall)
+    decision = retraining_decision(state, "_data", "_recall")
+    none = F.lit(None)
+    row = lambda kind, df, **c: df.select(
+        F.lit(kind).alias("kind"), *[c.get(n, none).cast(t).alias(n) for n, t in (
+            ("category", "string"), ("metric", "string"), ("subject", "string"), ("value", "double"), ("threshold", "string"),
+            ("status", "string"), ("message", "string"), ("recommended_action", "string"))])
+    named = {n: F.col(n) for n in ("category", "metric", "subject", "value", "threshold")}
+    return (row("metric", metrics, **named, status=F.col("status"))
+            .unionByName(row("alert", alerts(metrics), **named, status=F.col("severity"), message=F.col("message"),
+                             recommended_action=F.col("recommended_action")))
+            .unionByName(row("status", statuses, category=F.col("category"), status=F.col("status")))
+            .unionByName(row("decision", decision, category=F.lit("retraining"), metric=F.lit("recall"), value=F.col("_recall"),
+                             threshold=F.col("performance_threshold").cast("string"), status=F.col("decision"))))
+
+
 # ------------------------------------------------------------------ H15 ---
 def retraining_decision(df: DataFrame, data_status: str, performance: str | None,
                         policy: dict = config.RETRAINING) -> DataFrame:
