@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from telemetra.jobs.common import MEASURES, lineitem
 from telemetra.operators import profile as P
+from telemetra.session import cut_lineage
 from telemetra.sources.tables import table
 
 
@@ -32,6 +33,24 @@ def c5_cardinality_lineitem(spark, sf_dir):
     return P.cardinality(lineitem(spark, sf_dir))
 
 
+def c5_cardinality_sketch_lineitem(spark, sf_dir):
+    """Sketches of every column and ship year, merged: whether the estimate is within
+    four standard errors of the distinct count."""
+    li = lineitem(spark, sf_dir)
+    batches = cut_lineage(P.cardinality_sketches(li.withColumn("batch_id", F.year("l_shipdate")), ["batch_id"]))
+    both = P.merged_cardinality(batches).join(P.cardinality(li), "column_name")
+    bound = 4 * 1.04 / 2 ** (P.SKETCH_LG / 2) * F.col("distinct_values") + 1
+    return both.select("column_name", "rows", "distinct_values",
+                       (F.abs(F.col("estimate") - F.col("distinct_values")) <= bound).alias("within_bound"))
+
+
+def c8_extremes_events(spark, sf_dir):
+    """Error rate of the events outside and inside each column's own fences."""
+    ev = table(spark, sf_dir, "events").select(
+        "value", F.col("user_id").cast("double").alias("user_id"), (F.col("event_type") == "error").cast("int").alias("failed"))
+    return P.extreme_rates(ev, ["value", "user_id"], "failed", P.iqr_bounds(ev, ["value", "user_id"]))
+
+
 def c6_skew_lineitem(spark, sf_dir):
     return P.skewness(lineitem(spark, sf_dir), MEASURES)
 
@@ -59,7 +78,7 @@ def c11_rate_by_type_lineitem(spark, sf_dir):
 
 
 def c12_histogram_lineitem(spark, sf_dir):
-    return P.histogram(lineitem(spark, sf_dir), MEASURES, 30)
+    return P.histogram(lineitem(spark, sf_dir), MEASURES, 30).withColumn("mean", F.round("mean", 4))
 
 
 def c13_box_lineitem(spark, sf_dir):
@@ -75,9 +94,11 @@ QUERIES = {
     "c3_frequency_lineitem": c3_frequency_lineitem,
     "c4_summary_lineitem": c4_summary_lineitem,
     "c5_cardinality_lineitem": c5_cardinality_lineitem,
+    "c5_cardinality_sketch_lineitem": c5_cardinality_sketch_lineitem,
     "c6_skew_lineitem": c6_skew_lineitem,
     "c7_iqr_lineitem": c7_iqr_lineitem,
     "c8_outlier_vs_label_lineitem": c8_outlier_vs_label_lineitem,
+    "c8_extremes_events": c8_extremes_events,
     "c9_class_share_lineitem": c9_class_share_lineitem,
     "c10_corr_lineitem": c10_corr_lineitem,
     "c11_rate_by_type_lineitem": c11_rate_by_type_lineitem,
@@ -138,13 +159,30 @@ SELECT any_outlier, count(*) AS rows, sum(target) AS failures, round(avg(target)
     "c11_rate_by_type_lineitem": """SELECT l_returnflag, count(*) AS rows, sum(target) AS failures,
   round(avg(target) * 100, 2) AS failure_rate_pct
   FROM (SELECT *, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS target FROM lineitem) GROUP BY l_returnflag""",
+    "c5_cardinality_sketch_lineitem": "WITH a AS (SELECT count(*) AS n, "
+    + ", ".join(f"count(DISTINCT {c}) + max(CAST({c} IS NULL AS INTEGER)) AS {c}" for c in _LI_COLS)
+    + " FROM lineitem) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, n AS rows, {c} AS distinct_values, true AS within_bound FROM a"
+                         for c in _LI_COLS),
+    "c8_extremes_events": """WITH l AS (SELECT CAST(event_type = 'error' AS INTEGER) AS failed, column_name, x FROM (UNPIVOT
+    (SELECT event_type, CAST(value AS DOUBLE) AS value, CAST(user_id AS DOUBLE) AS user_id FROM events)
+    ON value, user_id INTO NAME column_name VALUE x)),
+b AS (SELECT column_name, q[1] - 1.5 * (q[2] - q[1]) AS lower, q[2] + 1.5 * (q[2] - q[1]) AS upper
+  FROM (SELECT column_name, quantile_cont(x, [0.25, 0.75]) AS q FROM l GROUP BY column_name))
+SELECT column_name, x < lower OR x > upper AS extreme, count(*) AS rows, sum(failed) AS failures,
+  round(avg(failed) * 100, 2) AS failure_rate_pct FROM l JOIN b USING (column_name) GROUP BY ALL""",
     "c12_histogram_lineitem": f"""WITH l AS {_LONG},
-m AS (SELECT column_name, min(x) AS lo, max(x) AS hi FROM l GROUP BY column_name),
-b AS (SELECT l.column_name, m.lo, m.hi, CAST(CASE WHEN m.hi = m.lo THEN 0
-        ELSE least(floor((l.x - m.lo) * 30 / (m.hi - m.lo)), 29) END AS INTEGER) AS bin
-      FROM l JOIN m USING (column_name))
-SELECT column_name, bin, lo + bin * ((hi - lo) / 30) AS lower, lo + (bin + 1) * ((hi - lo) / 30) AS upper,
-  count(*) AS count FROM b GROUP BY column_name, bin, lo, hi""",
+m AS (SELECT column_name, min(x) AS lo, max(x) AS hi, avg(x) AS mean, quantile_cont(x, 0.5) AS median FROM l GROUP BY column_name),
+b AS (SELECT l.column_name, CAST(CASE WHEN m.hi = m.lo THEN 0
+        ELSE least(floor((l.x - m.lo) * 30 / (m.hi - m.lo)), 29) END AS INTEGER) AS bin, count(*) AS count
+      FROM l JOIN m USING (column_name) GROUP BY ALL),
+e AS (SELECT *, unnest(range(0, CASE WHEN hi = lo THEN 1 ELSE 30 END)) AS bin,
+  CASE WHEN hi = lo THEN 0 ELSE least(floor((mean - lo) * 30 / (hi - lo)), 29) END AS at_mean,
+  CASE WHEN hi = lo THEN 0 ELSE least(floor((median - lo) * 30 / (hi - lo)), 29) END AS at_median FROM m)
+SELECT e.column_name, CAST(e.bin AS INTEGER) AS bin, lo + e.bin * ((hi - lo) / 30) AS lower, lo + (e.bin + 1) * ((hi - lo) / 30) AS upper,
+  coalesce(count, 0) AS count, round(mean, 4) AS mean, median, concat_ws('+', CASE WHEN e.bin = at_mean THEN 'mean' END,
+  CASE WHEN e.bin = at_median THEN 'median' END) AS marker
+  FROM e LEFT JOIN b ON b.column_name = e.column_name AND b.bin = e.bin""",
     "c13_box_lineitem": f"""WITH l AS {_LONG_T},
 q AS (SELECT target, column_name, quantile_cont(x, [0.25, 0.5, 0.75]) AS q FROM l GROUP BY ALL),
 b AS (SELECT target, column_name, q[1] AS q1, q[2] AS median, q[3] AS q3,

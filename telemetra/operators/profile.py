@@ -10,12 +10,13 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra.functions.exprs import adjusted_skewness, long_form, present_double
 from telemetra.plans.hscan import exact_quantiles
+from telemetra.session import cut_lineage
 
 
 def type_kind(dt: T.DataType) -> str:
@@ -55,19 +56,55 @@ def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stats.join(med, "column_name")
 
 
+def _texts(df: DataFrame) -> Column:
+    """Every column of a row as (column_name, value text); -0.0 reads as 0.0."""
+    def text(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        return (c + F.lit(0.0) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c).cast("string")
+
+    return F.array(*[F.struct(F.lit(f.name).alias("column_name"), text(f).alias("value")) for f in df.schema.fields])
+
+
 def cardinality(df: DataFrame) -> DataFrame:
-    """Distinct values counting NULL as one, percent unique, unique-id flag.
-    ``count_distinct`` per column in one aggregate (Spark expands it into one
-    shuffle keyed by (column, value))."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in df.columns:
-        aggs.append((F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int")))
-                    .alias(c))
-    one = df.agg(*aggs)
-    long = one.unpivot(["_n"], df.columns, "column_name", "distinct_values")
-    return long.select("column_name", "distinct_values",
-                       F.round(F.col("distinct_values") / F.col("_n") * 100, 2).alias("pct_unique"),
-                       (F.col("distinct_values") == F.col("_n")).alias("is_unique_id"))
+    """Distinct values per column (NULL counts as a value, pandas
+    ``nunique(dropna=False)``), percent unique and id check.  One pass collapses the
+    table to (column, value) map-side; a distinct count per column in one aggregate
+    would Expand the whole table once per column."""
+    pairs = df.select(F.explode(_texts(df)).alias("p")).select("p.*").groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("_c"))
+    per = pairs.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"), F.sum("_c").alias("_n"))
+    return per.select("column_name", "distinct_values",
+                      F.round(F.col("distinct_values") / F.col("_n") * 100, 2).alias("pct_unique"),
+                      (F.col("distinct_values") == F.col("_n")).alias("is_unique_id"))
+
+
+#: Registers of a distinct-count sketch, as a power of two.
+SKETCH_LG = 14
+
+
+def cardinality_sketches(df: DataFrame, keys: Sequence[str] = (), lg: int = SKETCH_LG) -> DataFrame:
+    """C5, approximate: (keys, column_name, rows, nulls, sketch), one HyperLogLog sketch
+    of every column and batch in one aggregate; fit to be kept and merged with later
+    batches."""
+    fields = [f for f in df.schema.fields if f.name not in keys]
+    aggs = []
+    for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
+        v = c + F.lit(0.0) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c
+        aggs += [F.hll_sketch_agg(v.cast("string"), lg).alias(f"_s{i}"), F.count_if(c.isNull()).alias(f"_n{i}")]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *aggs)
+    return one.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.col("rows"), F.col(f"_n{i}").alias("nulls"), F.col(f"_s{i}").alias("sketch"))
+        for i, f in enumerate(fields)])).alias("s")).select(*keys, "s.*")
+
+
+def merged_cardinality(sketches: DataFrame) -> DataFrame:
+    """Distinct values per column estimated from the sketches of all batches; the
+    standard error is 1.04 / sqrt(2 ** lg) of the value."""
+    g = sketches.groupBy("column_name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("_e"), F.sum("rows").alias("rows"),
+        F.max(F.signum("nulls")).cast("long").alias("_null"))
+    return g.select("column_name", "rows", (F.col("_e") + F.col("_null")).alias("estimate"))
 
 
 def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -127,6 +164,18 @@ def rate_by(df: DataFrame, group: str | list, label: str) -> DataFrame:
         F.round(F.avg(label) * 100, 2).alias("failure_rate_pct"))
 
 
+def extreme_rates(df: DataFrame, columns: Sequence[str], label: str, bounds: DataFrame) -> DataFrame:
+    """C8 per column: (column_name, extreme, rows, failures, failure_rate_pct) of the rows
+    outside and inside the column's own fences; missing values are in neither.  One
+    pass for all columns."""
+    long = long_form(df, columns, ids=[label])
+    flagged = long.join(F.broadcast(bounds.select("column_name", "lower", "upper")), "column_name").withColumn(
+        "extreme", (F.col("x") < F.col("lower")) | (F.col("x") > F.col("upper")))
+    return flagged.groupBy("column_name", "extreme").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(label).alias("failures"),
+        F.round(F.avg(label) * 100, 2).alias("failure_rate_pct"))
+
+
 def class_share(df: DataFrame, label: str) -> DataFrame:
     """Counts and percent per class; the share uses a window over the
     aggregated rows only."""
@@ -146,19 +195,32 @@ def correlations(df: DataFrame, columns: Sequence[str], threshold: float = 0.80)
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
-    """Equal-width histogram (last bin closed), two passes: min/max, then
-    counts.  (column_name, bin, lower, upper, count)."""
-    long = long_form(df, columns)
-    mm = long.groupBy("column_name").agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+    """Equal-width histogram (last bin closed) with its empty bins, and the markers:
+    (column_name, bin, lower, upper, count, mean, median, marker), ``marker`` naming the
+    bin that holds the mean, the median or both.  A constant column has one bin.  The
+    values are collapsed once; range, mean, median and counts are read from them."""
+    values = cut_lineage(long_form(df, columns).groupBy("column_name", "x").agg(F.count(F.lit(1)).alias("cnt")))
+    mm = values.groupBy("column_name").agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"),
+                                           (F.sum(F.col("x") * F.col("cnt")) / F.sum("cnt")).alias("mean"))
+    median = exact_quantiles(values, ["column_name"], "x", [0.5], weight="cnt", collapsed=True).select(
+        "column_name", F.col("q").alias("median"))
+    mm = cut_lineage(mm.join(median, "column_name"))
+
+    def bin_of(x):
+        return F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(F.least(F.floor(
+            (x - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))), F.lit(bins - 1))).cast("int")
+
+    counts = (values.join(F.broadcast(mm), "column_name").withColumn("bin", bin_of(F.col("x")))
+              .groupBy("column_name", "bin").agg(F.sum("cnt").alias("count")))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    idx = F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(
-        F.least(F.floor((F.col("x") - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))),
-                F.lit(bins - 1)))
-    counts = (long.join(F.broadcast(mm), "column_name").withColumn("bin", idx.cast("int"))
-              .groupBy("column_name", "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count")))
-    return counts.select("column_name", "bin",
-                         (F.col("_lo") + F.col("bin") * width).alias("lower"),
-                         (F.col("_lo") + (F.col("bin") + 1) * width).alias("upper"), "count")
+    last = F.when(F.col("_hi") == F.col("_lo"), 0).otherwise(bins - 1)
+    every = mm.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
+    marker = F.concat_ws("+", F.when(F.col("bin") == bin_of(F.col("mean")), "mean"),
+                         F.when(F.col("bin") == bin_of(F.col("median")), "median"))
+    return (every.join(counts, ["column_name", "bin"], "left")
+            .select("column_name", "bin", (F.col("_lo") + F.col("bin") * width).alias("lower"),
+                    (F.col("_lo") + (F.col("bin") + 1) * width).alias("upper"),
+                    F.coalesce("count", F.lit(0)).alias("count"), "mean", "median", marker.alias("marker")))
 
 
 def box_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:

@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra import config
+from telemetra.plans.lookup import keyed_lookup
+from telemetra.session import cut_lineage
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -127,6 +129,37 @@ def offender_table(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
             .groupBy("check", "value").agg(F.count(F.lit(1)).alias("count")))
 
 
+def gate_offenders(df: DataFrame, spec: GateSpec) -> DataFrame:
+    """B7 / B8 / B11 beside the verdict: (rule, column_name, value, count) of every value
+    outside its domain."""
+    present = set(df.columns)
+    checks = {f"allowed_categories:{c}": _bad_value(c, list(v)) for c, v in spec.categories.items() if c in present}
+    checks |= {f"binary_domain:{c}": _bad_value(c, [0, 1]) for c in spec.binary_columns if c in present}
+    if spec.target in present:
+        checks[f"target_classes:{spec.target}"] = _bad_value(spec.target, [0, 1])
+    if not checks:
+        return df.sparkSession.createDataFrame([], "rule string, column_name string, value string, count long")
+    at = F.split("check", ":", 2)
+    return offender_table(df, checks).select(at[0].alias("rule"), at[1].alias("column_name"), "value", "count")
+
+
+def gate_report(results: DataFrame, offenders: DataFrame) -> DataFrame:
+    """The gate as one flat row: verdict, rules, failed rules, the failing cells of
+    each rule and the offending values (bounded by the rules; of the values the first 20
+    of each column, the rest counted)."""
+    first = Window.partitionBy("rule", "column_name").orderBy(F.col("count").desc(), "value")
+    shown = (offenders.groupBy("rule", "column_name").agg(F.count(F.lit(1)).alias("values"), F.sum("count").alias("cells"))
+             .join(offenders.withColumn("_n", F.row_number().over(first)).where("_n <= 20")
+                   .groupBy("rule", "column_name").agg(F.array_sort(F.collect_list(F.struct("value", "count"))).alias("shown")),
+                   ["rule", "column_name"]))
+    listed = shown.agg(F.to_json(F.array_sort(F.collect_list(F.struct("rule", "column_name", "values", "cells", "shown"))))
+                       .alias("offenders"))
+    failed = results.agg(
+        F.concat_ws(",", F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("rule"))))).alias("failed"),
+        F.concat_ws(",", F.array_sort(F.collect_list(F.concat_ws(":", "rule", F.col("failing").cast("string"))))).alias("failing"))
+    return gate_verdict(results).crossJoin(failed).crossJoin(listed)
+
+
 def _offender_detail(c: str, col: str) -> Column:
     o = F.col(col)
     return F.when(o["n"] > 0, F.concat(F.lit(c + ":"), o["n"].cast("string"), F.lit(" values "),
@@ -271,14 +304,28 @@ def _as_tuple(i) -> tuple:
     return tuple(i) if isinstance(i, (list, tuple)) else (i,)
 
 
-def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def row_fingerprint(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of the columns.  Equal rows have equal ones; unequal rows may."""
+    cols = [F.col(f"`{c}`") for c in columns]
+    return [F.xxhash64(F.lit(seed), *cols) for seed in (17, 91)]
+
+
+def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None, fingerprint=row_fingerprint) -> DataFrame:
     """Rows equal to an earlier row on ``columns`` (all by default).
-    NULL equals NULL in grouping, as in pandas ``duplicated``.  Partial
-    aggregation collapses a hot group of copies before the shuffle."""
+    NULL equals NULL in grouping, as in pandas ``duplicated``.
+
+    Rows are grouped by a 128-bit fingerprint, so the whole table's shuffle carries two
+    numbers a row; only rows whose fingerprint repeats are grouped by their columns,
+    which tells true copies from collisions.  Both groupings collapse map-side."""
     cols = list(columns or df.columns)
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    return g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
-                 F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("rows")).select(
+    f1, f2 = fingerprint(cols)
+    marks = df.select(f1.alias("_f1"), f2.alias("_f2"))
+    again = cut_lineage(marks.groupBy("_f1", "_f2").agg(F.count(F.lit(1)).alias("_c")))
+    total = again.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("rows"))
+    repeats = again.where("_c > 1")
+    asked = keyed_lookup(df.withColumns({"_f1": f1, "_f2": f2}), repeats, ["_f1", "_f2"], "_c", ["_c"]).where("_c IS NOT NULL")
+    g = asked.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_c"))
+    return total.crossJoin(g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))).select(
         "rows", "duplicate_rows",
         F.when(F.col("rows") > 0, F.col("duplicate_rows") / F.col("rows")).otherwise(1.0)
         .alias("duplicate_rate"))
@@ -286,20 +333,18 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 def id_duplicates(df: DataFrame, id_columns: Sequence) -> DataFrame:
     """Per id column (or column tuple): rows - distinct values, NULL
-    counting as one value.  (id_column, duplicates)."""
-    parts = []
-    for i in id_columns:
-        cols = _as_tuple(i)
-        g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-        parts.append(g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long")
-                           .alias("duplicates"))
-                     .select(F.lit("+".join(cols)).alias("id_column"), "duplicates"))
-    if not parts:
+    counting as one value.  (id_column, duplicates).  One scan: every row names its
+    value of each id, collapsed map-side."""
+    tuples = [_as_tuple(i) for i in id_columns]
+    if not tuples:
         return df.sparkSession.createDataFrame([], "id_column string, duplicates bigint")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    named = F.array(*[F.struct(F.lit("+".join(t)).alias("id_column"),
+                               F.to_json(F.struct(*[F.col(f"`{c}`") for c in t])).alias("value")) for t in tuples])
+    counts = (df.select(F.explode(named).alias("i")).select("i.*").groupBy("id_column", "value")
+              .agg(F.count(F.lit(1)).alias("_c")))
+    found = counts.groupBy("id_column").agg(F.sum(F.col("_c") - 1).alias("_d"))
+    every = df.sparkSession.createDataFrame([("+".join(t),) for t in tuples], "id_column string")
+    return every.join(found, "id_column", "left").select("id_column", F.coalesce("_d", F.lit(0)).cast("long").alias("duplicates"))
 
 
 def gate_verdict(results: DataFrame) -> DataFrame:
@@ -408,10 +453,17 @@ def label_contradictions(df: DataFrame, target: str, modes: Sequence[str]) -> Da
 
 # ---------------------------------------------------------- scoring contract
 def contract_violations(df: DataFrame, category: str, allowed: Sequence[str],
-                        positive: Sequence[str], nonnegative: Sequence[str]) -> DataFrame:
+                        positive: Sequence[str], nonnegative: Sequence[str],
+                        payload: str | None = None) -> DataFrame:
     """Per row the list of 'field:reason' failures of the scoring
-    contract (required, numeric, category, bounds, finite).  Fields arrive as
-    text or numbers; text is ``try_cast``.  Adds ``violations`` and ``valid``."""
+    contract (required, numeric, category, bounds, finite, unexpected).  Fields arrive as
+    text or numbers; text is ``try_cast``.  With ``payload``, a map column of all fields
+    that came, each field is read from it and every key beyond the contract is
+    ``unexpected``.  Adds ``violations`` and ``valid``."""
+    given = df
+    if payload:
+        names = [category, *positive, *nonnegative]
+        df = df.select("*", *[F.col(payload)[c].alias(c) for c in names if c not in df.columns])
     checks = [F.when(F.col(category).isNull(), F.lit(f"{category}:required"))
               .when(~F.col(category).isin(*allowed), F.lit(f"{category}:category"))]
     for c, strict in [(c, True) for c in positive] + [(c, False) for c in nonnegative]:
@@ -424,17 +476,41 @@ def contract_violations(df: DataFrame, category: str, allowed: Sequence[str],
             .when(F.isnan(num) | (F.abs(num) == F.lit(float("inf"))), F.lit(f"{c}:finite"))
             .when(bad_bound, F.lit(f"{c}:{'gt0' if strict else 'ge0'}")))
     viol = F.array_compact(F.array(*checks))
+    if payload:
+        beyond = F.array_sort(F.array_except(F.map_keys(payload), F.array(*[F.lit(c) for c in (category, *positive, *nonnegative)])))
+        viol = F.concat(viol, F.coalesce(F.transform(beyond, lambda k: F.concat(k, F.lit(":unexpected"))), F.array().cast("array<string>")))
+        df = df.withColumn("violations", viol).select(*given.columns, "violations")
+        return df.withColumn("valid", F.size("violations") == 0)
     return df.withColumn("violations", viol).withColumn("valid", F.size("violations") == 0)
 
 
 def batch_duplicates(df: DataFrame, batch: str, row_no: str, fields: Sequence[str]) -> DataFrame:
-    """Rows that repeat an earlier row of the same batch on ``fields``,
-    each with the row number of its first occurrence.  The first occurrence
-    comes from a grouped ``min`` (partial aggregation absorbs hot groups)
-    joined back, not from a window over a possibly huge group."""
-    first = df.groupBy(batch, *fields).agg(F.min(row_no).alias("first_row"))
-    return (df.join(first, [batch, *fields], "inner")   # NULL fields never repeat here
-            .where(F.col(row_no) > F.col("first_row")))
+    """Rows that repeat an earlier row of the same batch on ``fields`` (NULL equals
+    NULL): (batch, fields, row_no, copies, first_row), ``first_row`` the number of the
+    first occurrence.  Where numbers repeat, ``copies`` tells how many such rows there
+    are; of those with the first number one is the original.  Rows are collapsed by
+    number first, and a hot group is no join key (``plans.lookup``)."""
+    keys = [batch, *fields]
+    rows = cut_lineage(df.groupBy(*keys, row_no).agg(F.count(F.lit(1)).alias("copies")))
+    first = rows.groupBy(*keys).agg(F.min(row_no).alias("first_row"), F.sum("copies").alias("_all"),
+                                    F.count(F.lit(1)).alias("_rows")).where("_all > 1")
+    found = keyed_lookup(rows, first, keys, "_rows", ["first_row"]).where("first_row IS NOT NULL")
+    found = found.withColumn("copies", F.col("copies") - (F.col(row_no) == F.col("first_row")).cast("int"))
+    return found.where("copies > 0").select(*keys, row_no, "copies", "first_row")
+
+
+def duplicate_message(duplicates: DataFrame, batch: str, row_no: str, shown: int = 10) -> DataFrame:
+    """Per batch the copies, and the text of the first ``shown`` of them."""
+    place = Window.partitionBy(batch).orderBy(row_no, "first_row")
+    # the first rows of a batch by a bounded heap, not a sorted batch
+    listed = (duplicates.select(batch, row_no, "first_row", "copies")
+              .withColumn("_n", F.row_number().over(place)).where(F.col("_n") <= shown)
+              .groupBy(batch).agg(F.concat_ws(",", F.transform(
+                  F.array_sort(F.collect_list(F.struct("_n", F.concat_ws("->", row_no, "first_row").alias("t")))),
+                  lambda x: x["t"])).alias("message")))
+    totals = duplicates.groupBy(batch).agg(F.sum("copies").alias("duplicate_rows"),
+                                           F.count_distinct("first_row").alias("originals"))
+    return totals.join(listed, batch)
 
 
 def batch_sizes(df: DataFrame, batch: str, low: int = 1, high: int = config.SCORING_BATCH_MAX

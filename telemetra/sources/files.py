@@ -78,20 +78,30 @@ def read_csv_tolerant(spark: SparkSession, path: str, expected: Sequence[str],
 
 
 # ------------------------------------------------------------------ A3 ----
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, in any file system that Spark reads, exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_jsonl_tolerant(spark: SparkSession, path: str, fields: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """JSON Lines with every field read as text (a type mismatch must not turn
-    a row corrupt); unparsable lines go to ``_corrupt_record`` and are dropped,
-    blank lines never become rows.  Returns (rows, counts)."""
-    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields]
-                          + [T.StructField("_corrupt_record", T.StringType())])
-    raw = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    # parsed once into the checkpoint folder: both outputs read it, and the JSON
-    # reader refuses plans that touch only the corrupt-record column
-    raw = cut_lineage(raw)
-    counts = raw.agg(F.count(F.lit(1)).alias("lines"),
-                     F.count_if(F.col("_corrupt_record").isNotNull()).alias("corrupt"))
-    return raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record"), counts
+    a row corrupt); lines that are no JSON object are dropped and counted, blank lines
+    are no lines, a path that does not exist is an empty log.  Returns (rows, counts).
+    Rows and counts each read the text once; nothing is written."""
+    if not path_exists(spark, path):
+        lines = spark.createDataFrame([], "value string")
+    else:
+        lines = spark.read.text(path)
+    parsed = F.from_json("value", T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"})
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in fields] + [T.StructField("_bad", T.StringType())])
+    row = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    given = lines.where(F.trim("value") != "")
+    object_ = F.trim("value").startswith("{") & parsed.isNotNull()
+    counts = given.agg(F.count(F.lit(1)).alias("lines"),
+                       F.count_if(F.coalesce(~object_ | row["_bad"].isNotNull(), F.lit(True))).alias("corrupt"))
+    rows = given.where(object_).select(row.alias("_r")).where("_r._bad IS NULL").select(*[F.col(f"_r.`{f}`").alias(f) for f in fields])
+    return rows, counts
 
 
 # ------------------------------------------------------------------ A8 ----
@@ -117,15 +127,20 @@ def seeded_sample(df: DataFrame, n: int, id_cols: Sequence[str], seed: int = 42)
 # ------------------------------------------------------------------ A9 ----
 def ingest_checks(df: DataFrame, expected_rows: int | None, expected_cols: int | None,
                   target: str) -> DataFrame:
-    """Shape and class-count assertions as a table (one row per class)."""
-    classes = df.groupBy(target).agg(F.count(F.lit(1)).alias("class_rows"))
+    """Shape and class-count assertions as a table (one row per class).  Without the
+    target column, one row that says so: no class, ``target_present`` false."""
     total = df.agg(F.count(F.lit(1)).alias("rows"))
-    out = classes.crossJoin(total).withColumn("columns", F.lit(len(df.columns)))
+    if target in df.columns:
+        classes = df.groupBy(F.col(f"`{target}`").cast("string").alias("class")).agg(F.count(F.lit(1)).alias("class_rows"))
+        out = total.join(classes, how="left")               # one row by one row per class
+    else:
+        out = total.withColumns({"class": F.lit(None).cast("string"), "class_rows": F.lit(None).cast("long")})
+    out = out.withColumn("columns", F.lit(len(df.columns)))
     if expected_rows is not None:
         out = out.withColumn("rows_ok", F.col("rows") == expected_rows)
     if expected_cols is not None:
         out = out.withColumn("columns_ok", F.col("columns") == expected_cols)
-    return out.withColumn("target_present", F.lit(target in df.columns))
+    return out.withColumns({"target": F.lit(target), "target_present": F.lit(target in df.columns)})
 
 
 # ------------------------------------------------------------------ A5-A7 -
@@ -149,7 +164,18 @@ def append_log(df: DataFrame, path: str, partition_by: Sequence[str] = ("dt",))
     out.write.mode("append").partitionBy(*partition_by).json(path)
 
 
+def read_log(spark: SparkSession, path: str, schema: str, since=None, until=None) -> DataFrame:
+    """A log that :func:`append_log` wrote: rows of the days [since, until] (dates), whose
+    folders alone are read; a path that does not exist is an empty log."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], f"{schema}, dt date")
+    log = spark.read.schema(f"{schema}, dt date").json(path)
+    for bound, test in ((since, F.col("dt") >= F.lit(since)), (until, F.col("dt") <= F.lit(until))):
+        log = log.where(test) if bound is not None else log
+    return log
+
+
 def report_row(df: DataFrame) -> DataFrame:
     """A one-row JSON report of a small result table (rule results, alerts:
     bounded by the number of rules / metrics, never by the data)."""
-    return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("report"))
+    return df.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*df.columns)))).alias("report"))
