@@ -21,8 +21,9 @@ segments of sets beyond it (:func:`band`).
 Join.  Signatures met twice give buckets.  In each the set that shares most
 signatures is the centre; every set is compared with the best of its centres, and
 linked sets form components.  Only pairs of one bucket in different components are
-left: they are compared by a 512-bit parity sketch, whose distance never exceeds the
-true one, and those that pass are compared exactly.  So a group of copies costs one
+left: they are compared by size and by a 512-bit parity sketch, long sets by one as long
+as themselves, whose distances never exceed the true one, before a pair is named, and
+those that pass are compared exactly.  So a group of copies costs one
 comparison per set, no pair is given up, and every link between different components
 is found.
 
@@ -50,10 +51,14 @@ MASK_BITS = 25
 SKETCH_WORDS = 8
 SKETCH = [f"w{i}" for i in range(SKETCH_WORDS)]
 BLOCK_BYTES = 1 << 21
+#: Sets of more shingles than this have a sketch of their own length beside the fixed one.
+LONG = 700
 #: Buckets of up to so many sets name their pairs before the sketches are read.
 FEW = 8
-#: Rows met in the bucket of an empty segment, for the choice of K.
-EMPTY_BUCKET = 300.0
+#: A node of more pairs than this (and a thousandth of all) is dealt out in SALTS parts.
+HOT_PAIRS, SALTS = 256, 32
+#: A pair met in the bucket of an empty segment costs as much as so many signatures.
+PAIR_COST = 1.0
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -70,7 +75,6 @@ class Band:
     lo: int
     hi: int            # sizes lo <= n < hi
     differ: int        # U: most shingles in which a link of this band differs
-    spare: int         # K: segments whose one-deletion neighbourhood is emitted
 
     @property
     def segments(self) -> int:
@@ -81,18 +85,51 @@ def band(lo: int, percent: int) -> Band:
     """The band that begins at size ``lo``."""
     hi = max(lo + 1, lo * 10_000 // (percent * percent))
     small = hi - 1
-    differ = (small + small * 100 // percent) * (100 - percent) // (100 + percent)
-    if differ < 1:
-        return Band(lo, hi, 0, 0)
-    m = differ + 1
-    per = math.sqrt(lo * hi) / m
-    empty, thin = m * math.exp(-per), math.exp(-per) * (1 + per)
-    best = (float("inf"), 0)
-    for k in sorted({min(m, math.ceil(empty + z / 2 * math.sqrt(empty))) for z in range(13)} | {0, 1, 2}):
-        rate = empty + k * thin                      # of empty and too small segments; about Poisson
-        beyond = 0.5 * math.erfc((k + 0.5 - rate) / math.sqrt(2 * rate))
-        best = min(best, (k * (per + 1) + beyond * rate * EMPTY_BUCKET, min(k, m)))
-    return Band(lo, hi, differ, best[1])
+    return Band(lo, hi, max(0, (small + small * 100 // percent) * (100 - percent) // (100 + percent)))
+
+
+def _beyond(n: int, m: int, k: int) -> float:
+    """Share of sets of n shingles in m segments, k of them doubled, whose empty
+    segments plus doubled ones of at most one shingle are more than k (segments taken
+    as independent: nearly so, and only a cost)."""
+    p0 = (1 - 1 / m) ** n
+    p1 = min(1 - p0, n / m * (1 - 1 / m) ** (n - 1))
+    if m <= 4096:                                   # exact sum of independent segments
+        size = 1 << (2 * k + m + 1).bit_length()
+        doubled, plain = np.zeros(size), np.zeros(size)
+        doubled[:3], plain[:2] = (1 - p0 - p1, p1, p0), (1 - p0, p0)
+        chances = np.fft.irfft(np.fft.rfft(doubled) ** k * np.fft.rfft(plain) ** (m - k), size)
+        return float(np.clip(chances[k + 1:k + m + 1].sum(), 1e-12, 1))
+    mean = (m - k) * p0 + k * (2 * p0 + p1)
+    spread = (m - k) * p0 * (1 - p0) + k * (4 * p0 + p1 - (2 * p0 + p1) ** 2)
+    return max(1e-12, 0.5 * math.erfc((k + 0.5 - mean) / math.sqrt(2 * max(spread, 1e-9))))
+
+
+def spare_segments(own: Band, classes: int) -> int:
+    """K of a band for so many classes that emit signatures in it."""
+    m = own.segments
+    if not m or not classes:
+        return 0
+    n = own.lo                                      # its smallest sets have the most empty segments
+    empty = m * (1 - 1 / m) ** n
+    some = empty + 3 * math.sqrt(empty) + 1         # empty segments of a set beyond
+    steps = range(m + 1) if m <= 48 else sorted(
+        {min(m, math.ceil(empty + z / 2 * math.sqrt(empty + 1))) for z in range(41)} | {0, 1, 2, 4, 8, 16})
+
+    def cost(k: int) -> float:
+        beyond = _beyond(n, m, k)
+        return k * (n / m + 1) + PAIR_COST * beyond * some * classes * beyond * min(1.0, some / m)
+
+    return min(steps, key=cost)
+
+
+def spares(classes: DataFrame, percent: int) -> list[int]:
+    """K of every band for the counted ``classes`` (n): one row per band is collected."""
+    table = bands(percent)
+    at = F.size(F.filter(F.array(*[F.lit(b.lo) for b in table]), lambda lo: lo <= F.col("n"))) - 1
+    count = {r["band"]: r["count"] for r in classes.groupBy(at.alias("band")).count().collect()}
+    # a class also emits in the band below its own
+    return [spare_segments(b, count.get(i, 0) + count.get(i + 1, 0)) for i, b in enumerate(table)]
 
 
 @lru_cache(maxsize=8)
@@ -173,11 +210,12 @@ def identities(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return size, mix(_sums(mix(flat ^ _C2), size) + size.astype(np.uint64)), mix(_sums(mix(flat ^ _C3), size))
 
 
-def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, signature) of everything that the sets emit."""
+def signatures(sets: list[np.ndarray], percent: int, spare: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, signature) of everything that the sets emit; ``spare`` is K
+    of every band."""
     table = bands(percent)
     los = np.array([b.lo for b in table])
-    differ, spare = np.array([b.differ for b in table]), np.array([b.spare for b in table])
+    differ, spare = np.array([b.differ for b in table]), np.array(spare)
     flat, size = _joined(sets)
     begin = np.cumsum(size) - size
     own = np.searchsorted(los, size, "right") - 1
@@ -230,12 +268,27 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view("<i8").reshape(len(sets), SKETCH_WORDS)
 
 
+def long_sketches(sets: list[np.ndarray]) -> pa.Array:
+    """For sets above ``LONG`` the parity in a power of two of buckets, at least their
+    number, as longs; null for the others.  The halves of a sketch folded by xor give
+    the one of half its length."""
+    out = []
+    for s in sets:
+        if len(s) <= LONG:
+            out.append(None)
+            continue
+        bits = 1 << (len(s) - 1).bit_length()
+        odd = np.bincount((mix(s + _C3) >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8"))
+    return pa.array(out, pa.list_(pa.int64()))
+
+
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
 def shingle_classes(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n, h1, h2 and the sketch of every row."""
+    """doc_id, n, h1, h2, the sketch and the long sketch of every row."""
     def run(batches):
         for batch in batches:
             for first, texts in _blocks(batch.column(1).to_pylist()):
@@ -243,11 +296,11 @@ def shingle_classes(docs: DataFrame, words: int, id_col: str = "doc_id", text_co
                 n, h1, h2 = identities(sets)
                 sketch = np.ascontiguousarray(sketches(sets).T)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), _long(n), _long(h1), _long(h2), *map(pa.array, sketch)],
-                    names=["doc_id", "n", "h1", "h2", *SKETCH])
+                    [batch.column(0).slice(first, len(texts)), _long(n), _long(h1), _long(h2), *map(pa.array, sketch),
+                     long_sketches(sets)], names=["doc_id", "n", "h1", "h2", *SKETCH, "z"])
 
     return (docs.select(pick(id_col).cast("long").alias("doc_id"), pick(text_col).cast("string").alias("text"))
-            .mapInArrow(lambda b: released(run(b)), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{w} long" for w in SKETCH)))
+            .mapInArrow(lambda b: released(run(b)), "doc_id long, n long, h1 long, h2 long, " + ", ".join(f"{w} long" for w in SKETCH) + ", z array<long>"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -278,42 +331,40 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _near(x: str, y: str, percent: int) -> Column:
-    """The sketches of two joined rows allow a link."""
-    apart = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in SKETCH), F.lit(0))
-    return apart * (100 + percent) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (100 - percent)
+    """Sizes and sketches of two joined rows allow a link: neither the difference of the
+    sizes nor the distance of the sketches exceeds that of the sets."""
+    def col(side, name):
+        return F.col(f"{side}.{name}")
 
+    def within(distance):
+        return distance * (100 + percent) <= (col(x, "n") + col(y, "n")) * (100 - percent)
 
-def _long_sketch(shingles: np.ndarray) -> bytes:
-    """Parity of the shingles in a power of two of buckets, at least their number;
-    the halves of a longer sketch folded by xor give the shorter one."""
-    bits = 64 * SKETCH_WORDS
-    while bits < len(shingles):
-        bits *= 2
-    odd = np.bincount((mix(shingles + _C3) >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    def apart(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
 
+    def folded(z):
+        half = (F.size(z) / 2).cast("int")
+        return F.zip_with(F.slice(z, F.lit(1), half), F.slice(z, half + 1, half), lambda p, q: p.bitwiseXOR(q))
 
-def _sketch_distance(x: np.ndarray, y: np.ndarray) -> int:
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
+    short = sum((F.bit_count(col(x, w).bitwiseXOR(col(y, w))) for w in SKETCH), F.lit(0))
+    a, b = col(x, "z"), col(y, "z")
+    long = (F.when(a.isNull() | b.isNull(), F.lit(0)).when(F.size(a) == F.size(b), apart(a, b))
+            .when(F.size(a) == 2 * F.size(b), apart(folded(a), b)).when(F.size(b) == 2 * F.size(a), apart(a, folded(b)))
+            .otherwise(F.lit(0)))
+    return within(F.abs(col(x, "n") - col(y, "n"))) & within(short) & within(long)
 
 
 def _shingles(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, n, sketch, shingles) of the ``nodes`` (a few more may come through)."""
+    """(node, n, shingles) of the ``nodes`` (a few more may come through)."""
     def run(batches):
         for batch in batches:
             for first, texts in _blocks(batch.column(1).to_pylist()):
                 sets = shingle_sets(texts, words)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_long_sketch(s) for s in sets], pa.binary()),
-                    pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
-                    names=["node", "n", "sketch", "shingles"])
+                    pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["node", "n", "shingles"])
 
-    return _masked(rows, nodes).mapInArrow(lambda b: released(run(b)), "node long, n long, sketch binary, shingles binary")
+    return _masked(rows, nodes).mapInArrow(lambda b: released(run(b)), "node long, n long, shingles binary")
 
 
 def _masked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -323,34 +374,41 @@ def _masked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         "doc_id", "text")
 
 
+def _beside(pairs: DataFrame, column: str, facts: DataFrame) -> DataFrame:
+    """``pairs`` (a written table) joined with the ``facts`` of the node in ``column``
+    (facts has it under that name).  A node of very many pairs is dealt out: its pairs
+    by a salt, its one row to every salt."""
+    limit = max(HOT_PAIRS, pairs.count() // 1024)               # so at most 1024 nodes are hot
+    hot = F.broadcast(cut_lineage(pairs.groupBy(column).count().where(F.col("count") > limit)
+                                  .select(column, F.lit(True).alias("hot"))))
+    other = "a" if column == "b" else "b"
+    left = pairs.join(hot, column, "left").withColumn("salt", F.when(
+        F.col("hot"), F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
+    right = facts.join(hot, column, "left").withColumn("salt", F.explode(F.when(
+        F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("hot")
+    return left.join(right, [column, "salt"]).drop("salt")
+
+
 def _verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets link."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = cut_lineage(_shingles(rows, nodes, words).distinct())
-
-    def beside(pairs, column):
-        left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(column).alias("xa"))
-        right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(column).alias("xb"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "xa", "xb")
-
-    def tested(test):
-        def run(batches):
-            for batch in batches:
-                hit = [test(na, nb, np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"))
-                       for na, nb, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(),
-                                               batch.column(4), batch.column(5))]
-                yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
-        return run
-
-    def near(na, nb, x, y):
-        return _sketch_distance(x, y) * (100 + percent) <= (na + nb) * (100 - percent)
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("xa"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("xb"))
+    both = _beside(pairs, "b", right).join(left, "a").select("a", "b", "na", "nb", "xa", "xb")
 
     def linked(na, nb, x, y):
         same = na + nb - len(np.union1d(x, y))
         return 100 * same >= percent * (na + nb - same)
 
-    left = cut_lineage(beside(pairs, "sketch").mapInArrow(tested(near), "a long, b long").distinct())
-    return beside(left, "shingles").mapInArrow(tested(linked), "a long, b long")
+    def run(batches):
+        for batch in batches:
+            hit = [linked(na, nb, np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"))
+                   for na, nb, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(),
+                                           batch.column(4), batch.column(5))]
+            yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -363,13 +421,15 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     members = cut_lineage(shingle_classes(rows, words))
     classes = cut_lineage(members.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "h1", "h2", *SKETCH)
                           .agg(F.min("doc_id").alias("node")))
+    longer = members.where("z IS NOT NULL").select(F.col("doc_id").alias("node"), "n", "h1", "h2", "z").dropDuplicates(["node", "n", "h1", "h2"])
+    classes = cut_lineage(classes.join(longer, ["node", "n", "h1", "h2"], "left"))
     links = _links(rows, classes, words, percent)
     # an id that stands at several texts links their classes
-    several = (members.where("n > 0").join(classes, ["n", "h1", "h2"]).where("doc_id <> node")
+    several = (members.where("n > 0").join(classes.select("n", "h1", "h2", "node"), ["n", "h1", "h2"]).where("doc_id <> node")
                .select(F.col("doc_id").alias("u"), F.col("node").alias("v")))
     several = several.join(classes.select(F.col("node").alias("u")).distinct(), "u", "left_semi")
     named = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(several))
-    found = classes.join(named, "node", "left").select(
+    found = classes.drop("z").join(named, "node", "left").select(
         "n", "h1", "h2", F.coalesce("component", "node").alias("found"))
     return members.join(found, ["n", "h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -421,13 +481,14 @@ def _near_distinct_rows(docs: DataFrame, words: int, percent: int, id_col: str,
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives that span every component."""
     reps = _masked(rows, classes)
+    spare = spares(classes, percent)
 
     def emit(batches):
         for batch in batches:
             for _, texts in _blocks(batch.column(1).to_pylist()):
                 sets = shingle_sets(texts, words)
                 _, h1, _ = identities(sets)
-                who, sig = signatures(sets, percent)
+                who, sig = signatures(sets, percent, spare)
                 ent = h1[who]
                 for i in range(0, len(sig), 1 << 17):
                     yield pa.RecordBatch.from_arrays([_long(sig[i:i + (1 << 17)]), _long(ent[i:i + (1 << 17)])],
@@ -444,14 +505,14 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     discard(every)
 
     # every set with the best of its centres
-    sketch = classes.select("node", "n", *SKETCH)
+    sketch = classes.select("node", "n", *SKETCH, "z")
     fame = met.groupBy("node").agg(F.count(F.lit(1)).alias("fame"))
     famed = met.join(fame, "node")
     centre = famed.groupBy("sig").agg(F.max(F.struct("fame", "node")).alias("c"))
     best = (famed.join(centre, "sig").where("node <> c.node").groupBy("node").agg(F.max("c").alias("c"))
             .select(F.col("node").alias("a"), F.col("c.node").alias("b")))
-    stars = (best.join(sketch.alias("x"), F.col("a") == F.col("x.node"))
-             .join(sketch.alias("y"), F.col("b") == F.col("y.node"))
+    facts = sketch.select(F.col("node").alias("b"), F.struct("n", *SKETCH, "z").alias("y"))
+    stars = (_beside(cut_lineage(best), "b", facts).join(sketch.alias("x"), F.col("a") == F.col("x.node"))
              .where(_near("x", "y", percent)).select("a", "b").distinct())
     first = cut_lineage(_verify(cut_lineage(stars), rows, words, percent))
 
