@@ -33,7 +33,8 @@ from .common import pick, released, safe_name, ship_package
 
 SAMPLE_DOCS = 2_000
 TRAIN_TASKS = 8
-MAX_LANGUAGES = 200
+#: Labels that are learned at most: those with the most rows (ties by name).
+MAX_LANGUAGES = 512
 BITS = 16
 SWITCH_PENALTY = 20.0
 #: A language uses a script if at least this share of its letters is in it.
@@ -122,26 +123,25 @@ def _text_blocks(texts: list[str], chars: int):
 
 
 def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
-          sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Learn from rows with a non-null language and text."""
+          sample_docs: int = SAMPLE_DOCS, max_languages: int = MAX_LANGUAGES) -> Model:
+    """Learn from rows with a non-null language and text: of the ``max_languages`` labels
+    with the most rows about ``sample_docs`` rows each.  The model has 256 KB a label."""
     spark = labelled.sparkSession
     ship_package(spark)
     rows = labelled.select(pick(lang_col).cast("string").alias("lang"), pick(text_col).cast("string").alias("text"),
                            F.xxhash64(pick(id_col), pick(text_col)).alias("h")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    most = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(max_languages)
+    counts = most.collect()                                          # bounded
     if not counts:
         return Model((), np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
-    limit = F.lit(0)
-    for r in counts:
-        rate = min(1 << 40, int(sample_docs / r["count"] * (1 << 40)))
-        limit = F.when(F.col("lang") == r["lang"], F.lit(rate)).otherwise(limit)
-    sample = rows.where(F.pmod("h", F.lit(1 << 40)) < limit).select("lang", "text").repartition(TRAIN_TASKS)
+    rates = spark.createDataFrame([(r["lang"], min(1 << 40, int(sample_docs / r["count"] * (1 << 40)))) for r in counts],
+                                  "lang string, rate long")
+    sample = (rows.join(F.broadcast(rates), "lang").where(F.pmod("h", F.lit(1 << 40)) < F.col("rate"))
+              .select("lang", "text").repartition(TRAIN_TASKS))
 
     def count(batches):
-        grams: dict[str, np.ndarray] = {}
-        scripts: dict[str, np.ndarray] = {}
+        # a label's counts are sparse here: few rows have few n-grams
+        told = {"lang": [], "bucket": [], "seen": [], "scripts": []}
         for batch in batches:
             by_lang: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -149,25 +149,30 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", i
             for lang, texts in by_lang.items():
                 for i, j in _text_blocks(texts, 1 << 21):
                     at, tri, four, _, codes, _ = _words(texts[i:j])
-                    seen = np.bincount(tri, minlength=1 << BITS) + np.bincount(four[four >= 0], minlength=1 << BITS)
+                    bucket, seen = np.unique(np.concatenate([tri, four[four >= 0]]), return_counts=True)
                     used = np.bincount(_Tables.get().script[codes[at]], minlength=len(SCRIPTS))
-                    grams[lang] = grams.get(lang, 0) + seen
-                    scripts[lang] = scripts.get(lang, 0) + used
-        yield pa.RecordBatch.from_arrays([
-            pa.array(list(grams), pa.string()), pa.array([g.astype("<i8").tobytes() for g in grams.values()], pa.binary()),
-            pa.array([s.astype("<i8").tobytes() for s in scripts.values()], pa.binary())], names=["lang", "grams", "scripts"])
+                    for name, value in zip(told, (lang, bucket.astype("<u4").tobytes(), seen.astype("<u4").tobytes(),
+                                                  used.astype("<i8").tobytes())):
+                        told[name].append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(told["lang"], pa.string()), *(pa.array(told[c], pa.binary()) for c in (
+                "bucket", "seen", "scripts"))], names=list(told))
+            told = {name: [] for name in told}
 
     grams: dict[str, np.ndarray] = {}
     scripts: dict[str, np.ndarray] = {}
-    for r in sample.mapInArrow(lambda b: released(count(b)), "lang string, grams binary, scripts binary").toLocalIterator():
-        grams[r["lang"]] = grams.get(r["lang"], 0) + np.frombuffer(r["grams"], "<i8")
+    for r in sample.mapInArrow(lambda b: released(count(b)), "lang string, bucket binary, seen binary, scripts binary").toLocalIterator():
+        own = grams.setdefault(r["lang"], np.zeros(1 << BITS, np.float32))
+        own[np.frombuffer(r["bucket"], "<u4")] += np.frombuffer(r["seen"], "<u4")
         scripts[r["lang"]] = scripts.get(r["lang"], 0) + np.frombuffer(r["scripts"], "<i8")
     langs = tuple(sorted(k for k in grams if grams[k].sum()))
     if not langs:
         return Model((), np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SCRIPTS), 0), bool))
-    g = np.stack([grams[k] for k in langs], axis=1).astype(float) + 0.05
+    weights = np.empty((1 << BITS, len(langs)), np.float32)
+    for i, k in enumerate(langs):
+        g = grams.pop(k).astype(float) + 0.05
+        weights[:, i] = np.log(g / g.sum())
     s = np.stack([scripts[k] for k in langs], axis=1).astype(float)
-    return Model(langs, np.log(g / g.sum(axis=0)).astype(np.float32), s / s.sum(axis=0) >= SCRIPT_SHARE)
+    return Model(langs, weights, s / s.sum(axis=0) >= SCRIPT_SHARE)
 
 
 def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
