@@ -15,14 +15,14 @@ bucket's total is summed first, and the running sum inside a bucket starts from
 the total of the buckets before it: a source with a third of all rows is spread
 over all tasks.  What is known of a source is joined to the totals of its buckets,
 and these to the rows, by source and bucket: no broadcast is
-forced.  Up
-to ``FEW_SOURCES`` are ranked and filled in one task, more by prefix sums over
-ranges, with the same result.
+forced.  Sources are ranked and filled by prefix sums over ranges, however many.
 
 Defined results: a null text has size 0 and is never taken; null sources form one
 source, last in order; a null id orders as the empty string; rows that repeat an
-id are told apart by size and text hash and each counts; an empty table gives an
-empty result; input columns named like an output are replaced.
+id are told apart by size and text hash and each counts; documents of size 0, and
+those behind the target, have no position; documents of equal position follow by source
+and offset; an empty table gives an empty result; input columns named like an output are
+replaced.  Both :func:`mix_plan` and :func:`mix_copies` hold to this.
 """
 
 from __future__ import annotations
@@ -33,10 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.hscan import prefix_sums
-from .common import cut_lineage, default_partitions, pick, with_outputs
+from .common import cut_lineage, default_partitions, discard, pick, staged, with_outputs
 
-#: Sources that one task ranks and fills.
-FEW_SOURCES = 100_000
 BUCKET_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 #: Density over training time as (time, weight) knots, taken in turn by the sources.
@@ -74,27 +72,12 @@ def _target() -> Column:
     return F.least(F.col("cap").cast("double"), F.col("level") * F.col("w")).alias("target")
 
 
-def source_targets(sources: DataFrame, weights, max_repeats: int, share: float) -> DataFrame:
+def source_targets(sources: DataFrame, weights, max_repeats: int, share: float,
+                   ranges: int | None = None) -> DataFrame:
     """sources (src, source_size) -> rank, target: water filling in closed form.
     With sources in order of cap / weight, the level is the largest of
-    (words - caps before) / (weights from here on)."""
-    by_name = Window.orderBy(F.col("src").asc_nulls_last())
-    ranked = sources.withColumn("rank", (F.row_number().over(by_name) - 1).cast("long"))
-    ranked = ranked.withColumns({"w": _weight(F.col("rank"), weights), "cap": F.col("source_size") * max_repeats})
-    filling = Window.orderBy(F.col("cap") / F.col("w"), "rank")
-    before = filling.rowsBetween(Window.unboundedPreceding, -1)
-    onward = filling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = Window.partitionBy(F.lit(0))
-    words = F.sum("source_size").over(everything) * F.lit(float(share))
-    level = (words - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("w").over(onward)
-    return (ranked.withColumn("level", level)
-            .withColumn("level", F.max("level").over(everything))
-            .select("src", "source_size", "rank", _target()))
-
-
-def many_source_targets(sources: DataFrame, weights, max_repeats: int, share: float,
-                        ranges: int | None = None) -> DataFrame:
-    """:func:`source_targets` by prefix sums over ranges of sources."""
+    (words - caps before) / (weights from here on); ranks and sums are prefix sums over
+    ranges of sources, one range for few of them."""
     named = sources.select("src", "source_size", F.lit(1).cast("long").alias("one"), F.struct(
         F.col("src").isNull().alias("no"), F.coalesce("src", F.lit("")).alias("name")).alias("by"))
     ranked = prefix_sums(named, [], "by", ["one"], ranges).select(
@@ -121,24 +104,25 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "__mx_src": pick(source_col).cast("string"),
         "__mx_ord": F.md5(F.coalesce(pick(id_col).cast("string"), F.lit("")).cast("binary")),
     })
-    sized = base.select("__mx_size", "__mx_src")
+    # words are counted once for all sums, and once where the rows themselves go on
+    sized = staged(base.select("__mx_size", "__mx_src", "__mx_ord"))
     sources = cut_lineage(sized.groupBy(F.col("__mx_src").alias("src"))
                           .agg(F.sum("__mx_size").alias("source_size"), F.count(F.lit(1)).alias("n")))
-    known = sources.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()
-    buckets = max(default_partitions(spark), math.ceil(known["n"] / BUCKET_ROWS))
-    targets = source_targets if known["k"] <= FEW_SOURCES else many_source_targets
-    plan = targets(sources.drop("n"), weights, max_repeats, share).select(
+    most = sources.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    buckets = max(default_partitions(spark), math.ceil(most / BUCKET_ROWS))
+    plan = source_targets(sources.drop("n"), weights, max_repeats, share).select(
         _key(F.col("src")).alias("__mx_key"), F.col("source_size").alias("__mx_ssize"),
         F.col("rank").alias("__mx_rank"), F.col("target").alias("__mx_target"))
-    base = (base.withColumn("__mx_key", _key(F.col("__mx_src")))
-            .withColumn("__mx_bucket", F.floor(
-                F.conv(F.substring("__mx_ord", 1, 8), 16, 10).cast("long") * buckets / (1 << 32)).cast("int")))
+    own = {"__mx_key": _key(F.col("__mx_src")), "__mx_bucket": F.floor(
+        F.conv(F.substring("__mx_ord", 1, 8), 16, 10).cast("long") * buckets / (1 << 32)).cast("int")}
+    base = base.withColumns(own)
 
-    totals = base.groupBy("__mx_key", "__mx_bucket").agg(F.sum("__mx_size").alias("t"))
+    totals = sized.withColumns(own).groupBy("__mx_key", "__mx_bucket").agg(F.sum("__mx_size").alias("t"))
     ahead = (Window.partitionBy("__mx_key").orderBy("__mx_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("__mx_key", "__mx_bucket",
-                            F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("__mx_ahead")).join(plan, "__mx_key")
+    offsets = cut_lineage(totals.select(
+        "__mx_key", "__mx_bucket", F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("__mx_ahead")).join(plan, "__mx_key"))
+    discard(sized)
     inside = (Window.partitionBy("__mx_key", "__mx_bucket")
               .orderBy("__mx_ord", "__mx_size", F.xxhash64(pick(text_col).cast("string")))
               .rowsBetween(Window.unboundedPreceding, -1))

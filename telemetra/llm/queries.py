@@ -32,7 +32,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.in_training_order(mixing.mix_plan(docs)).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,18 +150,26 @@ SQL = {
                     / sum(w) OVER (ORDER BY cap::DOUBLE / w, rnk
                          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS lvl
           FROM w),
-        t AS (SELECT source, source_size, least(cap::DOUBLE, max(lvl) OVER () * w) AS target FROM l),
+        t AS (SELECT source, source_size, rnk, least(cap::DOUBLE, max(lvl) OVER () * w) AS target FROM l),
         o AS (
           SELECT d.doc_id, d.size, t.source_size, t.target,
                  coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.size
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-                 CAST(round(t.target) AS BIGINT) AS goal
-          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+                 CAST(round(t.target) AS BIGINT) AS goal, t.rnk
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        p AS (SELECT *, CASE WHEN least(size, goal - start) > 0 THEN least(1.0, start / target) END AS u FROM o)
         SELECT doc_id, size, source_size, target,
+               -- the integrated schedules (densities 1.5 to 0.5; 1; 0.5 and, from the middle, to 2) inverted
+               CASE WHEN u IS NOT NULL THEN CASE rnk % 3
+                 WHEN 0 THEN least(1.0, 2 * u / (1.5 + sqrt(greatest(0, 2.25 - 2 * u))))
+                 WHEN 1 THEN u
+                 ELSE CASE WHEN 0.875 * u < 0.25 THEN least(0.5, 2 * 0.875 * u)
+                           ELSE least(1.0, 0.5 + 2 * (0.875 * u - 0.25) / (0.5 + sqrt(greatest(0, 0.25 + 6 * (0.875 * u - 0.25))))) END
+               END END AS position,
                CAST(greatest(0, least(size, goal - start))
                   + greatest(0, least(size, goal - start - source_size))
                   + greatest(0, least(size, goal - start - 2 * source_size)) AS BIGINT) AS taken
-        FROM o""",
+        FROM p""",
     "op6_warc": """
         WITH p AS (
           SELECT page_id, sha1(coalesce(html, '')) AS payload_digest,

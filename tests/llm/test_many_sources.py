@@ -1,37 +1,53 @@
-"""Mixing with more sources than one task ranks: the same plan."""
+"""Targets of any number of sources, and training positions by numeric integration."""
 
+import math
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from telemetra.llm import mixing
 
 
-@pytest.fixture(scope="module")
-def hosts(spark):
-    return spark.range(100_002).select(F.col("id").alias("doc_id"), F.lit("two words").alias("text"),
-                                 F.when(F.col("id") > 0, F.concat(F.lit("h"), "id")).alias("source"))
-
-
-def test_more_sources_than_one_task_ranks(hosts):
-    got = mixing.mix_plan(hosts).agg(F.count("*"), F.countDistinct("source_rank"), F.sum("target"), F.min("source_size"),
-                                     F.max("source_size"), F.sum("taken")).first()
-    n = hosts.count()
-    assert got[:2] == (n, n) and got[3:5] == (2, 2)
-    assert got[2] == pytest.approx(2 * n, rel=1e-9) and abs(got[5] - 2 * n) <= n
-
-
-def test_ranges_give_the_same_targets(spark):
-    rows = [(None if i == 7 else f"s{i * 37 % 101}", (i * i) % 53) for i in range(101)]
-    sources = spark.createDataFrame(rows, "src string, source_size long")
-    for share in (1.0, 0.4):
-        one = {r.src: tuple(r) for r in mixing.source_targets(sources, (1, 2, 3), 3, share).collect()}
-        many = {r.src: tuple(r) for r in mixing.many_source_targets(sources, (1, 2, 3), 3, share, ranges=7).collect()}
-        assert len(one) == 101 and one == many
-
-
-def test_plan_is_the_same_either_way(spark, monkeypatch):
-    docs = spark.createDataFrame([(i % 50, "w " * (i % 9), None if i % 6 == 0 else "=" * (i % 6 - 1)) for i in range(90)],
-                                 "doc_id long, text string, source string")
-    few = sorted(map(str, mixing.mix_plan(docs).collect()))
-    monkeypatch.setattr(mixing, "FEW_SOURCES", 2)
-    assert sorted(map(str, mixing.mix_plan(docs).collect())) == few
+def filled(sizes, weights, repeats, share):
+    """Targets by raising the level until the words are shared out."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    cap = {s: n * repeats for s, n in sizes.items()}
+    words = sum(sizes.values()) * share
+    low, high = 0.0, float(max([1, *cap.values()]))
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(cap[s], level * w[s]) for s in sizes) < words else (low, level)
+    return {s: min(cap[s], high * w[s]) for s in sizes}
+
+
+@pytest.mark.parametrize("ranges", [None, 7])
+@pytest.mark.parametrize("share", [1.0, 0.4])
+def test_targets_equal_water_filling(spark, share, ranges):
+    rng = np.random.default_rng(3)
+    sizes = {f"s{i:03d}": int(n) for i, n in enumerate(rng.integers(0, 400, 90))} | {None: 1000, "": 3, "big": 90_000}
+    sources = spark.createDataFrame(list(sizes.items()), "src string, source_size long")
+    got = {r.src: r for r in mixing.source_targets(sources, (1, 2, 3), 3, share, ranges).collect()}
+    want = filled(sizes, (1, 2, 3), 3, share)
+    assert got.keys() == sizes.keys() and all(math.isclose(got[s].target, t, rel_tol=1e-6, abs_tol=1e-6) for s, t in want.items())
+    assert got[None]["rank"] == len(sizes) - 1 and got[""]["rank"] == 0
+
+
+@pytest.mark.parametrize("knots", [*mixing.SCHEDULES, ((0.0, 0.0), (0.3, 4.0), (0.6, 0.0), (0.8, 0.0), (1.0, 1.0))])
+def test_positions_invert_the_integrated_schedule(spark, knots):
+    us = [i / 64 for i in range(65)]
+    got = [r.t for r in spark.createDataFrame([(u,) for u in us], "u double").coalesce(1)
+           .select(mixing.inverse_demand(knots, F.col("u")).alias("t")).collect()]
+    grid = np.linspace(0, 1, 200_001)
+    density = np.interp(grid, *zip(*knots))
+    area = np.concatenate([[0], np.cumsum((density[1:] + density[:-1]) / 2 * np.diff(grid))])
+    for u, t in zip(us, got):
+        assert abs(np.interp(t, grid, area) / area[-1] - u) < 1e-4, (u, t)
+    assert all(a <= b + 1e-12 for a, b in zip(got, got[1:]))
+
+
+def test_bad_schedules_are_refused():
+    for knots in (((0.0, 1.0), (0.0, 1.0)), ((0.0, 0.0), (1.0, 0.0)), ((0.0, -1.0), (1.0, 1.0))):
+        with pytest.raises(ValueError):
+            mixing.inverse_demand(knots, F.lit(0.5))
