@@ -11,7 +11,9 @@ much room.
 
 Defined results: a null text is the empty text (its end id only); null and repeated
 ids are documents of their own; a document longer than a sequence fills several; an
-empty table gives no pieces; columns other than the named ones are ignored.
+empty table gives no pieces; columns other than the named ones are ignored.  By
+default a sequence has room for as many segments as tokens, so only tokens and loss
+bind; of pieces that fit equally well the first of the block goes in.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id lo
 class Limits:
     """Per sequence; ``slack``: free tokens that are not worth a cut."""
     tokens: int = 4096
-    segments: int = 256
+    segments: int = 4096          # binds only where it is set lower (instruction data)
     loss: int = 4096
     slack: int = 8
 
@@ -136,7 +138,7 @@ def _cut(batches, vocabulary, piece_limit, end_id, n_blocks):
     at = (TaskContext.get().partitionId() * 0x9E3779B1) % n_blocks
     for batch in batches:
         texts = batch.column(1)
-        for a, b in blocks(texts):
+        for a, b in blocks(texts, 1 << 22):
             tokens, offsets = enc.encode_all(texts.slice(a, b - a))
             if end_id is not None:
                 tokens = np.insert(tokens, offsets[1:], end_id)
