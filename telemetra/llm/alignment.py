@@ -56,9 +56,9 @@ FAN = 16
 #: Rows of one broadcast table of pair counts, about.
 BROADCAST_PAIRS = 1 << 20
 #: Bytes of text that are aligned at once.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 #: Distinct pieces whose ids a worker remembers; beyond it the memory is emptied.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 #: How a byte-level file splits a text into words (fixed by the format).
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
