@@ -7,13 +7,14 @@ import gc
 import uuid
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage, ship_package
 
-__all__ = ["bit_mask_table", "checkpoint_dir", "cut_lineage", "default_partitions", "discard", "has_bit",
+__all__ = ["bit_mask_table", "checkpoint_dir", "cut_lineage", "default_partitions", "discard", "file_system", "has_bit",
            "pick", "released", "safe_name", "shared_folder", "ship_file", "ship_package", "shipped_path",
            "staged", "with_outputs"]
 
@@ -49,6 +50,22 @@ def shared_folder(spark: SparkSession, kind: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
+#: Hadoop's names of stores that Arrow knows by another (fixed values).
+STORE_NAMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs", "gcs": "gs"}
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The Arrow file system of a URI as Hadoop writes it, and the path in it: local and
+    mounted folders, HDFS and viewfs (where libhdfs is installed), S3, Google Cloud
+    Storage and Azure.  Files are written under names of their own attempt and named in a
+    manifest, so nothing needs to be renamed, which object stores cannot do."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or len(scheme) == 1:
+        return pafs.FileSystem.from_uri(uri)
+    rest = "//" + rest if rest.startswith("/") and not rest.startswith("//") else rest      # file:/folder
+    return pafs.FileSystem.from_uri(f"{STORE_NAMES.get(scheme.lower(), scheme)}:{rest}")
+
+
 def bit_mask_table(hashes: DataFrame, name: str, bits: int) -> DataFrame:
     """A set of 64-bit hashes as a bit mask of the fixed size ``2 ** bits``:
     rows (word, mask), ``2 ** bits / 64`` of them at most whatever the input, so

@@ -3,15 +3,16 @@
 Documents are range-sorted by id (ties by text hash, so one repeated id is split
 too); each task encodes its range and streams two files into the shared folder:
 
-* ``tokens-NNNNN.bin``  all ids, little-endian unsigned 16 bit (32 if the vocabulary
+* ``tokens-NNNNN-<attempt>.bin``  all ids, little-endian unsigned 16 bit (32 if the vocabulary
   is larger), no header: fit for ``numpy.memmap``;
-* ``docs-NNNNN.idx``    the magic bytes, the id width and the number n of documents
+* ``docs-NNNNN-<attempt>.idx``    the magic bytes, the id width and the number n of documents
   (three little-endian int64), then n + 1 token offsets within the file, n document
   ids and n flags (1: the id is null), all little-endian int64.
 
-A file is written under a name of its own attempt and moved into place when
-complete, so a task that runs again leaves one whole file.  The tasks return one row
-each; their exclusive prefix sums are the partitions' bases, stored in ``manifest``.
+A file has the name of its own attempt; only the attempts that the tasks return, one row
+each, are named in ``manifest``, so a task that runs again changes nothing that is read,
+and no file is renamed (object stores cannot).  The exclusive prefix sums of the rows are
+the partitions' bases, stored there too.
 
 Defined results: a null text is encoded as the empty text (end id only); null ids
 sort first; repeated rows are documents of their own; an empty table writes an
@@ -30,11 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import default_partitions, pick, released, shared_folder, ship_file, ship_package, shipped_path
+from .common import default_partitions, file_system, pick, released, shared_folder, ship_file, ship_package, shipped_path
 from .tokens import blocks, encoder
 
 MAGIC = int.from_bytes(b"TOKIDX01", "little")
-MANIFEST = "part int, n_docs long, n_tokens long, width int, doc_base long, token_base long"
+MANIFEST = "part int, name string, n_docs long, n_tokens long, width int, doc_base long, token_base long"
 #: Ids that the reader holds at once, unless one document has more.
 READ_IDS = 1 << 21
 
@@ -55,10 +56,10 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str | None = Non
         yield from released(_write_part(batches, shipped_path(name), folder, end_id))
 
     parts = sorted(tuple(r) for r in ordered.mapInArrow(
-        write, "part int, n_docs long, n_tokens long, width int").collect())
+        write, "part int, name string, n_docs long, n_tokens long, width int").collect())
     rows, doc_base, token_base = [], 0, 0
-    for part, n_docs, n_tokens, width in parts:
-        rows.append((part, n_docs, n_tokens, width, doc_base, token_base))
+    for part, own, n_docs, n_tokens, width in parts:
+        rows.append((part, own, n_docs, n_tokens, width, doc_base, token_base))
         doc_base, token_base = doc_base + n_docs, token_base + n_tokens
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(f"{folder}/manifest")
     return folder
@@ -69,7 +70,7 @@ def _write_part(batches, vocabulary, folder, end_id):
     part = TaskContext.get().partitionId()
     enc = encoder(vocabulary)
     end = np.array([] if end_id is None else [end_id], dtype=enc.dtype)
-    ids, flags, counts, attempt = [], [], [], uuid.uuid4().hex
+    ids, flags, counts, own_name = [], [], [], f"{part:05d}-{uuid.uuid4().hex}"
     for batch in batches:
         texts = batch.column(1)
         for a, b in blocks(texts):
@@ -77,9 +78,9 @@ def _write_part(batches, vocabulary, folder, end_id):
             if len(end):
                 tokens = np.insert(tokens, offsets[1:], end[0])
             if out is None:
-                fs, path = pafs.FileSystem.from_uri(folder)
+                fs, path = file_system(folder)
                 fs.create_dir(path, recursive=True)
-                out = fs.open_output_stream(f"{path}/.tokens-{attempt}")
+                out = fs.open_output_stream(f"{path}/tokens-{own_name}.bin")
             out.write(tokens.tobytes())
             counts.append(np.diff(offsets) + len(end))
             own = batch.column(0).slice(a, b - a)
@@ -90,16 +91,14 @@ def _write_part(batches, vocabulary, folder, end_id):
     out.close()
     n = np.concatenate(counts)
     offsets = np.concatenate([[0], np.cumsum(n)]).astype("<i8")
-    with fs.open_output_stream(f"{path}/.docs-{attempt}") as index:
+    with fs.open_output_stream(f"{path}/docs-{own_name}.idx") as index:
         index.write(np.array([MAGIC, enc.dtype.itemsize, len(n)], "<i8").tobytes())
         for section in (offsets, np.concatenate(ids), np.concatenate(flags)):
             index.write(section.astype("<i8").tobytes())
-    fs.move(f"{path}/.tokens-{attempt}", f"{path}/tokens-{part:05d}.bin")
-    fs.move(f"{path}/.docs-{attempt}", f"{path}/docs-{part:05d}.idx")
     yield pa.RecordBatch.from_arrays(
-        [pa.array([part], pa.int32()), pa.array([len(n)], pa.int64()),
+        [pa.array([part], pa.int32()), pa.array([own_name]), pa.array([len(n)], pa.int64()),
          pa.array([int(offsets[-1])], pa.int64()), pa.array([enc.dtype.itemsize], pa.int32())],
-        names=["part", "n_docs", "n_tokens", "width"])
+        names=["part", "name", "n_docs", "n_tokens", "width"])
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,15 +125,15 @@ def _mapped(fs, path: str, dtype: str) -> np.ndarray:
 
 
 def _read_part(folder, row):
-    fs, path = pafs.FileSystem.from_uri(folder)
-    index = _mapped(fs, f"{path}/docs-{row['part']:05d}.idx", "<i8")
+    fs, path = file_system(folder)
+    index = _mapped(fs, f"{path}/docs-{row['name']}.idx", "<i8")
     magic, width, n = (int(x) for x in index[:3])
     if magic != MAGIC or n != row["n_docs"] or len(index) != 3 + n + 1 + 2 * n:
-        raise ValueError(f"docs-{row['part']:05d}.idx is damaged")
+        raise ValueError(f"docs-{row['name']}.idx is damaged")
     offsets, ids, null = index[3:4 + n], index[4 + n:4 + 2 * n], index[4 + 2 * n:]
-    tokens = _mapped(fs, f"{path}/tokens-{row['part']:05d}.bin", f"<u{width}")
+    tokens = _mapped(fs, f"{path}/tokens-{row['name']}.bin", f"<u{width}")
     if len(tokens) != offsets[-1]:
-        raise ValueError(f"tokens-{row['part']:05d}.bin has {len(tokens)} ids, not {offsets[-1]}")
+        raise ValueError(f"tokens-{row['name']}.bin has {len(tokens)} ids, not {offsets[-1]}")
     a = 0
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + READ_IDS, "right")) - 1)

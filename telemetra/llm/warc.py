@@ -25,15 +25,17 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, default_partitions, pick, shared_folder, ship_package
+from .common import (bit_mask_table, cut_lineage, default_partitions, file_system, has_bit, pick, shared_folder,
+                     ship_package)
 
 REVISIT_BYTES = 1000
+#: Bits of the mask of digests that repeat.
+MASK_BITS = 24
 SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 65_536, 65_536
 #: Fixed values of the formats.
 SKIPPABLE_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -54,9 +56,14 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     groups = cut_lineage(rows.where(F.col("n") >= REVISIT_BYTES).groupBy(F.col("digest").alias("g"))
                          .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("k"))
                          .where("k > 1 AND first IS NOT NULL").drop("k"))
-    rows = rows.join(groups, F.col("digest") == F.col("g"), "left")
-    return rows.select("page_id", "url", "payload", "digest", "n",
-                       F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    # only rows whose digest may repeat are looked up, so no other payload is shuffled
+    masks = bit_mask_table(groups.select(F.xxhash64("g").alias("h")), "h", MASK_BITS)
+    marked = has_bit(rows.withColumn("h", F.xxhash64("digest")), "h", masks, MASK_BITS, "may")
+    asked = marked.where("may").join(groups, F.col("digest") == F.col("g"), "left")
+    alone = marked.where("NOT may").withColumn("refers_to", F.lit(None).cast("long"))
+    out = ["page_id", "url", "payload", "digest", "n", "refers_to"]
+    return alone.select(out).unionByName(asked.withColumn(
+        "refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))).select(out))
 
 
 def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
@@ -119,15 +126,16 @@ def dictionary_frame(dictionary: bytes) -> bytes:
 
 
 def _write_part(batches, folder, dictionary, date):
-    part, attempt, out, n = TaskContext.get().partitionId(), uuid.uuid4().hex, None, 0
+    part, out, n = TaskContext.get().partitionId(), None, 0
+    name = f"part-{part:05d}-{uuid.uuid4().hex}.warc.zst"       # of this attempt; the manifest names those that count
     packer = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary),
                                       write_content_size=True)
     for batch in batches:
         for row in batch.to_pylist():
             if out is None:
-                fs, path = pafs.FileSystem.from_uri(folder)
+                fs, path = file_system(folder)
                 fs.create_dir(path, recursive=True)
-                out = fs.open_output_stream(f"{path}/.{attempt}")
+                out = fs.open_output_stream(f"{path}/{name}", compression=None)
                 out.write(dictionary_frame(dictionary))
                 info = record_bytes(f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{folder}/{part}')}", "warcinfo",
                                     date, [("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
@@ -138,8 +146,7 @@ def _write_part(batches, folder, dictionary, date):
             n += 1
     if out is not None:
         out.close()
-        fs.move(f"{path}/.{attempt}", f"{path}/part-{part:05d}.warc.zst")
-        yield pa.RecordBatch.from_arrays([pa.array([f"part-{part:05d}.warc.zst"]), pa.array([n])], names=["file", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n])], names=["file", "n"])
 
 
 def frames(stream, chunk: int = 1 << 20) -> Iterator[bytes]:
@@ -232,7 +239,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 rows, size, total = [], 0, 0
-                fs, path = pafs.FileSystem.from_uri(folder)
+                fs, path = file_system(folder)
                 with fs.open_input_stream(f"{path}/{row['file']}", compression=None) as stream:
                     for k, raw in enumerate(frames(stream)):
                         try:
