@@ -67,9 +67,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+#: Folders that :func:`cut_lineage` has written, by application.
+_TABLES: dict[str, list[str]] = {}
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the tables that :func:`cut_lineage` has written so far in this application:
+    for a job to call once its results are written, when nothing will be read from a
+    frame made before.  Returns how many."""
+    paths = _TABLES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
 def scratch_dir(prefix: str = "telemetra-") -> str:
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
 

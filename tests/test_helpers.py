@@ -67,3 +67,16 @@ def test_roles_time_columns_and_units(spark):
     df = spark.createDataFrame([(1, "2024-01-01", 300.0)], "udi int, event_time string, air double")
     assert P.time_like_columns(df) == ["event_time"]
     assert abs(df.select(P.kelvin_to_celsius("air")).first()[0] - 26.85) < 1e-9
+
+
+def test_written_tables_are_released(spark, tmp_path):
+    import os
+
+    from telemetra.session import cut_lineage, release_tables
+
+    release_tables(spark)
+    df = cut_lineage(spark.range(5))
+    folder = df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    folder = "/" + folder.lstrip("/")
+    assert df.count() == 5 and os.path.isdir(folder)
+    assert release_tables(spark) == 1 and not os.path.exists(folder) and release_tables(spark) == 0
