@@ -1,12 +1,18 @@
 """Exact top-k inner-product search by the threshold algorithm.
 
-Candidates are dealt evenly over blocks and queries over blocks of bounded size;
-every pair of blocks is one group.  In a group each dimension has its list of
-candidates sorted by value; a query reads the lists from the end its sign favours,
-scores what it meets in full, and stops when the bound on everything unmet (the
-query times the values last read) cannot beat its k-th score.  Ties go to the
-smaller id, so reading goes on while the bound equals the k-th score.  A window
-over the blocks' best keeps the k best of each query.
+Candidates are dealt into blocks of like length (range-partitioned by norm, ties by
+hash), and the least and greatest value of every dimension in a block are kept.  They
+bound any score in the block, so a query first searches the block of its highest bound,
+and then only blocks whose bound reaches the k-th score found there; the others are
+never copied to it.  The queries of a block are dealt into groups of bounded size, each
+with the block's candidates.
+
+In a group each dimension has its list of candidates sorted by value; a query reads the
+lists from the end its sign favours, scores what it meets in full, and stops when the
+bound on everything unmet (the query times the values last read) cannot beat its k-th
+score.  Ties go to the smaller id, so reading goes on, and blocks are searched, while a
+bound equals the k-th score.  A window over the blocks' best keeps the k best of each
+query.
 
 Defined results: vectors that are null or hold a null or non-finite component take
 no part; shorter vectors are filled with zeros; a row whose id equals a query's is
@@ -22,11 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import default_partitions, pick, ship_package
+from .common import cut_lineage, default_partitions, pick, ship_package
 
-#: Rows of a candidate block and of a query block at most.
+#: Rows of a candidate block and of a query group at most, and of a block at least.
 CANDIDATES = 32_768
-QUERIES = 2_048
+QUERIES = 8_192
+LEAST = 1_024
+#: Bytes of block bounds that are sent to tasks; beyond it every block is searched.
+BOUND_BYTES = 1 << 27
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -45,30 +54,104 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     rows for which ``is_query`` holds."""
     spark = vectors.sparkSession
     ship_package(spark)
+    vectors = cut_lineage(vectors)
     queries = vectors.where(is_query & F.col("vec_id").isNotNull()).groupBy("vec_id").agg(F.max("v").alias("v"))
     size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"),
-                       F.max(F.array_max(F.transform("v", lambda c: F.abs(c.cast("double"))))).alias("top"),
-                       F.count_if(is_query).alias("q")).first()
-    n_blocks = max(default_partitions(spark), -(-size["n"] // CANDIDATES))
-    q_blocks = max(1, -(-size["q"] // QUERIES))
+                       F.max(F.array_max(F.transform("v", lambda c: F.abs(c.cast("double"))))).alias("top")).first()
+    n_blocks = max(1, min(default_partitions(spark), size["n"] // LEAST), -(-size["n"] // CANDIDATES))
     width, top = size["d"] or 0, float(size["top"] or 0)
     bound = top * top * max(1, width)
     dtype = "float64" if bound < 2.0 ** 53 else "int64" if bound < 2.0 ** 62 else "object"
+    queries = cut_lineage(queries)
+    norm = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double"))
+    keyed = vectors.withColumns({"norm": norm, "h": F.xxhash64("vec_id", "v")})
+    dealt = keyed.repartitionByRange(n_blocks, "norm", "h") if n_blocks > 1 else keyed.coalesce(1)
+    offered = cut_lineage(dealt.select(F.spark_partition_id().alias("cb"), "vec_id", "v"))
+
+    def searched(asked: DataFrame) -> DataFrame:
+        return _search(cut_lineage(asked), offered, k, width, dtype)
+
+    bounds = _bounds(offered, width)
+    if bounds is None:                                   # too many blocks to send their bounds
+        blocks = offered.select("cb").distinct()
+        found = searched(queries.join(blocks))
+    else:
+        first = cut_lineage(searched(_asks(queries, bounds, None)))
+        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+        least = (first.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == k)
+                 .select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth")))
+        rest = searched(_asks(queries.join(least, "vec_id", "left"), bounds, "kth"))
+        found = first.unionByName(rest)
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
+    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
 
-    blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1))
-    asked = queries.select(F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int").alias("qb"),
-                           "vec_id", "v").withColumn("cb", F.explode(blocks))
-    offered = vectors.select(
-        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"), "vec_id", "v",
-        F.pmod(F.monotonically_increasing_id(), F.lit(n_blocks)).cast("int").alias("cb"))
+def _bounds(offered: DataFrame, width: int):
+    """(block numbers, least, greatest) per block and dimension; None if too large.  A
+    shorter vector counts as filled with zeros."""
+    sizes = offered.groupBy("cb").agg(F.min(F.size("v")).alias("d")).collect()
+    if len(sizes) * max(1, width) * 16 > BOUND_BYTES:
+        return None
+    at = {r["cb"]: i for i, r in enumerate(sorted(sizes))}
+    low, high = np.full((len(at), width), np.inf), np.full((len(at), width), -np.inf)
+    rows = (offered.select("cb", F.posexplode("v").alias("d", "x")).groupBy("cb", "d")
+            .agg(F.min("x").alias("low"), F.max("x").alias("high")).toLocalIterator())
+    for r in rows:
+        low[at[r["cb"]], r["d"]], high[at[r["cb"]], r["d"]] = r["low"], r["high"]
+    for r in sizes:
+        low[at[r["cb"]], r["d"]:] = np.minimum(low[at[r["cb"]], r["d"]:], 0)
+        high[at[r["cb"]], r["d"]:] = np.maximum(high[at[r["cb"]], r["d"]:], 0)
+    return np.array(list(at), np.int64), low, high
+
+
+def _asks(queries: DataFrame, bounds, kth: str | None) -> DataFrame:
+    """(vec_id, v, cb): without ``kth`` each query and the block of its highest bound;
+    with it the other blocks whose bound reaches that score (all, where it is null)."""
+    blocks, low, high = bounds
+    width = low.shape[1]
+
+    def run(batches):
+        for batch in batches:
+            x = _matrix(pa.chunked_array([batch.column("v")]), width, "float64")
+            for a in range(0, len(x), 1024):
+                q = x[a:a + 1024]
+                up, down = np.maximum(q, 0), np.minimum(q, 0)
+                # rounding may only raise a bound
+                most = up @ high.T + down @ low.T
+                most += np.abs(most) * 1e-9
+                best = most.argmax(axis=1)
+                if kth is None:
+                    row, at = np.arange(len(q)), best
+                else:
+                    reached = batch.column(kth).slice(a, len(q))
+                    score = np.where(reached.is_null().to_numpy(zero_copy_only=False), -np.inf,
+                                     reached.fill_null(0).to_numpy(zero_copy_only=False).astype(float))
+                    open_ = most >= score[:, None]
+                    open_[np.arange(len(q)), best] = False
+                    row, at = np.nonzero(open_)
+                for i in range(0, len(row), 1 << 14):
+                    own = pa.array(row[i:i + (1 << 14)] + a)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("vec_id").take(own), batch.column("v").take(own), pa.array(blocks[at[i:i + (1 << 14)]])],
+                        names=["vec_id", "v", "cb"])
+
+    return queries.mapInArrow(run, "vec_id long, v array<long>, cb long")
+
+
+def _search(asked: DataFrame, offered: DataFrame, k: int, width: int, dtype: str) -> DataFrame:
+    """The best of the asked blocks: a block's queries in groups of ``QUERIES``, each
+    with the block's candidates; a block that nobody asks for is not copied."""
+    groups = cut_lineage(asked.groupBy("cb").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("groups")))
+    left = asked.join(groups, "cb").withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.col("groups")).cast("int"))
+    right = offered.join(groups, "cb").withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
 
     def search(asked: pa.Table, offered: pa.Table) -> pa.Table:
         return search_block(asked, offered, k, width, dtype)
 
-    found = (asked.groupBy("qb", "cb").cogroup(offered.groupBy("qb", "cb")).applyInArrow(search, FOUND))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last())
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (left.select("cb", "qb", "vec_id", "v").groupBy("cb", "qb")
+            .cogroup(right.select(F.col("cb").cast("long").alias("cb"), "qb", "vec_id", "v").groupBy("cb", "qb"))
+            .applyInArrow(search, FOUND))
 
 
 def _matrix(column: pa.ChunkedArray, width: int, dtype: str) -> np.ndarray:

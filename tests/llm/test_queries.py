@@ -419,3 +419,19 @@ def test_damaged_archives_are_told():
     for bad in (b"", whole[:5], whole[4:], whole[:30], whole[:-3], zstandard.ZstdCompressor().compress(b"no dictionary")):
         with pytest.raises((ValueError, zstandard.ZstdError)):
             list(warc.frames(io.BytesIO(bad)))
+
+
+@pytest.mark.parametrize("candidates, queries_each, sent", [(16, 3, 1 << 27), (16, 8192, 0), (1 << 15, 8192, 1 << 27)])
+def test_searching_fewer_blocks_gives_the_same(spark, monkeypatch, candidates, queries_each, sent):
+    monkeypatch.setattr(topk, "CANDIDATES", candidates)
+    monkeypatch.setattr(topk, "QUERIES", queries_each)
+    monkeypatch.setattr(topk, "BOUND_BYTES", sent)
+    rng = np.random.default_rng(9)
+    rows = [(i, [int(x) for x in rng.integers(-9, 10, 4) * (1 + 20 * (i % 17 == 0))][:3 + i % 2]) for i in range(300)]
+    rows += [(i, [1, 1, 1, 1]) for i in range(300, 340)] + [(340, [])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, v array<long>"), F.col("vec_id") % 20 == 0, 7).collect()
+    score = lambda a, b: sum(x * y for x, y in zip(a, b))
+    for q, v in rows:
+        if q % 20 == 0:
+            want = sorted((-score(v, w), i) for i, w in rows if i != q)[:7]
+            assert sorted((r["rank"], -r.score, r.vec_id) for r in got if r.query_id == q) == [(k + 1, *x) for k, x in enumerate(want)]
