@@ -43,7 +43,7 @@ def d2_d4_engineered_lineitem(spark, sf_dir):
 
 
 def d6_split_shares_lineitem(spark, sf_dir):
-    s = D.stratified_split(telemetry(spark, sf_dir), KEYS + ["l_shipdate"], "target", seed=42)
+    s = D.stratified_split(telemetry(spark, sf_dir), KEYS + ["l_shipdate"], "target", seed=42, exact=True)
     return s.groupBy("split", "target").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -118,6 +118,11 @@ SQL = {
   count(*) AS rows FROM {_T} GROUP BY ALL""",
     "d2_d4_engineered_lineitem": "SELECT l_orderkey, l_partkey, l_suppkey, l_returnflag, "
     + ", ".join(f'"{c}"' for c in _ENG) + f" FROM {_T}",
+    "d6_split_shares_lineitem": f"""WITH h AS (SELECT target, CAST('0x' || substr(md5(concat_ws('|', """
+    + ", ".join(f"CAST({c} AS VARCHAR)" for c in (*KEYS, "l_shipdate")) + f""", '42')), 1, 12) AS BIGINT) / {float(16 ** 12)!r} AS x FROM {_T}),
+q AS (SELECT target, quantile_cont(x, [0.7, 0.85]) AS q FROM h GROUP BY target)
+SELECT CASE WHEN x <= q.q[1] THEN 'train' WHEN x <= q.q[2] THEN 'validation' ELSE 'test' END AS split, h.target, count(*) AS rows
+  FROM h JOIN q USING (target) GROUP BY ALL""",
     "d8_robust_scale_lineitem": _scaler_sql(_ENG),
     "d9_one_hot_lineitem": f"""WITH c AS (SELECT DISTINCT l_returnflag FROM {_T} WHERE period = 'reference' AND target = 0)
 SELECT CAST(l_returnflag = 'A' AND 'A' IN (SELECT * FROM c) AS DOUBLE) AS type_A,

@@ -1,5 +1,6 @@
 """Registered LOF queries on new rows: E3 novelty mode, the k list, and the recall of
-the approximate neighbour index.
+the approximate neighbour index; isolation forest and one-class SVM scoring by frozen
+parameters.
 
 A customer is one row of six numbers (account balance, nation, and count, sum, mean and
 maximum of the orders' prices), robust-scaled with the training parameters.  The market
@@ -8,11 +9,15 @@ segment MACHINERY is the new batch; the detector is fitted on all other customer
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetra.operators import features as D
+from telemetra.operators.detect import iforest as IF
 from telemetra.operators.detect import lof as LOF
+from telemetra.operators.detect import ocsvm as SVM
 from telemetra.plans.knn import recall
 from telemetra.session import cut_lineage
 from telemetra.sources.tables import table
@@ -65,7 +70,63 @@ def e3_neighbour_recall_customers(spark, sf_dir):
     return out.select("k", "neighbours", "found", "recall")
 
 
+# -- frozen detectors: parameter tables given by a rule, so that any engine can score ----
+TREES, DEPTH, DIMS, FEATURES = 5, 3, 64, 8
+
+
+def frozen_forest() -> pd.DataFrame:
+    """A complete forest of the isolation forest's node table: node i of tree t splits
+    column (11 t + 5 i) mod 64 at (t - 2) / 50; the leaves hold 2, 5, 8, ... rows."""
+    rows, inner = [], (1 << DEPTH) - 1
+    for t in range(TREES):
+        for i in range(2 * inner + 1):
+            leaf = i >= inner
+            rows.append((t, i, -1 if leaf else (11 * t + 5 * i) % DIMS, 0.0 if leaf else (t - 2) / 50,
+                         -1 if leaf else 2 * i + 1, -1 if leaf else 2 * i + 2, 2 + 3 * (i - inner) if leaf else 0, 128))
+    return pd.DataFrame(rows, columns=["tree", "node", "feature", "split", "left", "right", "size", "sample"])
+
+
+def frozen_svm() -> SVM.RffOneClass:
+    """A one-class SVM of eight features whose numbers follow a rule."""
+    model = SVM.RffOneClass(DIMS, 1.0, n_features=FEATURES)
+    model.W = np.array([[((j + 1) * (d + 3)) % 7 - 3 for d in range(DIMS)] for j in range(FEATURES)]) / 4
+    model.b = np.arange(FEATURES) / 2
+    model.w, model.rho = (np.arange(FEATURES) - 3) / 8, 0.05
+    return model
+
+
+def _embeddings(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+
+
+def e2_score_frozen_embeddings(spark, sf_dir):
+    scored = IF.score_forest(_embeddings(spark, sf_dir), "vec_id", "vec", frozen_forest())
+    return scored.select(F.col("id").alias("vec_id"), "iforest_score")
+
+
+def e4_score_frozen_embeddings(spark, sf_dir):
+    return frozen_svm().score(_embeddings(spark, sf_dir), "vec_id", "vec").withColumnRenamed("id", "vec_id")
+
+
+def _tree_sql(nodes: pd.DataFrame, node: int, depth: int) -> str:
+    n = nodes.loc[node]
+    if n.feature < 0:
+        return repr(float(depth + IF.c_factor(n["size"])))
+    return (f"CASE WHEN v[{int(n.feature) + 1}] < {float(n.split)!r} THEN {_tree_sql(nodes, int(n.left), depth + 1)} "
+            f"ELSE {_tree_sql(nodes, int(n.right), depth + 1)} END")
+
+
+_VECTORS = "(SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+_PATHS = " + ".join(_tree_sql(g.reset_index(drop=True), 0, 0) for _, g in frozen_forest().groupby("tree"))
+_SVM = frozen_svm()
+_DECISION = " + ".join(
+    f"{float(_SVM.w[j])!r} * {float(np.sqrt(2 / FEATURES))!r} * cos(list_inner_product(v, {[float(x) for x in _SVM.W[j]]}::DOUBLE[]) + {float(_SVM.b[j])!r})"
+    for j in range(FEATURES))
+
+
 QUERIES = {
+    "e2_score_frozen_embeddings": e2_score_frozen_embeddings,
+    "e4_score_frozen_embeddings": e4_score_frozen_embeddings,
     "e3_lof_new_customers": e3_lof_new_customers,
     "e3_neighbour_recall_customers": e3_neighbour_recall_customers,
 }
@@ -75,6 +136,10 @@ _SCALED = ", ".join(f"({c} - q_{c}[2]) / (CASE WHEN q_{c}[3] - q_{c}[1] = 0 THEN
 _DIST = "sqrt(" + " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in COLUMNS) + ")"
 
 SQL = {
+    "e2_score_frozen_embeddings": f"""SELECT vec_id, pow(2.0, -(({_PATHS}) / {TREES}) / {float(IF.c_factor(128))!r}) AS iforest_score
+  FROM {_VECTORS}""",
+    "e4_score_frozen_embeddings": f"""SELECT vec_id, {_SVM.rho!r} - ({_DECISION}) AS ocsvm_score,
+  CAST({_SVM.rho!r} - ({_DECISION}) > 0 AS INTEGER) AS prediction FROM {_VECTORS}""",
     "e3_lof_new_customers": f"""WITH c AS (
   SELECT c_custkey AS id, c_mktsegment = '{NEW}' AS is_new, c_acctbal AS balance, CAST(c_nationkey AS DOUBLE) AS nation,
          coalesce(orders, 0) AS orders, coalesce(spent, 0) AS spent, coalesce(mean_price, 0) AS mean_price,

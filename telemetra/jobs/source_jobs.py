@@ -148,6 +148,13 @@ SELECT event_type AS path, count(*) AS events, sum(value) AS latency,
     "a6_report_events": """SELECT event_type AS path, count(*) AS requests, max(user_id) AS last_user FROM events GROUP BY 1""",
     "a7_log_events": """SELECT CAST(ts AS DATE) AS dt, event_type AS path, count(*) AS requests, sum(value) AS latency_ms
   FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-15' GROUP BY ALL""",
+    "a8_fingerprint_lineitem": """WITH h AS (SELECT md5(concat_ws(chr(31), """ + ", ".join(
+        f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate")) + """)) AS h FROM lineitem)
+SELECT count(*) AS rows, CAST(sum(CAST('0x' || h[1:16] AS UBIGINT)) AS VARCHAR) AS upper_sum,
+  CAST(sum(CAST('0x' || h[17:32] AS UBIGINT)) AS VARCHAR) AS lower_sum FROM h""",
+    "a10_sample_orders": """SELECT * FROM orders ORDER BY md5(o_orderkey || '|42'), o_orderkey LIMIT 500""",
     "a9_ingest_checks_lineitem": """WITH t AS (SELECT count(*) AS rows FROM lineitem)
 SELECT rows, l_linestatus AS class, count(*) AS class_rows, 11 AS columns, true AS columns_ok,
   'l_linestatus' AS target, true AS target_present FROM lineitem, t GROUP BY ALL

@@ -16,6 +16,7 @@ from telemetra.jobs.drift_jobs import PSI_C, PSI_W, _sql_profile_ctes
 from telemetra.operators import drift
 from telemetra.operators import features as D
 from telemetra.operators import quality as Q
+from telemetra.session import cut_lineage
 from telemetra.sources.tables import table
 from telemetra.streaming import stream as S
 
@@ -94,20 +95,22 @@ def s5_scoring_lineitem(spark, sf_dir):
     flag when any |z| exceeds 3.  The sinks hold the whole rows (scaled measures and
     flag; given values and violations) and are read back and counted."""
     li = table(spark, sf_dir, "lineitem")
-    params = D.fit_robust_scaler(reference_period(li), MEASURES)
+    params = cut_lineage(D.fit_robust_scaler(reference_period(li), MEASURES))
     st = S.read_stream(spark, sf_dir, li.schema, file_glob="lineitem.parquet")
     checked = Q.contract_violations(st, "l_returnflag", ["A", "N"], ["l_quantity", "l_extendedprice"],
                                     ["l_discount", "l_tax"])
-    valid, quarantine = S.split_contract(checked.drop("valid"))
-    scaled = D.apply_robust_scaler(valid, params, MEASURES)
     flag = F.greatest(*[F.abs(F.col(c)) for c in MEASURES]) > 3
-    scored = scaled.withColumn("prediction", flag.cast("int"))
-    good, _ = S.run_available_now(scored, "s5_scored")
-    bad, _ = S.run_available_now(quarantine, "s5_quarantine")
-    return (good.groupBy(F.lit("scored").alias("sink"), "prediction").agg(F.count(F.lit(1)).alias("rows"))
-            .unionByName(bad.groupBy(F.lit("quarantine").alias("sink"),
-                                     F.lit(None).cast("int").alias("prediction"))
-                         .agg(F.count(F.lit(1)).alias("rows"))))
+
+    def scored(batch):
+        valid, _ = S.split_contract(batch)
+        return D.apply_robust_scaler(valid, params, MEASURES).withColumn("prediction", flag.cast("int"))
+
+    sink = S.SplitSink(S.scratch_location(spark, "s5_sinks"), {"scored": scored, "quarantine": lambda batch: S.split_contract(batch)[1]})
+    S.run_batches(checked.drop("valid"), "s5", sink)
+    return (sink.result(spark, "scored").groupBy(F.lit("scored").alias("sink"), "prediction").agg(F.count(F.lit(1)).alias("rows"))
+            .unionByName(sink.result(spark, "quarantine").groupBy(
+                F.lit("quarantine").alias("sink"), F.lit(None).cast("int").alias("prediction"))
+                .agg(F.count(F.lit(1)).alias("rows"))))
 
 
 QUERIES = {

@@ -72,15 +72,19 @@ def select_features(df: DataFrame, roles: Roles, feature_set: str, keep: Sequenc
 
 
 def stratified_split(df: DataFrame, id_cols: Sequence[str], label: str, seed: int = 42,
-                     shares: tuple[float, float] = (0.70, 0.85), accuracy: int = 100000
+                     shares: tuple[float, float] = (0.70, 0.85), accuracy: int = 100000, exact: bool = False
                      ) -> DataFrame:
-    """Seeded 70/15/15 split per class.  Each row gets a hash of its stable
-    id; per-class cut points of that hash come from a bounded quantile sketch,
-    so no sort and no driver round trip.  Membership is repeatable under
-    repartitioning and recomputation."""
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
-    x = df.withColumn("_h", h)
-    cuts = x.groupBy(label).agg(F.percentile_approx("_h", list(shares), accuracy).alias("_cuts"))
+    """Seeded 70/15/15 split per class.  Each row gets a number in [0, 1) from the
+    MD5 of its stable id; a class is cut at the quantiles of its numbers, from a bounded
+    sketch (one aggregate, no sort), or with ``exact`` at the exact ones (any engine cuts
+    there).  Membership is repeatable under repartitioning and recomputation."""
+    h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols], F.lit(str(seed))))
+    x = df.withColumn("_h", F.conv(F.substring(h, 1, 12), 16, 10).cast("long") / float(16 ** 12))
+    if exact:
+        q = exact_quantiles(x.select(label, "_h"), [label], "_h", list(shares))
+        cuts = q.groupBy(label).agg(F.array_sort(F.collect_list("q")).alias("_cuts"))
+    else:
+        cuts = x.groupBy(label).agg(F.percentile_approx("_h", list(shares), accuracy).alias("_cuts"))
     return (x.join(F.broadcast(cuts), label)
             .withColumn("split", F.when(F.col("_h") <= F.col("_cuts")[0], "train")
                         .when(F.col("_h") <= F.col("_cuts")[1], "validation").otherwise("test"))

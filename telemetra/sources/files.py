@@ -105,22 +105,27 @@ def read_jsonl_tolerant(spark: SparkSession, path: str, fields: Sequence[str]) -
 
 
 # ------------------------------------------------------------------ A8 ----
+def _row_text(columns: Sequence[str]):
+    """The cells of a row as one text; NULL is told from every text."""
+    return F.concat_ws("\u001f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in columns])
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Order-independent table fingerprint in one pass: row count, XOR and
-    decimal sum of per-row 64-bit hashes (partition-parallel; a byte hash of a
-    multi-file table would depend on file layout)."""
-    cols = list(columns or df.columns)
-    h = F.xxhash64(*[F.col(c) for c in cols])
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("xor_hash"),
-                  F.sum(h.cast("decimal(38,0)")).alias("sum_hash"))
+    """Order-independent table fingerprint in one pass: row count and the sums of the
+    upper and lower 64 bits of the rows' MD5 (partition-parallel; a byte hash of a
+    multi-file table would depend on file layout).  Any engine can compute it."""
+    h = df.select(F.md5(_row_text(list(columns or df.columns))).alias("h"))
+    half = lambda start: F.conv(F.substring("h", start, 16), 16, 10).cast("decimal(38,0)")
+    return h.agg(F.count(F.lit(1)).alias("rows"), F.sum(half(1)).cast("string").alias("upper_sum"),
+                 F.sum(half(17)).cast("string").alias("lower_sum"))
 
 
 # ------------------------------------------------------------------ A10 ---
 def seeded_sample(df: DataFrame, n: int, id_cols: Sequence[str], seed: int = 42) -> DataFrame:
-    """Fixed-size sample without replacement, repeatable under repartitioning:
-    the n rows with the smallest seeded hash (TakeOrdered: top-n per partition,
-    no full sort)."""
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
+    """Fixed-size sample without replacement, repeatable under repartitioning and by any
+    engine: the n rows with the smallest MD5 of ids and seed (TakeOrdered: top-n per
+    partition, no full sort)."""
+    h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols], F.lit(str(seed))))
     return df.orderBy(h, *id_cols).limit(n)
 
 

@@ -130,6 +130,26 @@ class WindowPsi:
         return spark.read.schema(PSI_SCHEMA).parquet(f"{self.folder}/psi").drop("batch")
 
 
+class SplitSink:
+    """A ``foreachBatch`` sink that deals a stream to several outputs: each batch is
+    computed once and written under its id, then every output takes its rows from it and
+    writes them under the same id, so a replay replaces its own folders."""
+
+    def __init__(self, folder: str, outputs: dict):
+        self.folder, self.outputs = folder.rstrip("/"), outputs
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = f"{self.folder}/batches/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(kept)
+        whole = spark.read.schema(batch.schema).parquet(kept)
+        for name, take in self.outputs.items():
+            take(whole).write.mode("overwrite").parquet(f"{self.folder}/{name}/batch={batch_id}")
+
+    def result(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.parquet(f"{self.folder}/{name}").drop("batch")
+
+
 def run_batches(df: DataFrame, name: str, sink, output_mode: str = "append") -> None:
     """Drain the stream through a ``foreachBatch`` sink with a checkpoint."""
     loc = scratch_location(df.sparkSession, name)

@@ -36,14 +36,24 @@ def test_offender_table(spark):
 
 
 def test_scoring_sinks_hold_whole_rows(spark, monkeypatch):
-    sinks, run = {}, streaming_jobs.S.run_available_now
-
-    def kept(df, name, *args, **options):
-        sinks[name] = run(df, name, *args, **options)
-        return sinks[name]
-
-    monkeypatch.setattr(streaming_jobs.S, "run_available_now", kept)
-    streaming_jobs.s5_scoring_lineitem(spark, "/root/testdata/sf0.001").collect()
-    assert {"l_orderkey", "l_linenumber", "prediction"} <= set(sinks["s5_scored"][0].columns)
-    bad = sinks["s5_quarantine"][0]
-    assert {"l_orderkey", "l_linenumber"} <= set(bad.columns) and bad.where("size(violations) = 0").isEmpty()
+    kept, plain = [], streaming_jobs.S.SplitSink
+
+    class Kept(plain):
+        def __init__(self, *args):
+            super().__init__(*args)
+            kept.append(self)
+
+    monkeypatch.setattr(streaming_jobs.S, "SplitSink", Kept)
+    rows = {(r["sink"], r["prediction"]): r["rows"] for r in
+            streaming_jobs.s5_scoring_lineitem(spark, "/root/testdata/sf0.001").collect()}
+    scored, held = (kept[0].result(spark, n) for n in ("scored", "quarantine"))
+    assert {"l_orderkey", "l_linenumber", "prediction"} <= set(scored.columns) and "violations" in held.columns
+    total = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert scored.count() + held.count() == total == sum(rows.values())
+
+
+def test_split_sink_replays_replace(spark, tmp_path):
+    sink = streaming_jobs.S.SplitSink(str(tmp_path), {"odd": lambda b: b.where("id % 2 = 1"), "even": lambda b: b.where("id % 2 = 0")})
+    for batch_id, n in ((0, 4), (1, 7), (1, 7)):
+        sink(spark.range(n), batch_id)
+    assert sink.result(spark, "odd").count() == 5 and sink.result(spark, "even").count() == 6
