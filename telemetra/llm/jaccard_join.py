@@ -58,7 +58,7 @@ FEW = 8
 #: A node of more pairs than this (and a thousandth of all) is dealt out in SALTS parts.
 HOT_PAIRS, SALTS = 256, 32
 #: A pair met in the bucket of an empty segment costs as much as so many signatures.
-PAIR_COST = 0.5
+PAIR_COST = 1.0
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
