@@ -10,13 +10,13 @@ all rows arrives as a few partial rows; the decision goes back to the rows by an
 outer join whose large partitions adaptive execution splits.
 
 Defined results: a null text counts as the empty text; a null id sorts below any
-id; of rows that repeat both text and largest id exactly one is kept; an empty
-table gives an empty result; input columns named like an output are replaced.
+id; of rows that repeat both text and largest id exactly one is kept, that with the
+smallest SHA-256 of all its columns; an empty table gives an empty result; input columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bit_mask_table, cut_lineage, has_bit, pick, with_outputs
@@ -25,6 +25,22 @@ LENGTH_BITS = 20
 PREFIX_BITS = 24
 
 
+def _one_of_each(tied: DataFrame, columns: list[str]) -> DataFrame:
+    """Of rows that repeat id and text, one keeps ``__xd_kept``: of different rows that
+    with the smallest SHA-256.  Equal rows are collapsed on the map side and spread out
+    again behind the shuffle, so one row repeated without end is no large group."""
+    keys = ["__xd_len", "__xd_sha", "__xd_id"]
+    rows = tied.groupBy(*[pick(c) for c in tied.columns]).agg(F.count(F.lit(1)).alias("__xd_n"))
+    rows = cut_lineage(rows.withColumn("__xd_row", F.sha2(F.to_json(F.struct(*[pick(c) for c in columns])), 256)))
+    first = rows.groupBy(*keys).agg(F.min("__xd_row").alias("__xd_first")).withColumnsRenamed({k: f"{k}_on" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_on"))
+    spread = rows.join(first, same).withColumn("__xd_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__xd_n"))))
+    chosen = (F.col("__xd_row") == F.col("__xd_first")) & (F.col("__xd_i") == 1)
+    return spread.withColumn("__xd_kept", chosen).select(*[pick(c) for c in tied.columns])
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 prefix_chars: int = 64, digest_all: bool = False) -> DataFrame:
     """Every row of ``docs`` with ``keep_id`` (largest id among equal texts),
@@ -70,9 +86,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     })
     if not groups.where("__xd_ties > 1").isEmpty():      # repeated (id, text) rows: keep one
         tied = F.coalesce(F.col("__xd_kept") & (F.col("__xd_ties") > 1), F.lit(False))
-        first = F.row_number().over(Window.partitionBy("__xd_len", "__xd_sha", "__xd_id")
-                                    .orderBy(F.lit(0))) == 1
-        joined = joined.where(~tied).unionByName(joined.where(tied).withColumn("__xd_kept", first))
+        joined = joined.where(~tied).unionByName(_one_of_each(joined.where(tied), docs.columns))
     joined = alone.unionByName(joined.select(alone.columns))
     return with_outputs(joined, {"keep_id": "__xd_keep", "group_size": "__xd_size",
                                  "kept": "__xd_kept", "text_sha256": "__xd_digest"}, docs.columns)

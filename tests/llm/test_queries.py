@@ -435,3 +435,13 @@ def test_searching_fewer_blocks_gives_the_same(spark, monkeypatch, candidates, q
         if q % 20 == 0:
             want = sorted((-score(v, w), i) for i, w in rows if i != q)[:7]
             assert sorted((r["rank"], -r.score, r.vec_id) for r in got if r.query_id == q) == [(k + 1, *x) for k, x in enumerate(want)]
+
+
+def test_exact_dedup_of_one_row_without_end(spark):
+    rows = [(7, "same text", "a")] * 5000 + [(7, "same text", "b"), (3, "same text", "c"), (8, "other", "d"), (None, "same text", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(8)
+    out = exact_dedup.exact_dedup(df)
+    kept = out.where("kept").collect()
+    assert out.count() == len(rows) and out.where("text = 'same text'").agg(F.max("group_size"), F.min("keep_id")).first()[:] == (5003, 7)
+    want = min("ab", key=lambda n: hashlib.sha256(f'{{"doc_id":7,"text":"same text","note":"{n}"}}'.encode()).hexdigest())
+    assert sorted((r.doc_id, r.note) for r in kept) == [(7, want), (8, "d")]
