@@ -304,6 +304,10 @@ def _as_tuple(i) -> tuple:
     return tuple(i) if isinstance(i, (list, tuple)) else (i,)
 
 
+#: Repeated fingerprints (16 bytes each) that are sent to every task.
+SENT_FINGERPRINTS = 1 << 20
+
+
 def row_fingerprint(columns: Sequence[str]) -> list[Column]:
     """Two 64-bit hashes of the columns.  Equal rows have equal ones; unequal rows may."""
     cols = [F.col(f"`{c}`") for c in columns]
@@ -320,10 +324,13 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None, fingerpr
     cols = list(columns or df.columns)
     f1, f2 = fingerprint(cols)
     marks = df.select(f1.alias("_f1"), f2.alias("_f2"))
-    again = cut_lineage(marks.groupBy("_f1", "_f2").agg(F.count(F.lit(1)).alias("_c")))
-    total = again.agg(F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("rows"))
-    repeats = again.where("_c > 1")
-    asked = keyed_lookup(df.withColumns({"_f1": f1, "_f2": f2}), repeats, ["_f1", "_f2"], "_c", ["_c"]).where("_c IS NOT NULL")
+    repeats = cut_lineage(marks.groupBy("_f1", "_f2").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1"))
+    total = df.agg(F.count(F.lit(1)).alias("rows"))
+    marked = df.withColumns({"_f1": f1, "_f2": f2})
+    if repeats.count() <= SENT_FINGERPRINTS:          # then no row moves before it is collapsed
+        asked = marked.join(F.broadcast(repeats.drop("_c")), ["_f1", "_f2"], "left_semi")
+    else:
+        asked = keyed_lookup(marked, repeats, ["_f1", "_f2"], "_c", ["_c"]).where("_c IS NOT NULL")
     g = asked.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_c"))
     return total.crossJoin(g.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))).select(
         "rows", "duplicate_rows",

@@ -67,7 +67,9 @@ def test_schema_and_type_faults_of_one_batch(spark):
     assert '"value":"W","count":1' in report["offenders"] and "schema:2" in report["failing"]
 
 
-def test_duplicates_by_fingerprint_and_forced_collisions(spark):
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_duplicates_by_fingerprint_and_forced_collisions(spark, monkeypatch, sent):
+    monkeypatch.setattr(Q, "SENT_FINGERPRINTS", sent)
     rows = [(1, "a", None), (1, "a", None), (2, None, 1.0), (None, "a", 1.0), (2, None, 1.0), (2, None, 1.0), (3, "c", 0.5)]
     df = spark.createDataFrame(rows, "x int, y string, z double")
     one = lambda cols: [F.lit(1).cast("long"), F.lit(2).cast("long")]
