@@ -18,7 +18,7 @@ from telemetra.operators import features as D
 from telemetra.operators.detect import iforest as IF
 from telemetra.operators.detect import lof as LOF
 from telemetra.operators.detect import ocsvm as SVM
-from telemetra.plans.knn import recall
+from telemetra.plans.knn import recall_lists
 from telemetra.session import cut_lineage
 from telemetra.sources.tables import table
 
@@ -61,13 +61,9 @@ def e3_neighbour_recall_customers(spark, sf_dir):
     approximate index finds, for every k of the list."""
     train, new = _scaled(spark, sf_dir)
     every = train.unionByName(new)
-    exact = LOF.neighbour_list(every, train, max(KS), exclude_self=True)
-    found = LOF.neighbour_list(every, train, max(KS), exclude_self=True, approximate=True)
-    parts = [recall(found.where(F.col("rn") <= k), exact.where(F.col("rn") <= k)).withColumn("k", F.lit(k)) for k in KS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("k", "neighbours", "found", "recall")
+    exact = LOF.neighbour_lists(every, train, max(KS), exclude_self=True)
+    found = LOF.neighbour_lists(every, train, max(KS), exclude_self=True, approximate=True)
+    return recall_lists(found, exact, KS).select("k", "neighbours", "found", "recall")
 
 
 # -- frozen detectors: parameter tables given by a rule, so that any engine can score ----

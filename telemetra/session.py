@@ -68,7 +68,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.table_path = path
+    return out
 
 
 #: Folders that :func:`cut_lineage` has written, by application.
@@ -86,6 +88,14 @@ def release_tables(spark: SparkSession) -> int:
     return len(paths)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the tables of frames that :func:`cut_lineage` returned, once all that reads
+    them is written."""
+    for df in frames:
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.table_path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_dir(prefix: str = "telemetra-") -> str:
     return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
 
