@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,15 +74,22 @@ def tail_table(dist: DataFrame) -> DataFrame:
         ((F.col("n") - F.col("cum") + F.col("cnt")) / n).alias("right"), "skew_sign")
 
 
-def _outlyingness(v: np.ndarray, x: np.ndarray, cum: np.ndarray, before: float, n: float, sign: float) -> np.ndarray:
-    """Tail score of values among the fitted values ``x`` with running counts ``cum``
-    (``before`` rows lie below the first); missing values score 0."""
-    steps = np.concatenate([[before], cum])
-    with np.errstate(divide="ignore"):
-        left = -np.log(steps[np.searchsorted(x, v, "right")] / n)
-        right = -np.log((n - steps[np.searchsorted(x, v, "left")]) / n)
-    skew = right if sign > 0 else left if sign < 0 else left + right
-    return np.where(np.isnan(v), 0.0, np.maximum(np.maximum(left, right), skew)) + 0.0
+def _steps(cum: np.ndarray, before: float) -> np.ndarray:
+    """Running counts below the first fitted value and at every one."""
+    return np.concatenate([[before], cum])
+
+
+def _outlyingness(v: np.ndarray, x: np.ndarray, steps: np.ndarray, n: float, sign: float) -> np.ndarray:
+    """Tail score of values among the fitted values ``x`` with running counts ``steps``;
+    missing values score 0."""
+    upto = np.searchsorted(x, v, "right")
+    below = upto - (x[upto - 1] == v) * (upto > 0) if len(x) else upto
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if sign > 0 or sign < 0:                    # the tail of the skew is one of the two
+            score = -np.log(np.minimum(steps[upto], n - steps[below]) / n)
+        else:
+            score = -np.log(steps[upto] / n) - np.log((n - steps[below]) / n)
+    return np.where(np.isnan(v), 0.0, score) + 0.0
 
 
 def _sizes(model: DataFrame) -> dict[str, tuple[int, int, float]]:
@@ -97,16 +105,16 @@ def _sent(model: DataFrame, features: Sequence[str], sizes) -> F.Column:
     tables = []
     for c in features:
         own = held[held.column_name == c].sort_values("x")
-        tables.append((own.x.to_numpy(), own["cum"].to_numpy(np.float64), sizes[c][1], sizes[c][2]))
+        tables.append((own.x.to_numpy(np.float64), _steps(own["cum"].to_numpy(np.float64), 0.0), float(sizes[c][1]), sizes[c][2]))
 
-    @F.pandas_udf("double")
-    def score(rows: pd.DataFrame) -> pd.Series:
-        total = np.zeros(len(rows))
-        for i, (x, cum, n, sign) in enumerate(tables):
-            total += _outlyingness(rows.iloc[:, i].to_numpy(np.float64), x, cum, 0.0, float(n), sign)
-        return pd.Series(total)
+    @F.arrow_udf("double")
+    def score(*columns: pa.Array) -> pa.Array:
+        total = np.zeros(len(columns[0]))
+        for column, fitted in zip(columns, tables):
+            total += _outlyingness(column.to_numpy(zero_copy_only=False), *fitted)
+        return pa.array(total)
 
-    return score(F.struct(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)]))
+    return score(*[F.col(c).cast("double") for c in features])
 
 
 def _by_ranges(rows: DataFrame, key: str, feature: str, model: DataFrame, size, values: int, per_task: int) -> DataFrame:
@@ -138,7 +146,7 @@ def _by_ranges(rows: DataFrame, key: str, feature: str, model: DataFrame, size,
             before = cum[0] - fitted["cnt"].iloc[0]
         else:                               # below all fitted values
             x, cum, before = np.zeros(0), np.zeros(0), 0.0
-        return pd.DataFrame({"key": given.key, "s": _outlyingness(given.v.to_numpy(), x, cum, before, float(n), sign)})
+        return pd.DataFrame({"key": given.key, "s": _outlyingness(given.v.to_numpy(), x, _steps(cum, before), float(n), sign)})
 
     return (left.select("range", "block", "key", "v").groupBy("range", "block")
             .cogroup(right.select("range", "block", "x", "cnt", "cum").groupBy("range", "block"))
