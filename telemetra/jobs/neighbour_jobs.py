@@ -9,6 +9,8 @@ segment MACHINERY is the new batch; the detector is fitted on all other customer
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,14 +20,16 @@ from telemetra.operators import features as D
 from telemetra.operators.detect import iforest as IF
 from telemetra.operators.detect import lof as LOF
 from telemetra.operators.detect import ocsvm as SVM
-from telemetra.plans.knn import recall_lists
-from telemetra.session import cut_lineage
+from telemetra.plans.knn import Boxes, Leaves, recall_lists
+from telemetra.session import cut_lineage, release
 from telemetra.sources.tables import table
 
 COLUMNS = ["balance", "nation", "orders", "spent", "mean_price", "top_price"]
 NEW = "MACHINERY"
 KS = [20, 30, 40, 50, 60, 80, 100]
 CONTAMINATION = 0.05
+#: Customers whose neighbour lists are held at once, up to SLICES times; queries of a block.
+SLICE_ROWS, SLICES, BLOCK = 100_000, 8, 6_000
 
 
 def _customers(spark, sf_dir) -> DataFrame:
@@ -44,6 +48,7 @@ def _scaled(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     params = D.fit_robust_scaler(rows.where(~F.col("is_new")), COLUMNS)
     ready = cut_lineage(D.apply_robust_scaler(rows, params, COLUMNS)
                         .select("id", "is_new", F.array(*COLUMNS).alias("vec")))
+    release(rows)
     return ready.where(~F.col("is_new")).drop("is_new"), ready.where("is_new").drop("is_new")
 
 
@@ -58,12 +63,20 @@ def e3_lof_new_customers(spark, sf_dir):
 
 def e3_neighbour_recall_customers(spark, sf_dir):
     """How much of the exact neighbour lists of all customers (training and new) the
-    approximate index finds, for every k of the list."""
+    approximate index finds, for every k of the list.  Both lists of a slice of customers
+    are compared and deleted before the next slice's are made: whole lists of all would
+    take several times the input."""
     train, new = _scaled(spark, sf_dir)
-    every = train.unionByName(new)
-    exact = LOF.neighbour_lists(every, train, max(KS), exclude_self=True)
-    found = LOF.neighbour_lists(every, train, max(KS), exclude_self=True, approximate=True)
-    return recall_lists(found, exact, KS).select("k", "neighbours", "found", "recall")
+    boxes, leaves = Boxes(train), Leaves(train)
+    counts = []
+    for every in leaves.slices(train.unionByName(new), SLICE_ROWS, SLICES):
+        exact = LOF.neighbour_lists(every, boxes, max(KS), exclude_self=True, block=BLOCK)
+        found = LOF.neighbour_lists(every, leaves, max(KS), exclude_self=True, approximate=True, block=BLOCK)
+        counts.append(cut_lineage(recall_lists(found, exact, KS).select("k", "neighbours", "found")))
+        release(exact, found)
+    return (reduce(DataFrame.unionByName, counts).groupBy("k")
+            .agg(F.sum("neighbours").alias("neighbours"), F.sum("found").alias("found"))
+            .withColumn("recall", F.col("found") / F.col("neighbours")))
 
 
 # -- frozen detectors: parameter tables given by a rule, so that any engine can score ----

@@ -62,17 +62,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     eager ``Dataset.checkpoint`` computes it twice, once to count and once to
     write), later stages read compact columnar files, and a lost executor costs
     a re-read instead of a recomputation of the whole lineage.  Never a local
-    checkpoint.  Used where a derived table is read more than once."""
+    checkpoint.  Used where a derived table is read more than once.  The shuffle files
+    of the plan below go once it is written, not whenever the driver collects garbage."""
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
     out = spark.read.parquet(path)
     out.table_path = path
     return out
 
 
+#: Shuffle files of a query are removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders that :func:`cut_lineage` has written, by application.
 _TABLES: dict[str, list[str]] = {}
 
@@ -90,8 +98,10 @@ def release_tables(spark: SparkSession) -> int:
 
 def release(*frames: DataFrame) -> None:
     """Delete the tables of frames that :func:`cut_lineage` returned, once all that reads
-    them is written."""
+    them is written; other frames (those of no rows) have none."""
     for df in frames:
+        if not hasattr(df, "table_path"):
+            continue
         p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.table_path)
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
