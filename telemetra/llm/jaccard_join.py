@@ -20,8 +20,10 @@ segments of sets beyond it (:func:`band`).
 
 Join.  Signatures met twice give buckets.  In each the set that shares most
 signatures is the centre; every set is compared with the best of its centres, and
-linked sets form components.  Only pairs of one bucket in different components are
-left: they are compared by size and by a 512-bit parity sketch, long sets by one as long
+linked sets form components.  In larger buckets that hold different components still,
+every set is then compared with the centre, which leaves the bucket, in a few rounds, so
+that near copies of near copies join without naming all their pairs.  Only pairs of one
+bucket in different components are left: they are compared by size and by a 512-bit parity sketch, long sets by one as long
 as themselves, whose distances never exceed the true one, before a pair is named, and
 those that pass are compared exactly.  So a group of copies costs one
 comparison per set, no pair is given up, and every link between different components
@@ -55,6 +57,9 @@ BLOCK_BYTES = 1 << 21
 LONG = 700
 #: Buckets of up to so many sets name their pairs before the sketches are read.
 FEW = 8
+#: Rounds of centres in larger buckets at most; the last is one that finds no more than
+#: an n-th of the links of the round before.
+ROUNDS, FEWER = 8, 4
 #: A node of more pairs than this (and a thousandth of all) is dealt out in SALTS parts.
 HOT_PAIRS, SALTS = 256, 32
 #: A pair met in the bucket of an empty segment costs as much as so many signatures.
@@ -478,6 +483,29 @@ def _near_distinct_rows(docs: DataFrame, words: int, percent: int, id_col: str,
     return rows.join(gone, key, "left_anti").select(*[pick(c) for c in docs.columns])
 
 
+def _fame(met: DataFrame) -> DataFrame:
+    """How many buckets a node is in."""
+    return met.groupBy("node").agg(F.count(F.lit(1)).alias("fame"))
+
+
+def _compared(pairs: DataFrame, sketch: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The links among the ``pairs`` (a, b) of sets and their centres."""
+    facts = sketch.select(F.col("node").alias("b"), F.struct("n", *SKETCH, "z").alias("y"))
+    near = (_beside(cut_lineage(pairs), "b", facts).join(sketch.alias("x"), F.col("a") == F.col("x.node"))
+            .where(_near("x", "y", percent)).select("a", "b").distinct())
+    return cut_lineage(_verify(cut_lineage(near), rows, words, percent))
+
+
+def _unsettled(met: DataFrame, links: DataFrame) -> DataFrame:
+    """The buckets (sig, node) whose sets the ``links`` leave in different components:
+    sig, node, component and the bucket's size, written."""
+    component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    rest = met.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = (rest.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.count(F.lit(1)).alias("size")).where("lo < hi").select("sig", "size"))
+    return staged(rest.select("sig", "node", "component").join(mixed, "sig"))
+
+
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives that span every component."""
     reps = _masked(rows, classes)
@@ -509,27 +537,38 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
 
     # every set with the best of its centres
     sketch = classes.select("node", "n", *SKETCH, "z")
-    fame = met.groupBy("node").agg(F.count(F.lit(1)).alias("fame"))
-    famed = met.join(fame, "node")
+    famed = met.join(_fame(met), "node")
     centre = famed.groupBy("sig").agg(F.max(F.struct("fame", "node")).alias("c"))
     best = (famed.join(centre, "sig").where("node <> c.node").groupBy("node").agg(F.max("c").alias("c"))
             .select(F.col("node").alias("a"), F.col("c.node").alias("b")))
-    facts = sketch.select(F.col("node").alias("b"), F.struct("n", *SKETCH, "z").alias("y"))
-    stars = (_beside(cut_lineage(best), "b", facts).join(sketch.alias("x"), F.col("a") == F.col("x.node"))
-             .where(_near("x", "y", percent)).select("a", "b").distinct())
-    first = cut_lineage(_verify(cut_lineage(stars), rows, words, percent))
+    links = _compared(best, sketch, rows, words, percent)
+    rest = _unsettled(met, links)
+    discard(met)
 
-    # pairs of one bucket whose sets are still in different components
-    component = connected_components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    rest = met.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (rest.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                     F.count(F.lit(1)).alias("size")).where("lo < hi").select("sig", "size"))
-    rest = staged(rest.select("sig", "node", "component").join(mixed, "sig"))
+    # sets of larger buckets with all their centres, until that joins few components more
+    before = 0
+    for _ in range(ROUNDS):
+        large = rest.where(F.col("size") > FEW)
+        if large.isEmpty():
+            break
+        centre = large.join(_fame(large), "node").groupBy("sig").agg(F.max(F.struct("fame", "node", "component")).alias("c"))
+        centre = cut_lineage(centre.select("sig", F.col("c.node").alias("b"), F.col("c.component").alias("of")))
+        asked = large.join(centre, "sig").where("component <> of").select(F.col("node").alias("a"), "b").distinct()
+        more = _compared(asked, sketch, rows, words, percent)
+        links = links.unionByName(more)
+        # the pairs of a centre are settled: it leaves its bucket
+        left = rest.join(centre, "sig", "left").where("b IS NULL OR node <> b").select("sig", "node")
+        old, rest = rest, _unsettled(left, links)
+        discard(old)
+        before, least = more.count(), before / FEWER
+        if before <= least:
+            break
 
     def apart(side):
         x, y = side.alias("x"), side.alias("y")
         return x, y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
 
+    # pairs of one bucket whose sets are in different components still;
     # small buckets repeat the same few pairs: name the pairs, then look at the sketches
     x, y, apart_few = apart(rest.where(F.col("size") <= FEW))
     few = x.join(y, apart_few).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
@@ -540,5 +579,4 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     many = x.join(y, apart_many & _near("x", "y", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     pairs = cut_lineage(few.unionByName(many).distinct())
     discard(rest)
-    discard(met)
-    return first.unionByName(_verify(pairs, rows, words, percent))
+    return links.unionByName(_verify(pairs, rows, words, percent))
