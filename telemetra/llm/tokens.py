@@ -28,6 +28,7 @@ REMEMBERED = 500_000
 _WORD = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 #: Stands before a piece that has no space before it in the text.
 _JOINED = "\x01"
+_LOWER = bytes(range(256)).lower()                    # A to Z only
 
 
 def _byte_chars() -> dict[int, str]:
@@ -45,13 +46,14 @@ def _byte_chars() -> dict[int, str]:
 
 
 def _ascii_lower(texts: pa.LargeStringArray) -> pa.Array:
-    """A to Z in lower case, every other byte as it is (no nulls)."""
+    """A to Z in lower case, every other byte as it is (no nulls); of a slice only its
+    own bytes are read."""
     _, offsets, data = texts.buffers()
-    if data is None:
+    if data is None or not len(texts):
         return texts
-    raw = np.frombuffer(data, np.uint8)
-    low = raw + ((raw >= 65) & (raw <= 90)) * np.uint8(32)
-    return pa.Array.from_buffers(texts.type, len(texts), [None, offsets, pa.py_buffer(low)], offset=texts.offset)
+    own = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    low = data[int(own[0]):int(own[-1])].to_pybytes().translate(_LOWER)
+    return pa.Array.from_buffers(texts.type, len(texts), [None, pa.py_buffer(own - own[0]), pa.py_buffer(low)])
 
 
 class Encoder:
@@ -106,10 +108,16 @@ class Encoder:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        rest = self._words([p for p in pieces if p not in known], known)
-        own = dict(zip(rest, self._whole(rest)))
-        known.update((p, ids) for p, ids in own.items() if len(p) <= 64)
-        return [known[p] if p in known else own[p] for p in pieces]
+        found = list(map(known.get, pieces))
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        if fresh:
+            rest = self._words([pieces[i] for i in fresh], known)
+            own = dict(zip(rest, self._whole(rest)))
+            known.update((p, ids) for p, ids in own.items() if len(p) <= 64)
+            for i in fresh:
+                p = pieces[i]
+                found[i] = known[p] if p in known else own[p]
+        return found
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and the offset of each text (and of
@@ -146,7 +154,10 @@ class Encoder:
         for mark in (_JOINED, *self.added):
             odd |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
         codes[first] += n_words
-        used = np.unique(codes[np.repeat(~odd, np.diff(bounds))])
+        told = codes[np.repeat(~odd, np.diff(bounds))] if odd.any() else codes
+        seen = np.zeros(2 * n_words, dtype=bool)
+        seen[told] = True
+        used = np.flatnonzero(seen)
         lead = pc.if_else(pc.starts_with(parts.dictionary, _JOINED), "", " " if self.spaced else "")
         spaced = pc.binary_join_element_wise(lead.cast(pa.large_string()), bare, pa.scalar("", pa.large_string()))
         pieces = pa.concat_arrays([spaced, parts.dictionary]).take(pa.array(used)).to_pylist()
@@ -160,14 +171,15 @@ class Encoder:
         ends = np.cumsum(runs)
         entries = np.empty(int(ends[-1]), dtype=np.int64)
         plain = np.repeat(~odd, runs)
-        entries[plain] = table[codes[np.repeat(~odd, np.diff(bounds))]]
+        entries[plain] = table[told]
         entries[~plain] = len(used) + np.arange(len(whole))
         size = np.fromiter(map(len, learnt), np.int64, len(learnt)) // self.dtype.itemsize
         begin = np.cumsum(size) - size
         flat = np.frombuffer(b"".join(learnt), dtype=self.dtype)
         length = size[entries]
         total = np.cumsum(length)
-        pick = np.repeat(begin[entries] - (total - length), length) + np.arange(int(total[-1]))
+        pick = np.repeat(begin[entries] - (total - length), length)
+        pick += np.arange(len(pick))
         return flat[pick], np.concatenate([[0], total[ends - 1]])
 
     def encode(self, text: str) -> np.ndarray:
