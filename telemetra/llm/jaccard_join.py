@@ -545,24 +545,36 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     rest = _unsettled(met, links)
     discard(met)
 
-    # sets of larger buckets with all their centres, until that joins few components more
-    before = 0
+    # sets of larger buckets with all their centres; a bucket whose centre links with none
+    # in it leaves the rounds, so that a round reads only what the one before joined
+    before, written = 0, [rest]
+    large, aside = rest.where(F.col("size") > FEW), [rest.where(F.col("size") <= FEW)]
     for _ in range(ROUNDS):
-        large = rest.where(F.col("size") > FEW)
         if large.isEmpty():
             break
         centre = large.join(_fame(large), "node").groupBy("sig").agg(F.max(F.struct("fame", "node", "component")).alias("c"))
         centre = cut_lineage(centre.select("sig", F.col("c.node").alias("b"), F.col("c.component").alias("of")))
-        asked = large.join(centre, "sig").where("component <> of").select(F.col("node").alias("a"), "b").distinct()
-        more = _compared(asked, sketch, rows, words, percent)
+        asked = cut_lineage(large.join(centre, "sig").where("component <> of").select("sig", F.col("node").alias("a"), "b"))
+        more = _compared(asked.select("a", "b").distinct(), sketch, rows, words, percent)
         links = links.unionByName(more)
+        joined = asked.join(more, ["a", "b"], "left_semi").select("sig").distinct().withColumn("joined", F.lit(True))
         # the pairs of a centre are settled: it leaves its bucket
-        left = rest.join(centre, "sig", "left").where("b IS NULL OR node <> b").select("sig", "node")
-        old, rest = rest, _unsettled(left, links)
-        discard(old)
+        left = staged(large.join(centre, "sig").where("node <> b").join(joined, "sig", "left")
+                      .select("sig", "node", F.coalesce("joined", F.lit(False)).alias("joined")))
+        again = _unsettled(left.where("joined").select("sig", "node"), links)
+        written += [left, again]
+        aside += [left.where("NOT joined"), again.where(F.col("size") <= FEW)]
+        large = again.where(F.col("size") > FEW)
         before, least = more.count(), before / FEWER
         if before <= least:
             break
+    if len(written) > 1:
+        left = large.select("sig", "node")
+        for part in aside:
+            left = left.unionByName(part.select("sig", "node"))
+        rest = _unsettled(left, links)
+        for old in written:
+            discard(old)
 
     def apart(side):
         x, y = side.alias("x"), side.alias("y")
