@@ -57,6 +57,8 @@ BLOCK_BYTES = 1 << 21
 LONG = 700
 #: Buckets of up to so many sets name their pairs before the sketches are read.
 FEW = 8
+#: A pair of sets is looked for among so many buckets of both, to be named in one only.
+FIRST = 16
 #: Rounds of centres in larger buckets at most; the last is one that finds no more than
 #: an n-th of the links of the round before.
 ROUNDS, FEWER = 8, 4
@@ -506,6 +508,26 @@ def _unsettled(met: DataFrame, links: DataFrame) -> DataFrame:
     return staged(rest.select("sig", "node", "component").join(mixed, "sig"))
 
 
+def _apart(side: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides of the pairs of one bucket (sig) in different components, and the condition."""
+    x, y = side.alias("x"), side.alias("y")
+    return x, y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
+
+
+def _named(large: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of the ``large`` buckets (sig, node, component, size) whose sizes
+    and sketches allow a link.  A row carries the first ``FIRST`` buckets of its set, the
+    largest first, and a pair that has common ones among them is named in the first of
+    these alone: no common bucket comes before it.  Without any it is named in every
+    bucket of both."""
+    order = F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("size"), "sig")))
+    first = large.groupBy("node").agg(F.slice(order, 1, FIRST)["sig"].alias("first"))
+    x, y, apart = _apart(large.join(sketch, "node").join(first, "node"))
+    common = F.array_intersect("x.first", "y.first")
+    here = F.coalesce(F.get(common, F.lit(0)), F.col("x.sig")) == F.col("x.sig")
+    return x.join(y, apart & here & _near("x", "y", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between representatives that span every component."""
     reps = _masked(rows, classes)
@@ -576,19 +598,13 @@ def _links(rows: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
         for old in written:
             discard(old)
 
-    def apart(side):
-        x, y = side.alias("x"), side.alias("y")
-        return x, y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.component") < F.col("y.component"))
-
     # pairs of one bucket whose sets are in different components still;
     # small buckets repeat the same few pairs: name the pairs, then look at the sketches
-    x, y, apart_few = apart(rest.where(F.col("size") <= FEW))
+    x, y, apart_few = _apart(rest.where(F.col("size") <= FEW))
     few = x.join(y, apart_few).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     few = (few.join(sketch.alias("x"), F.col("a") == F.col("x.node")).join(sketch.alias("y"), F.col("b") == F.col("y.node"))
            .where(_near("x", "y", percent)).select("a", "b"))
-    # larger ones name only the pairs whose sketches allow a link
-    x, y, apart_many = apart(rest.where(F.col("size") > FEW).join(sketch, "node"))
-    many = x.join(y, apart_many & _near("x", "y", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    many = _named(rest.where(F.col("size") > FEW), sketch, percent)
     pairs = cut_lineage(few.unionByName(many).distinct())
     discard(rest)
     return links.unionByName(_verify(pairs, rows, words, percent))
